@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import columns as C
+from .functions import rules as R
 from .plans import gold, marts, silver
 from .schemas import PAYMENT
 from .sources import feeds
@@ -112,3 +113,73 @@ def q_merchant_totals(spark, sf_dir):
 @register("gold_review_backfill")
 def q_gold_review_backfill(spark, sf_dir):
     return gold.review_backfill(_s(spark, sf_dir, mcc=False))
+
+
+# --- fraud rules over feed E ------------------------------------------------
+
+E_HIGH_THRESHOLD = "200"  # feed E amounts stay below 500
+VELOCITY_DAY = R.RuleParams(velocity_window_s=86_400)
+
+
+def _e(spark, sf_dir):
+    return feeds.event_payments(spark, sf_dir)
+
+
+def _flagged(df, rule):
+    return df.filter(F.col(rule)).select("transaction_id", "card_hash", "ts_event")
+
+
+@register("velocity_event")
+def q_velocity_event(spark, sf_dir):
+    return _flagged(R.event_flags(_e(spark, sf_dir), ("velocity",), VELOCITY_DAY), "velocity")
+
+
+@register("velocity_card_scope")
+def q_velocity_card_scope(spark, sf_dir):
+    flags = R.event_flags(_e(spark, sf_dir), ("velocity",), VELOCITY_DAY)
+    return _flagged(R.card_scope(flags, ("velocity",)), "velocity")
+
+
+@register("velocity_batch_count")
+def q_velocity_batch_count(spark, sf_dir):
+    return _flagged(R.velocity_as_coded(_e(spark, sf_dir)), "velocity")
+
+
+@register("cross_border_event")
+def q_cross_border_event(spark, sf_dir):
+    return _flagged(R.event_flags(_e(spark, sf_dir), ("cross_border",)), "cross_border")
+
+
+@register("cross_border_prev")
+def q_cross_border_prev(spark, sf_dir):
+    return _flagged(R.event_flags(_e(spark, sf_dir), ("cross_border_prev",)), "cross_border_prev")
+
+
+@register("cross_border_card_scope")
+def q_cross_border_card_scope(spark, sf_dir):
+    flags = R.event_flags(_e(spark, sf_dir), ("cross_border",))
+    return _flagged(R.card_scope(flags, ("cross_border",)), "cross_border")
+
+
+@register("decline_rate_event")
+def q_decline_rate_event(spark, sf_dir):
+    return _flagged(R.event_flags(_e(spark, sf_dir), ("decline_rate",)), "decline_rate")
+
+
+@register("decline_rate_card_scope")
+def q_decline_rate_card_scope(spark, sf_dir):
+    flags = R.event_flags(_e(spark, sf_dir), ("decline_rate",))
+    return _flagged(R.card_scope(flags, ("decline_rate",)), "decline_rate")
+
+
+@register("high_amount")
+def q_high_amount(spark, sf_dir):
+    e = _e(spark, sf_dir)
+    return e.filter(C.high_amount("amount", E_HIGH_THRESHOLD)).select("transaction_id", "card_hash", "ts_event")
+
+
+@register("fraud_reasons")
+def q_fraud_reasons(spark, sf_dir):
+    rules = ("high_amount", "velocity", "cross_border", "decline_rate")
+    flags = R.event_flags(_e(spark, sf_dir), rules, R.RuleParams(high_threshold=E_HIGH_THRESHOLD))
+    return R.reasons(flags, rules).select("transaction_id", "reason")

@@ -186,3 +186,75 @@ _q(
        CAST(NULL AS VARCHAR) AS reason
 FROM s WHERE location IS NOT NULL OR auth_result = 'DECLINED'""",
 )
+
+# --- fraud rules over feed E (plain PARTITION BY card: the brute-force form) --
+
+_RANGE = "OVER (PARTITION BY card_hash ORDER BY ts_event RANGE BETWEEN INTERVAL {s} SECONDS PRECEDING AND CURRENT ROW)"
+_ATT = (
+    "OVER (PARTITION BY card_hash, auth_result IS NOT NULL ORDER BY ts_event ASC NULLS FIRST, "
+    "transaction_id ASC NULLS FIRST ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)"
+)
+_LOC = (
+    "OVER (PARTITION BY card_hash, (ts_event IS NOT NULL AND country IS NOT NULL) "
+    "ORDER BY ts_event ASC NULLS FIRST, transaction_id ASC NULLS FIRST)"
+)
+
+
+def _flags_cte(velocity_s: int = 60, cross_s: int = 600, high: str = "10000") -> str:
+    return f"""SELECT *,
+  ts_event IS NOT NULL AND count(ts_event) {_RANGE.format(s=velocity_s)} > 5 AS velocity,
+  COALESCE(ts_event IS NOT NULL AND country IS NOT NULL AND
+           (min(country) {_RANGE.format(s=cross_s)} <> country OR max(country) {_RANGE.format(s=cross_s)} <> country),
+           FALSE) AS cross_border,
+  COALESCE(ts_event IS NOT NULL AND country IS NOT NULL AND lag(country) {_LOC} <> country
+           AND ts_event <= lag(ts_event) {_LOC} + INTERVAL {cross_s} SECONDS, FALSE) AS cross_border_prev,
+  COALESCE(auth_result IS NOT NULL AND count(*) {_ATT} >= 1 AND
+           sum(CASE WHEN auth_result = 'DECLINED' THEN 1 ELSE 0 END) {_ATT} > 0.5 * count(*) {_ATT}, FALSE) AS decline_rate,
+  COALESCE(amount > {high}, FALSE) AS high_amount
+FROM ec WHERE card_hash IS NOT NULL"""
+
+
+_cte("efd", ["ec"], _flags_cte(velocity_s=86400))
+_cte("ef", ["ec"], _flags_cte(high="200"))
+
+_SEL = "SELECT transaction_id, card_hash, ts_event FROM {t} WHERE {c}"
+_q("velocity_event", ["efd"], _SEL.format(t="efd", c="velocity"))
+_q(
+    "velocity_card_scope",
+    ["efd"],
+    "SELECT transaction_id, card_hash, ts_event FROM efd WHERE card_hash IN (SELECT card_hash FROM efd WHERE velocity)",
+)
+_q(
+    "velocity_batch_count",
+    ["e"],
+    """SELECT transaction_id, card_hash, ts_event FROM e
+WHERE card_hash IN (SELECT card_hash FROM e WHERE card_hash IS NOT NULL GROUP BY card_hash HAVING count(ts_event) > 5)""",
+)
+_q("cross_border_event", ["ef"], _SEL.format(t="ef", c="cross_border"))
+_q("cross_border_prev", ["ef"], _SEL.format(t="ef", c="cross_border_prev"))
+_q(
+    "cross_border_card_scope",
+    ["ef"],
+    "SELECT transaction_id, card_hash, ts_event FROM ef WHERE card_hash IN (SELECT card_hash FROM ef WHERE cross_border)",
+)
+_q("decline_rate_event", ["ef"], _SEL.format(t="ef", c="decline_rate"))
+_q(
+    "decline_rate_card_scope",
+    ["ef"],
+    """SELECT transaction_id, card_hash, ts_event FROM ef WHERE card_hash IN (
+  SELECT card_hash FROM (
+    SELECT card_hash, decline_rate, row_number() OVER (PARTITION BY card_hash
+        ORDER BY ts_event DESC NULLS LAST, transaction_id DESC NULLS LAST) AS rn
+    FROM ef WHERE auth_result IS NOT NULL) WHERE rn = 1 AND decline_rate)""",
+)
+_q("high_amount", ["e"], "SELECT transaction_id, card_hash, ts_event FROM e WHERE COALESCE(amount > 200, FALSE)")
+_q(
+    "fraud_reasons",
+    ["ef"],
+    """SELECT transaction_id, concat_ws(',',
+    CASE WHEN high_amount THEN 'high_amount' END,
+    CASE WHEN velocity THEN 'velocity' END,
+    CASE WHEN cross_border THEN 'cross_border' END,
+    CASE WHEN decline_rate THEN 'decline_rate' END) AS reason
+FROM ef""",
+)
