@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from .functions import columns as C
 from .functions import rules as R
+from .operators import scd2 as H
+from .operators import state as S
 from .plans import gold, marts, silver
 from .schemas import PAYMENT
 from .sources import feeds
@@ -183,3 +185,29 @@ def q_fraud_reasons(spark, sf_dir):
     rules = ("high_amount", "velocity", "cross_border", "decline_rate")
     flags = R.event_flags(_e(spark, sf_dir), rules, R.RuleParams(high_threshold=E_HIGH_THRESHOLD))
     return R.reasons(flags, rules).select("transaction_id", "reason")
+
+
+# --- card state, history ---------------------------------------------------
+
+STATE_SPLIT_TS = "2024-01-16 00:00:00"
+
+
+@register("card_state_last10")
+def q_card_state_last10(spark, sf_dir):
+    state = S.merge_state(None, _e(spark, sf_dir), with_clock=False)
+    return S.explode_state(state)
+
+
+@register("card_state_merge")
+def q_card_state_merge(spark, sf_dir):
+    e = _e(spark, sf_dir)
+    cut = F.lit(STATE_SPLIT_TS).cast("timestamp_ntz")
+    first = S.merge_state(None, e.filter(F.col("ts_event") < cut), with_clock=False)
+    second = S.merge_state(first, e.filter(F.col("ts_event") >= cut), with_clock=False)
+    return S.explode_state(second)
+
+
+@register("merchant_scd2")
+def q_merchant_scd2(spark, sf_dir):
+    tx = _s(spark, sf_dir, card=False, location=False)
+    return H.versions(tx, "merchant_id", ["mcc"])

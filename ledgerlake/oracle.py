@@ -258,3 +258,31 @@ _q(
     CASE WHEN decline_rate THEN 'decline_rate' END) AS reason
 FROM ef""",
 )
+
+# --- card state, history ---------------------------------------------------
+
+_LAST10 = """SELECT card_hash, least(cnt, 10) - rn + 1 AS pos, ts_event AS ts, auth_result, country FROM (
+  SELECT card_hash, ts_event, auth_result, country,
+         row_number() OVER (PARTITION BY card_hash ORDER BY src DESC, ts_event DESC NULLS LAST,
+                            transaction_id DESC NULLS LAST) AS rn,
+         count(*) OVER (PARTITION BY card_hash) AS cnt
+  FROM (SELECT *, {src} AS src, {country} AS country FROM e WHERE card_hash IS NOT NULL)) WHERE rn <= 10"""
+_q("card_state_last10", ["e"], _LAST10.format(src="0", country=COUNTRY_SQL))
+_q(
+    "card_state_merge",
+    ["e"],
+    _LAST10.format(src="CASE WHEN ts_event < TIMESTAMP '2024-01-16 00:00:00' THEN 0 ELSE 1 END", country=COUNTRY_SQL),
+)
+_q(
+    "merchant_scd2",
+    ["s"],
+    """SELECT merchant_id, mcc, ts_event AS valid_from,
+       lead(ts_event) OVER w2 AS valid_to, lead(ts_event) OVER w2 IS NULL AND lead(1) OVER w2 IS NULL AS is_current
+FROM (
+  SELECT merchant_id, mcc, ts_event, transaction_id,
+         row_number() OVER w AS rn, lag(mcc) OVER w AS pm
+  FROM s WHERE merchant_id IS NOT NULL
+  WINDOW w AS (PARTITION BY merchant_id ORDER BY ts_event ASC NULLS FIRST, transaction_id ASC NULLS FIRST)
+) WHERE rn = 1 OR pm IS DISTINCT FROM mcc
+WINDOW w2 AS (PARTITION BY merchant_id ORDER BY ts_event ASC NULLS FIRST, transaction_id ASC NULLS FIRST)""",
+)
