@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from .functions import columns as C
 from .functions import rules as R
 from .operators import scd2 as H
+from .operators import upsert as U
+from .operators.dedup import keep_earliest
+from . import schemas as SCH
 from .operators import state as S
 from .plans import gold, marts, silver
 from .schemas import PAYMENT
@@ -211,3 +214,56 @@ def q_card_state_merge(spark, sf_dir):
 def q_merchant_scd2(spark, sf_dir):
     tx = _s(spark, sf_dir, card=False, location=False)
     return H.versions(tx, "merchant_id", ["mcc"])
+
+
+# --- upserts ----------------------------------------------------------------
+
+# An incremental load: the table holds the first copy of every transaction
+# shipped before TARGET_BEFORE; the new batch carries every copy shipped from
+# SOURCE_FROM on (overlapping a year of existing keys).
+TARGET_BEFORE = "1998-04-01"
+SOURCE_FROM = "1997-01-01"
+
+
+def _fact_rows(df, keep_seq=False):
+    return df.select(
+        "transaction_id",
+        "ts_event",
+        C.event_date("ts_event").alias("date_id"),
+        "card_hash",
+        "merchant_id",
+        "amount",
+        "currency",
+        "auth_result",
+        *(["seq"] if keep_seq else []),
+    )
+
+
+def _load_pair(spark, sf_dir):
+    """(current fact table, incoming batch with its ``seq`` tie-break)."""
+    base = feeds.line_payments(spark, sf_dir)
+    lo = F.lit(SOURCE_FROM).cast("timestamp_ntz")
+    hi = F.lit(TARGET_BEFORE).cast("timestamp_ntz")
+    first = keep_earliest(base.filter(F.col("ts_event") < hi), ["transaction_id"], list(silver.LINE_ORDER))
+    target = _fact_rows(feeds.enrich_payments(spark, sf_dir, first, mcc=False, location=False))
+    incoming = feeds.enrich_payments(spark, sf_dir, base.filter(F.col("ts_event") >= lo), mcc=False, location=False)
+    return target, _fact_rows(incoming, keep_seq=True)
+
+
+@register("upsert_transactions")
+def q_upsert_transactions(spark, sf_dir):
+    target, source = _load_pair(spark, sf_dir)
+    return U.upsert(target, source, ["transaction_id"], order=list(silver.LINE_ORDER))
+
+
+@register("insert_if_absent")
+def q_insert_if_absent(spark, sf_dir):
+    target, source = _load_pair(spark, sf_dir)
+    return U.insert_if_absent(target, source, ["transaction_id"], order=list(silver.LINE_ORDER), latest=False)
+
+
+@register("upsert_settlement")
+def q_upsert_settlement(spark, sf_dir):
+    target, source = _load_pair(spark, sf_dir)
+    src_tx = U.collapse_source(source, ["transaction_id"], list(silver.LINE_ORDER)).drop("seq")
+    return U.upsert(marts.settlement_daily(target), marts.settlement_daily(src_tx), SCH.GOLD_KEYS["fact_settlement_daily"])

@@ -36,18 +36,24 @@ def collapse_source(source: DataFrame, keys: Sequence[str], order: Sequence[str]
     return pick(src, list(keys), list(order))
 
 
+def _with_order(source: DataFrame, target: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Source in target column order, plus order-only columns (dropped later)."""
+    extra = [o for o in order if o not in target.columns]
+    return source.select(*target.columns, *extra)
+
+
 def insert_if_absent(
     target: DataFrame, source: DataFrame, keys: Sequence[str], order: Sequence[str] = (), latest: bool = False
 ) -> DataFrame:
     """Add source rows whose key is not in target; existing rows never change."""
-    src = collapse_source(source.select(*target.columns), keys, order, latest=latest)
+    src = collapse_source(_with_order(source, target, order), keys, order, latest=latest).select(*target.columns)
     fresh = src.join(target.select(*keys), list(keys), "left_anti")
     return target.unionByName(fresh)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """Insert new keys, overwrite existing ones with the source row."""
-    src = collapse_source(source.select(*target.columns), keys, order, latest=True)
+    src = collapse_source(_with_order(source, target, order), keys, order, latest=True).select(*target.columns)
     kept = target.join(src.select(*keys), list(keys), "left_anti")
     return kept.unionByName(src)
 

@@ -286,3 +286,54 @@ FROM (
 ) WHERE rn = 1 OR pm IS DISTINCT FROM mcc
 WINDOW w2 AS (PARTITION BY merchant_id ORDER BY ts_event ASC NULLS FIRST, transaction_id ASC NULLS FIRST)""",
 )
+
+# --- upserts ----------------------------------------------------------------
+
+_FACT = """SELECT b.transaction_id, b.ts_event, CAST(b.ts_event AS DATE) AS date_id,
+       'card' || CAST(o.o_custkey AS VARCHAR) AS card_hash, b.merchant_id, b.amount, b.currency, b.auth_result
+FROM {src} b LEFT JOIN orders o ON b.k_order = o.o_orderkey"""
+_cte(
+    "tgt_b",
+    ["pb"],
+    """SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY transaction_id
+                               ORDER BY ts_event ASC NULLS FIRST, amount ASC NULLS FIRST, seq ASC NULLS FIRST) AS rn
+  FROM pb WHERE ts_event < TIMESTAMP '1998-04-01 00:00:00') WHERE rn = 1""",
+)
+_cte("tgt", ["tgt_b"], _FACT.format(src="tgt_b"))
+for _name, _dir in (("src_latest", "DESC NULLS LAST"), ("src_first", "ASC NULLS FIRST")):
+    _cte(
+        _name + "_b",
+        ["pb"],
+        f"""SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY transaction_id
+                               ORDER BY ts_event {_dir}, amount {_dir}, seq {_dir}) AS rn
+  FROM pb WHERE ts_event >= TIMESTAMP '1997-01-01 00:00:00') WHERE rn = 1""",
+    )
+    _cte(_name, [_name + "_b"], _FACT.format(src=_name + "_b"))
+
+_q(
+    "upsert_transactions",
+    ["tgt", "src_latest"],
+    """SELECT * FROM tgt t WHERE NOT EXISTS (SELECT 1 FROM src_latest s WHERE s.transaction_id = t.transaction_id)
+UNION ALL SELECT * FROM src_latest""",
+)
+_q(
+    "insert_if_absent",
+    ["tgt", "src_first"],
+    """SELECT * FROM tgt
+UNION ALL SELECT * FROM src_first s WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.transaction_id = s.transaction_id)""",
+)
+_SETTLE = """SELECT merchant_id, currency, CAST(ts_event AS DATE) AS dt, count(*) AS txn_count,
+       CAST(sum(amount) AS DECIMAL(38,2)) AS gross_amount,
+       CAST(sum(amount) * 0.02 AS DECIMAL(38,4)) AS fees,
+       CAST(sum(amount) - sum(amount) * 0.02 AS DECIMAL(38,4)) AS net_amount
+FROM {src} GROUP BY merchant_id, currency, CAST(ts_event AS DATE)"""
+_q(
+    "upsert_settlement",
+    ["tgt", "src_latest"],
+    f"""SELECT * FROM ({_SETTLE.format(src="tgt")}) t WHERE NOT EXISTS (
+  SELECT 1 FROM ({_SETTLE.format(src="src_latest")}) s
+  WHERE s.merchant_id = t.merchant_id AND s.currency = t.currency AND s.dt = t.dt)
+UNION ALL SELECT * FROM ({_SETTLE.format(src="src_latest")}) s2""",
+)
