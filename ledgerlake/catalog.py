@@ -18,7 +18,11 @@ from .operators import upsert as U
 from .operators.dedup import keep_earliest
 from . import schemas as SCH
 from .operators import state as S
+from .operators import quality as Q
 from .plans import gold, marts, silver
+from .plans import reports as RP
+from .plans import screening as SCR
+from .sources import messages as M
 from .schemas import PAYMENT
 from .sources import feeds
 
@@ -267,3 +271,104 @@ def q_upsert_settlement(spark, sf_dir):
     target, source = _load_pair(spark, sf_dir)
     src_tx = U.collapse_source(source, ["transaction_id"], list(silver.LINE_ORDER)).drop("seq")
     return U.upsert(marts.settlement_daily(target), marts.settlement_daily(src_tx), SCH.GOLD_KEYS["fact_settlement_daily"])
+
+
+# --- messages, validation, routing ------------------------------------------
+
+E_PARAMS = R.RuleParams(high_threshold=E_HIGH_THRESHOLD)
+
+
+@register("validate_route")
+def q_validate_route(spark, sf_dir):
+    typed = M.typed(M.decode(M.event_messages(spark, sf_dir)))
+    return SCR.screen(typed, E_PARAMS).select("transaction_id", "route", "reason")
+
+
+@register("ts_normalize")
+def q_ts_normalize(spark, sf_dir):
+    e = _e(spark, sf_dir).select("transaction_id", F.date_format("ts_event", M.ISO_MICROS).alias("ts_text"))
+    parsed = C.parse_event_time("ts_text")
+    return e.select(
+        "transaction_id",
+        "ts_text",
+        F.unix_millis(parsed).alias("epoch_ms"),
+        C.utc_iso_text(C.millis(parsed)).alias("iso_ms"),
+    )
+
+
+# --- data quality -----------------------------------------------------------
+
+
+@register("quality_not_null")
+def q_quality_not_null(spark, sf_dir):
+    return Q.not_null(feeds.lineitem_payments(spark, sf_dir, mcc=False, location=False), "card_hash")
+
+
+@register("quality_unique")
+def q_quality_unique(spark, sf_dir):
+    return Q.unique(feeds.line_payments(spark, sf_dir), "transaction_id")
+
+
+@register("quality_relationships")
+def q_quality_relationships(spark, sf_dir):
+    child = _e(spark, sf_dir).select("transaction_id", "merchant_id")
+    parent = marts.dim_merchant(_s(spark, sf_dir, card=False, location=False))
+    return Q.relationships(child, "merchant_id", parent, "merchant_id")
+
+
+@register("quality_non_negative")
+def q_quality_non_negative(spark, sf_dir):
+    return Q.non_negative(_facts(spark, sf_dir), "amount")
+
+
+def gold_checks() -> list:
+    K = Q.Check
+    return [
+        K("stg_tx_not_null", "stg_payments", "transaction_id", "not_null"),
+        K("dim_merchant_not_null", "dim_merchant", "merchant_id", "not_null"),
+        K("dim_merchant_unique", "dim_merchant", "merchant_id", "unique"),
+        K("dim_card_not_null", "dim_card", "card_hash", "not_null"),
+        K("dim_card_unique", "dim_card", "card_hash", "unique"),
+        K("fact_tx_not_null", "fact_transactions", "transaction_id", "not_null"),
+        K("fact_tx_unique", "fact_transactions", "transaction_id", "unique"),
+        K("fact_merchant_fk", "fact_transactions", "merchant_id", "relationships", "dim_merchant", "merchant_id"),
+        K("fact_card_fk", "fact_transactions", "card_hash", "relationships", "dim_card", "card_hash"),
+        K("fact_amount_non_negative", "fact_transactions", "amount", "expression", condition="amount >= 0"),
+        K("settlement_merchant_not_null", "settlement_daily", "merchant_id", "not_null"),
+        K("settlement_dt_not_null", "settlement_daily", "dt", "not_null"),
+    ]
+
+
+@register("quality_suite")
+def q_quality_suite(spark, sf_dir):
+    # The marts as the mart models define them, over the undeduplicated
+    # staging feed (so the unique tests have something to find).
+    stg = feeds.lineitem_payments(spark, sf_dir, location=False)
+    tables = {
+        "stg_payments": stg,
+        "dim_merchant": marts.dim_merchant_pairs(stg),
+        "dim_card": marts.dim_card(stg),
+        "fact_transactions": stg,
+        "settlement_daily": marts.settlement_daily(stg),
+    }
+    return Q.suite(tables, gold_checks())
+
+
+# --- reports -----------------------------------------------------------------
+
+
+@register("report_settlement")
+def q_report_settlement(spark, sf_dir):
+    return RP.settlement_report(marts.settlement_daily(_s(spark, sf_dir, card=False, mcc=False, location=False)))
+
+
+@register("report_fraud")
+def q_report_fraud(spark, sf_dir):
+    typed = M.typed(M.decode(M.event_messages(spark, sf_dir)))
+    routed = SCR.screen(typed, E_PARAMS).filter(F.col("route") == SCR.ROUTE_FLAGGED)
+    return RP.fraud_report(routed.withColumn("ts_event", F.col("ts_text")))
+
+
+@register("report_totals")
+def q_report_totals(spark, sf_dir):
+    return RP.totals_report(_s(spark, sf_dir, card=False, mcc=False, location=False))

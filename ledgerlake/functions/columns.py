@@ -80,6 +80,16 @@ def iso_text(c: str | Column, fraction: str = "SSS") -> Column:
     return F.date_format(_col(c), f"yyyy-MM-dd'T'HH:mm:ss.{fraction}'Z'")
 
 
+def utc_iso_text(c: str | Column) -> Column:
+    """ISO-8601 UTC text with milliseconds and ``Z``, independent of the
+    session time zone (the instant is re-based on the NTZ epoch)."""
+    micros = F.unix_micros(_col(c).cast("timestamp"))
+    wall = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") + F.make_dt_interval(
+        F.lit(0), F.lit(0), F.lit(0), (micros.cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+    )
+    return F.date_format(wall, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+
+
 def card_fingerprint(c: str | Column = "card_hash") -> Column:
     """md5 fingerprint of the card hash."""
     return F.md5(_col(c))

@@ -200,7 +200,7 @@ _LOC = (
 )
 
 
-def _flags_cte(velocity_s: int = 60, cross_s: int = 600, high: str = "10000") -> str:
+def _flags_cte(velocity_s: int = 60, cross_s: int = 600, high: str = "10000", where: str = "TRUE") -> str:
     return f"""SELECT *,
   ts_event IS NOT NULL AND count(ts_event) {_RANGE.format(s=velocity_s)} > 5 AS velocity,
   COALESCE(ts_event IS NOT NULL AND country IS NOT NULL AND
@@ -211,7 +211,7 @@ def _flags_cte(velocity_s: int = 60, cross_s: int = 600, high: str = "10000") ->
   COALESCE(auth_result IS NOT NULL AND count(*) {_ATT} >= 1 AND
            sum(CASE WHEN auth_result = 'DECLINED' THEN 1 ELSE 0 END) {_ATT} > 0.5 * count(*) {_ATT}, FALSE) AS decline_rate,
   COALESCE(amount > {high}, FALSE) AS high_amount
-FROM ec WHERE card_hash IS NOT NULL"""
+FROM ec WHERE card_hash IS NOT NULL AND {where}"""
 
 
 _cte("efd", ["ec"], _flags_cte(velocity_s=86400))
@@ -337,3 +337,87 @@ _q(
   WHERE s.merchant_id = t.merchant_id AND s.currency = t.currency AND s.dt = t.dt)
 UNION ALL SELECT * FROM ({_SETTLE.format(src="src_latest")}) s2""",
 )
+
+# --- messages, validation, routing ------------------------------------------
+
+_cte("efv", ["ec"], _flags_cte(high="200", where="mcc <> 'signup'"))
+_REASON = """concat_ws(',',
+    CASE WHEN high_amount THEN 'high_amount' END,
+    CASE WHEN velocity THEN 'velocity' END,
+    CASE WHEN cross_border THEN 'cross_border' END,
+    CASE WHEN decline_rate THEN 'decline_rate' END)"""
+_cte("efvr", ["efv"], f"SELECT *, {_REASON} AS reason FROM efv")
+_q(
+    "validate_route",
+    ["efvr", "e"],
+    """SELECT transaction_id, CASE WHEN reason <> '' THEN 'flagged' ELSE 'accepted' END AS route, reason FROM efvr
+UNION ALL SELECT transaction_id, 'dead' AS route, 'missing_tx_or_amount' AS reason FROM e WHERE mcc = 'signup'""",
+)
+_q(
+    "ts_normalize",
+    ["e"],
+    """SELECT transaction_id, strftime(ts_event, '%Y-%m-%dT%H:%M:%S.%fZ') AS ts_text, epoch_ms(date_trunc('millisecond', ts_event)) AS epoch_ms,
+       strftime(date_trunc('millisecond', ts_event), '%Y-%m-%dT%H:%M:%S.%gZ') AS iso_ms FROM e""",
+)
+
+# --- data quality -----------------------------------------------------------
+
+_q(
+    "quality_not_null",
+    ["p"],
+    """SELECT transaction_id, ts_event, card_hash, merchant_id, amount, currency, CAST(NULL AS VARCHAR) AS mcc, channel,
+       auth_result, CAST(NULL AS VARCHAR) AS location FROM p WHERE card_hash IS NULL""",
+)
+_q("quality_unique", ["pb"], "SELECT transaction_id, count(*) AS n FROM pb GROUP BY transaction_id HAVING count(*) > 1")
+_q(
+    "quality_relationships",
+    ["e", "s"],
+    """SELECT transaction_id, merchant_id FROM e
+WHERE merchant_id IS NOT NULL AND merchant_id NOT IN (SELECT merchant_id FROM s WHERE merchant_id IS NOT NULL)""",
+)
+_q("quality_non_negative", ["ft"], "SELECT * FROM ft WHERE NOT COALESCE(amount >= 0, TRUE)")
+_cte("dimm", ["p"], "SELECT DISTINCT merchant_id, mcc FROM p WHERE merchant_id IS NOT NULL")
+_cte("dimc", ["p"], "SELECT DISTINCT card_hash FROM p WHERE card_hash IS NOT NULL")
+_cte("stl", ["p"], SETTLEMENT_BODY.replace("FROM s GROUP", "FROM p GROUP"))
+_DUP = "(SELECT CAST(COALESCE(sum(n - 1), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1))"
+_NN = "(SELECT count(*) FILTER (WHERE {c} IS NULL) FROM {t})"
+_FK = "(SELECT count(*) FROM {t} WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT {c} FROM {p} WHERE {c} IS NOT NULL))"
+_SUITE = [
+    ("stg_tx_not_null", "stg_payments", "transaction_id", _NN.format(c="transaction_id", t="p")),
+    ("dim_merchant_not_null", "dim_merchant", "merchant_id", _NN.format(c="merchant_id", t="dimm")),
+    ("dim_merchant_unique", "dim_merchant", "merchant_id", _DUP.format(c="merchant_id", t="dimm")),
+    ("dim_card_not_null", "dim_card", "card_hash", _NN.format(c="card_hash", t="dimc")),
+    ("dim_card_unique", "dim_card", "card_hash", _DUP.format(c="card_hash", t="dimc")),
+    ("fact_tx_not_null", "fact_transactions", "transaction_id", _NN.format(c="transaction_id", t="p")),
+    ("fact_tx_unique", "fact_transactions", "transaction_id", _DUP.format(c="transaction_id", t="p")),
+    ("fact_merchant_fk", "fact_transactions", "merchant_id", _FK.format(c="merchant_id", t="p", p="dimm")),
+    ("fact_card_fk", "fact_transactions", "card_hash", _FK.format(c="card_hash", t="p", p="dimc")),
+    ("fact_amount_non_negative", "fact_transactions", "amount",
+     "(SELECT count(*) FILTER (WHERE NOT COALESCE(amount >= 0, TRUE)) FROM p)"),
+    ("settlement_merchant_not_null", "settlement_daily", "merchant_id", _NN.format(c="merchant_id", t="stl")),
+    ("settlement_dt_not_null", "settlement_daily", "dt", _NN.format(c="dt", t="stl")),
+]
+_q(
+    "quality_suite",
+    ["p", "dimm", "dimc", "stl"],
+    "\nUNION ALL ".join(
+        f"SELECT '{n}' AS check_name, '{t}' AS table_name, '{c}' AS column_name, CAST({v} AS BIGINT) AS violations"
+        for n, t, c, v in _SUITE
+    ),
+)
+
+# --- reports ----------------------------------------------------------------
+
+_q("report_settlement", ["s"], SETTLEMENT_BODY.replace("AS dt,", "AS date,"))
+_q(
+    "report_fraud",
+    ["efvr"],
+    """SELECT transaction_id, strftime(ts_event, '%Y-%m-%dT%H:%M:%S.%fZ') AS ts_event, card_hash, merchant_id, amount,
+       currency, auth_result, location, reason FROM efvr WHERE reason <> ''""",
+)
+_q(
+    "report_totals",
+    ["s"],
+    """SELECT merchant_id, currency, count(*) AS txn_count, CAST(sum(amount) AS DECIMAL(38,2)) AS total_amount
+FROM s GROUP BY merchant_id, currency""",
+)
