@@ -372,3 +372,17 @@ def q_report_fraud(spark, sf_dir):
 @register("report_totals")
 def q_report_totals(spark, sf_dir):
     return RP.totals_report(_s(spark, sf_dir, card=False, mcc=False, location=False))
+
+
+# --- streaming ----------------------------------------------------------------
+
+
+@register("stream_screening")
+def q_stream_screening(spark, sf_dir):
+    from .session import scratch_path
+    from .streaming import runner, screening_job
+
+    layout = screening_job.StreamLayout(scratch_path(spark, "stream-screening"))
+    msgs = M.event_messages_with_time(spark, sf_dir)
+    runner.replay(spark, msgs, layout, chunks=3, params=E_PARAMS)
+    return screening_job.routes(spark, layout)

@@ -421,3 +421,7 @@ _q(
     """SELECT merchant_id, currency, count(*) AS txn_count, CAST(sum(amount) AS DECIMAL(38,2)) AS total_amount
 FROM s GROUP BY merchant_id, currency""",
 )
+
+# The streaming job, replayed in three event-time chunks, must route exactly
+# as the batch screening of all messages.
+ORACLE["stream_screening"] = ORACLE["validate_route"]

@@ -26,6 +26,11 @@ NON_PAYMENT_EVENTS = ("signup",)
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feed E as wire messages: JSON text in ``value``; NULL fields are left
     out of the object, so non-payment events arrive without ``amount``."""
+    return event_messages_with_time(spark, sf_dir).select("value")
+
+
+def event_messages_with_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``event_messages`` plus the event time (for ordered replays)."""
     ev = feeds.event_payments(spark, sf_dir)
     payload = F.struct(
         "transaction_id",
@@ -39,7 +44,7 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "auth_result",
         "location",
     )
-    return ev.select(F.to_json(payload).alias("value"))
+    return ev.select(F.to_json(payload).alias("value"), "ts_event")
 
 
 def decode(messages: DataFrame, value: str = "value") -> DataFrame:
