@@ -386,3 +386,62 @@ def q_stream_screening(spark, sf_dir):
     msgs = M.event_messages_with_time(spark, sf_dir)
     runner.replay(spark, msgs, layout, chunks=3, params=E_PARAMS)
     return screening_job.routes(spark, layout)
+
+
+def _staged_stream(spark, df, name):
+    """Stage a derived feed as Parquet (event time as an instant) and open it
+    as a file stream; returns (stream, scratch folder)."""
+    from .session import scratch_path
+    from .streaming import runner, windows
+
+    base = scratch_path(spark, name)
+    staged = df.withColumn("ts_event", windows.to_instant("ts_event"))
+    runner.stage_table(staged, f"{base}/input")
+    stream = spark.readStream.schema(staged.schema).parquet(f"{base}/input")
+    return stream, base
+
+
+def _run_stream(spark, stream, base):
+    from .streaming import runner
+
+    runner.run_to_parquet(stream, f"{base}/output", f"{base}/_checkpoint")
+    return spark.read.parquet(f"{base}/output")
+
+
+@register("stream_dedup")
+def q_stream_dedup(spark, sf_dir):
+    from .streaming import windows
+
+    rows = feeds.line_payments(spark, sf_dir).drop("_orderkey", "_partkey", "_suppkey")
+    stream, base = _staged_stream(spark, rows, "stream-dedup")
+    # Which copy of a repeated id survives is arrival order; the set of ids is
+    # defined, so that is what the query returns.
+    return _run_stream(spark, windows.dedup_stream(stream), base).select("transaction_id")
+
+
+@register("stream_velocity_window")
+def q_stream_velocity_window(spark, sf_dir):
+    from .streaming import windows
+
+    rows = _e(spark, sf_dir).select("transaction_id", "ts_event", "card_hash")
+    stream, base = _staged_stream(spark, rows, "stream-velocity")
+    out = _run_stream(spark, windows.velocity_windows(stream), base)
+    return out.select("card_hash", C.utc_iso_text("window_start").alias("window_start"), "n")
+
+
+@register("stream_settlement")
+def q_stream_settlement(spark, sf_dir):
+    from .streaming import windows
+
+    rows = feeds.line_payments(spark, sf_dir).select("ts_event", "merchant_id", "currency", "amount")
+    stream, base = _staged_stream(spark, rows, "stream-settlement")
+    out = _run_stream(spark, windows.settlement_windows(stream), base)
+    return out.select(
+        "merchant_id",
+        "currency",
+        F.to_date(F.substring(C.utc_iso_text("window_start"), 1, 10)).alias("dt"),
+        "txn_count",
+        "gross_amount",
+        "fees",
+        "net_amount",
+    )

@@ -425,3 +425,28 @@ FROM s GROUP BY merchant_id, currency""",
 # The streaming job, replayed in three event-time chunks, must route exactly
 # as the batch screening of all messages.
 ORACLE["stream_screening"] = ORACLE["validate_route"]
+
+# --- event-time streaming windows (append mode: only windows the final
+# watermark -- latest event time minus 10 minutes -- has closed) -------------
+
+_q(
+    "stream_velocity_window",
+    ["e"],
+    """SELECT card_hash, strftime(time_bucket(INTERVAL 1 MINUTE, ts_event), '%Y-%m-%dT%H:%M:%S.000Z') AS window_start,
+       count(*) AS n
+FROM e
+WHERE time_bucket(INTERVAL 1 MINUTE, ts_event) + INTERVAL 1 MINUTE <= (SELECT max(ts_event) FROM e) - INTERVAL 10 MINUTE
+GROUP BY card_hash, time_bucket(INTERVAL 1 MINUTE, ts_event)""",
+)
+_q(
+    "stream_settlement",
+    ["pb"],
+    """SELECT merchant_id, currency, CAST(ts_event AS DATE) AS dt, count(*) AS txn_count,
+       CAST(sum(amount) AS DECIMAL(38,2)) AS gross_amount,
+       CAST(sum(amount) * 0.02 AS DECIMAL(38,4)) AS fees,
+       CAST(sum(amount) - sum(amount) * 0.02 AS DECIMAL(38,4)) AS net_amount
+FROM pb
+WHERE CAST(CAST(ts_event AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT max(ts_event) FROM pb) - INTERVAL 10 MINUTE
+GROUP BY merchant_id, currency, CAST(ts_event AS DATE)""",
+)
+_q("stream_dedup", ["pb"], "SELECT DISTINCT transaction_id FROM pb")

@@ -54,3 +54,23 @@ def replay(
         part.write.mode("overwrite").text(f"{inbox}/chunk={i:05d}")
         query = J.start(M.read_stream(spark, path=inbox), layout, params, rules, available_now=True)
         query.awaitTermination()
+
+
+def stage_table(df: DataFrame, path: str, files: int = 8) -> str:
+    """Write a derived table as Parquet so a file stream can read it."""
+    df.repartition(files).write.mode("overwrite").parquet(path)
+    return path
+
+
+def run_to_parquet(stream: DataFrame, path: str, checkpoint: str, output_mode: str = "append") -> str:
+    """Run a streaming DataFrame over everything available into Parquet."""
+    q = (
+        stream.writeStream.format("parquet")
+        .outputMode(output_mode)
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    return path
