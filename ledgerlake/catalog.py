@@ -445,3 +445,27 @@ def q_stream_settlement(spark, sf_dir):
         "fees",
         "net_amount",
     )
+
+
+# --- the hot-key split forced on every key (same results as the plain form) --
+
+BUCKETED = R.RuleParams(high_threshold=E_HIGH_THRESHOLD, bucket_seconds=3_600)
+
+
+@register("fraud_reasons_bucketed")
+def q_fraud_reasons_bucketed(spark, sf_dir):
+    rules = ("high_amount", "velocity", "cross_border", "decline_rate")
+    flags = R.event_flags(_e(spark, sf_dir), rules, BUCKETED, split="always")
+    return R.reasons(flags, rules).select("transaction_id", "reason")
+
+
+@register("cross_border_prev_bucketed")
+def q_cross_border_prev_bucketed(spark, sf_dir):
+    flags = R.event_flags(_e(spark, sf_dir), ("cross_border_prev",), BUCKETED, split="always")
+    return _flagged(flags, "cross_border_prev")
+
+
+@register("merchant_scd2_bucketed")
+def q_merchant_scd2_bucketed(spark, sf_dir):
+    tx = _s(spark, sf_dir, card=False, location=False)
+    return H.versions(tx, "merchant_id", ["mcc"], bucket_seconds=30 * 86_400, split="always")

@@ -63,17 +63,28 @@ def event_flags(
     key: str = "card_hash",
     ts: str = "ts_event",
     tie: str = "transaction_id",
-    split: bool = True,
+    eligible: Column | None = None,
+    split: str = "auto",
+    hot_rows: int = O.DEFAULT_HOT_ROWS,
 ) -> DataFrame:
     """Add one boolean column per rule in ``rules`` (named like the rule).
 
-    ``split=False`` computes the same frames with a plain ``PARTITION BY key``
-    (reference form for tests and small data).
+    Rows without a card, and rows where ``eligible`` is false, take part in no
+    frame and get only the high-amount flag (ineligible rows: no flag at all).
+    ``split``: ``"auto"`` buckets the keys above ``hot_rows`` rows,
+    ``"always"`` buckets every key, ``"never"`` is the plain
+    ``PARTITION BY key`` form.
     """
     x = with_country(df)
     cols = x.columns
-    keyed = x.filter(F.col(key).isNotNull())
-    unkeyed = x.filter(F.col(key).isNull())
+    elig = F.col(key).isNotNull()
+    if eligible is not None:
+        elig = elig & F.coalesce(eligible, F.lit(False))
+    # Rows outside the rules get a unique surrogate partition instead of one
+    # shared NULL-key partition (which could hold a large share of the data).
+    x = x.withColumn(_ELIG, elig).withColumn(
+        _SUR, F.when(F.col(_ELIG), F.lit(None).cast("long")).otherwise(F.monotonically_increasing_id())
+    )
 
     windows = []
     if "velocity" in rules:
@@ -94,25 +105,31 @@ def event_flags(
         carries.append((located, 1))
         role["cross_border_prev"] = len(carries)
 
-    if split:
-        bucket = params.bucket_seconds or O.default_bucket_seconds(lookback)
-        framed = O.split_with_context(keyed, key, ts, [ts, tie], bucket, lookback, carries)
-        part = [key, O.BKT]
-        in_role = O.member
+    per_card = any(r in rules for r in ("velocity", "cross_border", "cross_border_prev", "decline_rate"))
+    if split == "always":
+        hot = True
+    elif split == "auto" and per_card:
+        hot = O.hot_keys(x.filter(F.col(_ELIG)), key, hot_rows)
+    else:
+        hot = None
+    marked = O.mark_hot(x, key, hot)
+    marked = marked.withColumn(O.HOT, F.col(O.HOT) & F.col(_ELIG))
+    if hot is None or not per_card:
+        framed = marked.withColumn(O.BKT, F.lit(O.COLD_BUCKET).cast("long")).withColumn(O.ROLE, F.lit(None).cast("int"))
     else:
-        framed = keyed.withColumn(O.ROLE, F.lit(None).cast("int")).withColumn(O.BKT, F.lit(0).cast("long"))
-        part = [key]
-        in_role = O.member
+        bucket = params.bucket_seconds or O.default_bucket_seconds(lookback)
+        framed = O.split_with_context(marked, key, ts, [ts, tie], bucket, lookback, carries)
 
     out_cols = []
-    part_sql = ", ".join(part)
+    part_sql = f"{key}, {O.BKT}, {_SUR}"
+    ok = F.col(_ELIG)
     if "velocity" in rules:
         n = F.expr(
             f"count({ts}) OVER (PARTITION BY {part_sql} ORDER BY {ts} "
             f"RANGE BETWEEN INTERVAL {params.velocity_window_s} SECONDS PRECEDING AND CURRENT ROW)"
         )
         framed = framed.withColumn("_lk_vel_n", n)
-        out_cols.append((t.isNotNull() & (F.col("_lk_vel_n") > params.velocity_limit)).alias("velocity"))
+        out_cols.append((ok & t.isNotNull() & (F.col("_lk_vel_n") > params.velocity_limit)).alias("velocity"))
     if "cross_border" in rules:
         spec = (
             f"OVER (PARTITION BY {part_sql} ORDER BY {ts} "
@@ -122,21 +139,20 @@ def event_flags(
             "_lk_cmax", F.expr(f"max({COUNTRY}) {spec}")
         )
         other = (F.col("_lk_cmin") != F.col(COUNTRY)) | (F.col("_lk_cmax") != F.col(COUNTRY))
-        out_cols.append(F.coalesce(located & other, F.lit(False)).alias("cross_border"))
+        out_cols.append(F.coalesce(ok & located & other, F.lit(False)).alias("cross_border"))
     if "cross_border_prev" in rules:
-        member = in_role(role["cross_border_prev"], located)
-        framed = framed.withColumn("_lk_loc", member)
+        framed = framed.withColumn("_lk_loc", O.member(role["cross_border_prev"], located))
         w = f"OVER (PARTITION BY {part_sql}, _lk_loc ORDER BY {ts} ASC NULLS FIRST, {tie} ASC NULLS FIRST)"
         framed = framed.withColumn("_lk_pc", F.expr(f"lag({COUNTRY}) {w}")).withColumn("_lk_pt", F.expr(f"lag({ts}) {w}"))
         hit = (
-            F.col("_lk_loc")
+            ok
+            & F.col("_lk_loc")
             & (F.col("_lk_pc") != F.col(COUNTRY))
             & (t <= F.col("_lk_pt") + O.interval(params.cross_window_s))
         )
         out_cols.append(F.coalesce(hit, F.lit(False)).alias("cross_border_prev"))
     if "decline_rate" in rules:
-        member = in_role(role["decline_rate"], attempt)
-        framed = framed.withColumn("_lk_att", member)
+        framed = framed.withColumn("_lk_att", O.member(role["decline_rate"], attempt))
         w = (
             f"OVER (PARTITION BY {part_sql}, _lk_att ORDER BY {ts} ASC NULLS FIRST, {tie} ASC NULLS FIRST "
             f"ROWS BETWEEN {params.decline_n - 1} PRECEDING AND CURRENT ROW)"
@@ -146,24 +162,24 @@ def event_flags(
         ).withColumn("_lk_cnt", F.expr(f"count(1) {w}"))
         # declined / attempts > threshold, in exact decimal arithmetic
         hit = (
-            F.col("_lk_att")
+            ok
+            & F.col("_lk_att")
             & (F.col("_lk_cnt") >= params.decline_min_attempts)
             & (F.col("_lk_dec") > C.decimal_literal(params.decline_threshold) * F.col("_lk_cnt"))
         )
         out_cols.append(F.coalesce(hit, F.lit(False)).alias("decline_rate"))
     if "high_amount" in rules:
-        out_cols.append(C.high_amount("amount", params.high_threshold).alias("high_amount"))
-
-    flagged = framed.filter(F.col(O.ROLE).isNull()).select(*cols, *out_cols)
-    rest = unkeyed.select(
-        *cols,
-        *[
-            (C.high_amount("amount", params.high_threshold) if r == "high_amount" else F.lit(False)).alias(r)
-            for r in _ordered(rules)
-        ],
-    )
-    flagged = flagged.select(*cols, *_ordered(rules))
-    return flagged.unionByName(rest).drop(COUNTRY)
+        high = C.high_amount("amount", params.high_threshold)
+        if eligible is not None:
+            high = high & F.coalesce(eligible, F.lit(False))
+        out_cols.append(high.alias("high_amount"))
+
+    out = framed.filter(F.col(O.ROLE).isNull()).select(*cols, *out_cols)
+    return out.select(*cols, *_ordered(rules)).drop(COUNTRY)
+
+
+_ELIG = "_lk_elig"
+_SUR = "_lk_sur"
 
 
 def _ordered(rules) -> list[str]:
@@ -172,7 +188,12 @@ def _ordered(rules) -> list[str]:
 
 
 def card_scope(
-    flags: DataFrame, rules: tuple[str, ...], key: str = "card_hash", ts: str = "ts_event", tie: str = "transaction_id"
+    flags: DataFrame,
+    rules: tuple[str, ...],
+    key: str = "card_hash",
+    ts: str = "ts_event",
+    tie: str = "transaction_id",
+    eligible: Column | None = None,
 ) -> DataFrame:
     """A3: a card's rule hit marks all of its events.
 
@@ -191,11 +212,12 @@ def card_scope(
             aggs.append(F.coalesce(last, F.lit(False)).alias(f"_lk_card_{r}"))
         else:
             aggs.append(F.max(F.col(r)).alias(f"_lk_card_{r}"))
-    per_card = flags.filter(F.col(key).isNotNull()).groupBy(key).agg(*aggs)
+    elig = F.lit(True) if eligible is None else F.coalesce(eligible, F.lit(False))
+    per_card = flags.filter(F.col(key).isNotNull() & elig).groupBy(key).agg(*aggs)
     joined = flags.join(per_card, key, "left")
     out = joined
     for r in rules:
-        out = out.withColumn(r, F.coalesce(F.col(f"_lk_card_{r}"), F.lit(False))).drop(f"_lk_card_{r}")
+        out = out.withColumn(r, F.coalesce(F.col(f"_lk_card_{r}") & elig, F.lit(False))).drop(f"_lk_card_{r}")
     return out.select(*flags.columns)
 
 

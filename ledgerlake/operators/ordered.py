@@ -1,24 +1,29 @@
 """Per-key ordered windows that stay parallel when one key is hot.
 
 A window ``PARTITION BY card_hash`` sends every event of a card to one task;
-if one card holds a third of all rows, that task holds a third of the data.
-AQE cannot split a window partition.  Here each key is cut into time buckets
-(``PARTITION BY key, bucket``) and every bucket receives, as *context rows*,
-exactly the earlier rows its frames can see:
-
-* time context (role 0): rows of the previous bucket within ``lookback`` of
-  the bucket start -- what a ``RANGE ... PRECEDING`` frame of at most
-  ``lookback`` needs;
-* carried context (role i >= 1): for carry ``i = (condition, k)``, the last
-  ``k`` earlier rows satisfying the condition, however far back -- what a
-  ``ROWS k PRECEDING`` frame or ``lag`` over the condition's rows needs.  They
-  are found through the per-bucket tails (at most k rows per bucket), so the
-  search is a window over one row per (key, bucket).
-
-Context rows are marked in ``ROLE`` and removed after the window functions
-ran; results are identical to the unsplit window (tests check this against a
-plain ``PARTITION BY key`` and DuckDB).  NULL timestamps form one bucket per
-key that sorts first (``NULLS FIRST``).
+if one card holds a third of all rows, that task holds a third of the data,
+and AQE cannot split a window partition.  So:
+
+1. ``hot_keys`` finds the keys with more than ``hot_rows`` rows (a
+   map-side-combined count; only keys above the bound survive, so the list is
+   at most rows / hot_rows long and its size is checked before it is used).
+2. Rows of hot keys are cut into time buckets (``PARTITION BY key, bucket``);
+   rows of all other keys keep one bucket per key (plain partitioning).
+3. Every bucket of a hot key receives, as *context rows*, exactly the earlier
+   rows its frames can see:
+
+   * time context (role 0): rows of the previous bucket within ``lookback``
+     of the bucket start -- what ``RANGE ... PRECEDING`` frames of at most
+     ``lookback`` need.  Emitted in the same scan with ``explode``;
+   * carried context (role i >= 1): for carry ``i = (condition, k)``, the last
+     ``k`` earlier rows satisfying the condition however far back -- what a
+     ``ROWS k PRECEDING`` frame or ``lag`` over those rows needs.  Found from
+     per-bucket tails (<= k rows per bucket, cut map-side by
+     ``WindowGroupLimit``) with a window over one row per (key, bucket).
+
+Context rows are marked in ``ROLE`` and dropped after the window functions;
+results equal the unsplit window (tests compare both, and DuckDB).  NULL
+timestamps of a hot key form one bucket that sorts first (``NULLS FIRST``).
 """
 
 from __future__ import annotations
@@ -31,13 +36,18 @@ from pyspark.sql import functions as F
 
 BKT = "_lk_bkt"
 ROLE = "_lk_role"
-_NB = "_lk_nb"
+HOT = "_lk_hot"
 _TAIL = "_lk_tail"
 _PREV = "_lk_prev"
 _ROW = "_lk_r"
 _RANK = "_lk_rank"
+COLD_BUCKET = -1
 
 DAY = 86_400
+# A key with more rows than this is split; below it one task holds the key.
+DEFAULT_HOT_ROWS = 2_000_000
+# Hot keys are matched with an IN-list up to this many, with a join beyond.
+MAX_INLIST_KEYS = 1_000
 
 
 def epoch_seconds(ts: Column, dtype: str) -> Column:
@@ -65,11 +75,44 @@ def interval(seconds: int) -> Column:
 
 
 def default_bucket_seconds(lookback_seconds: int) -> int:
-    """Bucket width: a day, or 24 look-backs when that is longer.
+    """Bucket width: a day, or 24 look-backs when that is longer (time
+    context then copies at most 1/24 of a hot key's rows)."""
+    return max(DAY, 24 * int(lookback_seconds))
+
+
+def hot_keys(df: DataFrame, key: str, hot_rows: int = DEFAULT_HOT_ROWS) -> Column | DataFrame | None:
+    """Which keys to split: ``None`` (no hot key), a boolean Column (short
+    IN-list), or a one-column DataFrame of keys (join it in).
 
-    Time context then duplicates at most 1/24 of the rows.
+    Runs one small job: a count per key with map-side combine, filtered to
+    the keys above ``hot_rows``; at most ``MAX_INLIST_KEYS + 1`` rows come
+    back to the driver, so the check is bounded whatever the data size.
     """
-    return max(DAY, 24 * int(lookback_seconds))
+    counts = (
+        df.filter(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(F.count(F.lit(1)).alias("_lk_n"))
+        .filter(F.col("_lk_n") > hot_rows)
+        .select(key)
+    )
+    sample = [r[0] for r in counts.limit(MAX_INLIST_KEYS + 1).collect()]
+    if not sample:
+        return None
+    if len(sample) <= MAX_INLIST_KEYS:
+        return F.col(key).isin(sample)
+    return counts
+
+
+def mark_hot(df: DataFrame, key: str, hot: Column | DataFrame | bool | None) -> DataFrame:
+    """Add the boolean ``HOT`` column from the result of ``hot_keys``."""
+    if hot is None or hot is False:
+        return df.withColumn(HOT, F.lit(False))
+    if hot is True:
+        return df.withColumn(HOT, F.col(key).isNotNull())
+    if isinstance(hot, Column):
+        return df.withColumn(HOT, F.coalesce(hot, F.lit(False)))
+    flagged = hot.select(key).withColumn(HOT, F.lit(True))
+    return df.join(flagged, key, "left").withColumn(HOT, F.coalesce(F.col(HOT), F.lit(False)))
 
 
 def split_with_context(
@@ -81,32 +124,34 @@ def split_with_context(
     lookback_seconds: int = 0,
     carries: Sequence[tuple[Column, int]] = (),
 ) -> DataFrame:
-    """Rows of ``df`` (ROLE NULL) plus context rows, all tagged with ``BKT``.
+    """Rows of ``df`` (ROLE NULL) plus context rows, tagged with ``BKT``.
 
-    ``order`` lists the columns of the callers' frames, ascending with NULLS
-    FIRST (``ts`` first); the carried tails are ranked by its reverse.
+    ``df`` must carry ``HOT`` (see ``mark_hot``): only hot rows are bucketed
+    and only they produce context.  ``order`` lists the frame order columns
+    (ascending, NULLS FIRST, ``ts`` first); tails are ranked by its reverse.
     """
     if lookback_seconds > bucket_seconds:
         raise ValueError("lookback must not exceed the bucket width")
     dtype = dict(df.dtypes)[ts]
     cols = df.columns
-    base = df.withColumn(BKT, bucket_of(F.col(ts), dtype, bucket_seconds)).withColumn(ROLE, F.lit(None).cast("int"))
-    parts = [base]
+    hot = F.col(HOT)
+    base = df.withColumn(BKT, F.when(hot, bucket_of(F.col(ts), dtype, bucket_seconds)).otherwise(F.lit(COLD_BUCKET)))
     next_bucket = None
     if lookback_seconds > 0:
         next_bucket = bucket_of(F.col(ts) + interval(lookback_seconds), dtype, bucket_seconds)
-        tctx = (
-            base.filter(F.col(ts).isNotNull())
-            .withColumn(_NB, next_bucket)
-            .filter(F.col(_NB) != F.col(BKT))
-            .withColumn(BKT, F.col(_NB))
-            .withColumn(ROLE, F.lit(0))
-            .drop(_NB)
+        # One scan: a row near the end of its bucket is also emitted as time
+        # context (role 0) of the next bucket.
+        is_ctx = hot & F.col(ts).isNotNull() & (next_bucket != F.col(BKT))
+        roles = F.when(is_ctx, F.array(F.lit(None).cast("int"), F.lit(0))).otherwise(F.array(F.lit(None).cast("int")))
+        framed = base.withColumn(ROLE, F.explode(roles)).withColumn(
+            BKT, F.when(F.col(ROLE) == 0, next_bucket).otherwise(F.col(BKT))
         )
-        parts.append(tctx)
+    else:
+        framed = base.withColumn(ROLE, F.lit(None).cast("int"))
+    parts = [framed]
     for i, (cond, k) in enumerate(carries, start=1):
         if k > 0:
-            parts.append(_carried(base, cols, key, ts, list(order), cond, k, i, next_bucket))
+            parts.append(_carried(base, cols, key, ts, list(order), hot & cond, k, i, next_bucket))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
@@ -143,11 +188,6 @@ def _carried(
     return ctx
 
 
-def own_rows(df: DataFrame) -> DataFrame:
-    """Drop the context rows and the helper columns."""
-    return df.filter(F.col(ROLE).isNull()).drop(BKT, ROLE)
-
-
 def member(role: int | None, cond: Column) -> Column:
     """Row takes part in the frames of carry ``role``: own rows, time context
     and the rows carried for that role (never another role's copies)."""

@@ -29,11 +29,18 @@ def versions(
     ts: str = "ts_event",
     tie: str = "transaction_id",
     bucket_seconds: int = O.DAY,
+    split: str = "auto",
+    hot_rows: int = O.DEFAULT_HOT_ROWS,
 ) -> DataFrame:
     """History rows ``key, tracked..., valid_from, valid_to, is_current``."""
     tracked = list(tracked)
     rows = df.filter(F.col(key).isNotNull()).select(key, *tracked, ts, tie)
-    framed = O.split_with_context(rows, key, ts, [ts, tie], bucket_seconds, 0, [(F.lit(True), 1)])
+    hot = True if split == "always" else (O.hot_keys(rows, key, hot_rows) if split == "auto" else None)
+    marked = O.mark_hot(rows, key, hot)
+    if hot is None:
+        framed = marked.withColumn(O.BKT, F.lit(O.COLD_BUCKET).cast("long")).withColumn(O.ROLE, F.lit(None).cast("int"))
+    else:
+        framed = O.split_with_context(marked, key, ts, [ts, tie], bucket_seconds, 0, [(F.lit(True), 1)])
     order = [F.col(ts).asc_nulls_first(), F.col(tie).asc_nulls_first()]
     w = Window.partitionBy(key, O.BKT).orderBy(*order)
     state = F.struct(*[F.col(c) for c in tracked])
@@ -43,17 +50,27 @@ def versions(
     starts = starts.select(key, *tracked, ts, tie, O.BKT)
 
     # Next version inside the bucket ...
-    nxt = F.lead(F.col(ts), 1).over(w)
-    has_next = F.lead(F.lit(1), 1).over(w).isNotNull()
-    starts = starts.withColumn("_lk_next", nxt).withColumn("_lk_has_next", has_next)
-    # ... or the first version of the next bucket that has one.
-    firsts = starts.groupBy(key, O.BKT).agg(F.min(F.struct(F.col(ts), F.col(tie)))[ts].alias("_lk_first"))
-    bw = Window.partitionBy(key).orderBy(F.col(O.BKT).asc_nulls_first())
-    firsts = firsts.select(key, O.BKT, F.lead("_lk_first", 1).over(bw).alias("_lk_after"), F.lead(F.lit(1), 1).over(bw).isNotNull().alias("_lk_has_after"))
-    out = starts.join(firsts, [key, O.BKT], "left")
-    valid_to = F.when(F.col("_lk_has_next"), F.col("_lk_next")).otherwise(F.col("_lk_after"))
-    is_current = ~(F.col("_lk_has_next") | F.coalesce(F.col("_lk_has_after"), F.lit(False)))
-    return out.select(key, *tracked, F.col(ts).alias("valid_from"), valid_to.alias("valid_to"), is_current.alias("is_current"))
+    starts = starts.withColumn("_lk_next", F.lead(F.col(ts), 1).over(w)).withColumn(
+        "_lk_has_next", F.lead(F.lit(1), 1).over(w).isNotNull()
+    )
+    valid_to = F.col("_lk_next")
+    is_current = ~F.col("_lk_has_next")
+    if hot is not None:
+        # ... or the first version of the next bucket that has one.
+        firsts = starts.groupBy(key, O.BKT).agg(F.min(F.struct(F.col(ts), F.col(tie)))[ts].alias("_lk_first"))
+        bw = Window.partitionBy(key).orderBy(F.col(O.BKT).asc_nulls_first())
+        firsts = firsts.select(
+            key,
+            O.BKT,
+            F.lead("_lk_first", 1).over(bw).alias("_lk_after"),
+            F.lead(F.lit(1), 1).over(bw).isNotNull().alias("_lk_has_after"),
+        )
+        starts = starts.join(firsts, [key, O.BKT], "left")
+        valid_to = F.when(F.col("_lk_has_next"), F.col("_lk_next")).otherwise(F.col("_lk_after"))
+        is_current = ~(F.col("_lk_has_next") | F.coalesce(F.col("_lk_has_after"), F.lit(False)))
+    return starts.select(
+        key, *tracked, F.col(ts).alias("valid_from"), valid_to.alias("valid_to"), is_current.alias("is_current")
+    )
 
 
 def apply_snapshot(

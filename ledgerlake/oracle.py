@@ -450,3 +450,6 @@ WHERE CAST(CAST(ts_event AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT max(
 GROUP BY merchant_id, currency, CAST(ts_event AS DATE)""",
 )
 _q("stream_dedup", ["pb"], "SELECT DISTINCT transaction_id FROM pb")
+ORACLE["fraud_reasons_bucketed"] = ORACLE["fraud_reasons"]
+ORACLE["cross_border_prev_bucketed"] = ORACLE["cross_border_prev"]
+ORACLE["merchant_scd2_bucketed"] = ORACLE["merchant_scd2"]

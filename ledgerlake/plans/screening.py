@@ -26,27 +26,27 @@ def screen(
     rules: tuple[str, ...] = STREAM_RULES,
     history: DataFrame | None = None,
     card_scope: bool = False,
+    split: str = "auto",
 ) -> DataFrame:
     """Flags, ``reason`` and ``route`` for every row of ``typed_rows``.
 
     ``typed_rows`` needs a boolean ``valid`` and ``malformed`` (see
     ``sources.messages.typed``); ``history`` holds earlier valid rows of the
     same cards (same columns) that take part in the frames but are not output.
+    One pass: invalid rows ride along without joining any frame.
     """
-    valid = typed_rows.filter(F.col("valid")).withColumn(HIST, F.lit(False))
+    rows = typed_rows.withColumn(HIST, F.lit(False))
     if history is not None:
-        valid = valid.unionByName(history.select(*typed_rows.columns).withColumn(HIST, F.lit(True)))
-    flags = R.event_flags(valid, rules, params)
+        rows = rows.unionByName(history.select(*typed_rows.columns).withColumn(HIST, F.lit(True)))
+    valid = F.col("valid")
+    flags = R.event_flags(rows, rules, params, eligible=valid, split=split)
     if card_scope:
-        flags = R.card_scope(flags, tuple(r for r in rules if r != "high_amount"))
+        flags = R.card_scope(flags, tuple(r for r in rules if r != "high_amount"), eligible=valid)
     flags = R.reasons(flags, rules).filter(~F.col(HIST)).drop(HIST)
-    flagged = flags.withColumn(
-        "route", F.when(F.col("reason") != "", F.lit(ROUTE_FLAGGED)).otherwise(F.lit(ROUTE_ACCEPTED))
+    dead_reason = F.when(F.col("malformed"), F.lit(C.DEAD_MALFORMED)).otherwise(F.lit(C.DEAD_MISSING))
+    return flags.withColumn("reason", F.when(valid, F.col("reason")).otherwise(dead_reason)).withColumn(
+        "route",
+        F.when(~valid, F.lit(ROUTE_DEAD))
+        .when(F.col("reason") != "", F.lit(ROUTE_FLAGGED))
+        .otherwise(F.lit(ROUTE_ACCEPTED)),
     )
-    dead = typed_rows.filter(~F.col("valid"))
-    for r in rules:
-        dead = dead.withColumn(r, F.lit(False))
-    dead = dead.withColumn(
-        "reason", F.when(F.col("malformed"), F.lit(C.DEAD_MALFORMED)).otherwise(F.lit(C.DEAD_MISSING))
-    ).withColumn("route", F.lit(ROUTE_DEAD))
-    return flagged.unionByName(dead.select(*flagged.columns))
