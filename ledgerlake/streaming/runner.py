@@ -50,6 +50,8 @@ def replay(
             cond = cond & (micros >= F.lit(edges[i]))
         if edges[i + 1] is not None:
             cond = cond & (micros < F.lit(edges[i + 1]))
+        if i == 0:
+            cond = cond | micros.isNull()  # messages without a usable time go first
         part = messages.filter(cond).select("value")
         part.write.mode("overwrite").text(f"{inbox}/chunk={i:05d}")
         query = J.start(M.read_stream(spark, path=inbox), layout, params, rules, available_now=True)
