@@ -217,7 +217,10 @@ def q_card_state_merge(spark, sf_dir):
 @register("merchant_scd2")
 def q_merchant_scd2(spark, sf_dir):
     tx = _s(spark, sf_dir, card=False, location=False)
-    return H.versions(tx, "merchant_id", ["mcc"])
+    # hot merchants are found on the raw feed (a plain column scan): its
+    # counts per merchant bound those after deduplication
+    raw = feeds.line_payments(spark, sf_dir).select("merchant_id")
+    return H.versions(tx, "merchant_id", ["mcc"], hot_source=raw)
 
 
 # --- upserts ----------------------------------------------------------------

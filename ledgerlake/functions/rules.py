@@ -66,6 +66,7 @@ def event_flags(
     eligible: Column | None = None,
     split: str = "auto",
     hot_rows: int = O.DEFAULT_HOT_ROWS,
+    hot_source: DataFrame | None = None,
 ) -> DataFrame:
     """Add one boolean column per rule in ``rules`` (named like the rule).
 
@@ -73,7 +74,8 @@ def event_flags(
     frame and get only the high-amount flag (ineligible rows: no flag at all).
     ``split``: ``"auto"`` buckets the keys above ``hot_rows`` rows,
     ``"always"`` buckets every key, ``"never"`` is the plain
-    ``PARTITION BY key`` form.
+    ``PARTITION BY key`` form.  ``hot_source``: a cheaper DataFrame whose
+    per-key counts bound those of ``df``, used for hot-key detection.
     """
     x = with_country(df)
     cols = x.columns
@@ -109,7 +111,7 @@ def event_flags(
     if split == "always":
         hot = True
     elif split == "auto" and per_card:
-        hot = O.hot_keys(x.filter(F.col(_ELIG)), key, hot_rows)
+        hot = O.hot_keys(x.filter(F.col(_ELIG)) if hot_source is None else hot_source, key, hot_rows)
     else:
         hot = None
     marked = O.mark_hot(x, key, hot)

@@ -31,11 +31,17 @@ def versions(
     bucket_seconds: int = O.DAY,
     split: str = "auto",
     hot_rows: int = O.DEFAULT_HOT_ROWS,
+    hot_source: DataFrame | None = None,
 ) -> DataFrame:
-    """History rows ``key, tracked..., valid_from, valid_to, is_current``."""
+    """History rows ``key, tracked..., valid_from, valid_to, is_current``.
+
+    ``hot_source``: a cheaper DataFrame whose per-key row counts bound those
+    of ``df`` (e.g. the raw feed before deduplication) for hot-key detection.
+    """
     tracked = list(tracked)
     rows = df.filter(F.col(key).isNotNull()).select(key, *tracked, ts, tie)
-    hot = True if split == "always" else (O.hot_keys(rows, key, hot_rows) if split == "auto" else None)
+    probe = rows if hot_source is None else hot_source
+    hot = True if split == "always" else (O.hot_keys(probe, key, hot_rows) if split == "auto" else None)
     marked = O.mark_hot(rows, key, hot)
     if hot is None:
         framed = marked.withColumn(O.BKT, F.lit(O.COLD_BUCKET).cast("long")).withColumn(O.ROLE, F.lit(None).cast("int"))

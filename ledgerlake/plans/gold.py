@@ -99,3 +99,13 @@ def publish_table(df: DataFrame, base_path: str, name: str, version: int) -> str
     path = f"{base_path.rstrip('/')}/{name}/version={version}"
     df.write.mode("overwrite").parquet(path)
     return path
+
+
+def create_tables(spark: SparkSession, base_path: str, database: str | None = None) -> list[str]:
+    """K6: declare the Gold tables if missing (external Parquet tables)."""
+    names = []
+    for name, ddl in GOLD_DDL.items():
+        full = f"{database}.{name}" if database else name
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({ddl}) USING parquet LOCATION '{base_path.rstrip('/')}/{name}'")
+        names.append(full)
+    return names

@@ -122,3 +122,10 @@ def merchant_totals(tx: DataFrame) -> DataFrame:
     return tx.groupBy("merchant_id", "currency").agg(
         F.count(F.lit(1)).alias("txn_count"), F.sum("amount").cast(SUM_AMOUNT).alias("total_amount")
     )
+
+
+def register_views(tables: dict[str, DataFrame]) -> list[str]:
+    """Expose DataFrames (Gold tables, marts) as temp views for SQL users."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+    return sorted(tables)

@@ -237,3 +237,9 @@ def routes(spark: SparkSession, layout: StreamLayout) -> DataFrame:
     accepted = out["bronze"].select("transaction_id", "route", "reason")
     dead = out["deadletter"].select("transaction_id", "route", "reason")
     return accepted.unionByName(dead)
+
+
+def console_preview(source: DataFrame, rows: int = 20):
+    """K9: debugging sink -- decoded messages to the console (no state)."""
+    decoded = M.typed(M.decode(source))
+    return decoded.writeStream.format("console").option("truncate", False).option("numRows", rows).start()
