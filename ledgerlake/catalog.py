@@ -281,10 +281,16 @@ def q_upsert_settlement(spark, sf_dir):
 E_PARAMS = R.RuleParams(high_threshold=E_HIGH_THRESHOLD)
 
 
+def _cards(spark, sf_dir):
+    """Card column of the source table: bounds the per-card counts of the
+    decoded messages, and is a plain column scan (hot-key detection)."""
+    return _e(spark, sf_dir).select("card_hash")
+
+
 @register("validate_route")
 def q_validate_route(spark, sf_dir):
     typed = M.typed(M.decode(M.event_messages(spark, sf_dir)))
-    return SCR.screen(typed, E_PARAMS).select("transaction_id", "route", "reason")
+    return SCR.screen(typed, E_PARAMS, hot_source=_cards(spark, sf_dir)).select("transaction_id", "route", "reason")
 
 
 @register("ts_normalize")
@@ -368,7 +374,7 @@ def q_report_settlement(spark, sf_dir):
 @register("report_fraud")
 def q_report_fraud(spark, sf_dir):
     typed = M.typed(M.decode(M.event_messages(spark, sf_dir)))
-    routed = SCR.screen(typed, E_PARAMS).filter(F.col("route") == SCR.ROUTE_FLAGGED)
+    routed = SCR.screen(typed, E_PARAMS, hot_source=_cards(spark, sf_dir)).filter(F.col("route") == SCR.ROUTE_FLAGGED)
     return RP.fraud_report(routed.withColumn("ts_event", F.col("ts_text")))
 
 

@@ -27,6 +27,7 @@ def screen(
     history: DataFrame | None = None,
     card_scope: bool = False,
     split: str = "auto",
+    hot_source: DataFrame | None = None,
 ) -> DataFrame:
     """Flags, ``reason`` and ``route`` for every row of ``typed_rows``.
 
@@ -39,7 +40,7 @@ def screen(
     if history is not None:
         rows = rows.unionByName(history.select(*typed_rows.columns).withColumn(HIST, F.lit(True)))
     valid = F.col("valid")
-    flags = R.event_flags(rows, rules, params, eligible=valid, split=split)
+    flags = R.event_flags(rows, rules, params, eligible=valid, split=split, hot_source=hot_source)
     if card_scope:
         flags = R.card_scope(flags, tuple(r for r in rules if r != "high_amount"), eligible=valid)
     flags = R.reasons(flags, rules).filter(~F.col(HIST)).drop(HIST)

@@ -38,6 +38,7 @@ def replay(
     chunks: int = 3,
     params: R.RuleParams = R.DEFAULT_PARAMS,
     rules: tuple[str, ...] = SCR.STREAM_RULES,
+    snapshot_every: int = 32,
 ) -> None:
     """Write ``messages`` (``value`` + ``ts``) chunk by chunk and run the job."""
     cuts = chunk_bounds(messages, ts, chunks)
@@ -54,7 +55,9 @@ def replay(
             cond = cond | micros.isNull()  # messages without a usable time go first
         part = messages.filter(cond).select("value")
         part.write.mode("overwrite").text(f"{inbox}/chunk={i:05d}")
-        query = J.start(M.read_stream(spark, path=inbox), layout, params, rules, available_now=True)
+        query = J.start(
+            M.read_stream(spark, path=inbox), layout, params, rules, available_now=True, snapshot_every=snapshot_every
+        )
         query.awaitTermination()
 
 

@@ -82,13 +82,49 @@ def _read_before(spark: SparkSession, path: str, epoch: int) -> DataFrame | None
     return df.filter(F.col(EPOCH) < epoch)
 
 
-def _latest_per_card(df: DataFrame, cards: DataFrame) -> DataFrame:
-    """Rows of each card's latest epoch (cards of the batch only)."""
-    mine = df.join(cards, "card_hash", "left_semi")
+def _snapshot_epoch(spark: SparkSession, path: str, epoch: int) -> int:
+    """Latest compaction epoch below ``epoch`` (-1 if none): one number."""
+    try:
+        marks = spark.read.parquet(f"{path}/_snapshots")
+    except Exception:
+        return -1
+    row = marks.filter(F.col(EPOCH) < epoch).agg(F.max(EPOCH).alias("s")).first()
+    return -1 if row is None or row["s"] is None else int(row["s"])
+
+
+def _read_keyed(spark: SparkSession, path: str, epoch: int) -> DataFrame | None:
+    """Per-card delta table: epochs from the latest snapshot up to ``epoch``-1.
+
+    Each epoch holds the rows of the cards it touched; a snapshot epoch holds
+    every card.  Reading therefore never goes further back than the last
+    snapshot, so the work per micro-batch stays bounded as epochs accumulate.
+    """
+    df = _read_before(spark, path, epoch)
+    if df is None:
+        return None
+    return df.filter(F.col(EPOCH) >= _snapshot_epoch(spark, path, epoch))
+
+
+def _latest_per_card(df: DataFrame, cards: DataFrame | None) -> DataFrame:
+    """Rows of each card's latest epoch (only ``cards`` when given)."""
+    mine = df.join(cards, "card_hash", "left_semi") if cards is not None else df
     latest = mine.groupBy("card_hash").agg(F.max(EPOCH).alias(EPOCH))
     return mine.join(latest, ["card_hash", EPOCH], "left_semi").drop(EPOCH)
 
 
+def _write_keyed(spark, fresh: DataFrame, prev: DataFrame | None, cards: DataFrame, path: str, epoch: int, snapshot: bool):
+    """Write the touched cards' rows; on a snapshot epoch, all cards' rows."""
+    out = fresh
+    if snapshot and prev is not None:
+        untouched = _latest_per_card(prev, None).join(cards, "card_hash", "left_anti")
+        out = untouched.select(*fresh.columns).unionByName(fresh)
+    out.write.mode("overwrite").parquet(f"{path}/{EPOCH}={epoch}")
+    if snapshot:
+        spark.range(1).select(F.lit(epoch).alias(EPOCH)).write.mode("overwrite").parquet(
+            f"{path}/_snapshots/{EPOCH}={epoch}"
+        )
+
+
 def retain(rows: DataFrame, params: R.RuleParams, rules: tuple[str, ...]) -> DataFrame:
     """History to keep per card: every event within the longest time window
     of the newest event, plus the last ``n - 1`` attempts before that (for
@@ -119,11 +155,13 @@ class ScreeningBatch:
         params: R.RuleParams = R.DEFAULT_PARAMS,
         rules: tuple[str, ...] = SCR.STREAM_RULES,
         value_column: str = "value",
+        snapshot_every: int = 32,
     ):
         self.layout = layout
         self.params = params
         self.rules = rules
         self.value_column = value_column
+        self.snapshot_every = snapshot_every
 
     def __call__(self, batch_df: DataFrame, epoch_id: int) -> None:
         spark = batch_df.sparkSession
@@ -140,19 +178,20 @@ class ScreeningBatch:
         valid = typed.filter(F.col("valid"))
         cards = valid.filter(F.col("card_hash").isNotNull()).select("card_hash").distinct()
 
-        hist_all = _read_before(spark, lay.history, epoch)
+        hist_all = _read_keyed(spark, lay.history, epoch)
         history = _latest_per_card(hist_all, cards).select(*HISTORY_COLUMNS) if hist_all is not None else None
 
         routed = SCR.screen(typed, self.params, self.rules, history=history)
         routed = routed.withColumn("processing_ts", F.current_timestamp()).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            self._write(spark, routed, valid, history, cards, epoch)
+            self._write(spark, routed, valid, hist_all, history, cards, epoch)
         finally:
             routed.unpersist()
 
-    def _write(self, spark, routed, valid, history, cards, epoch: int) -> None:
+    def _write(self, spark, routed, valid, hist_all, history, cards, epoch: int) -> None:
         lay = self.layout
         ep = f"{EPOCH}={epoch}"
+        snapshot = self.snapshot_every > 0 and epoch > 0 and epoch % self.snapshot_every == 0
         # K1 Bronze: accepted rows, partitioned by event date.
         accepted = routed.filter(F.col("route") == SCR.ROUTE_ACCEPTED).drop("raw_value", "malformed", "valid")
         accepted.withColumn("date", C.event_date("ts_event")).write.mode("overwrite").partitionBy("date").parquet(
@@ -171,7 +210,9 @@ class ScreeningBatch:
             )
         )
         dead.select(payload.alias("value")).write.mode("overwrite").text(f"{lay.deadletter}/{ep}")
-        # K3 fraud signals: first write wins across epochs.
+        # K3 fraud signals, partitioned by event date: first write wins across
+        # epochs.  The existence check is a semi join on (date, id), so dynamic
+        # partition pruning reads only the dates present in this batch.
         flagged = routed.filter(F.col("route") == SCR.ROUTE_FLAGGED).select(
             "transaction_id",
             F.col("ts_event"),
@@ -183,22 +224,26 @@ class ScreeningBatch:
             "location",
             "reason",
             F.col("processing_ts").alias("created_at"),
+            C.event_date("ts_event").alias("date"),
         )
+        flagged = keep_earliest(flagged, ["transaction_id"], ["ts_event"])
         prev_signals = _read_before(spark, lay.signals, epoch)
         if prev_signals is not None:
-            flagged = flagged.join(prev_signals.select("transaction_id"), "transaction_id", "left_anti")
-        flagged = keep_earliest(flagged, ["transaction_id"], ["ts_event"])
-        flagged.write.mode("overwrite").parquet(f"{lay.signals}/{ep}")
+            keys = ["date", "transaction_id"]
+            seen = prev_signals.select(*keys).join(flagged.select(*keys), keys, "left_semi")
+            flagged = flagged.join(seen, keys, "left_anti")
+        flagged.write.mode("overwrite").partitionBy("date").parquet(f"{lay.signals}/{ep}")
         # K4 card state: last 10 {ts, auth_result, country} per touched card.
-        prev_state = _read_before(spark, lay.state, epoch)
+        prev_state = _read_keyed(spark, lay.state, epoch)
         prev_rows = _latest_per_card(prev_state, cards) if prev_state is not None else None
-        new_state = ST.merge_state(prev_rows, valid, with_clock=True)
-        new_state.join(cards, "card_hash", "left_semi").write.mode("overwrite").parquet(f"{lay.state}/{ep}")
+        new_state = ST.merge_state(prev_rows, valid, with_clock=True).join(cards, "card_hash", "left_semi")
+        _write_keyed(spark, new_state, prev_state, cards, lay.state, epoch, snapshot)
         # History for the rules of later epochs.
         rows = valid.filter(F.col("card_hash").isNotNull()).select(*HISTORY_COLUMNS)
         if history is not None:
             rows = history.unionByName(rows)
-        retain(rows, self.params, self.rules).write.mode("overwrite").parquet(f"{lay.history}/{ep}")
+        kept = retain(rows, self.params, self.rules)
+        _write_keyed(spark, kept, hist_all, cards, lay.history, epoch, snapshot)
 
 
 def start(
@@ -208,9 +253,10 @@ def start(
     rules: tuple[str, ...] = SCR.STREAM_RULES,
     available_now: bool = False,
     processing_time: str | None = None,
+    snapshot_every: int = 32,
 ):
     """Start the query with its checkpoint; returns StreamingQuery."""
-    writer = source.writeStream.foreachBatch(ScreeningBatch(layout, params, rules)).option(
+    writer = source.writeStream.foreachBatch(ScreeningBatch(layout, params, rules, snapshot_every=snapshot_every)).option(
         "checkpointLocation", layout.checkpoint
     )
     if available_now:

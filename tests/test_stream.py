@@ -32,7 +32,7 @@ def test_stream_equals_batch(spark):
     msgs = _messages(spark)
     batch = screen(M.typed(M.decode(msgs.select("value"))))
     layout = J.StreamLayout(scratch_path(spark, "t-stream"))
-    runner.replay(spark, msgs, layout, chunks=3)
+    runner.replay(spark, msgs, layout, chunks=3, snapshot_every=2)
     assert _routes(J.routes(spark, layout)) == _routes(batch)
     out = J.read_outputs(spark, layout)
     assert out["signals"].select("epoch").distinct().count() >= 2  # several epochs ran
