@@ -115,3 +115,33 @@ def test_reports_round_trip(spark, seed):
     tot = {r.merchant_id: r.total_amount for r in reports.totals_report(seed).collect()}
     assert tot["M10004"] == Decimal("390.00")
     assert os.path.isdir(path.replace("file:", ""))
+
+
+def test_load_gold_in_place(spark, seed):
+    from pyspark.sql import functions as F
+
+    base = scratch_path(spark, "gold-load")
+    staged = gold.stage(silver.standardize(seed, add_clock=False))
+    gold.load_gold(spark, staged, base, with_clock=False)
+    gold.load_gold(spark, staged, base, with_clock=False)  # same load again: no change
+    facts = gold.read_gold(spark, base, "fact_transactions")
+    assert facts.count() == 14 and facts.select("transaction_id").distinct().count() == 14
+    assert gold.read_gold(spark, base, "fact_fraud_signals").count() == 14
+    assert gold.read_gold(spark, base, "dim_card").count() == 5
+    # second load: TXN1 moves to the next day with a new amount, TXN99 is new,
+    # M10001 changes its mcc
+    moved = seed.filter("transaction_id IN ('TXN1', 'TXN2')").withColumn(
+        "ts_event", F.col("ts_event") + F.expr("INTERVAL 1 DAY")
+    ).withColumn("amount", F.col("amount") + 1).withColumn("mcc", F.lit("7000"))
+    new = seed.filter("transaction_id = 'TXN3'").withColumn("transaction_id", F.lit("TXN99"))
+    staged2 = gold.stage(silver.standardize(moved.unionByName(new), add_clock=False))
+    gold.load_gold(spark, staged2, base, with_clock=False)
+    facts = {r.transaction_id: (str(r.date_id), r.amount) for r in gold.read_gold(spark, base, "fact_transactions").collect()}
+    assert len(facts) == 15
+    assert facts["TXN1"] == ("2025-11-05", Decimal("26.50")) and facts["TXN99"][0] == "2025-11-04"
+    settle = {(r.merchant_id, str(r.dt)): r.txn_count for r in gold.read_gold(spark, base, "fact_settlement_daily").collect()}
+    # the day of the second load's rows is replaced by their new aggregate
+    assert settle[("M10001", "2025-11-05")] == 2
+    assert settle[("M10002", "2025-11-04")] == 1
+    assert {r.merchant_id: r.mcc for r in gold.read_gold(spark, base, "dim_merchant").collect()}["M10001"] == "7000"
+    assert sorted(str(r.date_id) for r in gold.read_gold(spark, base, "dim_date").collect()) == ["2025-11-04", "2025-11-05"]
