@@ -38,12 +38,17 @@ def register(name: str):
     return deco
 
 
-def _s(spark, sf_dir, card=True, mcc=True, location=True):
-    return silver.silver_payments(spark, sf_dir, card=card, mcc=mcc, location=location)
+def _s(spark, sf_dir, card=True, mcc=True, location=True, columns=None):
+    return silver.silver_payments(spark, sf_dir, card=card, mcc=mcc, location=location, columns=columns)
+
+
+SETTLE_COLS = ["merchant_id", "currency", "ts_event", "amount"]
+FACT_COLS = ["transaction_id", "ts_event", "card_hash", "merchant_id", "amount", "currency", "auth_result"]
+MERCHANT_COLS = ["transaction_id", "ts_event", "merchant_id", "mcc"]
 
 
 def _facts(spark, sf_dir):
-    tx = _s(spark, sf_dir, mcc=False, location=False)
+    tx = _s(spark, sf_dir, columns=FACT_COLS)
     return marts.fact_transactions(tx, feeds.supplier_blacklist(spark, sf_dir))
 
 
@@ -64,24 +69,24 @@ def q_backfill_range(spark, sf_dir):
 
 @register("backfill_columns")
 def q_backfill_columns(spark, sf_dir):
-    without_mcc = _s(spark, sf_dir, mcc=False).drop("mcc")
+    without_mcc = _s(spark, sf_dir, columns=[c for c in feeds.PAYMENT_COLUMNS if c != "mcc"])
     return silver.backfill_columns(without_mcc, PAYMENT)
 
 
 @register("country_extract")
 def q_country_extract(spark, sf_dir):
-    tx = _s(spark, sf_dir, card=False, mcc=False)
+    tx = _s(spark, sf_dir, columns=["location"])
     return tx.groupBy(C.country_from_location("location").alias("country")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("dim_card")
 def q_dim_card(spark, sf_dir):
-    return marts.dim_card(_s(spark, sf_dir, mcc=False, location=False))
+    return marts.dim_card(_s(spark, sf_dir, columns=["card_hash"]))
 
 
 @register("dim_date")
 def q_dim_date(spark, sf_dir):
-    return marts.dim_date(_s(spark, sf_dir, card=False, mcc=False, location=False))
+    return marts.dim_date(_s(spark, sf_dir, columns=["ts_event"]))
 
 
 @register("dim_merchant_pairs")
@@ -91,7 +96,7 @@ def q_dim_merchant_pairs(spark, sf_dir):
 
 @register("dim_merchant")
 def q_dim_merchant(spark, sf_dir):
-    return marts.dim_merchant(_s(spark, sf_dir, card=False, location=False))
+    return marts.dim_merchant(_s(spark, sf_dir, columns=MERCHANT_COLS))
 
 
 @register("fact_transactions")
@@ -111,17 +116,17 @@ def q_amount_buckets(spark, sf_dir):
 
 @register("settlement_daily")
 def q_settlement_daily(spark, sf_dir):
-    return marts.settlement_daily(_s(spark, sf_dir, card=False, mcc=False, location=False))
+    return marts.settlement_daily(_s(spark, sf_dir, columns=SETTLE_COLS))
 
 
 @register("merchant_totals")
 def q_merchant_totals(spark, sf_dir):
-    return marts.merchant_totals(_s(spark, sf_dir, card=False, mcc=False, location=False))
+    return marts.merchant_totals(_s(spark, sf_dir, columns=SETTLE_COLS))
 
 
 @register("gold_review_backfill")
 def q_gold_review_backfill(spark, sf_dir):
-    return gold.review_backfill(_s(spark, sf_dir, mcc=False))
+    return gold.review_backfill(_s(spark, sf_dir, columns=FACT_COLS + ["location"]))
 
 
 # --- fraud rules over feed E ------------------------------------------------
@@ -216,7 +221,7 @@ def q_card_state_merge(spark, sf_dir):
 
 @register("merchant_scd2")
 def q_merchant_scd2(spark, sf_dir):
-    tx = _s(spark, sf_dir, card=False, location=False)
+    tx = _s(spark, sf_dir, columns=MERCHANT_COLS)
     # hot merchants are found on the raw feed (a plain column scan): its
     # counts per merchant bound those after deduplication
     raw = feeds.line_payments(spark, sf_dir).select("merchant_id")
@@ -321,7 +326,7 @@ def q_quality_unique(spark, sf_dir):
 @register("quality_relationships")
 def q_quality_relationships(spark, sf_dir):
     child = _e(spark, sf_dir).select("transaction_id", "merchant_id")
-    parent = marts.dim_merchant(_s(spark, sf_dir, card=False, location=False))
+    parent = marts.dim_merchant(_s(spark, sf_dir, columns=MERCHANT_COLS))
     return Q.relationships(child, "merchant_id", parent, "merchant_id")
 
 
@@ -368,7 +373,7 @@ def q_quality_suite(spark, sf_dir):
 
 @register("report_settlement")
 def q_report_settlement(spark, sf_dir):
-    return RP.settlement_report(marts.settlement_daily(_s(spark, sf_dir, card=False, mcc=False, location=False)))
+    return RP.settlement_report(marts.settlement_daily(_s(spark, sf_dir, columns=SETTLE_COLS)))
 
 
 @register("report_fraud")
@@ -380,7 +385,7 @@ def q_report_fraud(spark, sf_dir):
 
 @register("report_totals")
 def q_report_totals(spark, sf_dir):
-    return RP.totals_report(_s(spark, sf_dir, card=False, mcc=False, location=False))
+    return RP.totals_report(_s(spark, sf_dir, columns=SETTLE_COLS))
 
 
 # --- streaming ----------------------------------------------------------------
@@ -476,5 +481,5 @@ def q_cross_border_prev_bucketed(spark, sf_dir):
 
 @register("merchant_scd2_bucketed")
 def q_merchant_scd2_bucketed(spark, sf_dir):
-    tx = _s(spark, sf_dir, card=False, location=False)
+    tx = _s(spark, sf_dir, columns=MERCHANT_COLS)
     return H.versions(tx, "merchant_id", ["mcc"], bucket_seconds=30 * 86_400, split="always")
