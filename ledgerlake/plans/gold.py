@@ -181,8 +181,9 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, keys: l
     affected = target.join(parts, part, "left_semi")  # dynamic partition pruning on `part`
     rebuilt = upsert(affected, src, keys)
     # a partition whose every row moved away gets no new files: delete it
+    # (partitions are days, so this list is bounded by the calendar)
     emptied = parts.join(rebuilt.select(part).distinct(), part, "left_anti")
-    gone = [r[0] for r in emptied.limit(100_000).collect()]
+    gone = [r[0] for r in emptied.collect()]
     rebuilt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
     _drop_partitions(spark, path, part, gone)
 

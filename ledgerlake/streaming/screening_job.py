@@ -142,7 +142,7 @@ def retain(rows: DataFrame, params: R.RuleParams, rules: tuple[str, ...]) -> Dat
         w = Window.partitionBy("card_hash").orderBy(F.col("ts_event").desc_nulls_last(), F.col("transaction_id").desc())
         older = older.withColumn("_lk_rn", F.row_number().over(w)).filter(F.col("_lk_rn") < params.decline_n).drop("_lk_rn")
     else:
-        older = older.limit(0)
+        older = older.filter(F.lit(False))
     return recent.unionByName(older).drop("_lk_newest")
 
 
