@@ -97,3 +97,35 @@ def silver_payments(
         location and "location" in wanted,
     )
     return enriched.select(*[c for c in feeds.PAYMENT_COLUMNS if c in wanted])
+
+
+def read_bronze(
+    spark: SparkSession, path: str, date_from: str | None = None, date_to: str | None = None
+) -> DataFrame:
+    """S3: Bronze as written by the stream (``epoch=<id>/date=<day>`` folders).
+
+    A date range filters the ``date`` partition column, so only the folders of
+    those days are listed and read (partition pruning).
+    """
+    df = spark.read.option("basePath", path).parquet(path)
+    if date_from is not None:
+        df = df.filter(F.col("date") >= F.lit(date_from).cast("date"))
+    if date_to is not None:
+        df = df.filter(F.col("date") <= F.lit(date_to).cast("date"))
+    return df
+
+
+def bronze_silver_job(
+    spark: SparkSession,
+    bronze_path: str,
+    silver_path: str,
+    date_from: str | None = None,
+    date_to: str | None = None,
+) -> str:
+    """Hourly Bronze -> Silver job: scan (pruned), keep latest per id, type,
+    stamp, overwrite Silver.  Columns added by the stream for routing are
+    dropped."""
+    bronze = read_bronze(spark, bronze_path, date_from, date_to)
+    keep = [c for c in bronze.columns if c not in ("route", "reason", "epoch")]
+    write_silver(bronze_to_silver(bronze.select(*keep)), silver_path)
+    return silver_path
