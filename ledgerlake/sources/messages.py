@@ -76,7 +76,9 @@ def typed(decoded: DataFrame) -> DataFrame:
         "auth_result",
         "location",
         "malformed",
-        "raw_value",
+        # the original text is kept only where it is the sole record of the
+        # message (unparsable JSON), so valid rows do not carry it around
+        F.when(F.col("malformed"), F.col("raw_value")).alias("raw_value"),
         (~F.col("malformed") & C.is_valid_event("transaction_id", "amount")).alias("valid"),
     )
 

@@ -54,3 +54,14 @@ def test_scd2_split_equals_plain(spark):
     auto = sorted(tuple(r) for r in H.versions(df, "merchant_id", ["mcc"], bucket_seconds=3_600, hot_rows=100).collect())
     assert split == plain == auto
     assert sum(1 for r in plain if r[-1]) == 2  # one current version per merchant
+
+
+def test_many_hot_keys_use_a_join(spark, monkeypatch):
+    rows = [{"card_hash": f"k{i % 3}", "ts_event": at(i * 2.5), "auth_result": "DECLINED" if i % 2 else "APPROVED",
+             "location": f"x, {'US' if i % 5 else 'DE'}"} for i in range(90)]
+    df = payments(spark, rows)
+    params = R.RuleParams(velocity_limit=1, velocity_window_s=300, decline_n=3, bucket_seconds=1_800)
+    monkeypatch.setattr(O, "MAX_INLIST_KEYS", 1)
+    hot = O.hot_keys(df, "card_hash", hot_rows=10)
+    assert hot is not None and not isinstance(hot, bool) and hasattr(hot, "columns")
+    assert _flags(df, params, "auto", hot_rows=10) == _flags(df, params, "never")
