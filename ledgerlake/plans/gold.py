@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..operators.upsert import insert_if_absent, upsert
+from ..operators.upsert import DEFAULT_BROADCAST_KEYS, key_side, insert_if_absent, upsert
 from ..schemas import GOLD_COLUMNS, GOLD_DDL, GOLD_KEYS
 from . import marts
 
@@ -179,7 +179,7 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, keys: l
     holding = target.select(*keys, part).join(src_keys, keys, "left_semi").select(part)
     parts = src.select(part).unionByName(holding).distinct()
     affected = target.join(parts, part, "left_semi")  # dynamic partition pruning on `part`
-    rebuilt = upsert(affected, src, keys)
+    rebuilt = upsert(affected, src, keys, broadcast_keys=DEFAULT_BROADCAST_KEYS)
     # a partition whose every row moved away gets no new files: delete it
     # (partitions are days, so this list is bounded by the calendar)
     emptied = parts.join(rebuilt.select(part).distinct(), part, "left_anti")
@@ -192,7 +192,9 @@ def append_absent(spark: SparkSession, path: str, source: DataFrame, keys: list[
     """Insert-if-absent: append only keys the table does not hold."""
     target = spark.read.parquet(path)
     src = source.select(*target.columns)
-    fresh = src.join(target.select(*keys), keys, "left_anti")
+    # only target keys that also arrive now travel to the anti join
+    present = target.select(*keys).join(key_side(src, keys, DEFAULT_BROADCAST_KEYS), keys, "left_semi")
+    fresh = src.join(present, keys, "left_anti")
     writer = fresh.write.mode("append")
     if part:
         writer = writer.partitionBy(part)
