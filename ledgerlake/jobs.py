@@ -37,7 +37,7 @@ def stream_job(spark: SparkSession, base: str, input_dir: str | None = None, ser
 
 def gold_job(spark: SparkSession, silver_path: str, gold_path: str) -> list[str]:
     """Daily Silver -> Gold load (in place, partition-aware)."""
-    staged = gold.stage(spark.read.parquet(silver_path))
+    staged = gold.stage(silver.read_silver(spark, silver_path))
     return gold.load_gold(spark, staged, gold_path)
 
 

@@ -129,3 +129,14 @@ def bronze_silver_job(
     keep = [c for c in bronze.columns if c not in ("route", "reason", "epoch")]
     write_silver(bronze_to_silver(bronze.select(*keep)), silver_path)
     return silver_path
+
+
+def read_silver(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Silver as a DataFrame; a missing folder is an empty DataFrame with
+    the payment schema (the load then writes nothing), not an early exit."""
+    from ..schemas import PAYMENT
+    from ..sources.tables import table_exists
+
+    if table_exists(spark, path):
+        return spark.read.parquet(path)
+    return spark.createDataFrame([], schema or PAYMENT)

@@ -145,3 +145,14 @@ def test_load_gold_in_place(spark, seed):
     assert settle[("M10002", "2025-11-04")] == 1
     assert {r.merchant_id: r.mcc for r in gold.read_gold(spark, base, "dim_merchant").collect()}["M10001"] == "7000"
     assert sorted(str(r.date_id) for r in gold.read_gold(spark, base, "dim_date").collect()) == ["2025-11-04", "2025-11-05"]
+
+
+def test_silver_round_trip_and_missing(spark, seed):
+    base = scratch_path(spark, "silver")
+    silver.write_silver(silver.bronze_to_silver(seed, order=["ts_event"]), f"{base}/silver")
+    back = silver.read_silver(spark, f"{base}/silver")
+    assert back.count() == 14 and "cleaned_ts" in back.columns
+    assert back.filter("cleaned_ts IS NULL").count() == 0
+    empty = silver.read_silver(spark, f"{base}/nothing-here")
+    assert empty.count() == 0 and "transaction_id" in empty.columns
+    assert gold.stage(empty).count() == 0
