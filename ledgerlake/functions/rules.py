@@ -82,11 +82,11 @@ def event_flags(
     elig = F.col(key).isNotNull()
     if eligible is not None:
         elig = elig & F.coalesce(eligible, F.lit(False))
-    # Rows outside the rules get a unique surrogate partition instead of one
-    # shared NULL-key partition (which could hold a large share of the data).
-    x = x.withColumn(_ELIG, elig).withColumn(
-        _SUR, F.when(F.col(_ELIG), F.lit(None).cast("long")).otherwise(F.monotonically_increasing_id())
-    )
+    # Rows outside the rules (no card, not eligible) bypass the windows: one
+    # shared NULL-key window partition could hold a large share of the data.
+    x = x.withColumn(_ELIG, elig)
+    outside = x.filter(~F.col(_ELIG))
+    x = x.filter(F.col(_ELIG))
 
     windows = []
     if "velocity" in rules:
@@ -111,7 +111,7 @@ def event_flags(
     if split == "always":
         hot = True
     elif split == "auto" and per_card:
-        hot = O.hot_keys(x.filter(F.col(_ELIG)) if hot_source is None else hot_source, key, hot_rows)
+        hot = O.hot_keys(x if hot_source is None else hot_source, key, hot_rows)
     else:
         hot = None
     marked = O.mark_hot(x, key, hot)
@@ -123,7 +123,7 @@ def event_flags(
         framed = O.split_with_context(marked, key, ts, [ts, tie], bucket, lookback, carries)
 
     out_cols = []
-    part_sql = f"{key}, {O.BKT}, {_SUR}"
+    part_sql = f"{key}, {O.BKT}"
     ok = F.col(_ELIG)
     if "velocity" in rules:
         n = F.expr(
@@ -176,12 +176,17 @@ def event_flags(
             high = high & F.coalesce(eligible, F.lit(False))
         out_cols.append(high.alias("high_amount"))
 
-    out = framed.filter(F.col(O.ROLE).isNull()).select(*cols, *out_cols)
-    return out.select(*cols, *_ordered(rules)).drop(COUNTRY)
+    out = framed.filter(F.col(O.ROLE).isNull()).select(*cols, *out_cols).select(*cols, *_ordered(rules))
+    high_only = C.high_amount("amount", params.high_threshold)
+    if eligible is not None:
+        high_only = high_only & F.coalesce(eligible, F.lit(False))
+    rest = outside.select(
+        *cols, *[(high_only if r == "high_amount" else F.lit(False)).alias(r) for r in _ordered(rules)]
+    )
+    return out.unionByName(rest).drop(COUNTRY, _ELIG)
 
 
 _ELIG = "_lk_elig"
-_SUR = "_lk_sur"
 
 
 def _ordered(rules) -> list[str]:
