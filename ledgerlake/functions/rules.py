@@ -107,6 +107,11 @@ def event_flags(
         carries.append((located, 1))
         role["cross_border_prev"] = len(carries)
 
+    # Row order of the ROWS frames, lag and carried tails: time, id, then the
+    # rule inputs, so rows that tie on (time, id) still order the same way on
+    # every run (only rows identical in all of them remain tied, harmlessly).
+    order_cols = [ts, tie] + [c for c in ("auth_result", "location", "amount") if c in cols and c not in (ts, tie)]
+    order_sql = ", ".join(f"{c} ASC NULLS FIRST" for c in order_cols)
     per_card = any(r in rules for r in ("velocity", "cross_border", "cross_border_prev", "decline_rate"))
     if split == "always":
         hot = True
@@ -120,7 +125,7 @@ def event_flags(
         framed = marked.withColumn(O.BKT, F.lit(O.COLD_BUCKET).cast("long")).withColumn(O.ROLE, F.lit(None).cast("int"))
     else:
         bucket = params.bucket_seconds or O.default_bucket_seconds(lookback)
-        framed = O.split_with_context(marked, key, ts, [ts, tie], bucket, lookback, carries)
+        framed = O.split_with_context(marked, key, ts, order_cols, bucket, lookback, carries)
 
     out_cols = []
     part_sql = f"{key}, {O.BKT}"
@@ -144,7 +149,7 @@ def event_flags(
         out_cols.append(F.coalesce(ok & located & other, F.lit(False)).alias("cross_border"))
     if "cross_border_prev" in rules:
         framed = framed.withColumn("_lk_loc", O.member(role["cross_border_prev"], located))
-        w = f"OVER (PARTITION BY {part_sql}, _lk_loc ORDER BY {ts} ASC NULLS FIRST, {tie} ASC NULLS FIRST)"
+        w = f"OVER (PARTITION BY {part_sql}, _lk_loc ORDER BY {order_sql})"
         framed = framed.withColumn("_lk_pc", F.expr(f"lag({COUNTRY}) {w}")).withColumn("_lk_pt", F.expr(f"lag({ts}) {w}"))
         hit = (
             ok
@@ -156,7 +161,7 @@ def event_flags(
     if "decline_rate" in rules:
         framed = framed.withColumn("_lk_att", O.member(role["decline_rate"], attempt))
         w = (
-            f"OVER (PARTITION BY {part_sql}, _lk_att ORDER BY {ts} ASC NULLS FIRST, {tie} ASC NULLS FIRST "
+            f"OVER (PARTITION BY {part_sql}, _lk_att ORDER BY {order_sql} "
             f"ROWS BETWEEN {params.decline_n - 1} PRECEDING AND CURRENT ROW)"
         )
         framed = framed.withColumn(
