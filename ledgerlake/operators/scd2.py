@@ -46,8 +46,9 @@ def versions(
     if hot is None:
         framed = marked.withColumn(O.BKT, F.lit(O.COLD_BUCKET).cast("long")).withColumn(O.ROLE, F.lit(None).cast("int"))
     else:
-        framed = O.split_with_context(marked, key, ts, [ts, tie], bucket_seconds, 0, [(F.lit(True), 1)])
-    order = [F.col(ts).asc_nulls_first(), F.col(tie).asc_nulls_first()]
+        framed = O.split_with_context(marked, key, ts, [ts, tie, *tracked], bucket_seconds, 0, [(F.lit(True), 1)])
+    # (ts, tie) then the tracked values: a total order up to identical rows
+    order = [F.col(c).asc_nulls_first() for c in (ts, tie, *tracked)]
     w = Window.partitionBy(key, O.BKT).orderBy(*order)
     state = F.struct(*[F.col(c) for c in tracked])
     prev = F.lag(F.struct(state.alias("v")), 1).over(w)
@@ -63,7 +64,7 @@ def versions(
     is_current = ~F.col("_lk_has_next")
     if hot is not None:
         # ... or the first version of the next bucket that has one.
-        firsts = starts.groupBy(key, O.BKT).agg(F.min(F.struct(F.col(ts), F.col(tie)))[ts].alias("_lk_first"))
+        firsts = starts.groupBy(key, O.BKT).agg(F.min(F.struct(F.col(ts), F.col(tie), *[F.col(c) for c in tracked]))[ts].alias("_lk_first"))
         bw = Window.partitionBy(key).orderBy(F.col(O.BKT).asc_nulls_first())
         firsts = firsts.select(
             key,

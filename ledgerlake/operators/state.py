@@ -55,8 +55,9 @@ def state_events(state: DataFrame) -> DataFrame:
 
 
 # Row order of a card's history: stored events (by position) before batch
-# events (by time, NULL first, then id).
-_ORDER = [_SRC, _POS, "ts", _TIE]
+# events (by time, NULL first, then id; the event fields break any remaining
+# tie so the kept rows are the same on every run).
+_ORDER = [_SRC, _POS, "ts", _TIE, "auth_result", "country"]
 
 
 def last_events(rows: DataFrame, n: int = HISTORY, with_clock: bool = True) -> DataFrame:
