@@ -99,16 +99,22 @@ def read_stream(
     topic: str = "payments.raw",
     starting_offsets: str = "earliest",
     max_files_per_trigger: int | None = None,
+    max_offsets_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Streaming DataFrame with a ``value`` column."""
+    """Streaming DataFrame with a ``value`` column.
+
+    ``max_*_per_trigger`` bounds each micro-batch (back-pressure for replays
+    and backfills from ``earliest``)."""
     if servers and kafka_available(spark):
-        return (
+        reader = (
             spark.readStream.format("kafka")
             .option("kafka.bootstrap.servers", servers)
             .option("subscribe", topic)
             .option("startingOffsets", starting_offsets)
-            .load()
         )
+        if max_offsets_per_trigger:
+            reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+        return reader.load()
     if path is None:
         raise ValueError("no Kafka connector on the class path: give a folder of JSON-lines files")
     reader = spark.readStream.schema("value string")
