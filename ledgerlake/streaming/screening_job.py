@@ -176,17 +176,25 @@ class ScreeningBatch:
     def _process(self, spark: SparkSession, typed: DataFrame, epoch: int) -> None:
         lay = self.layout
         valid = typed.filter(F.col("valid"))
+        # The batch's cards and their retained history feed several joins and
+        # writes below: both are bounded by the micro-batch, so they are
+        # persisted for the epoch instead of being recomputed per consumer.
         cards = valid.filter(F.col("card_hash").isNotNull()).select("card_hash").distinct()
-
+        cards = cards.persist(StorageLevel.MEMORY_AND_DISK)
+        kept = [cards]
         hist_all = _read_keyed(spark, lay.history, epoch)
-        history = _latest_per_card(hist_all, cards).select(*HISTORY_COLUMNS) if hist_all is not None else None
-
+        history = None
+        if hist_all is not None:
+            history = _latest_per_card(hist_all, cards).select(*HISTORY_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
+            kept.append(history)
         routed = SCR.screen(typed, self.params, self.rules, history=history)
         routed = routed.withColumn("processing_ts", F.current_timestamp()).persist(StorageLevel.MEMORY_AND_DISK)
+        kept.append(routed)
         try:
             self._write(spark, routed, valid, hist_all, history, cards, epoch)
         finally:
-            routed.unpersist()
+            for df in kept:
+                df.unpersist()
 
     def _write(self, spark, routed, valid, hist_all, history, cards, epoch: int) -> None:
         lay = self.layout
