@@ -16,7 +16,6 @@ import argparse
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .operators import quality as Q
 from .plans import gold, reports, silver
