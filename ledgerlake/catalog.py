@@ -169,6 +169,12 @@ def q_cross_border_prev(spark, sf_dir):
     return _flagged(R.event_flags(_e(spark, sf_dir), ("cross_border_prev",)), "cross_border_prev")
 
 
+@register("cross_border_selfjoin")
+def q_cross_border_selfjoin(spark, sf_dir):
+    # The pair search's question, answered per event by a centred frame
+    return _flagged(R.event_flags(_e(spark, sf_dir), ("cross_border_pair",)), "cross_border_pair")
+
+
 @register("cross_border_card_scope")
 def q_cross_border_card_scope(spark, sf_dir):
     flags = R.event_flags(_e(spark, sf_dir), ("cross_border",))
@@ -479,6 +485,12 @@ def q_cross_border_prev_bucketed(spark, sf_dir):
     return _flagged(flags, "cross_border_prev")
 
 
+@register("cross_border_selfjoin_bucketed")
+def q_cross_border_selfjoin_bucketed(spark, sf_dir):
+    flags = R.event_flags(_e(spark, sf_dir), ("cross_border_pair",), BUCKETED, split="always")
+    return _flagged(flags, "cross_border_pair")
+
+
 @register("merchant_scd2_bucketed")
 def q_merchant_scd2_bucketed(spark, sf_dir):
     tx = _s(spark, sf_dir, columns=MERCHANT_COLS)

@@ -10,6 +10,10 @@ events):
                      frame instead of a pair search.
 * V4 cross_border_prev -- the previous timed event (with a country) has
                      another country and is at most ``window`` earlier.
+* J3 cross_border_pair -- the card has an event with another country at most
+                     ``window`` before *or after* (the self-join's predicate
+                     ``same card, other country, |dt| <= window``), answered
+                     with a centred RANGE frame instead of emitting pairs.
 * V3 decline_rate -- share of DECLINED among the card's last ``n`` attempts
                      (rows with an auth result) above ``threshold``, with at
                      least ``min_attempts`` attempts.
@@ -48,7 +52,7 @@ class RuleParams:
 
 
 DEFAULT_PARAMS = RuleParams()
-ALL_RULES = ("high_amount", "velocity", "cross_border", "cross_border_prev", "decline_rate")
+ALL_RULES = ("high_amount", "velocity", "cross_border", "cross_border_pair", "cross_border_prev", "decline_rate")
 
 
 def with_country(df: DataFrame, location: str = "location") -> DataFrame:
@@ -91,9 +95,10 @@ def event_flags(
     windows = []
     if "velocity" in rules:
         windows.append(params.velocity_window_s)
-    if "cross_border" in rules or "cross_border_prev" in rules:
+    if any(r in rules for r in ("cross_border", "cross_border_prev", "cross_border_pair")):
         windows.append(params.cross_window_s)
     lookback = max(windows) if windows else 0
+    lookahead = params.cross_window_s if "cross_border_pair" in rules else 0
 
     t = F.col(ts)
     attempt = F.col("auth_result").isNotNull()
@@ -112,7 +117,7 @@ def event_flags(
     # every run (only rows identical in all of them remain tied, harmlessly).
     order_cols = [ts, tie] + [c for c in ("auth_result", "location", "amount") if c in cols and c not in (ts, tie)]
     order_sql = ", ".join(f"{c} ASC NULLS FIRST" for c in order_cols)
-    per_card = any(r in rules for r in ("velocity", "cross_border", "cross_border_prev", "decline_rate"))
+    per_card = any(r in rules for r in ("velocity", "cross_border", "cross_border_prev", "cross_border_pair", "decline_rate"))
     if split == "always":
         hot = True
     elif split == "auto" and per_card:
@@ -124,8 +129,8 @@ def event_flags(
     if hot is None or not per_card:
         framed = marked.withColumn(O.BKT, F.lit(O.COLD_BUCKET).cast("long")).withColumn(O.ROLE, F.lit(None).cast("int"))
     else:
-        bucket = params.bucket_seconds or O.default_bucket_seconds(lookback)
-        framed = O.split_with_context(marked, key, ts, order_cols, bucket, lookback, carries)
+        bucket = params.bucket_seconds or O.default_bucket_seconds(max(lookback, lookahead))
+        framed = O.split_with_context(marked, key, ts, order_cols, bucket, lookback, carries, lookahead)
 
     out_cols = []
     part_sql = f"{key}, {O.BKT}"
@@ -147,6 +152,16 @@ def event_flags(
         )
         other = (F.col("_lk_cmin") != F.col(COUNTRY)) | (F.col("_lk_cmax") != F.col(COUNTRY))
         out_cols.append(F.coalesce(ok & located & other, F.lit(False)).alias("cross_border"))
+    if "cross_border_pair" in rules:
+        spec = (
+            f"OVER (PARTITION BY {part_sql} ORDER BY {ts} RANGE BETWEEN INTERVAL {params.cross_window_s} SECONDS "
+            f"PRECEDING AND INTERVAL {params.cross_window_s} SECONDS FOLLOWING)"
+        )
+        framed = framed.withColumn("_lk_pmin", F.expr(f"min({COUNTRY}) {spec}")).withColumn(
+            "_lk_pmax", F.expr(f"max({COUNTRY}) {spec}")
+        )
+        other = (F.col("_lk_pmin") != F.col(COUNTRY)) | (F.col("_lk_pmax") != F.col(COUNTRY))
+        out_cols.append(F.coalesce(ok & located & other, F.lit(False)).alias("cross_border_pair"))
     if "cross_border_prev" in rules:
         framed = framed.withColumn("_lk_loc", O.member(role["cross_border_prev"], located))
         w = f"OVER (PARTITION BY {part_sql}, _lk_loc ORDER BY {order_sql})"
@@ -195,7 +210,7 @@ _ELIG = "_lk_elig"
 
 
 def _ordered(rules) -> list[str]:
-    order = ["velocity", "cross_border", "cross_border_prev", "decline_rate", "high_amount"]
+    order = ["velocity", "cross_border", "cross_border_pair", "cross_border_prev", "decline_rate", "high_amount"]
     return [r for r in order if r in rules]
 
 

@@ -14,7 +14,8 @@ and AQE cannot split a window partition.  So:
 
    * time context (role 0): rows of the previous bucket within ``lookback``
      of the bucket start -- what ``RANGE ... PRECEDING`` frames of at most
-     ``lookback`` need.  Emitted in the same scan with ``explode``;
+     ``lookback`` need.  Emitted in the same scan with ``explode``; frames
+     reaching ``FOLLOWING`` get the mirror image (role -1, ``lookahead``);
    * carried context (role i >= 1): for carry ``i = (condition, k)``, the last
      ``k`` earlier rows satisfying the condition however far back -- what a
      ``ROWS k PRECEDING`` frame or ``lag`` over those rows needs.  Found from
@@ -42,6 +43,7 @@ _PREV = "_lk_prev"
 _ROW = "_lk_r"
 _RANK = "_lk_rank"
 COLD_BUCKET = -1
+_OWN = -100  # marker of the own row while exploding copies (becomes NULL)
 
 DAY = 86_400
 # A key with more rows than this is split; below it one task holds the key.
@@ -123,29 +125,45 @@ def split_with_context(
     bucket_seconds: int,
     lookback_seconds: int = 0,
     carries: Sequence[tuple[Column, int]] = (),
+    lookahead_seconds: int = 0,
 ) -> DataFrame:
     """Rows of ``df`` (ROLE NULL) plus context rows, tagged with ``BKT``.
 
     ``df`` must carry ``HOT`` (see ``mark_hot``): only hot rows are bucketed
     and only they produce context.  ``order`` lists the frame order columns
     (ascending, NULLS FIRST, ``ts`` first); tails are ranked by its reverse.
+    ``lookahead_seconds`` adds the mirror image of the time context (rows at
+    the start of the next bucket, role -1) for frames reaching FOLLOWING.
     """
-    if lookback_seconds > bucket_seconds:
-        raise ValueError("lookback must not exceed the bucket width")
+    if max(lookback_seconds, lookahead_seconds) > bucket_seconds:
+        raise ValueError("look-back and look-ahead must not exceed the bucket width")
     dtype = dict(df.dtypes)[ts]
     cols = df.columns
     hot = F.col(HOT)
+    timed = hot & F.col(ts).isNotNull()
     base = df.withColumn(BKT, F.when(hot, bucket_of(F.col(ts), dtype, bucket_seconds)).otherwise(F.lit(COLD_BUCKET)))
-    next_bucket = None
+    next_bucket = prev_bucket = None
+    # One scan: a row near the end (start) of its bucket is also emitted as
+    # time context of the next (previous) bucket.
+    own = F.lit(_OWN)
+    roles = [own]
     if lookback_seconds > 0:
         next_bucket = bucket_of(F.col(ts) + interval(lookback_seconds), dtype, bucket_seconds)
-        # One scan: a row near the end of its bucket is also emitted as time
-        # context (role 0) of the next bucket.
-        is_ctx = hot & F.col(ts).isNotNull() & (next_bucket != F.col(BKT))
-        roles = F.when(is_ctx, F.array(F.lit(None).cast("int"), F.lit(0))).otherwise(F.array(F.lit(None).cast("int")))
-        framed = base.withColumn(ROLE, F.explode(roles)).withColumn(
-            BKT, F.when(F.col(ROLE) == 0, next_bucket).otherwise(F.col(BKT))
-        )
+        roles.append(F.when(timed & (next_bucket != F.col(BKT)), F.lit(0)))
+    if lookahead_seconds > 0:
+        prev_bucket = bucket_of(F.col(ts) - interval(lookahead_seconds), dtype, bucket_seconds)
+        roles.append(F.when(timed & (prev_bucket != F.col(BKT)), F.lit(-1)))
+    if len(roles) > 1:
+        # the own row plus the context copies that apply (others are NULL)
+        copies = F.filter(F.array(*roles), lambda r: r.isNotNull())
+        framed = base.withColumn(ROLE, F.explode(copies))
+        framed = framed.withColumn(ROLE, F.when(F.col(ROLE) != _OWN, F.col(ROLE)))
+        bkt = F.col(BKT)
+        if next_bucket is not None:
+            bkt = F.when(F.col(ROLE) == 0, next_bucket).otherwise(bkt)
+        if prev_bucket is not None:
+            bkt = F.when(F.col(ROLE) == -1, prev_bucket).otherwise(bkt)
+        framed = framed.withColumn(BKT, bkt)
     else:
         framed = base.withColumn(ROLE, F.lit(None).cast("int"))
     parts = [framed]
@@ -191,7 +209,7 @@ def _carried(
 def member(role: int | None, cond: Column) -> Column:
     """Row takes part in the frames of carry ``role``: own rows, time context
     and the rows carried for that role (never another role's copies)."""
-    ok = F.col(ROLE).isNull() | (F.col(ROLE) == 0)
+    ok = F.col(ROLE).isNull() | (F.col(ROLE) <= 0)
     if role is not None:
         ok = ok | (F.col(ROLE) == role)
     return F.coalesce(cond & ok, F.lit(False))

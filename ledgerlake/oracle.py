@@ -453,3 +453,16 @@ _q("stream_dedup", ["pb"], "SELECT DISTINCT transaction_id FROM pb")
 ORACLE["fraud_reasons_bucketed"] = ORACLE["fraud_reasons"]
 ORACLE["cross_border_prev_bucketed"] = ORACLE["cross_border_prev"]
 ORACLE["merchant_scd2_bucketed"] = ORACLE["merchant_scd2"]
+
+# J3 as the literal self-join predicate (brute force): same card, another
+# country, at most 600 s apart in either direction.
+_q(
+    "cross_border_selfjoin",
+    ["ec"],
+    """SELECT a.transaction_id, a.card_hash, a.ts_event FROM ec a
+WHERE a.card_hash IS NOT NULL AND a.ts_event IS NOT NULL AND a.country IS NOT NULL AND EXISTS (
+  SELECT 1 FROM ec b
+  WHERE b.card_hash = a.card_hash AND b.ts_event IS NOT NULL AND b.country IS NOT NULL AND b.country <> a.country
+    AND b.ts_event BETWEEN a.ts_event - INTERVAL 600 SECONDS AND a.ts_event + INTERVAL 600 SECONDS)""",
+)
+ORACLE["cross_border_selfjoin_bucketed"] = ORACLE["cross_border_selfjoin"]
