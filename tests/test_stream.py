@@ -65,3 +65,26 @@ def test_replayed_epoch_is_idempotent(spark):
     assert first == again
     body(spark.createDataFrame([], "value string"), 1)  # empty micro-batch: nothing written
     assert J.read_outputs(spark, layout)["signals"].select("epoch").distinct().count() == 1
+
+
+def test_sliding_velocity_windows_and_dedup(spark):
+    from helpers import at, payments
+
+    from ledgerlake.streaming import windows
+
+    rows = [{"transaction_id": f"T{i % 4}", "card_hash": "c", "ts_event": at(i * 0.25)} for i in range(8)]
+    rows += [{"transaction_id": "Z", "card_hash": "c", "ts_event": at(30)}]  # moves the watermark on
+    df = payments(spark, rows).select("transaction_id", "card_hash", "ts_event")
+    base = scratch_path(spark, "t-windows")
+    runner.stage_table(df, f"{base}/in", files=2)
+    stream = spark.readStream.schema(df.schema).parquet(f"{base}/in")
+    out = runner.run_to_parquet(
+        windows.velocity_windows(stream, "1 minute", "30 seconds"), f"{base}/vel", f"{base}/ck1"
+    )
+    got = {(r.window_start.isoformat(), r.n) for r in spark.read.parquet(out).filter("card_hash = 'c'").collect()}
+    # events every 15 s from 0 to 105 s; 1-minute windows every 30 s from -30 s
+    # hold 2, 4, 4, 4, 2 of them; the windows around the last event stay open
+    # (the watermark is 10 minutes behind it) and are not emitted
+    assert sorted(n for _, n in got) == [2, 2, 4, 4, 4]
+    dd = runner.run_to_parquet(windows.dedup_stream(stream), f"{base}/dd", f"{base}/ck2")
+    assert sorted(r.transaction_id for r in spark.read.parquet(dd).collect()) == ["T0", "T1", "T2", "T3", "Z"]
