@@ -156,12 +156,20 @@ class ScreeningBatch:
         rules: tuple[str, ...] = SCR.STREAM_RULES,
         value_column: str = "value",
         snapshot_every: int = 32,
+        card_scope: bool = False,
+        deadletter_servers: str | None = None,
+        deadletter_topic: str = "payments.deadletter",
     ):
         self.layout = layout
         self.params = params
         self.rules = rules
         self.value_column = value_column
         self.snapshot_every = snapshot_every
+        # card_scope=True: a card's hit marks all its events of the batch (and
+        # history), the original job's behaviour; default is per event.
+        self.card_scope = card_scope
+        self.deadletter_servers = deadletter_servers
+        self.deadletter_topic = deadletter_topic
 
     def __call__(self, batch_df: DataFrame, epoch_id: int) -> None:
         spark = batch_df.sparkSession
@@ -187,7 +195,7 @@ class ScreeningBatch:
         if hist_all is not None:
             history = _latest_per_card(hist_all, cards).select(*HISTORY_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
             kept.append(history)
-        routed = SCR.screen(typed, self.params, self.rules, history=history)
+        routed = SCR.screen(typed, self.params, self.rules, history=history, card_scope=self.card_scope)
         routed = routed.withColumn("processing_ts", F.current_timestamp()).persist(StorageLevel.MEMORY_AND_DISK)
         kept.append(routed)
         try:
@@ -217,7 +225,13 @@ class ScreeningBatch:
                 F.when(F.col("malformed"), F.col("raw_value")).alias("raw_value"),
             )
         )
-        dead.select(payload.alias("value")).write.mode("overwrite").text(f"{lay.deadletter}/{ep}")
+        letters = dead.select(payload.alias("value"))
+        letters.write.mode("overwrite").text(f"{lay.deadletter}/{ep}")
+        if self.deadletter_servers and M.kafka_available(spark):
+            # Kafka copy of the dead letters (at-least-once across replays)
+            letters.write.format("kafka").option("kafka.bootstrap.servers", self.deadletter_servers).option(
+                "topic", self.deadletter_topic
+            ).save()
         # K3 fraud signals, partitioned by event date: first write wins across
         # epochs.  The existence check is a semi join on (date, id), so dynamic
         # partition pruning reads only the dates present in this batch.

@@ -88,3 +88,13 @@ def test_sliding_velocity_windows_and_dedup(spark):
     assert sorted(n for _, n in got) == [2, 2, 4, 4, 4]
     dd = runner.run_to_parquet(windows.dedup_stream(stream), f"{base}/dd", f"{base}/ck2")
     assert sorted(r.transaction_id for r in spark.read.parquet(dd).collect()) == ["T0", "T1", "T2", "T3", "Z"]
+
+
+def test_card_scope_epoch(spark):
+    layout = J.StreamLayout(scratch_path(spark, "t-cardscope"))
+    J.ScreeningBatch(layout, card_scope=True)(_messages(spark).select("value"), 0)
+    reasons = {r.transaction_id: r.reason for r in J.read_outputs(spark, layout)["signals"].collect()}
+    # cardC: cross-border and decline rate at card scope mark all its events
+    assert reasons["TXN5"] == "cross_border,decline_rate"
+    assert reasons["TXN12"] == reasons["TXN13"] == "cross_border"
+    assert "TXN1" not in reasons
