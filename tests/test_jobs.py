@@ -20,6 +20,9 @@ def test_jobs_end_to_end(spark):
     assert one_day == bronze.count() - bronze.filter(F.col("date").isNull() | (F.col("date") != "2025-11-04")).count()
     silver.bronze_silver_job(spark, layout.bronze, f"{base}/silver")
     assert spark.read.parquet(f"{base}/silver").count() == accepted
+    # an hourly run over one day replaces only that day's partition
+    silver.bronze_silver_job(spark, layout.bronze, f"{base}/silver", "2025-11-04", "2025-11-04")
+    assert spark.read.parquet(f"{base}/silver").count() == accepted
     jobs.gold_job(spark, f"{base}/silver", f"{base}/gold")
     jobs.gold_job(spark, f"{base}/silver", f"{base}/gold")  # rerun: idempotent
     t = jobs.gold_tables(spark, f"{base}/gold")
