@@ -178,13 +178,17 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, keys: l
     src_keys = src.select(*keys).distinct()
     # partitions where an incoming key lives today (a row may move days)
     holding = target.select(*keys, part).join(src_keys, keys, "left_semi").select(part)
-    parts = src.select(part).unionByName(holding).distinct()
-    affected = target.join(parts, part, "left_semi")  # dynamic partition pruning on `part`
+    # the affected days (partitions are days, so the lists are bounded by the
+    # calendar): an IN filter on the partition column prunes the scans to them
+    src_days = {r[0] for r in src.select(part).distinct().collect()}
+    days = sorted(src_days | {r[0] for r in holding.distinct().collect()}, key=str)
+    affected = target.filter(F.col(part).isin(days))
     rebuilt = upsert(affected, src, keys, broadcast_keys=DEFAULT_BROADCAST_KEYS)
-    # a partition whose every row moved away gets no new files: delete it
-    # (partitions are days, so this list is bounded by the calendar)
-    emptied = parts.join(rebuilt.select(part).distinct(), part, "left_anti")
-    gone = [r[0] for r in emptied.collect()]
+    # a day whose every row moved away gets no new files and must be deleted;
+    # found on the key columns only
+    staying = affected.select(*keys, part).join(key_side(src, keys, DEFAULT_BROADCAST_KEYS), keys, "left_anti")
+    remaining = {r[0] for r in staying.select(part).distinct().collect()}
+    gone = [d for d in days if d not in src_days and d not in remaining]
     rebuilt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
     _drop_partitions(spark, path, part, gone)
 

@@ -156,3 +156,16 @@ def test_silver_round_trip_and_missing(spark, seed):
     empty = silver.read_silver(spark, f"{base}/nothing-here")
     assert empty.count() == 0 and "transaction_id" in empty.columns
     assert gold.stage(empty).count() == 0
+
+
+def test_upsert_partitions_moves_and_empties_days(spark):
+    base = scratch_path(spark, "parts")
+    t = spark.createDataFrame(
+        [("1", dt.date(2025, 1, 1), "a"), ("2", dt.date(2025, 1, 2), "b"), ("3", dt.date(2025, 1, 3), "c")],
+        "id string, day date, v string",
+    )
+    t.write.partitionBy("day").parquet(f"{base}/t")
+    src = spark.createDataFrame([("2", dt.date(2025, 1, 1), "B"), ("4", dt.date(2025, 1, 4), "d")], "id string, day date, v string")
+    gold.upsert_partitions(spark, f"{base}/t", src, ["id"], "day")
+    got = sorted((r.id, str(r.day), r.v) for r in spark.read.parquet(f"{base}/t").collect())
+    assert got == [("1", "2025-01-01", "a"), ("2", "2025-01-01", "B"), ("3", "2025-01-03", "c"), ("4", "2025-01-04", "d")]
