@@ -81,6 +81,12 @@ def event_flags(
     ``PARTITION BY key`` form.  ``hot_source``: a cheaper DataFrame whose
     per-key counts bound those of ``df``, used for hot-key detection.
     """
+    per_card = any(r in rules for r in ("velocity", "cross_border", "cross_border_prev", "cross_border_pair", "decline_rate"))
+    if not per_card:  # row-level rules only: no frame, no shuffle, one pass
+        high = C.high_amount("amount", params.high_threshold)
+        if eligible is not None:
+            high = high & F.coalesce(eligible, F.lit(False))
+        return df.select("*", *[(high if r == "high_amount" else F.lit(False)).alias(r) for r in _ordered(rules)])
     x = with_country(df)
     cols = x.columns
     elig = F.col(key).isNotNull()
@@ -117,16 +123,15 @@ def event_flags(
     # every run (only rows identical in all of them remain tied, harmlessly).
     order_cols = [ts, tie] + [c for c in ("auth_result", "location", "amount") if c in cols and c not in (ts, tie)]
     order_sql = ", ".join(f"{c} ASC NULLS FIRST" for c in order_cols)
-    per_card = any(r in rules for r in ("velocity", "cross_border", "cross_border_prev", "cross_border_pair", "decline_rate"))
     if split == "always":
         hot = True
-    elif split == "auto" and per_card:
+    elif split == "auto":
         hot = O.hot_keys(x if hot_source is None else hot_source, key, hot_rows)
     else:
         hot = None
     marked = O.mark_hot(x, key, hot)
     marked = marked.withColumn(O.HOT, F.col(O.HOT) & F.col(_ELIG))
-    if hot is None or not per_card:
+    if hot is None:
         framed = marked.withColumn(O.BKT, F.lit(O.COLD_BUCKET).cast("long")).withColumn(O.ROLE, F.lit(None).cast("int"))
     else:
         bucket = params.bucket_seconds or O.default_bucket_seconds(max(lookback, lookahead))
