@@ -233,8 +233,9 @@ class ScreeningBatch:
                 "topic", self.deadletter_topic
             ).save()
         # K3 fraud signals, partitioned by event date: first write wins across
-        # epochs.  The existence check is a semi join on (date, id), so dynamic
-        # partition pruning reads only the dates present in this batch.
+        # epochs.  The existence check reads only the date partitions present
+        # in this batch (an IN filter on the partition column; a batch spans
+        # few days), then semi-joins on (date, id).
         flagged = routed.filter(F.col("route") == SCR.ROUTE_FLAGGED).select(
             "transaction_id",
             F.col("ts_event"),
@@ -251,9 +252,15 @@ class ScreeningBatch:
         flagged = keep_earliest(flagged, ["transaction_id"], ["ts_event"])
         prev_signals = _read_before(spark, lay.signals, epoch)
         if prev_signals is not None:
-            keys = ["date", "transaction_id"]
-            seen = prev_signals.select(*keys).join(flagged.select(*keys), keys, "left_semi")
-            flagged = flagged.join(seen, keys, "left_anti")
+            days = [r[0] for r in flagged.select("date").distinct().collect()]
+            in_days = F.col("date").isin([d for d in days if d is not None])
+            dated = prev_signals.filter(in_days | F.col("date").isNull() if None in days else in_days)
+            # NULL dates (no usable event time) must match each other too
+            day = F.coalesce(F.col("date"), F.lit("0001-01-01").cast("date")).alias("_lk_day")
+            keys = ["_lk_day", "transaction_id"]
+            mine = flagged.select(day, "transaction_id")
+            seen = dated.select(day, "transaction_id").join(mine, keys, "left_semi")
+            flagged = flagged.withColumn("_lk_day", day).join(seen, keys, "left_anti").drop("_lk_day")
         flagged.write.mode("overwrite").partitionBy("date").parquet(f"{lay.signals}/{ep}")
         # K4 card state: last 10 {ts, auth_result, country} per touched card.
         prev_state = _read_keyed(spark, lay.state, epoch)

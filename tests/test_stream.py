@@ -98,3 +98,21 @@ def test_card_scope_epoch(spark):
     assert reasons["TXN5"] == "cross_border,decline_rate"
     assert reasons["TXN12"] == reasons["TXN13"] == "cross_border"
     assert "TXN1" not in reasons
+
+
+def test_signals_first_write_wins_across_epochs(spark):
+    layout = J.StreamLayout(scratch_path(spark, "t-signals"))
+    body = J.ScreeningBatch(layout)
+    extra = spark.createDataFrame(
+        [('{"transaction_id":"H","ts_event":"oops","card_hash":"q","amount":"20000"}',)], "value string"
+    )
+    batch = _messages(spark).select("value").unionByName(extra)
+    body(batch, 0)
+    body(batch, 1)  # the same messages delivered again
+    sig = J.read_outputs(spark, layout)["signals"]
+    # no transaction is signalled twice (also with a NULL event date) ...
+    assert sig.count() == sig.select("transaction_id").distinct().count()
+    assert sig.filter("transaction_id = 'H' AND date IS NULL").count() == 1
+    # ... while re-delivered copies do take part in the rules again, as in the
+    # original job: cardA now has six events within a minute
+    assert {r.transaction_id for r in sig.filter("epoch = 1").collect()} == {"TXN3"}
