@@ -39,3 +39,17 @@ def test_query_matches_oracle(spark, duck, name):
     assert sorted(df.columns) == sorted(ocols)
     assert len(srows) == len(orows)
     assert digest(df.columns, srows)[0] == digest(ocols, orows)[0]
+
+
+@pytest.mark.parametrize("name", ["ts_normalize", "stream_velocity_window", "validate_route", "dim_date"])
+def test_results_do_not_depend_on_session_time_zone(spark, duck, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = E.queries()[name](spark, SF_SMALL)
+        srows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    res = duck.execute(E.oracle_sql()[name])
+    ocols = [d[0] for d in res.description]
+    assert digest(df.columns, srows)[0] == digest(ocols, res.fetchall())[0]
