@@ -17,6 +17,9 @@ APPROVED = "APPROVED"
 HIGH_AMOUNT_THRESHOLD = "10000"
 # Reason codes, in the fixed order they are joined into the reason text.
 REASON_CODES = ["high_amount", "velocity", "cross_border", "decline_rate"]
+# Stream-side blacklist check (documented rule, absent from the original
+# stream); its code goes after the fixed ones.
+BLACKLIST_CODE = "blacklisted"
 DEAD_MISSING = "missing_tx_or_amount"
 DEAD_MALFORMED = "malformed_json"
 # Amount buckets: (label, lower bound inclusive, upper bound exclusive); the
@@ -112,7 +115,7 @@ def amount_bucket(amount: str | Column = "amount") -> Column:
 
 def reason_text(flags: dict[str, str | Column]) -> Column:
     """Comma-joined codes of the true flags, in the fixed code order."""
-    parts = [F.when(_col(flags[code]), F.lit(code)) for code in REASON_CODES if code in flags]
+    parts = [F.when(_col(flags[code]), F.lit(code)) for code in [*REASON_CODES, BLACKLIST_CODE] if code in flags]
     return F.concat_ws(",", *parts)
 
 

@@ -266,4 +266,20 @@ def velocity_as_coded(df: DataFrame, limit: int = 5, key: str = "card_hash", ts:
 
 def reasons(flags: DataFrame, rules: tuple[str, ...] = ("high_amount", "velocity", "cross_border", "decline_rate")) -> DataFrame:
     """Add ``reason`` = comma-joined codes of the hit rules (empty if none)."""
-    return flags.withColumn("reason", C.reason_text({r: r for r in rules if r in C.REASON_CODES}))
+    codes = [*C.REASON_CODES, C.BLACKLIST_CODE]
+    return flags.withColumn("reason", C.reason_text({r: r for r in rules if r in codes}))
+
+
+def blacklisted(df: DataFrame, blacklist: DataFrame, eligible: Column | None = None) -> DataFrame:
+    """D6/J1 on the stream side: add ``blacklisted`` (merchant on the list).
+
+    The list is deduplicated first so the left join cannot multiply rows; it
+    is broadcast only when its size is proven small (``lookup_join``)."""
+    from ..operators.joins import lookup_join
+
+    listed = blacklist.select("merchant_id").filter(F.col("merchant_id").isNotNull()).distinct()
+    flag = F.coalesce(F.col("_lk_listed"), F.lit(False))
+    if eligible is not None:
+        flag = flag & F.coalesce(eligible, F.lit(False))
+    joined = lookup_join(df, listed.withColumn("_lk_listed", F.lit(True)), "merchant_id", "left")
+    return joined.withColumn(C.BLACKLIST_CODE, flag).drop("_lk_listed")

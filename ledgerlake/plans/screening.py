@@ -28,6 +28,7 @@ def screen(
     card_scope: bool = False,
     split: str = "auto",
     hot_source: DataFrame | None = None,
+    blacklist: DataFrame | None = None,
 ) -> DataFrame:
     """Flags, ``reason`` and ``route`` for every row of ``typed_rows``.
 
@@ -43,6 +44,9 @@ def screen(
     flags = R.event_flags(rows, rules, params, eligible=valid, split=split, hot_source=hot_source)
     if card_scope:
         flags = R.card_scope(flags, tuple(r for r in rules if r != "high_amount"), eligible=valid)
+    if blacklist is not None:
+        flags = R.blacklisted(flags, blacklist, eligible=valid)
+        rules = (*rules, C.BLACKLIST_CODE)
     flags = R.reasons(flags, rules).filter(~F.col(HIST)).drop(HIST)
     dead_reason = F.when(F.col("malformed"), F.lit(C.DEAD_MALFORMED)).otherwise(F.lit(C.DEAD_MISSING))
     return flags.withColumn("reason", F.when(valid, F.col("reason")).otherwise(dead_reason)).withColumn(

@@ -159,6 +159,7 @@ class ScreeningBatch:
         card_scope: bool = False,
         deadletter_servers: str | None = None,
         deadletter_topic: str = "payments.deadletter",
+        blacklist: DataFrame | None = None,
     ):
         self.layout = layout
         self.params = params
@@ -170,6 +171,8 @@ class ScreeningBatch:
         self.card_scope = card_scope
         self.deadletter_servers = deadletter_servers
         self.deadletter_topic = deadletter_topic
+        # Merchant blacklist on the stream side as well (optional)
+        self.blacklist = blacklist
 
     def __call__(self, batch_df: DataFrame, epoch_id: int) -> None:
         spark = batch_df.sparkSession
@@ -195,7 +198,9 @@ class ScreeningBatch:
         if hist_all is not None:
             history = _latest_per_card(hist_all, cards).select(*HISTORY_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
             kept.append(history)
-        routed = SCR.screen(typed, self.params, self.rules, history=history, card_scope=self.card_scope)
+        routed = SCR.screen(
+            typed, self.params, self.rules, history=history, card_scope=self.card_scope, blacklist=self.blacklist
+        )
         routed = routed.withColumn("processing_ts", F.current_timestamp()).persist(StorageLevel.MEMORY_AND_DISK)
         kept.append(routed)
         try:

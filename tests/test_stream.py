@@ -116,3 +116,11 @@ def test_signals_first_write_wins_across_epochs(spark):
     # ... while re-delivered copies do take part in the rules again, as in the
     # original job: cardA now has six events within a minute
     assert {r.transaction_id for r in sig.filter("epoch = 1").collect()} == {"TXN3"}
+
+
+def test_blacklist_on_the_stream(spark, blacklist):
+    layout = J.StreamLayout(scratch_path(spark, "t-blacklist"))
+    J.ScreeningBatch(layout, blacklist=blacklist)(_messages(spark).select("value"), 0)
+    reasons = {r.transaction_id: r.reason for r in J.read_outputs(spark, layout)["signals"].collect()}
+    assert reasons["TXN5"] == "blacklisted"
+    assert reasons["TXN6"] == "cross_border"
