@@ -46,7 +46,7 @@ def backfill_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
     return out.select(*[f.name for f in schema.fields], *extra)
 
 
-def bronze_to_silver(bronze: DataFrame, order: Sequence[str] = BRONZE_ORDER, add_clock: bool = True) -> DataFrame:
+def silver_from_bronze(bronze: DataFrame, order: Sequence[str] = BRONZE_ORDER, add_clock: bool = True) -> DataFrame:
     """S3 -> W1 -> P5/P6: the Silver table as a DataFrame."""
     return standardize(dedup_latest(bronze, order), add_clock=add_clock)
 
@@ -134,7 +134,7 @@ def bronze_silver_job(
     """
     bronze = read_bronze(spark, bronze_path, date_from, date_to)
     keep = [c for c in bronze.columns if c not in ("route", "reason", "epoch")]
-    out = bronze_to_silver(bronze.select(*keep))
+    out = silver_from_bronze(bronze.select(*keep))
     mode = "dynamic" if (date_from or date_to) else "static"
     out.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("date").parquet(silver_path)
     return silver_path

@@ -149,7 +149,7 @@ def test_load_gold_in_place(spark, seed):
 
 def test_silver_round_trip_and_missing(spark, seed):
     base = scratch_path(spark, "silver")
-    silver.write_silver(silver.bronze_to_silver(seed, order=["ts_event"]), f"{base}/silver")
+    silver.write_silver(silver.silver_from_bronze(seed, order=["ts_event"]), f"{base}/silver")
     back = silver.read_silver(spark, f"{base}/silver")
     assert back.count() == 14 and "cleaned_ts" in back.columns
     assert back.filter("cleaned_ts IS NULL").count() == 0
