@@ -169,3 +169,18 @@ def test_upsert_partitions_moves_and_empties_days(spark):
     gold.upsert_partitions(spark, f"{base}/t", src, ["id"], "day")
     got = sorted((r.id, str(r.day), r.v) for r in spark.read.parquet(f"{base}/t").collect())
     assert got == [("1", "2025-01-01", "a"), ("2", "2025-01-01", "B"), ("3", "2025-01-03", "c"), ("4", "2025-01-04", "d")]
+
+
+def test_sql_over_registered_views(spark, seed, blacklist):
+    from ledgerlake.plans import marts
+
+    facts = marts.fact_transactions(seed, blacklist)
+    names = marts.register_views({"fact_transactions": facts, "settlement_daily": marts.settlement_daily(seed)})
+    assert names == ["fact_transactions", "settlement_daily"]
+    top = spark.sql(
+        "SELECT merchant_id, currency, dt AS date, txn_count FROM settlement_daily "
+        "WHERE merchant_id IS NOT NULL ORDER BY dt DESC, txn_count DESC LIMIT 1"
+    ).collect()
+    assert top[0].merchant_id == "M10004" and top[0].txn_count == 6
+    flagged = spark.sql("SELECT count(*) AS n FROM fact_transactions WHERE flag_high_amount OR flag_blacklisted").first()
+    assert flagged.n == 2
