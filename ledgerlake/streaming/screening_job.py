@@ -139,7 +139,10 @@ def retain(rows: DataFrame, params: R.RuleParams, rules: tuple[str, ...]) -> Dat
     if "decline_rate" in rules and params.decline_n > 1:
         from pyspark.sql import Window
 
-        w = Window.partitionBy("card_hash").orderBy(F.col("ts_event").desc_nulls_last(), F.col("transaction_id").desc())
+        # reverse of the rules' row order (time, id, auth, location, amount)
+        w = Window.partitionBy("card_hash").orderBy(
+            *[F.col(c).desc_nulls_last() for c in ("ts_event", "transaction_id", "auth_result", "location", "amount")]
+        )
         older = older.withColumn("_lk_rn", F.row_number().over(w)).filter(F.col("_lk_rn") < params.decline_n).drop("_lk_rn")
     else:
         older = older.filter(F.lit(False))
