@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..operators.upsert import DEFAULT_BROADCAST_KEYS, key_side, insert_if_absent, upsert
-from ..schemas import GOLD_COLUMNS, GOLD_DDL, GOLD_KEYS
+from ..schemas import GOLD_COLUMNS, GOLD_DDL, GOLD_KEYS, PAYMENT
 from . import marts
 
 TX_ORDER = ("ts_event",)
@@ -23,11 +23,12 @@ TX_ORDER = ("ts_event",)
 def stage(silver: DataFrame) -> DataFrame:
     """Staged transactions: the listed columns plus the event date."""
     cols = ["transaction_id", "ts_event", "card_hash", "merchant_id", "amount", "currency", "auth_result", "location"]
+    types = {f.name: f.dataType for f in PAYMENT.fields}
     present = set(silver.columns)
     out = silver
     for c in cols + ["mcc"]:
-        if c not in present:
-            out = out.withColumn(c, F.lit(None).cast("string"))
+        if c not in present:  # absent columns become typed NULLs
+            out = out.withColumn(c, F.lit(None).cast(types[c]))
     return out.select(*cols, "mcc", C.event_date("ts_event").alias("date_id"))
 
 

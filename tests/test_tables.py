@@ -206,3 +206,12 @@ def test_plans_prune_and_broadcast(spark, seed):
     bl = spark.createDataFrame([("M99999",)], "merchant_id string")
     facts = marts.fact_transactions(seed, bl)
     assert "BroadcastHashJoin" in facts._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stage_backfills_typed_columns(spark, seed):
+    staged = gold.stage(seed.drop("amount", "location", "mcc"))
+    types = dict(staged.dtypes)
+    assert types["amount"] == "decimal(18,2)" and types["location"] == "string"
+    inc = gold.gold_increment(staged, with_clock=False)
+    assert inc["fact_settlement_daily"].filter("gross_amount IS NOT NULL").count() == 0
+    assert inc["fact_transactions"].count() == 14
