@@ -449,6 +449,16 @@ def q_stream_velocity_window(spark, sf_dir):
     return out.select("card_hash", C.utc_iso_text("window_start").alias("window_start"), "n")
 
 
+@register("stream_velocity_sliding")
+def q_stream_velocity_sliding(spark, sf_dir):
+    from .streaming import windows
+
+    rows = _e(spark, sf_dir).select("transaction_id", "ts_event", "card_hash")
+    stream, base = _staged_stream(spark, rows, "stream-velocity-sliding")
+    out = _run_stream(spark, windows.velocity_windows(stream, "1 minute", "30 seconds"), base)
+    return out.select("card_hash", C.utc_iso_text("window_start").alias("window_start"), "n")
+
+
 @register("stream_settlement")
 def q_stream_settlement(spark, sf_dir):
     from .streaming import windows

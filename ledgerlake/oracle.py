@@ -466,3 +466,20 @@ WHERE a.card_hash IS NOT NULL AND a.ts_event IS NOT NULL AND a.country IS NOT NU
     AND b.ts_event BETWEEN a.ts_event - INTERVAL 600 SECONDS AND a.ts_event + INTERVAL 600 SECONDS)""",
 )
 ORACLE["cross_border_selfjoin_bucketed"] = ORACLE["cross_border_selfjoin"]
+
+# Sliding one-minute windows every 30 s: each event lies in the window of its
+# own 30-s slot and in the one starting 30 s earlier.
+_cte(
+    "esl",
+    ["e"],
+    """SELECT card_hash, time_bucket(INTERVAL 30 SECOND, ts_event) AS ws FROM e
+UNION ALL
+SELECT card_hash, time_bucket(INTERVAL 30 SECOND, ts_event) - INTERVAL 30 SECOND AS ws FROM e""",
+)
+_q(
+    "stream_velocity_sliding",
+    ["e", "esl"],
+    """SELECT card_hash, strftime(ws, '%Y-%m-%dT%H:%M:%S.000Z') AS window_start, count(*) AS n
+FROM esl WHERE ws + INTERVAL 1 MINUTE <= (SELECT max(ts_event) FROM e) - INTERVAL 10 MINUTE
+GROUP BY card_hash, ws""",
+)
