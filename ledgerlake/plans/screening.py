@@ -35,7 +35,10 @@ def screen(
     ``typed_rows`` needs a boolean ``valid`` and ``malformed`` (see
     ``sources.messages.typed``); ``history`` holds earlier valid rows of the
     same cards (same columns) that take part in the frames but are not output.
-    One pass: invalid rows ride along without joining any frame.
+    Invalid rows and rows without a card bypass the frames and are unioned
+    back, so ``typed_rows`` is evaluated twice: when it is expensive to
+    produce (e.g. JSON decoding of a large backfill), persist it or write it
+    as a table first, as the streaming job does with each micro-batch.
     """
     rows = typed_rows.withColumn(HIST, F.lit(False))
     if history is not None:

@@ -215,3 +215,12 @@ def test_stage_backfills_typed_columns(spark, seed):
     inc = gold.gold_increment(staged, with_clock=False)
     assert inc["fact_settlement_daily"].filter("gross_amount IS NOT NULL").count() == 0
     assert inc["fact_transactions"].count() == 14
+
+
+def test_top_k_is_cut_before_the_shuffle(spark):
+    from ledgerlake.sources import feeds
+    from conftest import SF_SMALL
+
+    state = S.merge_state(None, feeds.event_payments(spark, SF_SMALL), with_clock=False)
+    plan = state._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
