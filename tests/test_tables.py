@@ -224,3 +224,13 @@ def test_top_k_is_cut_before_the_shuffle(spark):
     state = S.merge_state(None, feeds.event_payments(spark, SF_SMALL), with_clock=False)
     plan = state._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_cluster_conf_sizes_shuffles():
+    from ledgerlake.session import cluster_conf
+
+    conf = cluster_conf(input_bytes=100 * 1024**4, total_cores=8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 1024**4 // (256 * 1024**2)
+    small = cluster_conf(input_bytes=1024, total_cores=16)
+    assert int(small["spark.sql.shuffle.partitions"]) == 32
+    assert conf["spark.sql.streaming.stateStore.providerClass"].endswith("RocksDBStateStoreProvider")
