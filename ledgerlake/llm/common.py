@@ -25,3 +25,22 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def byte_slices(batches, column: str = "text", limit: int = 8 << 20):
+    """Cut Arrow batches into slices of about ``limit`` bytes of ``column``.
+
+    Every row lands in exactly one slice; a single longer text is a slice of
+    its own, so memory is bounded by the limit and the longest text.
+    """
+    import numpy as np
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        group = np.cumsum(size, dtype=np.int64) // limit
+        cuts = np.flatnonzero(np.diff(group)) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+            yield batch.slice(a, b - a)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import quality_rules
+from . import packing, quality_rules
 from .common import read
 
 
@@ -15,7 +16,13 @@ def op4_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *quality_rules.STAT_COLUMNS, "base_failed", "kept", "host_verdict")
 
 
+def op2_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = packing.pack(read(spark, sf_dir, "documents"))
+    return out.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_cost_packing": op2_cost_packing,
     "op4_host_quality": op4_host_quality,
 }
 
