@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm import packing
 from ledgerlake.llm.queries import QUERIES
-from conftest import SF_SMALL
+from llm_data import SF_SMALL, documents, duck, odd_documents  # noqa: F401
 
 
 @pytest.fixture(scope="module")

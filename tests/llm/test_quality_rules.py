@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm import quality_rules as Q
 from ledgerlake.llm.queries import ORACLE, QUERIES
-from conftest import SF_SMALL
+from llm_data import SF_SMALL, documents, duck, odd_documents  # noqa: F401
 from tools.check_oracle import digest
 
 
