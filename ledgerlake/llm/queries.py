@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality_rules
+from . import packing, pii_crf, quality_rules
 from .common import read
 
 
@@ -21,9 +21,14 @@ def op2_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op5_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_crf.detect(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_cost_packing": op2_cost_packing,
     "op4_host_quality": op4_host_quality,
+    "op5_crf_pii": op5_crf_pii,
 }
 
 #: DuckDB forms; an operator that SQL cannot express has none and is tested by brute force.
