@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, pii_crf, quality_rules
+from . import digests, packing, pii_crf, quality_rules
 from .common import read
 
 
@@ -25,10 +25,15 @@ def op5_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_crf.detect(read(spark, sf_dir, "documents"))
 
 
+def op6_feature_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests.digests(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_cost_packing": op2_cost_packing,
     "op4_host_quality": op4_host_quality,
     "op5_crf_pii": op5_crf_pii,
+    "op6_feature_digest": op6_feature_digest,
 }
 
 #: DuckDB forms; an operator that SQL cannot express has none and is tested by brute force.
