@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import digests, packing, pii_crf, quality_rules
+from . import digests, packing, pii_crf, quality_rules, toxicity
 from .common import read
 
 
@@ -29,11 +29,16 @@ def op6_feature_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests.digests(read(spark, sf_dir, "documents"))
 
 
+def op7_gru_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_cost_packing": op2_cost_packing,
     "op4_host_quality": op4_host_quality,
     "op5_crf_pii": op5_crf_pii,
     "op6_feature_digest": op6_feature_digest,
+    "op7_gru_toxicity": op7_gru_toxicity,
 }
 
 #: DuckDB forms; an operator that SQL cannot express has none and is tested by brute force.
