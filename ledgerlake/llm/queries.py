@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import digests, packing, pii_crf, quality_rules, toxicity
+from . import digests, line_dedup, packing, pii_crf, quality_rules, toxicity
 from .common import read
 
 
@@ -33,12 +33,20 @@ def op7_gru_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op8_patience_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select(
+        "doc_id", F.array_join("deleted_lines", ",").alias("deleted"), F.size("deleted_lines").alias("n_deleted"), "text"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_cost_packing": op2_cost_packing,
     "op4_host_quality": op4_host_quality,
     "op5_crf_pii": op5_crf_pii,
     "op6_feature_digest": op6_feature_digest,
     "op7_gru_toxicity": op7_gru_toxicity,
+    "op8_patience_line_dedup": op8_patience_line_dedup,
 }
 
 #: DuckDB forms; an operator that SQL cannot express has none and is tested by brute force.
