@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import digests, line_dedup, packing, pii_crf, quality_rules, toxicity
+from . import digests, line_dedup, ngram_join, packing, pii_crf, quality_rules, toxicity
 from .common import read
 
 
@@ -16,6 +16,10 @@ def op4_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *quality_rules.STAT_COLUMNS, "base_failed", "kept", "host_verdict")
 
 
+def op1_partenum_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_groups(read(spark, sf_dir, "documents"))
+
+
 def op2_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = packing.pack(read(spark, sf_dir, "documents"))
     return out.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
@@ -41,6 +45,7 @@ def op8_patience_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_partenum_join": op1_partenum_join,
     "op2_cost_packing": op2_cost_packing,
     "op4_host_quality": op4_host_quality,
     "op5_crf_pii": op5_crf_pii,
