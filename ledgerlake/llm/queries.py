@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import digests, line_dedup, ngram_join, packing, pii_crf, quality_rules, toxicity
+from . import digests, license_scan, line_dedup, ngram_join, packing, pii_crf, quality_rules, toxicity
 from .common import read
 
 
@@ -44,6 +44,10 @@ def op8_patience_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_patience_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_partenum_join": op1_partenum_join,
     "op2_cost_packing": op2_cost_packing,
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_feature_digest": op6_feature_digest,
     "op7_gru_toxicity": op7_gru_toxicity,
     "op8_patience_line_dedup": op8_patience_line_dedup,
+    "op10_patience_licenses": op10_patience_licenses,
 }
 
 #: DuckDB forms; an operator that SQL cannot express has none and is tested by brute force.
