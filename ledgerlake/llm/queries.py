@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import digests, license_scan, line_dedup, ngram_join, packing, pii_crf, quality_rules, toxicity
+from . import digests, license_scan, line_dedup, merge_dropout, ngram_join, packing, pii_crf, quality_rules, toxicity
 from .common import read
 
 
@@ -44,6 +44,18 @@ def op8_patience_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encode, then decode the pieces again: the decoded text's hash is that of the text."""
+    back = merge_dropout.decode(merge_dropout.encode(read(spark, sf_dir, "documents")))
+    return back.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_pieces"),
+        F.xxhash64("ids").alias("ids_hash"),
+        F.length("text").cast("long").alias("decoded_chars"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 def op10_patience_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(read(spark, sf_dir, "documents"))
 
@@ -56,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_feature_digest": op6_feature_digest,
     "op7_gru_toxicity": op7_gru_toxicity,
     "op8_patience_line_dedup": op8_patience_line_dedup,
+    "op9_merge_dropout": op9_merge_dropout,
     "op10_patience_licenses": op10_patience_licenses,
 }
 
