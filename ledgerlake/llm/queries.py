@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import digests, license_scan, line_dedup, merge_dropout, ngram_join, packing, pii_crf, quality_rules, toxicity
+from . import digests, html_wrappers, license_scan, line_dedup, merge_dropout, ngram_join, packing, pii_crf, quality_rules, toxicity
 from .common import read
 
 
+def op3_wrapper_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrappers.extract(read(spark, sf_dir, "pages"))
+
+
 def op4_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.assess(read(spark, sf_dir, "documents"))
     return out.select("doc_id", *quality_rules.STAT_COLUMNS, "base_failed", "kept", "host_verdict")
@@ -63,6 +67,7 @@ def op10_patience_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_partenum_join": op1_partenum_join,
     "op2_cost_packing": op2_cost_packing,
+    "op3_wrapper_text": op3_wrapper_text,
     "op4_host_quality": op4_host_quality,
     "op5_crf_pii": op5_crf_pii,
     "op6_feature_digest": op6_feature_digest,
