@@ -51,6 +51,9 @@ SMALL_BAND = 5
 COLD = 16
 #: Nodes whose ids may be broadcast; beyond, the same join is shuffled.
 BROADCAST_NODES = 1_000_000
+#: Bytes of text hashed at a time, and signatures sent at a time: they bound a task's memory.
+SLICE = 2 << 20
+BLOCK = 1 << 20
 #: Members checked against one node in one task.
 STAR = 4096
 
@@ -102,8 +105,12 @@ def _texts(part) -> list[bytes]:
     return [t.encode() if t else b"" for t in part.column("text").to_pylist()]
 
 
+def _text_hash():
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 def describe(docs: DataFrame) -> DataFrame:
-    """doc_id, n, node, sigs, level: one narrow row per document.
+    """doc_id, text_hash, n, node, sigs, level: one narrow row per document.
 
     Where a band is raised, ``sigs`` stays the count before: a lower count only
     makes the later steps look at more.
@@ -112,21 +119,23 @@ def describe(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for part in byte_slices(batches):
+        for part in byte_slices(batches, limit=SLICE):
             sets = shingle_sets(_texts(part))
             own = [own_count(u) if len(u) else (0, 0) for u in sets]
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id").cast(pa.int64()),
+                    part.column("text_hash"),
                     pa.array([len(u) for u in sets], pa.int64()),
                     pa.array([set_key(u) if len(u) else 0 for u in sets], pa.int64()),
                     pa.array([n for n, _ in own], pa.int64()),
                     pa.array([level for _, level in own], pa.int32()),
                 ],
-                ["doc_id", "n", "node", "sigs", "level"],
+                ["doc_id", "text_hash", "n", "node", "sigs", "level"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, node long, sigs long, level int")
+    schema = "doc_id long, text_hash long, n long, node long, sigs long, level int"
+    return docs.select("doc_id", "text", _text_hash().alias("text_hash")).mapInArrow(run, schema)
 
 
 def shared_signatures(docs: DataFrame, levels: dict[int, int]) -> DataFrame:
@@ -143,8 +152,32 @@ def shared_signatures(docs: DataFrame, levels: dict[int, int]) -> DataFrame:
         import pyarrow as pa
 
         seen: set[int] = set()
-        for part in byte_slices(batches, limit=16 << 20):
-            sigs, owner, own, nodes, sizes = [], [], [], [], []
+        sigs, owner, own, nodes, sizes = [], [], [], [], []
+        held = 0
+
+        def block():
+            sig, tag = np.concatenate(sigs), np.concatenate(owner) * 2 + np.concatenate(own)
+            order = np.argsort(sig)
+            sig, tag = sig[order], tag[order]
+            # buckets are ranges of the signature hash
+            bucket = ((sig >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+            cuts = np.searchsorted(bucket, np.arange(parts + 1, dtype=np.uint64))
+            node, size = np.array(nodes, np.int64), np.array(sizes, np.int64)
+            rows = []
+            for b in range(parts):
+                x, y = int(cuts[b]), int(cuts[b + 1])
+                if x < y:
+                    used, place = np.unique(tag[x:y] >> 1, return_inverse=True)
+                    code = (place * 2 + (tag[x:y] & 1)).astype(np.uint32)
+                    rows.append((b, sig[x:y].tobytes(), code.tobytes(), node[used].tobytes(), size[used].tobytes()))
+            for x in (sigs, owner, own, nodes, sizes):
+                x.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*rows), [pa.int32()] + [pa.binary()] * 4)],
+                ["bucket", "sigs", "codes", "nodes", "sizes"],
+            )
+
+        for part in byte_slices(batches, limit=SLICE):
             for u in shingle_sets(_texts(part)):
                 n = len(u)
                 node = set_key(u) if n else 0
@@ -157,29 +190,15 @@ def shared_signatures(docs: DataFrame, levels: dict[int, int]) -> DataFrame:
                     s = signatures(u, mixed, j, count(j))
                     sigs.append(s)
                     owner.append(np.full(len(s), len(nodes), np.int32))
-                    own.append(np.full(len(s), j == i))
+                    own.append(np.full(len(s), j == i, np.int32))
+                    held += len(s)
                 nodes.append(node)
                 sizes.append(n)
-            if not nodes:
-                continue
-            sig, owner, own = np.concatenate(sigs), np.concatenate(owner), np.concatenate(own)
-            order = np.argsort(sig)
-            sig, tag = sig[order], (owner * 2 + own)[order].astype(np.int32)
-            # buckets are ranges of the signature hash
-            bucket = ((sig >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-            cuts = np.searchsorted(bucket, np.arange(parts + 1, dtype=np.uint64))
-            nodes, sizes = np.array(nodes, np.int64), np.array(sizes, np.int64)
-            rows = []
-            for b in range(parts):
-                x, y = int(cuts[b]), int(cuts[b + 1])
-                if x < y:
-                    used, place = np.unique(tag[x:y] >> 1, return_inverse=True)
-                    code = (place * 2 + (tag[x:y] & 1)).astype(np.uint32)
-                    rows.append((b, sig[x:y].tobytes(), code.tobytes(), nodes[used].tobytes(), sizes[used].tobytes()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows), [pa.int32()] + [pa.binary()] * 4)],
-                ["bucket", "sigs", "codes", "nodes", "sizes"],
-            )
+                if held >= BLOCK:
+                    yield block()
+                    held = 0
+        if held:
+            yield block()
 
     def group(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -251,7 +270,7 @@ def linked(docs: DataFrame, pairs: DataFrame, where: DataFrame) -> DataFrame:
     def send(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for part in byte_slices(batches, limit=2 << 20):
+        for part in byte_slices(batches, limit=SLICE):
             nodes, roles = part.column("node").to_pylist(), part.column("roles").to_pylist()
             rows = []
             for u, node, jobs in zip(shingle_sets(_texts(part)), nodes, roles):
@@ -293,6 +312,29 @@ def linked(docs: DataFrame, pairs: DataFrame, where: DataFrame) -> DataFrame:
 
 def near_groups(docs: DataFrame, cold: int = COLD) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
+    return labelled_rows(docs, cold).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def keep_one(docs: DataFrame, cold: int = COLD) -> DataFrame:
+    """``docs`` with one document of each group: the one of smallest id, then of smallest text hash.
+
+    Documents without words are in no group and all stay.
+    """
+    words = F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")).alias("best")
+    winners = staged(labelled_rows(docs, cold).filter("n > 0").groupBy("component").agg(best), "op1-winners")
+    winners = winners.select(F.col("best.doc_id").alias("_id"), F.col("best.text_hash").alias("_key"))
+    rows = docs.filter(words).select(
+        F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("long").alias("_doc"), _text_hash().alias("_hash")
+    )
+    kept = rows.join(
+        winners.hint("merge"), F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_key")), "left_semi"
+    ).dropDuplicates(["_doc", "_hash"])
+    return kept.select("_row.*").unionByName(docs.filter(~words))
+
+
+def labelled_rows(docs: DataFrame, cold: int = COLD) -> DataFrame:
+    """doc_id, text_hash, n, component (NULL without shingles) and component_id of every document."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = staged(describe(docs), "op1-rows")
     full = rows.filter("n > 0")
@@ -359,11 +401,7 @@ def near_groups(docs: DataFrame, cold: int = COLD) -> DataFrame:
     named = full.groupBy("node").agg(F.min("doc_id").alias("least")).join(comp, "node", "left")
     named = named.select("node", "least", F.coalesce("component", "node").alias("component"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    ids = named.select("node", "component").join(least, "component").select("node", "component_id")
-    return (
-        full.join(ids, "node")
-        .select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-        .unionByName(
-            rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-        )
-    )
+    ids = named.select("node", "component").join(least, "component").select("node", "component", "component_id")
+    columns = ["doc_id", "text_hash", "n", "component", "component_id"]
+    none = rows.filter("n = 0").withColumn("component", F.lit(None).cast("long")).withColumn("component_id", F.col("doc_id"))
+    return full.join(ids, "node").select(*columns).unionByName(none.select(*columns))
