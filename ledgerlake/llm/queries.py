@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from . import digests, html_wrappers, license_scan, line_dedup, merge_dropout, ngram_join, packing, pii_crf, quality_rules, toxicity
 from .common import read
 
@@ -75,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_patience_line_dedup": op8_patience_line_dedup,
     "op9_merge_dropout": op9_merge_dropout,
     "op10_patience_licenses": op10_patience_licenses,
+    "pipeline": corpus_pipeline.run,
 }
 
 #: DuckDB forms; an operator that SQL cannot express has none and is tested by brute force.
