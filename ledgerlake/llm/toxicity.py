@@ -6,7 +6,7 @@ from both ends, attention pools their states, a logistic unit scores the
 window.  A document's score is that of its most toxic window; windows overlap,
 so they cover every word of the whole text, phrases across borders included.
 
-The model is trained in numpy on the driver from at most ``max_train`` labelled
+The model is trained in numpy, in one task, from at most ``max_train`` labelled
 documents of the training folds (the rows of smallest hash of their id, so the
 choice does not depend on order or partitions): multiple-instance learning,
 each document teaches by the window that scores highest.  Embeddings start
@@ -245,25 +245,31 @@ def gradients(p, table: WordTable, codes, start, length, y, s: Settings) -> tupl
     return g, loss
 
 
-def _log_odds(bucket, doc, y, size):
+def _log_odds(pos, all_, prior: float):
     """Smoothed log-odds of label 1 for documents that hold a bucket."""
-    seen = np.unique(bucket.astype(np.int64) * len(y) + doc)
-    bucket, label = seen // len(y), y[seen % len(y)]
-    pos, all_ = np.bincount(bucket, label, size), np.bincount(bucket, minlength=size)
-    prior = y.mean()
     rate = (pos + 2 * prior) / (all_ + 2)
     return np.log(rate / (1 - rate)) - np.log(prior / (1 - prior))
 
 
+def _document_counts(table: WordTable, codes, offsets, y, s: Settings):
+    """Per word and trigram bucket, the documents of label 1 and all that hold it."""
+    out = np.zeros((2, s.word_buckets)), np.zeros((2, s.char_buckets))
+    for k, label in enumerate(y):
+        words = np.unique(codes[offsets[k] : offsets[k + 1]])
+        for count, buckets in zip(out, (table.word[words], table.trigrams(words)[0])):
+            seen = np.unique(buckets)
+            count[0, seen] += label
+            count[1, seen] += 1
+    return out
+
+
 def initial(table: WordTable, codes, offsets, y, s: Settings) -> dict:
     rng = np.random.default_rng(s.seed)
     f = lambda *shape, scale: (rng.normal(size=shape) * scale).astype(np.float32)
     h, d = s.hidden, s.embed
     p = {"word": f(s.word_buckets, d, scale=0.1), "char": f(s.char_buckets, d, scale=0.1)}
-    doc = np.repeat(np.arange(len(y)), np.diff(offsets))
-    p["word"][:, 0] = _log_odds(table.word[codes], doc, y, s.word_buckets)
-    tri, owner = table.trigrams(codes)
-    p["char"][:, 0] = _log_odds(tri, doc[owner], y, s.char_buckets)
+    for name, (pos, all_) in zip(("word", "char"), _document_counts(table, codes, offsets, y, s)):
+        p[name][:, 0] = _log_odds(pos, all_, float(y.mean()))
     for k in "fb":
         p[f"w_{k}"], p[f"u_{k}"] = f(2 * d, 3 * h, scale=0.3), f(h, 3 * h, scale=0.3)
         p[f"b_{k}"] = np.zeros(3 * h, np.float32)
@@ -341,10 +347,31 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> tuple[d
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(s.max_train)
     )
-    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("doc_id", "text", "toxic").collect()
-    rows = sorted(rows, key=lambda r: (r["doc_id"], r["text"] or ""))
-    texts, y = [r["text"] or "" for r in rows], [int(r["toxic"]) for r in rows]
-    return train(texts, y, s), float(np.mean(y)) if y else 0.0
+    sample = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("doc_id", "text", "toxic")
+
+    def learn(batches: Iterator) -> Iterator:
+        import io
+
+        import pyarrow as pa
+
+        rows = [r for b in batches for r in zip(*(b.column(k).to_pylist() for k in range(3)))]
+        rows.sort(key=lambda r: (r[0], r[1] or ""))
+        y = [int(r[2]) for r in rows]
+        model = train([r[1] or "" for r in rows], y, s)
+        raw = io.BytesIO()
+        if model is not None:
+            np.savez(raw, **model)
+        mean = float(np.mean(y)) if y else 0.0
+        yield pa.RecordBatch.from_arrays([pa.array([raw.getvalue()], pa.binary()), pa.array([mean])], ["model", "mean"])
+
+    # a bounded sample: one task learns, so the driver holds the parameters only
+    row = sample.repartition(1).mapInArrow(learn, "model binary, mean double").first()
+    if row is None or not row["model"]:
+        return None, row["mean"] if row else 0.0
+    import io
+
+    with np.load(io.BytesIO(bytes(row["model"]))) as saved:
+        return {k: saved[k] for k in saved.files}, row["mean"]
 
 
 def score(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> DataFrame:
