@@ -1,6 +1,8 @@
 """Batch and streaming jobs, as the scheduled tasks of the original system.
 
     python -m ledgerlake.jobs stream   --input DIR --base DIR [--servers H:P --topic T] [--once]
+                                       [--deadletter-servers H:P] [--blacklist CSV] [--card-scope]
+    python -m ledgerlake.jobs signals  --base DIR --gold DIR
     python -m ledgerlake.jobs silver   --bronze DIR --silver DIR [--from D --to D]
     python -m ledgerlake.jobs gold     --silver DIR --gold DIR
     python -m ledgerlake.jobs quality  --gold DIR
@@ -20,22 +22,36 @@ from pyspark.sql import DataFrame, SparkSession
 from .operators import quality as Q
 from .plans import gold, reports, silver
 from .session import build_session
-from .sources import messages
+from .sources import messages, seeds
 from .streaming import screening_job
 
 
 def stream_job(spark: SparkSession, base: str, input_dir: str | None = None, servers: str | None = None,
-               topic: str = "payments.raw", once: bool = False):
-    """Start the screening stream (Kafka when available, else files)."""
+               topic: str = "payments.raw", once: bool = False, deadletter_servers: str | None = None,
+               blacklist_csv: str | None = None, card_scope: bool = False):
+    """Start the screening stream (Kafka when servers are given, else files)."""
     source = messages.read_stream(spark, path=input_dir, servers=servers, topic=topic)
-    query = screening_job.start(source, screening_job.StreamLayout(base), available_now=once)
+    query = screening_job.start(
+        source,
+        screening_job.StreamLayout(base),
+        available_now=once,
+        deadletter_servers=deadletter_servers,
+        blacklist=seeds.blacklist_seed(spark, blacklist_csv) if blacklist_csv else None,
+        card_scope=card_scope,
+    )
     if once:
         query.awaitTermination()
     return query
 
 
+def signals_job(spark: SparkSession, base: str, gold_path: str) -> int:
+    """The stream's fraud signals into Gold; ids that Gold holds stay as they are."""
+    signals = screening_job.read_outputs(spark, screening_job.StreamLayout(base))["signals"]
+    return gold.load_signals(spark, signals, gold_path)
+
+
 def gold_job(spark: SparkSession, silver_path: str, gold_path: str) -> list[str]:
-    """Daily Silver -> Gold load (in place, partition-aware)."""
+    """Daily Silver -> Gold load."""
     staged = gold.stage(silver.read_silver(spark, silver_path))
     return gold.load_gold(spark, staged, gold_path)
 
@@ -87,17 +103,20 @@ def reports_job(spark: SparkSession, gold_path: str, out_dir: str, run_date: str
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="ledgerlake.jobs")
-    ap.add_argument("job", choices=["stream", "silver", "gold", "quality", "reports"])
+    ap.add_argument("job", choices=["stream", "signals", "silver", "gold", "quality", "reports"])
     ap.add_argument("--input"), ap.add_argument("--base"), ap.add_argument("--servers"), ap.add_argument("--topic", default="payments.raw")
-    ap.add_argument("--once", action="store_true")
+    ap.add_argument("--once", action="store_true"), ap.add_argument("--card-scope", action="store_true")
+    ap.add_argument("--deadletter-servers"), ap.add_argument("--blacklist")
     ap.add_argument("--bronze"), ap.add_argument("--silver"), ap.add_argument("--gold"), ap.add_argument("--out")
     ap.add_argument("--from", dest="date_from"), ap.add_argument("--to", dest="date_to"), ap.add_argument("--run-date")
     a = ap.parse_args(argv)
     spark = build_session(app_name=f"ledgerlake-{a.job}")
     if a.job == "stream":
-        q = stream_job(spark, a.base, a.input, a.servers, a.topic, a.once)
+        q = stream_job(spark, a.base, a.input, a.servers, a.topic, a.once, a.deadletter_servers, a.blacklist, a.card_scope)
         if not a.once:
             q.awaitTermination()
+    elif a.job == "signals":
+        signals_job(spark, a.base, a.gold)
     elif a.job == "silver":
         silver.bronze_silver_job(spark, a.bronze, a.silver, a.date_from, a.date_to)
     elif a.job == "gold":

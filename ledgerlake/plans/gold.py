@@ -1,19 +1,24 @@
 """Silver -> Gold star schema.
 
-``gold_increment`` derives the six Gold tables' new rows from a Silver
-DataFrame; ``merge_gold`` applies them to the current tables with the upsert
-operators; ``publish_table`` writes a new version.  The staged transactions
-feed five consumers, so callers may ``persist`` them once (``stage``).
+``gold_increment`` derives the Gold tables' new rows from a Silver DataFrame;
+``load_gold`` adds them to the tables.  A table on the shared file system is a
+log of loads: every load writes its collapsed rows to a folder of its own
+(``load=<n>``) and then a commit file.  Reading takes, per key, the row of the
+newest load (upserted tables) or of the oldest one (insert-if-absent tables),
+so no load rewrites or deletes what another one wrote, a crash before the
+commit file leaves no trace, and a row whose day is NULL or changes is a row
+like any other.  ``compact`` writes the current rows as one load and readers
+start there.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..operators.upsert import DEFAULT_BROADCAST_KEYS, key_side, insert_if_absent, upsert
+from ..operators.dedup import keep_earliest, keep_latest
+from ..operators.upsert import collapse_source
 from ..schemas import GOLD_COLUMNS, GOLD_DDL, GOLD_KEYS, PAYMENT
 from . import marts
 
@@ -64,7 +69,8 @@ def gold_increment(staged: DataFrame, fee_rate: str = marts.DEFAULT_FEE_RATE, wi
         "dim_merchant": marts.dim_merchant(staged),
         "fact_transactions": fact_transactions_rows(staged),
         "fact_settlement_daily": marts.settlement_daily(staged, fee_rate),
-        "fact_fraud_signals": signals.select(*GOLD_COLUMNS["fact_fraud_signals"]),
+        # F8 is kept apart from the stream's real signals (load_signals)
+        "review_signals": signals.select(*GOLD_COLUMNS["review_signals"]),
     }
 
 
@@ -76,6 +82,7 @@ MERGE_MODE = {
     "fact_transactions": "upsert",
     "fact_settlement_daily": "upsert",
     "fact_fraud_signals": "insert",
+    "review_signals": "insert",
 }
 
 
@@ -84,157 +91,87 @@ def empty_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.createDataFrame([], GOLD_DDL[name])
 
 
-def merge_gold(current: dict[str, DataFrame], increment: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    out = {}
-    for name, inc in increment.items():
-        tgt = current[name]
-        keys = GOLD_KEYS[name]
-        if MERGE_MODE[name] == "insert":
-            out[name] = insert_if_absent(tgt, inc.select(*tgt.columns), keys)
-        else:
-            out[name] = upsert(tgt, inc.select(*tgt.columns), keys)
-    return out
+LOAD = "load"
 
 
-def publish_table(df: DataFrame, base_path: str, name: str, version: int) -> str:
-    """Write a new version of a Gold table; readers switch to it afterwards."""
-    path = f"{base_path.rstrip('/')}/{name}/version={version}"
-    df.write.mode("overwrite").parquet(path)
-    return path
-
-
-def create_tables(spark: SparkSession, base_path: str, database: str | None = None) -> list[str]:
-    """K6: declare the Gold tables if missing (external Parquet tables)."""
-    names = []
-    for name, ddl in GOLD_DDL.items():
-        full = f"{database}.{name}" if database else name
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({ddl}) USING parquet LOCATION '{base_path.rstrip('/')}/{name}'")
-        names.append(full)
-    return names
-
+def _commits(spark: SparkSession, path: str) -> list[tuple[int, bool]]:
+    """(load, is a compaction) of the committed loads, in order: one listing of small files."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_commits")
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(p)]
+    return sorted((int(n.split(".")[0]), n.endswith(".full")) for n in names if n.split(".")[0].isdigit())
 
-# --- loading into Gold tables on a shared file system ------------------------
-#
-# Facts are partitioned by their day; an upsert rewrites only the day
-# partitions that hold an incoming key or receive one (dynamic partition
-# overwrite), so a daily load costs the size of its days, not of the table.
-# Insert-if-absent tables only append the new keys.  The small upserted
-# dimension is rewritten as a new version folder ``v=<n>``.
 
-PARTITION_BY = {"fact_transactions": "date_id", "fact_settlement_daily": "dt"}
-VERSIONED = {"dim_merchant"}
+def _commit(spark: SparkSession, path: str, load: int, full: bool) -> None:
+    """Make a load visible: creating the file fails if another writer took the number."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_commits/{load:09d}.{'full' if full else 'part'}")
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.create(p, False).close()
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+def _live_loads(spark: SparkSession, path: str) -> list[int]:
+    """The committed loads readers need: the last compaction and what came after."""
+    commits = _commits(spark, path)
+    start = max((n for n, full in commits if full), default=0)
+    return [n for n, _ in commits if n >= start]
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return bool(fs.exists(p))
+def read_gold(spark: SparkSession, gold_path: str, name: str) -> DataFrame | None:
+    """Current content of a Gold table (None when it was never loaded)."""
+    path = f"{gold_path.rstrip('/')}/{name}"
+    loads = _live_loads(spark, path)
+    if not loads:
+        return None
+    schema = spark.createDataFrame([], GOLD_DDL[name]).schema.add(LOAD, "long")
+    rows = spark.read.schema(schema).parquet(*[f"{path}/{LOAD}={n}" for n in loads])
+    if len(loads) > 1:
+        pick = keep_earliest if MERGE_MODE[name] == "insert" else keep_latest
+        rows = pick(rows, GOLD_KEYS[name], [LOAD])
+    return rows.select(*GOLD_COLUMNS[name])
+
+
+def add_rows(spark: SparkSession, gold_path: str, name: str, rows: DataFrame, full: bool = False) -> int:
+    """One load of a Gold table: keyed rows only, one per key."""
+    path = f"{gold_path.rstrip('/')}/{name}"
+    load = max((n for n, _ in _commits(spark, path)), default=0) + 1
+    rows = rows.select(*GOLD_COLUMNS[name])
+    if not full:
+        rows = collapse_source(rows, GOLD_KEYS[name], latest=MERGE_MODE[name] != "insert")
+    types = {f.name: f.dataType for f in spark.createDataFrame([], GOLD_DDL[name]).schema.fields}
+    typed = rows.select(*[F.col(c).cast(types[c]).alias(c) for c in GOLD_COLUMNS[name]], F.lit(load).cast("long").alias(LOAD))
+    typed.write.mode("overwrite").parquet(f"{path}/{LOAD}={load}")
+    _commit(spark, path, load, full)
+    return load
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("v=") and name[2:].isdigit():
-            out.append(int(name[2:]))
-    return sorted(out)
+def compact(spark: SparkSession, gold_path: str, name: str) -> int | None:
+    """Write the current rows as one load; readers start there from now on."""
+    current = read_gold(spark, gold_path, name)
+    return None if current is None else add_rows(spark, gold_path, name, current, full=True)
 
 
-def read_gold(spark: SparkSession, gold_path: str, name: str) -> DataFrame | None:
-    """Current content of a Gold table (None when it was never written)."""
-    path = f"{gold_path.rstrip('/')}/{name}"
-    if name in VERSIONED:
-        vs = _versions(spark, path)
-        return spark.read.parquet(f"{path}/v={vs[-1]}") if vs else None
-    return spark.read.parquet(path) if path_exists(spark, path) else None
-
-
-def _write_new(df: DataFrame, path: str, name: str) -> None:
-    part = PARTITION_BY.get(name)
-    writer = df.write.mode("overwrite")
-    if part:
-        writer = writer.partitionBy(part)
-    writer.parquet(f"{path}/v=1" if name in VERSIONED else path)
-
-
-def _drop_partitions(spark: SparkSession, path: str, col: str, values: list) -> None:
-    for v in values:
-        fs, p = _fs(spark, f"{path}/{col}={v}")
-        fs.delete(p, True)
-
-
-def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, keys: list[str], part: str) -> None:
-    """Insert-or-overwrite into a day-partitioned table, rewriting only the
-    partitions that hold or receive a source key."""
-    target = spark.read.parquet(path)
-    src = source.select(*target.columns)
-    src_keys = src.select(*keys).distinct()
-    # partitions where an incoming key lives today (a row may move days)
-    holding = target.select(*keys, part).join(src_keys, keys, "left_semi").select(part)
-    # the affected days (partitions are days, so the lists are bounded by the
-    # calendar): an IN filter on the partition column prunes the scans to them
-    src_days = {r[0] for r in src.select(part).distinct().collect()}
-    days = sorted(src_days | {r[0] for r in holding.distinct().collect()}, key=str)
-    affected = target.filter(F.col(part).isin(days))
-    rebuilt = upsert(affected, src, keys, broadcast_keys=DEFAULT_BROADCAST_KEYS)
-    # a day whose every row moved away gets no new files and must be deleted;
-    # found on the key columns only
-    staying = affected.select(*keys, part).join(key_side(src, keys, DEFAULT_BROADCAST_KEYS), keys, "left_anti")
-    remaining = {r[0] for r in staying.select(part).distinct().collect()}
-    gone = [d for d in days if d not in src_days and d not in remaining]
-    rebuilt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
-    _drop_partitions(spark, path, part, gone)
-
-
-def append_absent(spark: SparkSession, path: str, source: DataFrame, keys: list[str], part: str | None = None) -> None:
-    """Insert-if-absent: append only keys the table does not hold."""
-    target = spark.read.parquet(path)
-    src = source.select(*target.columns)
-    # only target keys that also arrive now travel to the anti join
-    present = target.select(*keys).join(key_side(src, keys, DEFAULT_BROADCAST_KEYS), keys, "left_semi")
-    fresh = src.join(present, keys, "left_anti")
-    writer = fresh.write.mode("append")
-    if part:
-        writer = writer.partitionBy(part)
-    writer.parquet(path)
+def create_tables(spark: SparkSession, gold_path: str, prefix: str = "") -> list[str]:
+    """Every Gold table under its name, with its declared columns and its current rows."""
+    names = []
+    for name in GOLD_DDL:
+        df = read_gold(spark, gold_path, name)
+        (empty_table(spark, name) if df is None else df).createOrReplaceTempView(prefix + name)
+        names.append(prefix + name)
+    return names
 
 
 def load_gold(
     spark: SparkSession, staged: DataFrame, gold_path: str, fee_rate: str = marts.DEFAULT_FEE_RATE, with_clock: bool = True
 ) -> list[str]:
-    """Silver -> Gold in place: every table absorbs one staged Silver load."""
-    base = gold_path.rstrip("/")
-    # six tables read the same staged load: keep it once (it is one load's
-    # worth of rows, not the table) instead of re-reading Silver six times
-    staged = staged.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return _load_all(spark, staged, base, fee_rate, with_clock)
-    finally:
-        staged.unpersist()
-
-
-def _load_all(spark: SparkSession, staged: DataFrame, base: str, fee_rate: str, with_clock: bool) -> list[str]:
+    """Silver -> Gold: every table absorbs one staged Silver load, at the load's cost."""
     inc = gold_increment(staged, fee_rate, with_clock)
     for name, rows in inc.items():
-        path = f"{base}/{name}"
-        keys = GOLD_KEYS[name]
-        rows = rows.select(*GOLD_COLUMNS[name])
-        current = read_gold(spark, base, name)
-        if current is None:
-            _write_new(insert_if_absent(empty_table(spark, name), rows, keys), path, name)
-        elif MERGE_MODE[name] == "insert":
-            append_absent(spark, path, rows, keys, PARTITION_BY.get(name))
-        elif name in PARTITION_BY:
-            upsert_partitions(spark, path, rows, keys, PARTITION_BY[name])
-        else:
-            n = _versions(spark, path)[-1] + 1
-            upsert(current, rows, keys).write.mode("overwrite").parquet(f"{path}/v={n}")
+        add_rows(spark, gold_path, name, rows)
     return sorted(inc)
+
+
+def load_signals(spark: SparkSession, signals: DataFrame, gold_path: str) -> int:
+    """K3/R2: the stream's fraud signals into ``fact_fraud_signals``; the first signal of an id stays."""
+    return add_rows(spark, gold_path, "fact_fraud_signals", signals)

@@ -118,6 +118,7 @@ GOLD_KEYS = {
     "fact_transactions": ["transaction_id"],
     "fact_settlement_daily": ["merchant_id", "currency", "dt"],
     "fact_fraud_signals": ["transaction_id"],
+    "review_signals": ["transaction_id"],
 }
 
 GOLD_DDL = {
@@ -138,3 +139,7 @@ GOLD_DDL = {
         "reason STRING, created_at TIMESTAMP"
     ),
 }
+
+# F8's rows marked for review: the same columns, never mixed with real signals.
+GOLD_COLUMNS["review_signals"] = GOLD_COLUMNS["fact_fraud_signals"]
+GOLD_DDL["review_signals"] = GOLD_DDL["fact_fraud_signals"]

@@ -28,10 +28,6 @@ def test_upserts(spark):
     assert sorted(map(tuple, U.upsert(up, source, ["id"], order=["v"]).collect())) == sorted(map(tuple, up.collect()))
     ins = U.insert_if_absent(target, source, ["id"], order=["v"])
     assert _kv(ins) == {1: "a", 2: "b", 3: "C"}  # existing rows never change; first by order wins
-    cols = U.upsert_columns(
-        spark.createDataFrame([(1, "a", "keep")], "id int, v string, w string"), source, ["id"], ["v"], order=["v"]
-    )
-    assert {r.id: (r.v, r.w) for r in cols.collect()} == {1: ("a", "keep"), 2: ("B", None), 3: ("c", None)}
 
 
 def test_state_last_ten_and_merge(spark):
@@ -61,22 +57,6 @@ def test_scd2_incremental(spark):
     assert [(r.mcc, r.is_current) for r in new] == [("1", False), ("2", False), ("3", True)]
 
 
-def test_gold_load_and_publish(spark, seed, blacklist):
-    staged = gold.stage(silver.standardize(seed, add_clock=False))
-    inc = gold.gold_increment(staged, with_clock=False)
-    empty = {n: gold.empty_table(spark, n) for n in inc}
-    g1 = gold.merge_gold(empty, inc)
-    g2 = gold.merge_gold(g1, inc)  # same load twice: nothing changes
-    for n in inc:
-        assert sorted(map(tuple, g1[n].collect())) == sorted(map(tuple, g2[n].collect())), n
-    assert g1["fact_transactions"].count() == 14
-    assert g1["fact_settlement_daily"].count() == 6  # the NULL-merchant group cannot enter the keyed table
-    assert g1["fact_fraud_signals"].count() == 14
-    base = scratch_path(spark, "gold")
-    path = gold.publish_table(g1["dim_card"], base, "dim_card", 1)
-    assert spark.read.parquet(path).count() == 5
-
-
 def test_backfill_columns(spark, seed):
     out = silver.backfill_columns(seed.drop("mcc", "channel"), PAYMENT)
     assert out.columns[:10] == [f.name for f in PAYMENT.fields]
@@ -85,14 +65,15 @@ def test_backfill_columns(spark, seed):
 
 def test_quality(spark, seed):
     dup = seed.unionByName(seed.limit(2))
-    assert {r.transaction_id: r.n for r in Q.unique(dup, "transaction_id").collect()} == {"TXN1": 2, "TXN2": 2}
-    assert [r.transaction_id for r in Q.not_null(seed, "merchant_id").collect()] == ["TXN14"]
-    parents = spark.createDataFrame([("M10001",)], "merchant_id string")
+    assert {r.transaction_id: r.n for r in Q.unique(dup, "transaction_id").collect()} == {"P-01": 2, "P-02": 2, "P-17": 2}
+    assert [r.transaction_id for r in Q.not_null(seed, "merchant_id").collect()] == ["P-19"]
+    parents = spark.createDataFrame([("M20010",)], "merchant_id string")
     orphans = Q.relationships(seed, "merchant_id", parents, "merchant_id")
-    assert orphans.count() == 11  # M10001 rows match, the NULL merchant is exempt
+    assert orphans.count() == 17  # M20010 rows match, the NULL merchant is exempt
     assert Q.table_has_rows(seed) and not Q.table_has_rows(seed.limit(0))
-    req = seed.select(Q.has_required_fields().alias("ok")).collect()
-    assert sum(not r.ok for r in req) == 1
+    req = seed.select("transaction_id", Q.has_required_fields().alias("ok")).filter("NOT ok").collect()
+    # no card, no time, no readable amount, no merchant
+    assert sorted(r.transaction_id for r in req) == ["P-15", "P-16", "P-18", "P-19"]
     K = Q.Check
     res = Q.suite({"t": dup, "p": parents}, [
         K("nn", "t", "merchant_id", "not_null"),
@@ -100,7 +81,7 @@ def test_quality(spark, seed):
         K("fk", "t", "merchant_id", "relationships", "p", "merchant_id"),
         K("pos", "t", "amount", "expression", condition="amount >= 0"),
     ])
-    assert {r.check_name: r.violations for r in res.collect()} == {"nn": 1, "uq": 2, "fk": 11, "pos": 0}
+    assert {r.check_name: r.violations for r in res.collect()} == {"nn": 1, "uq": 3, "fk": 17, "pos": 0}
 
 
 def test_reports_round_trip(spark, seed):
@@ -111,67 +92,74 @@ def test_reports_round_trip(spark, seed):
     path = reports.write_report(rep, f"{base}/settlement", run_date=dt.date(2025, 11, 5))
     assert path.endswith("run_date=2025-11-05")
     back = spark.read.option("header", True).csv(path)
-    assert back.count() == 7 and back.columns[2] == "date"
+    assert back.count() == 11 and back.columns[2] == "date"
     assert reports.write_table_report(spark, f"{base}/missing_table", f"{base}/out") is None
     tot = {r.merchant_id: r.total_amount for r in reports.totals_report(seed).collect()}
-    assert tot["M10004"] == Decimal("390.00")
+    assert tot["M20014"] == Decimal("453.00")
     assert os.path.isdir(path.replace("file:", ""))
 
 
-def test_load_gold_in_place(spark, seed):
-    from pyspark.sql import functions as F
-
+def test_load_gold(spark, seed):
     base = scratch_path(spark, "gold-load")
     staged = gold.stage(silver.standardize(seed, add_clock=False))
     gold.load_gold(spark, staged, base, with_clock=False)
+    first = {n: sorted(map(repr, gold.read_gold(spark, base, n).collect())) for n in gold.gold_increment(staged)}
     gold.load_gold(spark, staged, base, with_clock=False)  # same load again: no change
+    for n, rows in first.items():
+        assert sorted(map(repr, gold.read_gold(spark, base, n).collect())) == rows, n
     facts = gold.read_gold(spark, base, "fact_transactions")
-    assert facts.count() == 14 and facts.select("transaction_id").distinct().count() == 14
-    assert gold.read_gold(spark, base, "fact_fraud_signals").count() == 14
-    assert gold.read_gold(spark, base, "dim_card").count() == 5
-    # second load: TXN1 moves to the next day with a new amount, TXN99 is new,
-    # M10001 changes its mcc
-    moved = seed.filter("transaction_id IN ('TXN1', 'TXN2')").withColumn(
+    assert facts.count() == 19 == facts.select("transaction_id").distinct().count()
+    assert facts.filter("date_id IS NULL").count() == 1
+    assert gold.read_gold(spark, base, "fact_fraud_signals") is None  # review rows are no signals
+    # second load: P-01 moves to the next day with a new amount, P-99 is new without a
+    # time and comes twice, a row without an id cannot enter, M20010 changes its mcc
+    moved = seed.filter("transaction_id IN ('P-01', 'P-02')").withColumn(
         "ts_event", F.col("ts_event") + F.expr("INTERVAL 1 DAY")
     ).withColumn("amount", F.col("amount") + 1).withColumn("mcc", F.lit("7000"))
-    new = seed.filter("transaction_id = 'TXN3'").withColumn("transaction_id", F.lit("TXN99"))
-    staged2 = gold.stage(silver.standardize(moved.unionByName(new), add_clock=False))
-    gold.load_gold(spark, staged2, base, with_clock=False)
+    no_time = seed.filter("transaction_id = 'P-16'")
+    new = no_time.withColumn("transaction_id", F.lit("P-99"))
+    nameless = no_time.withColumn("transaction_id", F.lit(None).cast("string"))
+    load2 = moved.unionByName(new).unionByName(new).unionByName(nameless)
+    gold.load_gold(spark, gold.stage(silver.standardize(load2, add_clock=False)), base, with_clock=False)
     facts = {r.transaction_id: (str(r.date_id), r.amount) for r in gold.read_gold(spark, base, "fact_transactions").collect()}
-    assert len(facts) == 15
-    assert facts["TXN1"] == ("2025-11-05", Decimal("26.50")) and facts["TXN99"][0] == "2025-11-04"
+    assert len(facts) == 20 and None not in facts
+    assert facts["P-01"] == ("2026-03-03", Decimal("13.40"))
+    assert facts["P-16"] == facts["P-99"] == ("None", Decimal("20.00"))  # no row of the NULL day is lost
     settle = {(r.merchant_id, str(r.dt)): r.txn_count for r in gold.read_gold(spark, base, "fact_settlement_daily").collect()}
-    # the day of the second load's rows is replaced by their new aggregate
-    assert settle[("M10001", "2025-11-05")] == 2
-    assert settle[("M10002", "2025-11-04")] == 1
-    assert {r.merchant_id: r.mcc for r in gold.read_gold(spark, base, "dim_merchant").collect()}["M10001"] == "7000"
-    assert sorted(str(r.date_id) for r in gold.read_gold(spark, base, "dim_date").collect()) == ["2025-11-04", "2025-11-05"]
+    assert settle[("M20010", "2026-03-03")] == 2 and settle[("M20011", "2026-03-02")] == 1
+    assert {r.merchant_id: r.mcc for r in gold.read_gold(spark, base, "dim_merchant").collect()}["M20010"] == "7000"
+    # a load that was not committed is not there; a compaction changes nothing
+    load2.limit(1).write.parquet(f"{base}/fact_transactions/load=77")
+    assert gold.compact(spark, base, "fact_transactions") == 4
+    again = {r.transaction_id: (str(r.date_id), r.amount) for r in gold.read_gold(spark, base, "fact_transactions").collect()}
+    assert again == facts and gold._live_loads(spark, f"{base}/fact_transactions") == [4]
+    names = gold.create_tables(spark, base, "t_")
+    assert spark.sql("SELECT mcc FROM t_dim_merchant WHERE merchant_id = 'M20010'").collect()[0].mcc == "7000"
+    assert spark.table("t_fact_fraud_signals").count() == 0 and len(names) == 7
+
+
+def test_signals_keep_their_first_row(spark, seed):
+    base = scratch_path(spark, "gold-signals")
+    sig = gold.review_backfill(gold.stage(seed)).withColumn("created_at", F.current_timestamp())
+    one = sig.filter("transaction_id = 'P-04'")
+    gold.load_signals(spark, one.withColumn("reason", F.lit("high_amount")), base)
+    later = one.withColumn("reason", F.lit("velocity")).withColumn("ts_event", F.col("ts_event") + F.expr("INTERVAL 3 DAYS"))
+    null = one.withColumn("transaction_id", F.lit(None).cast("string"))
+    gold.load_signals(spark, later.unionByName(later).unionByName(null), base)
+    assert [(r.transaction_id, r.reason) for r in gold.read_gold(spark, base, "fact_fraud_signals").collect()] == [("P-04", "high_amount")]
 
 
 def test_silver_round_trip_and_missing(spark, seed):
     base = scratch_path(spark, "silver")
     silver.write_silver(silver.silver_from_bronze(seed, order=["ts_event"]), f"{base}/silver")
     back = silver.read_silver(spark, f"{base}/silver")
-    assert back.count() == 14 and "cleaned_ts" in back.columns
+    assert back.count() == 19 and "cleaned_ts" in back.columns
     assert back.filter("cleaned_ts IS NULL").count() == 0
     empty = silver.read_silver(spark, f"{base}/nothing-here")
     assert empty.count() == 0 and "transaction_id" in empty.columns
     assert gold.stage(empty).count() == 0
 
 
-def test_upsert_partitions_moves_and_empties_days(spark):
-    base = scratch_path(spark, "parts")
-    t = spark.createDataFrame(
-        [("1", dt.date(2025, 1, 1), "a"), ("2", dt.date(2025, 1, 2), "b"), ("3", dt.date(2025, 1, 3), "c")],
-        "id string, day date, v string",
-    )
-    t.write.partitionBy("day").parquet(f"{base}/t")
-    src = spark.createDataFrame([("2", dt.date(2025, 1, 1), "B"), ("4", dt.date(2025, 1, 4), "d")], "id string, day date, v string")
-    gold.upsert_partitions(spark, f"{base}/t", src, ["id"], "day")
-    got = sorted((r.id, str(r.day), r.v) for r in spark.read.parquet(f"{base}/t").collect())
-    assert got == [("1", "2025-01-01", "a"), ("2", "2025-01-01", "B"), ("3", "2025-01-03", "c"), ("4", "2025-01-04", "d")]
-
-
 def test_sql_over_registered_views(spark, seed, blacklist):
     from ledgerlake.plans import marts
 
@@ -182,7 +170,7 @@ def test_sql_over_registered_views(spark, seed, blacklist):
         "SELECT merchant_id, currency, dt AS date, txn_count FROM settlement_daily "
         "WHERE merchant_id IS NOT NULL ORDER BY dt DESC, txn_count DESC LIMIT 1"
     ).collect()
-    assert top[0].merchant_id == "M10004" and top[0].txn_count == 6
+    assert top[0].merchant_id == "M20016" and top[0].txn_count == 2
     flagged = spark.sql("SELECT count(*) AS n FROM fact_transactions WHERE flag_high_amount OR flag_blacklisted").first()
     assert flagged.n == 2
 
@@ -201,10 +189,13 @@ def test_plans_prune_and_broadcast(spark, seed):
     plan = pruned._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "2025-01-02" in plan
     src = spark.createDataFrame([("3", dt.date(2025, 1, 2), "w")], "id string, day date, v string")
-    up = U.upsert(target, src, ["id"], broadcast_keys=1000)
+    up = U.upsert(target, src, ["id"])
+    assert up.count() == 50
+    up.collect()  # the measured size of the incoming keys decides
     assert "BroadcastHashJoin" in up._jdf.queryExecution().executedPlan().toString()
-    bl = spark.createDataFrame([("M99999",)], "merchant_id string")
+    bl = spark.createDataFrame([("M20666",)], "merchant_id string")
     facts = marts.fact_transactions(seed, bl)
+    facts.collect()
     assert "BroadcastHashJoin" in facts._jdf.queryExecution().executedPlan().toString()
 
 
@@ -214,7 +205,7 @@ def test_stage_backfills_typed_columns(spark, seed):
     assert types["amount"] == "decimal(18,2)" and types["location"] == "string"
     inc = gold.gold_increment(staged, with_clock=False)
     assert inc["fact_settlement_daily"].filter("gross_amount IS NOT NULL").count() == 0
-    assert inc["fact_transactions"].count() == 14
+    assert inc["fact_transactions"].count() == 20
 
 
 def test_top_k_is_cut_before_the_shuffle(spark):
