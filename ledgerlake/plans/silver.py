@@ -14,7 +14,10 @@ from pyspark.sql import types as T
 
 from ..functions import columns as C
 from ..operators.dedup import keep_latest
+from ..schemas import PAYMENT
+from ..session import scratch_path
 from ..sources import feeds
+from ..sources.tables import path_exists
 
 # Bronze rows are ordered newest-first by load time, then event time.
 BRONZE_ORDER = ("processing_ts", "ts_event")
@@ -73,21 +76,29 @@ def silver_payments(
     dedup-after-enrich while the joins see ~25% fewer rows.  ``columns``
     limits what the dedup shuffle carries (Catalyst cannot prune fields inside
     the aggregated struct); LINE_ORDER is a total order per id, so the
-    survivor does not depend on which columns are carried.  A date range is a
-    filter on ``ts_event`` that Catalyst pushes into the Parquet scan.
+    survivor does not depend on which columns are carried.  A date range returns
+    the Silver rows of those days: the ids seen in the range are deduplicated
+    over all their copies, then the survivors outside the range are left out.
     """
     wanted = list(feeds.PAYMENT_COLUMNS if columns is None else columns)
     base = feeds.line_payments(spark, sf_dir)
+    in_range = F.lit(True)
     if date_from is not None:
-        base = base.filter(F.col("ts_event") >= F.lit(f"{date_from} 00:00:00").cast("timestamp_ntz"))
+        in_range = in_range & (F.col("ts_event") >= F.lit(f"{date_from} 00:00:00").cast("timestamp_ntz"))
     if date_to is not None:
-        base = base.filter(F.col("ts_event") < F.date_add(F.to_date(F.lit(date_to)), 1).cast("timestamp_ntz"))
+        in_range = in_range & (F.col("ts_event") < F.date_add(F.to_date(F.lit(date_to)), 1).cast("timestamp_ntz"))
+    ranged = date_from is not None or date_to is not None
+    if ranged:
+        # the survivor of an id may lie outside the range: all its copies decide
+        base = base.join(base.filter(in_range).select("transaction_id").distinct(), "transaction_id", "left_semi")
     lookup_keys = {"card_hash": "_orderkey", "mcc": "_partkey", "location": "_suppkey"}
     enabled = {"card_hash": card, "mcc": mcc, "location": location}
     carry = [c for c in base.columns if c in wanted and c not in lookup_keys]
     carry += [k for c, k in lookup_keys.items() if c in wanted and enabled[c]]
     narrow = base.select(*dict.fromkeys(["transaction_id", *LINE_ORDER, *carry]))
     latest = dedup_latest(narrow, LINE_ORDER)
+    if ranged:
+        latest = latest.filter(in_range)
     enriched = feeds.enrich_payments(
         spark,
         sf_dir,
@@ -100,14 +111,19 @@ def silver_payments(
 
 
 def read_bronze(
-    spark: SparkSession, path: str, date_from: str | None = None, date_to: str | None = None
+    spark: SparkSession, path: str, date_from: str | None = None, date_to: str | None = None, schema: T.StructType | None = None
 ) -> DataFrame:
     """S3: Bronze as written by the stream (``epoch=<id>/date=<day>`` folders).
 
     A date range filters the ``date`` partition column, so only the folders of
-    those days are listed and read (partition pruning).
+    those days are read.  The schema is the stream's, so epochs without
+    accepted rows, or all of them, read as empty.
     """
-    df = spark.read.option("basePath", path).parquet(path)
+    if schema is None:
+        from ..streaming.screening_job import bronze_schema
+
+        schema = bronze_schema(spark)
+    df = spark.read.schema(schema).option("basePath", path).parquet(path)
     if date_from is not None:
         df = df.filter(F.col("date") >= F.lit(date_from).cast("date"))
     if date_to is not None:
@@ -122,30 +138,54 @@ def bronze_silver_job(
     date_from: str | None = None,
     date_to: str | None = None,
 ) -> str:
-    """Hourly Bronze -> Silver job: scan (pruned), keep latest per id, type,
-    stamp, write Silver partitioned by event date.
+    """Hourly Bronze -> Silver job: keep latest per id, type, stamp, write
+    Silver partitioned by event date.
 
     Without a range every day is rebuilt (K5 full overwrite).  With a range,
-    only those days are read and only their Silver partitions are replaced
-    (dynamic partition overwrite), so an hourly run costs its days, not the
-    table.  Copies of one id are expected within one event day (they are
-    re-deliveries of the same event).  Columns added by the stream for
-    routing are dropped.
+    the ids seen in those days are deduplicated over all their copies, on
+    whatever day, and every Silver day that holds or receives one of them is
+    replaced; days left empty are removed.  So one id has one Silver row after
+    any sequence of runs.  Columns added by the stream for routing are dropped.
     """
-    bronze = read_bronze(spark, bronze_path, date_from, date_to)
-    keep = [c for c in bronze.columns if c not in ("route", "reason", "epoch")]
-    out = silver_from_bronze(bronze.select(*keep))
-    mode = "dynamic" if (date_from or date_to) else "static"
-    out.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("date").parquet(silver_path)
+    whole = read_bronze(spark, bronze_path)
+    whole = whole.select(*[c for c in whole.columns if c not in ("route", "reason", "epoch")])
+    if not (date_from or date_to) or not path_exists(spark, silver_path):
+        # a first run has no Silver to keep to: it builds every day
+        _write_days(silver_from_bronze(whole), silver_path, "static")
+        return silver_path
+    ids = read_bronze(spark, bronze_path, date_from, date_to).select("transaction_id").distinct()
+    fresh = silver_from_bronze(whole.join(ids, "transaction_id", "left_semi"))
+    old = spark.read.parquet(silver_path)
+    held = old.join(ids, "transaction_id", "left_semi").select("date")
+    days = held.unionByName(fresh.select("date")).distinct().withColumnRenamed("date", "_lk_day")
+    touched = F.col("date").eqNullSafe(F.col("_lk_day"))
+    staying = old.join(days, touched, "left_semi").join(ids, "transaction_id", "left_anti")
+    # written aside first: the new days are computed from the days they replace
+    aside = scratch_path(spark, "silver-days")
+    staying.select(*fresh.columns).unionByName(fresh).write.partitionBy("date").parquet(f"{aside}/rows")
+    days.write.parquet(f"{aside}/days")
+    rows = spark.read.schema(fresh.schema).parquet(f"{aside}/rows")
+    _write_days(rows, silver_path, "dynamic")
+    empty = spark.read.parquet(f"{aside}/days").join(rows.select("date").distinct(), touched, "left_anti")
+    for row in empty.toLocalIterator():
+        _drop_day(spark, silver_path, row["_lk_day"])
     return silver_path
 
 
+def _write_days(df: DataFrame, path: str, mode: str) -> None:
+    # rows of a day meet before the write (AQE splits large days): few files per day
+    df.hint("rebalance", "date").write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("date").parquet(path)
+
+
+def _drop_day(spark: SparkSession, path: str, day) -> None:
+    name = "__HIVE_DEFAULT_PARTITION__" if day is None else str(day)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/date={name}")
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def read_silver(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Silver as a DataFrame; a missing folder is an empty DataFrame with
-    the payment schema (the load then writes nothing), not an early exit."""
-    from ..schemas import PAYMENT
-    from ..sources.tables import table_exists
-
-    if table_exists(spark, path):
+    the payment schema (the load then writes nothing); any other error raises."""
+    if path_exists(spark, path):
         return spark.read.parquet(path)
     return spark.createDataFrame([], schema or PAYMENT)

@@ -19,19 +19,18 @@ def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")
 
 
-def read_parquet(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.parquet(path)
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, asked of its own file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
 def table_exists(spark: SparkSession, path_or_name: str) -> bool:
-    """Q5: a catalog table or a Parquet folder is present."""
+    """Q5: a catalog table or a folder is present.
+
+    Only absence is answered with False; a folder that is there but cannot be
+    read raises when it is read.
+    """
     if "/" not in path_or_name:
         return spark.catalog.tableExists(path_or_name)
-    try:
-        spark.read.parquet(path_or_name).schema  # noqa: B018 - resolves the files
-        return True
-    except Exception:  # analysis error: path missing or not Parquet
-        return False
+    return path_exists(spark, path_or_name)
