@@ -73,23 +73,28 @@ class StreamLayout:
         self.checkpoint = f"{b}/_checkpoint"
 
 
-def _read_before(spark: SparkSession, path: str, epoch: int) -> DataFrame | None:
-    """Epoch-partitioned table restricted to epochs < ``epoch`` (pruned)."""
-    try:
-        df = spark.read.parquet(path)
-    except Exception:  # nothing written yet
+def _epochs(spark: SparkSession, path: str, before: int, since: int = -1) -> list[int]:
+    """Epochs written to a table, from one listing of its folder; none if there is no folder."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(p)]
+    found = [int(n.split("=")[1]) for n in names if n.startswith(f"{EPOCH}=")]
+    return sorted(n for n in found if since <= n < before)
+
+
+def _read_epochs(spark: SparkSession, path: str, epochs: list[int]) -> DataFrame | None:
+    """The given epochs by explicit path.  Absence is the only case answered with
+    None; files that are there but cannot be read raise."""
+    if not epochs:
         return None
-    return df.filter(F.col(EPOCH) < epoch)
+    return spark.read.option("basePath", path).parquet(*[f"{path}/{EPOCH}={n}" for n in epochs])
 
 
 def _snapshot_epoch(spark: SparkSession, path: str, epoch: int) -> int:
-    """Latest compaction epoch below ``epoch`` (-1 if none): one number."""
-    try:
-        marks = spark.read.parquet(f"{path}/_snapshots")
-    except Exception:
-        return -1
-    row = marks.filter(F.col(EPOCH) < epoch).agg(F.max(EPOCH).alias("s")).first()
-    return -1 if row is None or row["s"] is None else int(row["s"])
+    """Latest snapshot epoch below ``epoch`` (-1 if none)."""
+    return max(_epochs(spark, f"{path}/_snapshots", epoch), default=-1)
 
 
 def _read_keyed(spark: SparkSession, path: str, epoch: int) -> DataFrame | None:
@@ -99,10 +104,19 @@ def _read_keyed(spark: SparkSession, path: str, epoch: int) -> DataFrame | None:
     every card.  Reading therefore never goes further back than the last
     snapshot, so the work per micro-batch stays bounded as epochs accumulate.
     """
-    df = _read_before(spark, path, epoch)
-    if df is None:
-        return None
-    return df.filter(F.col(EPOCH) >= _snapshot_epoch(spark, path, epoch))
+    return _read_epochs(spark, path, _epochs(spark, path, epoch, _snapshot_epoch(spark, path, epoch)))
+
+
+def _retire(spark: SparkSession, path: str, epoch: int) -> None:
+    """Remove the epochs before the snapshot that precedes the one just written.
+
+    The snapshot before it stays, so an epoch that is replayed after a restart
+    still finds what it read the first time.
+    """
+    before = _snapshot_epoch(spark, path, epoch)
+    for n in _epochs(spark, path, before):
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{EPOCH}={n}")
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def _latest_per_card(df: DataFrame, cards: DataFrame | None) -> DataFrame:
@@ -123,6 +137,7 @@ def _write_keyed(spark, fresh: DataFrame, prev: DataFrame | None, cards: DataFra
         spark.range(1).select(F.lit(epoch).alias(EPOCH)).write.mode("overwrite").parquet(
             f"{path}/_snapshots/{EPOCH}={epoch}"
         )
+        _retire(spark, path, epoch)
 
 
 def retain(rows: DataFrame, params: R.RuleParams, rules: tuple[str, ...]) -> DataFrame:
@@ -215,35 +230,34 @@ class ScreeningBatch:
     def _write(self, spark, routed, valid, hist_all, history, cards, epoch: int) -> None:
         lay = self.layout
         ep = f"{EPOCH}={epoch}"
-        snapshot = self.snapshot_every > 0 and epoch > 0 and epoch % self.snapshot_every == 0
+        # counted from the last snapshot: empty epochs do not skip one
+        last = max(0, _snapshot_epoch(spark, lay.history, epoch))
+        snapshot = 0 < self.snapshot_every <= epoch - last
         # K1 Bronze: accepted rows, partitioned by event date.
         accepted = routed.filter(F.col("route") == SCR.ROUTE_ACCEPTED).drop("raw_value", "malformed", "valid")
-        accepted.withColumn("date", C.event_date("ts_event")).write.mode("overwrite").partitionBy("date").parquet(
-            f"{lay.bronze}/{ep}"
-        )
+        dated = accepted.withColumn("date", C.event_date("ts_event")).hint("rebalance", "date")
+        dated.write.mode("overwrite").partitionBy("date").parquet(f"{lay.bronze}/{ep}")
         # K2 dead letter: invalid and flagged rows as JSON (times as ISO text).
         dead = routed.filter(F.col("route") != SCR.ROUTE_ACCEPTED)
         payload = F.to_json(
             F.struct(
-                *[F.col(c) for c in ("transaction_id", "card_hash", "merchant_id", "currency", "auth_result", "location")],
+                *[F.col(c) for c in ("transaction_id", "card_hash", "merchant_id", "currency", "mcc", "channel", "auth_result", "location")],
                 F.col("ts_text").alias("ts_event"),
                 F.col("amount").cast("string").alias("amount"),
                 "reason",
                 "route",
-                F.when(F.col("malformed"), F.col("raw_value")).alias("raw_value"),
+                "raw_value",
             )
         )
         letters = dead.select(payload.alias("value"))
         letters.write.mode("overwrite").text(f"{lay.deadletter}/{ep}")
-        if self.deadletter_servers and M.kafka_available(spark):
+        if self.deadletter_servers:
             # Kafka copy of the dead letters (at-least-once across replays)
             letters.write.format("kafka").option("kafka.bootstrap.servers", self.deadletter_servers).option(
                 "topic", self.deadletter_topic
             ).save()
-        # K3 fraud signals, partitioned by event date: first write wins across
-        # epochs.  The existence check reads only the date partitions present
-        # in this batch (an IN filter on the partition column; a batch spans
-        # few days), then semi-joins on (date, id).
+        # K3 fraud signals: the first signal of a transaction id stays, whatever
+        # day a later copy carries.
         flagged = routed.filter(F.col("route") == SCR.ROUTE_FLAGGED).select(
             "transaction_id",
             F.col("ts_event"),
@@ -255,28 +269,20 @@ class ScreeningBatch:
             "location",
             "reason",
             F.col("processing_ts").alias("created_at"),
-            C.event_date("ts_event").alias("date"),
         )
         flagged = keep_earliest(flagged, ["transaction_id"], ["ts_event"])
-        prev_signals = _read_before(spark, lay.signals, epoch)
-        if prev_signals is not None:
-            days = [r[0] for r in flagged.select("date").distinct().collect()]
-            in_days = F.col("date").isin([d for d in days if d is not None])
-            dated = prev_signals.filter(in_days | F.col("date").isNull() if None in days else in_days)
-            # NULL dates (no usable event time) must match each other too
-            day = F.coalesce(F.col("date"), F.lit("0001-01-01").cast("date")).alias("_lk_day")
-            keys = ["_lk_day", "transaction_id"]
-            mine = flagged.select(day, "transaction_id")
-            seen = dated.select(day, "transaction_id").join(mine, keys, "left_semi")
-            flagged = flagged.withColumn("_lk_day", day).join(seen, keys, "left_anti").drop("_lk_day")
-        flagged.write.mode("overwrite").partitionBy("date").parquet(f"{lay.signals}/{ep}")
+        seen = _read_epochs(spark, lay.signals, _epochs(spark, lay.signals, epoch))
+        if seen is not None:
+            flagged = flagged.join(seen.select("transaction_id"), "transaction_id", "left_anti")
+        flagged.write.mode("overwrite").parquet(f"{lay.signals}/{ep}")
         # K4 card state: last 10 {ts, auth_result, country} per touched card.
         prev_state = _read_keyed(spark, lay.state, epoch)
         prev_rows = _latest_per_card(prev_state, cards) if prev_state is not None else None
         new_state = ST.merge_state(prev_rows, valid, with_clock=True).join(cards, "card_hash", "left_semi")
         _write_keyed(spark, new_state, prev_state, cards, lay.state, epoch, snapshot)
         # History for the rules of later epochs.
-        rows = valid.filter(F.col("card_hash").isNotNull()).select(*HISTORY_COLUMNS)
+        rows = valid.filter(F.col("card_hash").isNotNull()).withColumn("raw_value", F.lit(None).cast("string"))
+        rows = rows.select(*HISTORY_COLUMNS)
         if history is not None:
             rows = history.unionByName(rows)
         kept = retain(rows, self.params, self.rules)
@@ -291,11 +297,15 @@ def start(
     available_now: bool = False,
     processing_time: str | None = None,
     snapshot_every: int = 32,
+    **options,
 ):
-    """Start the query with its checkpoint; returns StreamingQuery."""
-    writer = source.writeStream.foreachBatch(ScreeningBatch(layout, params, rules, snapshot_every=snapshot_every)).option(
-        "checkpointLocation", layout.checkpoint
-    )
+    """Start the query with its checkpoint; returns StreamingQuery.
+
+    ``options``: ``card_scope``, ``blacklist``, ``deadletter_servers`` and
+    ``deadletter_topic`` of ``ScreeningBatch``.
+    """
+    body = ScreeningBatch(layout, params, rules, snapshot_every=snapshot_every, **options)
+    writer = source.writeStream.foreachBatch(body).option("checkpointLocation", layout.checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
@@ -303,11 +313,19 @@ def start(
     return writer.start()
 
 
+def bronze_schema(spark: SparkSession):
+    """Columns of Bronze, from the job's own steps over no messages."""
+    typed = M.typed(M.decode(spark.createDataFrame([], "value string")))
+    routed = SCR.screen(typed, split="never").withColumn("processing_ts", F.current_timestamp())
+    dated = routed.drop("raw_value", "malformed", "valid").withColumn("date", C.event_date("ts_event"))
+    return dated.withColumn(EPOCH, F.lit(0)).schema
+
+
 def read_outputs(spark: SparkSession, layout: StreamLayout) -> dict[str, DataFrame]:
     """The job's tables as DataFrames (all epochs)."""
     dead_schema = "transaction_id string, reason string, route string"
     return {
-        "bronze": spark.read.parquet(layout.bronze),
+        "bronze": spark.read.schema(bronze_schema(spark)).parquet(layout.bronze),
         "deadletter": spark.read.text(layout.deadletter).select(F.from_json("value", dead_schema).alias("d")).select("d.*"),
         "signals": spark.read.parquet(layout.signals),
         "card_state": spark.read.parquet(layout.state),

@@ -26,11 +26,11 @@ def test_message_routing(spark):
     got = {k: (route, reason) for k, route, reason in _route(spark, values)}
     assert got == {
         (None, "None", "{bad"): ("dead", "malformed_json"),
-        (None, "3.00", None): ("dead", "missing_tx_or_amount"),
-        ("", "1.00", None): ("dead", "missing_tx_or_amount"),
-        ("X", "None", None): ("dead", "missing_tx_or_amount"),
-        ("A", "3.00", None): ("accepted", ""),
-        ("Y", "12.50", None): ("accepted", ""),
+        (None, "3.00", values[1]): ("dead", "missing_tx_or_amount"),
+        ("", "1.00", values[2]): ("dead", "missing_tx_or_amount"),
+        ("X", "None", values[3]): ("dead", "missing_tx_or_amount"),
+        ("A", "3.00", good): ("accepted", ""),
+        ("Y", "12.50", text_amount): ("accepted", ""),
     }
 
 

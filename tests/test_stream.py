@@ -12,8 +12,8 @@ from ledgerlake.sources import messages as M
 from ledgerlake.streaming import runner
 from ledgerlake.streaming import screening_job as J
 
-EXTRA = ['{bad', '{"amount":3}', '{"transaction_id":"X","card_hash":"cardA"}',
-         '{"transaction_id":"Y","ts_event":"2025-11-04T09:20:00Z","card_hash":"cardC","amount":"12.5"}']
+EXTRA = ['{bad', '{"amount":3}', '{"transaction_id":"X","card_hash":"amber"}',
+         '{"transaction_id":"Y","ts_event":"2026-03-02T12:20:00Z","card_hash":"delta","amount":"12.5"}']
 
 
 def _messages(spark):
@@ -35,13 +35,14 @@ def test_stream_equals_batch(spark):
     runner.replay(spark, msgs, layout, chunks=3, snapshot_every=2)
     assert _routes(J.routes(spark, layout)) == _routes(batch)
     out = J.read_outputs(spark, layout)
-    assert out["signals"].select("epoch").distinct().count() >= 2  # several epochs ran
+    assert out["bronze"].select("epoch").distinct().count() >= 2  # several epochs ran
     flagged = {r.transaction_id: r.reason for r in out["signals"].collect()}
-    assert flagged["TXN4"] == "high_amount"
-    assert flagged["TXN9"] == "cross_border,decline_rate"
+    assert flagged == {
+        "P-03": "cross_border", "P-04": "high_amount", "P-11": "velocity", "P-12": "decline_rate", "P-14": "decline_rate"
+    }
     state = {r.card_hash: len(r.last_events) for r in J.read_outputs(spark, layout)["card_state"]
              .groupBy("card_hash").agg(F.max_by("last_events", "epoch").alias("last_events")).collect()}
-    assert state["cardC"] == 8 and state["cardA"] == 3  # invalid messages never enter the state
+    assert state["delta"] == 4 and state["amber"] == 3  # invalid messages never enter the state
     bronze = out["bronze"]
     assert "date" in bronze.columns and bronze.filter("transaction_id = 'Y'").count() == 1
 
@@ -94,10 +95,10 @@ def test_card_scope_epoch(spark):
     layout = J.StreamLayout(scratch_path(spark, "t-cardscope"))
     J.ScreeningBatch(layout, card_scope=True)(_messages(spark).select("value"), 0)
     reasons = {r.transaction_id: r.reason for r in J.read_outputs(spark, layout)["signals"].collect()}
-    # cardC: cross-border and decline rate at card scope mark all its events
-    assert reasons["TXN5"] == "cross_border,decline_rate"
-    assert reasons["TXN12"] == reasons["TXN13"] == "cross_border"
-    assert "TXN1" not in reasons
+    # a hit at card scope marks all of the card's events
+    assert reasons["P-01"] == reasons["P-02"] == reasons["P-03"] == "cross_border"
+    assert reasons["P-06"] == "velocity" and reasons["P-13"] == "decline_rate"
+    assert "P-05" not in reasons
 
 
 def test_signals_first_write_wins_across_epochs(spark):
@@ -112,15 +113,66 @@ def test_signals_first_write_wins_across_epochs(spark):
     sig = J.read_outputs(spark, layout)["signals"]
     # no transaction is signalled twice (also with a NULL event date) ...
     assert sig.count() == sig.select("transaction_id").distinct().count()
-    assert sig.filter("transaction_id = 'H' AND date IS NULL").count() == 1
+    assert sig.filter("transaction_id = 'H' AND ts_event IS NULL").count() == 1
     # ... while re-delivered copies do take part in the rules again, as in the
-    # original job: cardA now has six events within a minute
-    assert {r.transaction_id for r in sig.filter("epoch = 1").collect()} == {"TXN3"}
+    # original job: cedar's third event is now the sixth within a minute (which
+    # copy of P-13 comes first, and so its decline rate, is open)
+    again = {r.transaction_id for r in sig.filter("epoch = 1").collect()}
+    assert again - {"P-13"} == {"P-08", "P-09", "P-10"}
+    # the same id on another day is still the same transaction
+    moved = '{"transaction_id":"P-04","ts_event":"2026-03-05T09:00:00Z","card_hash":"birch","amount":"12000.01"}'
+    body(spark.createDataFrame([(moved,)], "value string"), 2)
+    assert J.read_outputs(spark, layout)["signals"].filter("transaction_id = 'P-04'").count() == 1
+
+
+def test_unreadable_history_raises(spark):
+    import pytest
+
+    layout = J.StreamLayout(scratch_path(spark, "t-corrupt"))
+    body = J.ScreeningBatch(layout)
+    body(_messages(spark).select("value"), 0)
+    folder = f"{layout.history}/epoch=0".replace("file:", "")
+    for name in os.listdir(folder):
+        if name.endswith(".parquet"):
+            with open(os.path.join(folder, name), "wb") as f:
+                f.write(b"not parquet")
+            crc = os.path.join(folder, f".{name}.crc")
+            if os.path.exists(crc):
+                os.remove(crc)
+    with pytest.raises(Exception):
+        body(_messages(spark).select("value"), 1)
+
+
+def test_epoch_without_accepted_rows_reads_as_empty(spark):
+    from ledgerlake.plans import silver
+
+    layout = J.StreamLayout(scratch_path(spark, "t-flagged-only"))
+    only = '{"transaction_id":"H","ts_event":"2026-03-05T09:00:00Z","card_hash":"q","amount":"20000","mcc":"1"}'
+    J.ScreeningBatch(layout)(spark.createDataFrame([(only,)], "value string"), 0)
+    out = J.read_outputs(spark, layout)
+    assert out["bronze"].count() == 0 and out["signals"].count() == 1
+    assert silver.read_bronze(spark, layout.bronze).count() == 0
+    # the dead letter holds the whole message
+    letter = spark.read.text(layout.deadletter).first()["value"]
+    assert '"mcc":"1"' in letter and "raw_value" in letter
+
+
+def test_snapshots_count_from_the_last_one_and_retire_epochs(spark):
+    layout = J.StreamLayout(scratch_path(spark, "t-snap"))
+    body = J.ScreeningBatch(layout, snapshot_every=2)
+    msg = lambda k: spark.createDataFrame(
+        [(f'{{"transaction_id":"S{k}","ts_event":"2026-03-05T09:{k:02d}:00Z","card_hash":"c{k % 2}","amount":"3"}}',)], "value string"
+    )
+    for epoch in (0, 1, 3, 5, 7):  # the epochs between are empty
+        body(msg(epoch), epoch)
+    epochs = J._epochs(spark, layout.history, 100)
+    assert J._epochs(spark, f"{layout.history}/_snapshots", 100) == [3, 5, 7] and epochs == [5, 7]
+    assert J._read_keyed(spark, layout.history, 100).filter("card_hash = 'c0'").count() == 1
 
 
 def test_blacklist_on_the_stream(spark, blacklist):
     layout = J.StreamLayout(scratch_path(spark, "t-blacklist"))
     J.ScreeningBatch(layout, blacklist=blacklist)(_messages(spark).select("value"), 0)
     reasons = {r.transaction_id: r.reason for r in J.read_outputs(spark, layout)["signals"].collect()}
-    assert reasons["TXN5"] == "blacklisted"
-    assert reasons["TXN6"] == "cross_border"
+    assert reasons["P-05"] == "blacklisted"
+    assert reasons["P-03"] == "cross_border"
