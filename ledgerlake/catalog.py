@@ -111,7 +111,7 @@ def q_fact_fraud_signals(spark, sf_dir):
 
 @register("amount_buckets")
 def q_amount_buckets(spark, sf_dir):
-    return marts.amount_buckets(_facts(spark, sf_dir))
+    return marts.amount_buckets(_s(spark, sf_dir, columns=["transaction_id", "amount"]))
 
 
 @register("settlement_daily")
@@ -257,14 +257,14 @@ def _fact_rows(df, keep_seq=False):
     )
 
 
-def _load_pair(spark, sf_dir):
+def _load_pair(spark, sf_dir, card=True):
     """(current fact table, incoming batch with its ``seq`` tie-break)."""
     base = feeds.line_payments(spark, sf_dir)
     lo = F.lit(SOURCE_FROM).cast("timestamp_ntz")
     hi = F.lit(TARGET_BEFORE).cast("timestamp_ntz")
     first = keep_earliest(base.filter(F.col("ts_event") < hi), ["transaction_id"], list(silver.LINE_ORDER))
-    target = _fact_rows(feeds.enrich_payments(spark, sf_dir, first, mcc=False, location=False))
-    incoming = feeds.enrich_payments(spark, sf_dir, base.filter(F.col("ts_event") >= lo), mcc=False, location=False)
+    target = _fact_rows(feeds.enrich_payments(spark, sf_dir, first, card, mcc=False, location=False))
+    incoming = feeds.enrich_payments(spark, sf_dir, base.filter(F.col("ts_event") >= lo), card, mcc=False, location=False)
     return target, _fact_rows(incoming, keep_seq=True)
 
 
@@ -282,7 +282,7 @@ def q_insert_if_absent(spark, sf_dir):
 
 @register("upsert_settlement")
 def q_upsert_settlement(spark, sf_dir):
-    target, source = _load_pair(spark, sf_dir)
+    target, source = _load_pair(spark, sf_dir, card=False)  # settlement needs no lookup
     src_tx = U.collapse_source(source, ["transaction_id"], list(silver.LINE_ORDER)).drop("seq")
     return U.upsert(marts.settlement_daily(target), marts.settlement_daily(src_tx), SCH.GOLD_KEYS["fact_settlement_daily"])
 
@@ -505,3 +505,56 @@ def q_cross_border_selfjoin_bucketed(spark, sf_dir):
 def q_merchant_scd2_bucketed(spark, sf_dir):
     tx = _s(spark, sf_dir, columns=MERCHANT_COLS)
     return H.versions(tx, "merchant_id", ["mcc"], bucket_seconds=30 * 86_400, split="always")
+
+
+# --- Gold loads, read back -----------------------------------------------------
+
+# Load 1 holds what was shipped before LOAD_TO; load 2 what was shipped from
+# LOAD_FROM on, with the amounts of the overlap raised by one, the last line of
+# an order without a time, and line 6 without an id.
+LOAD_TO = "1996-07-01"
+LOAD_FROM = "1996-01-01"
+
+
+def _two_loads(spark, sf_dir):
+    tx = _s(spark, sf_dir, columns=FACT_COLS + ["location"]).withColumn("mcc", F.lit(None).cast("string"))
+    to, since = (F.lit(d).cast("timestamp_ntz") for d in (LOAD_TO, LOAD_FROM))
+    line = F.substring_index("transaction_id", "-", -1)
+    later = (
+        tx.filter(F.col("ts_event") >= since)
+        .withColumn("amount", F.when(F.col("ts_event") < to, F.col("amount") + 1).otherwise(F.col("amount")).cast("decimal(18,2)"))
+        .withColumn("ts_event", F.when(line != "7", F.col("ts_event")))
+        .withColumn("transaction_id", F.when(line != "6", F.col("transaction_id")))
+    )
+    first = tx.filter(F.col("ts_event") < to).withColumn("ts_event", F.when(line != "5", F.col("ts_event")))
+    return first, later.unionByName(later.filter(line == "4"))
+
+
+@register("gold_load_facts")
+def q_gold_load_facts(spark, sf_dir):
+    """Two overlapping loads through the Gold log, read back through the named tables."""
+    from .session import scratch_path
+
+    base = scratch_path(spark, "gold-facts")
+    for load in _two_loads(spark, sf_dir):
+        gold.add_rows(spark, base, "fact_transactions", gold.fact_transactions_rows(gold.stage(load)))
+    gold.create_tables(spark, base, "q_gold_load_facts_")
+    facts = spark.table("q_gold_load_facts_fact_transactions")
+    return facts.select("transaction_id", "date_id", "card_hash", "merchant_id", "amount", "currency", "auth_result")
+
+
+@register("gold_load_signals")
+def q_gold_load_signals(spark, sf_dir):
+    """The stream's signals in Gold, re-sent on another day and without an id: the first stays."""
+    from .session import scratch_path
+
+    base = scratch_path(spark, "gold-signals")
+    typed = M.typed(M.decode(M.event_messages(spark, sf_dir)))
+    routed = SCR.screen(typed, E_PARAMS, hot_source=_cards(spark, sf_dir)).filter(F.col("route") == SCR.ROUTE_FLAGGED)
+    signals = routed.withColumn("created_at", F.lit(None).cast("timestamp"))
+    gold.load_signals(spark, signals, base)
+    again = signals.withColumn("ts_event", F.col("ts_event") + F.expr("INTERVAL 3 DAYS")).withColumn("reason", F.lit("resent"))
+    gold.load_signals(spark, again.unionByName(again.withColumn("transaction_id", F.lit(None).cast("string"))), base)
+    return RP.fraud_report(gold.read_gold(spark, base, "fact_fraud_signals")).withColumn(
+        "ts_event", C.utc_iso_text("ts_event")
+    )

@@ -1,43 +1,17 @@
-"""Joins with an explicit size check before any broadcast."""
+"""Joins with lookup lists.
+
+No size is counted here: AQE measures the lookup side in bytes and broadcasts
+it below ``spark.sql.autoBroadcastJoinThreshold``, and splits skewed keys of a
+shuffle join beyond.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# A broadcast side is shipped to every executor; keep it far below executor
-# memory.  Row bound for lookup lists (blacklists, small dimensions).
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    ``limit(n + 1).count()`` stops every partition after n + 1 rows, so the
-    check costs at most (partitions x n) rows read even when the side is huge.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def lookup_join(
-    df: DataFrame,
-    lookup: DataFrame,
-    on: str | Sequence[str],
-    how: str = "left",
-    max_rows: int = DEFAULT_BROADCAST_ROWS,
-) -> DataFrame:
-    """Join a (usually small) lookup side: broadcast when its size is proven
-    below ``max_rows``, otherwise a shuffle join chosen by Catalyst/AQE."""
-    side = F.broadcast(lookup) if fits_broadcast(lookup, max_rows) else lookup
-    return df.join(side, on, how)
-
-
-def anti_join(df: DataFrame, other: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    """Rows of ``df`` whose key is absent from ``other`` (NOT EXISTS)."""
-    return df.join(other, on, "left_anti")
 
 
-def semi_join(df: DataFrame, other: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    return df.join(other, on, "left_semi")
+def lookup_join(df: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: str = "left") -> DataFrame:
+    """Join a lookup side; the strategy follows its measured size."""
+    return df.join(lookup, on, how)

@@ -18,11 +18,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .dedup import keep_earliest, keep_latest
-from .joins import fits_broadcast
-
-# Incoming key sets up to this many rows are broadcast to the target's tasks,
-# so the (large) target is streamed once and never shuffled.
-DEFAULT_BROADCAST_KEYS = 2_000_000
 
 
 def _non_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -47,57 +42,18 @@ def _with_order(source: DataFrame, target: DataFrame, order: Sequence[str]) -> D
     return source.select(*target.columns, *extra)
 
 
-def key_side(src: DataFrame, keys: Sequence[str], broadcast_keys: int) -> DataFrame:
-    """The incoming keys, broadcast when their count is proven small."""
-    side = src.select(*keys)
-    if broadcast_keys > 0 and fits_broadcast(side, broadcast_keys):
-        return F.broadcast(side)
-    return side
-
-
 def insert_if_absent(
-    target: DataFrame,
-    source: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str] = (),
-    latest: bool = False,
-    broadcast_keys: int = 0,
+    target: DataFrame, source: DataFrame, keys: Sequence[str], order: Sequence[str] = (), latest: bool = False
 ) -> DataFrame:
     """Add source rows whose key is not in target; existing rows never change.
 
-    The existence test semi-joins the target's key column with the incoming
-    keys (broadcast when at most ``broadcast_keys``), so only matching keys
-    travel, then anti-joins the small result.
+    One anti join of the collapsed source against the target's key columns.
     """
     src = collapse_source(_with_order(source, target, order), keys, order, latest=latest).select(*target.columns)
-    present = target.select(*keys).join(key_side(src, keys, broadcast_keys), list(keys), "left_semi")
-    fresh = src.join(present, list(keys), "left_anti")
-    return target.unionByName(fresh)
+    return target.unionByName(src.join(target.select(*keys), list(keys), "left_anti"))
 
 
-def upsert(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], order: Sequence[str] = (), broadcast_keys: int = 0
-) -> DataFrame:
-    """Insert new keys, overwrite existing ones with the source row.
-
-    With ``broadcast_keys`` > 0 the incoming key set is broadcast when it has
-    at most that many rows: the target is then filtered in place, no shuffle.
-    """
+def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """Insert new keys, overwrite existing ones with the source row."""
     src = collapse_source(_with_order(source, target, order), keys, order, latest=True).select(*target.columns)
-    kept = target.join(key_side(src, keys, broadcast_keys), list(keys), "left_anti")
-    return kept.unionByName(src)
-
-
-def upsert_columns(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], update_cols: Sequence[str], order: Sequence[str] = ()
-) -> DataFrame:
-    """Insert-or-update of ``update_cols`` only; other target columns keep their value."""
-    src = collapse_source(source.select(*keys, *update_cols, *[o for o in order if o not in keys and o not in update_cols]), keys, order)
-    src = src.select(*keys, *update_cols)
-    others = [c for c in target.columns if c not in keys and c not in update_cols]
-    matched = target.select(*keys, *others).join(src, list(keys), "inner")
-    kept = target.join(src.select(*keys), list(keys), "left_anti")
-    fresh = src.join(target.select(*keys), list(keys), "left_anti")
-    for c in others:
-        fresh = fresh.withColumn(c, F.lit(None).cast(dict(target.dtypes)[c]))
-    return kept.unionByName(matched.select(*target.columns)).unionByName(fresh.select(*target.columns))
+    return target.join(src.select(*keys), list(keys), "left_anti").unionByName(src)

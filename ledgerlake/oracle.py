@@ -124,19 +124,13 @@ def _q(name: str, needed: list[str], body: str) -> None:
 
 _q("stg_payments", ["p"], f"SELECT {PAY_COLS}, CAST(ts_event AS DATE) AS event_date FROM p")
 _q("silver_dedup", ["s"], f"SELECT {PAY_COLS} FROM s")
-_cte(
-    "rb",
-    ["pb"],
-    """SELECT * EXCLUDE (rn) FROM (
-  SELECT *, row_number() OVER (PARTITION BY transaction_id
-                               ORDER BY ts_event DESC NULLS LAST, amount DESC NULLS LAST, seq DESC NULLS LAST) AS rn
-  FROM pb WHERE ts_event >= TIMESTAMP '1996-01-01 00:00:00' AND ts_event < TIMESTAMP '1997-01-01 00:00:00'
-) WHERE rn = 1""",
+# A date range of Silver: the rows of the whole deduplicated table in those days.
+_q(
+    "backfill_range",
+    ["s"],
+    f"""SELECT {PAY_COLS} FROM s
+WHERE ts_event >= TIMESTAMP '1996-01-01 00:00:00' AND ts_event < TIMESTAMP '1997-01-01 00:00:00'""",
 )
-_cte("r", ["rb"], _ENRICH.format(src="rb"))
-# Backfill of a date range: the range is cut from the raw feed (partition
-# pruning on Bronze), then deduplicated.
-_q("backfill_range", ["r"], f"SELECT {PAY_COLS} FROM r")
 _q(
     "backfill_columns",
     ["s"],
@@ -483,3 +477,28 @@ _q(
 FROM esl WHERE ws + INTERVAL 1 MINUTE <= (SELECT max(ts_event) FROM e) - INTERVAL 10 MINUTE
 GROUP BY card_hash, ws""",
 )
+
+# Two overlapping Gold loads: of an id's rows the newest load's stays; rows
+# without a time keep their place, rows without an id cannot enter.
+_q(
+    "gold_load_facts",
+    ["s"],
+    """SELECT transaction_id, CAST(CASE WHEN NOT gone THEN ts_event END AS DATE) AS date_id, card_hash, merchant_id,
+       CAST(amount AS DECIMAL(18,2)) AS amount, currency, auth_result
+FROM (
+  SELECT *, string_split(transaction_id, '-')[-1] = CASE load WHEN 1 THEN '5' ELSE '7' END AS gone,
+         row_number() OVER (PARTITION BY transaction_id ORDER BY load DESC) AS rn
+  FROM (
+    SELECT 1 AS load, s.* FROM s WHERE ts_event < TIMESTAMP '1996-07-01 00:00:00'
+    UNION ALL
+    SELECT 2 AS load, s.* REPLACE (CASE WHEN ts_event < TIMESTAMP '1996-07-01 00:00:00' THEN amount + 1 ELSE amount END AS amount)
+    FROM s WHERE ts_event >= TIMESTAMP '1996-01-01 00:00:00' AND string_split(transaction_id, '-')[-1] <> '6'
+  )
+) WHERE rn = 1""",
+)
+_q(
+    "gold_load_signals",
+    ["efvr"],
+    """SELECT transaction_id, strftime(ts_event, '%Y-%m-%dT%H:%M:%S.') || left(strftime(ts_event, '%f'), 3) || 'Z' AS ts_event,
+       card_hash, merchant_id, amount, currency, auth_result, location, reason FROM efvr WHERE reason <> ''""",
+)
