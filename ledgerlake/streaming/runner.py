@@ -67,8 +67,44 @@ def stage_table(df: DataFrame, path: str, files: int = 8) -> str:
     return path
 
 
-def run_to_parquet(stream: DataFrame, path: str, checkpoint: str, output_mode: str = "append") -> str:
-    """Run a streaming DataFrame over everything available into Parquet."""
+def run_in_order(
+    spark: SparkSession, df: DataFrame, transform, base: str, ts: str = "ts_event", arrival: str | None = None,
+    chunks: int = 5, close_after: str = "3 days",
+) -> tuple[DataFrame, int]:
+    """Feed ``df`` to a streaming ``transform`` in order of arrival (default: event time).
+
+    The rows are written once, cut into ``chunks`` ranges of arrival; each range
+    is one restart from the checkpoint.  At last comes a marker row,
+    ``close_after`` past the newest event and with no other column, that moves
+    the watermark past all open windows; its own window stays open, so it is
+    never returned.  Returns the output and the number of rows the watermark
+    dropped as late.
+    """
+    by = arrival or ts
+    bounds = chunk_bounds(df, by, chunks)
+    micros = F.unix_micros(F.col(by).cast("timestamp"))
+    # NULL times go first
+    chunk = sum((F.coalesce(micros >= F.lit(b), F.lit(False)).cast("int") for b in bounds), F.lit(0))
+    columns = [c for c in df.columns if c != arrival]
+    df.withColumn("_lk_chunk", chunk).hint("rebalance", "_lk_chunk").write.partitionBy("_lk_chunk").parquet(f"{base}/staged")
+    staged = spark.read.parquet(f"{base}/staged")
+    schema = df.select(*columns).schema
+    late = 0
+    for k in range(len(bounds) + 2):
+        if k <= len(bounds):
+            rows = staged.filter(F.col("_lk_chunk") == k).select(*columns)
+        else:
+            newest = staged.agg((F.max(ts) + F.expr(f"INTERVAL {close_after}")).alias(ts)).filter(F.col(ts).isNotNull())
+            rows = newest.select(*[F.col(c) if c == ts else F.lit(None).cast(schema[c].dataType).alias(c) for c in columns])
+        rows.write.mode("append").parquet(f"{base}/input")
+        stream = spark.readStream.schema(schema).parquet(f"{base}/input")
+        late += _run(transform(stream), f"{base}/output", f"{base}/_checkpoint")
+    out = transform(spark.createDataFrame([], schema)).schema
+    return spark.read.schema(out).parquet(f"{base}/output"), late
+
+
+def _run(stream: DataFrame, path: str, checkpoint: str, output_mode: str = "append") -> int:
+    """Run over everything available; the rows dropped as late."""
     q = (
         stream.writeStream.format("parquet")
         .outputMode(output_mode)
@@ -78,4 +114,10 @@ def run_to_parquet(stream: DataFrame, path: str, checkpoint: str, output_mode: s
         .start()
     )
     q.awaitTermination()
+    return sum(op.numRowsDroppedByWatermark for p in q.recentProgress for op in p.stateOperators)
+
+
+def run_to_parquet(stream: DataFrame, path: str, checkpoint: str, output_mode: str = "append") -> str:
+    """Run a streaming DataFrame over everything available into Parquet."""
+    _run(stream, path, checkpoint, output_mode)
     return path
