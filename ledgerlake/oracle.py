@@ -358,18 +358,17 @@ _q(
 
 _q(
     "quality_not_null",
-    ["p"],
-    """SELECT transaction_id, ts_event, card_hash, merchant_id, amount, currency, CAST(NULL AS VARCHAR) AS mcc, channel,
-       auth_result, CAST(NULL AS VARCHAR) AS location FROM p WHERE card_hash IS NULL""",
+    ["e"],
+    "SELECT transaction_id, CAST(NULL AS DECIMAL(18,2)) AS amount FROM e WHERE mcc = 'signup' OR amount IS NULL",
 )
 _q("quality_unique", ["pb"], "SELECT transaction_id, count(*) AS n FROM pb GROUP BY transaction_id HAVING count(*) > 1")
 _q(
     "quality_relationships",
-    ["e", "s"],
+    ["e", "b"],
     """SELECT transaction_id, merchant_id FROM e
-WHERE merchant_id IS NOT NULL AND merchant_id NOT IN (SELECT merchant_id FROM s WHERE merchant_id IS NOT NULL)""",
+WHERE merchant_id IS NOT NULL AND merchant_id NOT IN (SELECT merchant_id FROM b WHERE merchant_id IS NOT NULL)""",
 )
-_q("quality_non_negative", ["ft"], "SELECT * FROM ft WHERE NOT COALESCE(amount >= 0, TRUE)")
+ORACLE["quality_non_negative"] = "SELECT s_suppkey, s_acctbal FROM supplier WHERE s_acctbal < 0"
 _cte("dimm", ["p"], "SELECT DISTINCT merchant_id, mcc FROM p WHERE merchant_id IS NOT NULL")
 _cte("dimc", ["p"], "SELECT DISTINCT card_hash FROM p WHERE card_hash IS NOT NULL")
 _cte("stl", ["p"], SETTLEMENT_BODY.replace("FROM s GROUP", "FROM p GROUP"))
