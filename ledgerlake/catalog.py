@@ -234,6 +234,17 @@ def q_merchant_scd2(spark, sf_dir):
     return H.versions(tx, "merchant_id", ["mcc"], hot_source=raw)
 
 
+@register("merchant_scd2_incremental")
+def q_merchant_scd2_incremental(spark, sf_dir):
+    """History up to a day, then two later snapshots applied to it one after the other."""
+    tx = _s(spark, sf_dir, columns=MERCHANT_COLS)
+    cuts = [F.lit(d).cast("timestamp_ntz") for d in ("1995-01-01", "1997-01-01")]
+    history = H.versions(tx.filter(F.col("ts_event") < cuts[0]), "merchant_id", ["mcc"])
+    between = tx.filter((F.col("ts_event") >= cuts[0]) & (F.col("ts_event") < cuts[1]))
+    history = H.apply_snapshot(history, between, "merchant_id", ["mcc"])
+    return H.apply_snapshot(history, tx.filter(F.col("ts_event") >= cuts[1]), "merchant_id", ["mcc"])
+
+
 # --- upserts ----------------------------------------------------------------
 
 # An incremental load: the table holds the first copy of every transaction

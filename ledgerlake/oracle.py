@@ -497,3 +497,6 @@ _q(
     """SELECT transaction_id, strftime(ts_event, '%Y-%m-%dT%H:%M:%S.') || left(strftime(ts_event, '%f'), 3) || 'Z' AS ts_event,
        card_hash, merchant_id, amount, currency, auth_result, location, reason FROM efvr WHERE reason <> ''""",
 )
+
+# Snapshots applied in order give the history of all rows.
+ORACLE["merchant_scd2_incremental"] = ORACLE["merchant_scd2"]
