@@ -178,7 +178,8 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, rare: int = RARE
         F.col("doc.id").alias("_id"), F.col("doc.key").alias("_key"), F.col("lines").alias("deleted_lines")
     )
     row = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("long").alias("_doc"), _key(F.col("text")).alias("_text"))
-    joined = row.join(gone, (F.col("_doc").eqNullSafe(F.col("_id"))) & (F.col("_text") == F.col("_key")), "left")
+    # always the same plan: texts are dealt out by id once, whatever the list's size
+    joined = row.join(gone.hint("merge"), (F.col("_doc").eqNullSafe(F.col("_id"))) & (F.col("_text") == F.col("_key")), "left")
     joined = joined.select("_row.*", F.coalesce("deleted_lines", F.array().cast("array<int>")).alias("_gone"))
 
     def run(batches: Iterator) -> Iterator:
