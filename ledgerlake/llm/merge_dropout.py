@@ -32,6 +32,8 @@ from .common import byte_slices
 from .shingles import mix
 
 MARK = "▁"
+#: Bytes of text segmented at a time; bounds a task's memory.
+SLICE = 2 << 20
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -260,7 +262,7 @@ def encode(
         import pyarrow.compute as pc
 
         encoder = Encoder(Model(path), seed, dropout, variants)
-        for part in byte_slices(batches):
+        for part in byte_slices(batches, limit=SLICE):
             ids = part.column("doc_id").cast(pa.int64())
             flat, counts = encoder(ids.to_pylist(), pc.fill_null(part.column("text"), ""))
             offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
