@@ -14,13 +14,14 @@ Small sets (under 32 shingles) take one partition per shingle.
 What is done with signatures that several sets share:
 
 1. equal sets are one node from the start;
-2. every node is checked against the node it shares most signatures with among
-   the smallest nodes of its groups; the links found give first components, so a
-   large group of near copies collapses before pairs are looked at;
-3. pairs across components: a node whose signatures in groups of at most
-   ``cold`` members still outnumber 2n/7 needs only those groups, all others use
-   all their groups.  A linked pair must share at least (signatures looked at)
-   - d of them, so pairs are counted and the few that remain are checked.
+2. every node is checked against one node of its groups at a time: first the
+   smallest one it shares most signatures with, then, while that finds links,
+   the most central one of another component.  The links found give components,
+   so a large group of near copies collapses before pairs are looked at;
+3. pairs across the components that are left: of the larger set's signatures the
+   d + 1 rarest suffice (half of the others are kept too), a linked pair must
+   share all of them but d, so pairs are counted and the few that remain are
+   checked.
 
 Checks are exact intersections of the whole shingle sets.  Shingles, sets and
 signatures are 64-bit hashes.
@@ -37,7 +38,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import byte_slices, staged
@@ -47,13 +48,15 @@ from .shingles import _STEP, mix, shingle_sets
 #: Similarity 3/4, as whole numbers: 4 * intersection >= 3 * union.
 PART, WHOLE = 3, 4
 SMALL_BAND = 5
-#: Members of a group whose pairs are all counted.
-COLD = 16
+#: Most rounds of checks against central nodes before the remaining pairs are counted.
+ROUNDS = 4
 #: Nodes whose ids may be broadcast; beyond, the same join is shuffled.
 BROADCAST_NODES = 1_000_000
 #: Bytes of text hashed at a time, and signatures sent at a time: they bound a task's memory.
 SLICE = 2 << 20
 BLOCK = 1 << 20
+#: Signatures grouped at a time.
+RANGE = 1 << 18
 #: Members checked against one node in one task.
 STAR = 4096
 
@@ -138,15 +141,23 @@ def describe(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", _text_hash().alias("text_hash")).mapInArrow(run, schema)
 
 
+def _labels(spark, parts: int) -> list[int]:
+    """A number per bucket, chosen so that every bucket is hashed to a partition of its own."""
+    spread = spark.range(64 * parts).select(F.col("id").cast("int").alias("label"))
+    spread = spread.withColumn("part", F.pmod(F.hash("label"), F.lit(parts)))
+    return [r["label"] for r in spread.groupBy("part").agg(F.min("label").alias("label")).orderBy("part").collect()]
+
+
 def shared_signatures(docs: DataFrame, levels: dict[int, int]) -> DataFrame:
-    """sig, node, n, own, low: the signatures that at least two nodes share.
+    """sig, node, n, own, members, hub, hub_n, hub_own: signatures that at least two nodes share.
 
     Tasks send each reducer one block per slice: sorted signatures and, for each,
     the place of its node in a small table.  ``own``: it is of the node's own
-    band; ``low``: the smallest node of the group.
+    band; ``members``: the group's size; ``hub``: its smallest node.
     """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     count = lambda i: partitions(i, levels.get(i, 0))
+    labels = _labels(docs.sparkSession, parts)
 
     def sign(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -160,16 +171,16 @@ def shared_signatures(docs: DataFrame, levels: dict[int, int]) -> DataFrame:
             order = np.argsort(sig)
             sig, tag = sig[order], tag[order]
             # buckets are ranges of the signature hash
-            bucket = ((sig >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-            cuts = np.searchsorted(bucket, np.arange(parts + 1, dtype=np.uint64))
+            bucket = ((sig >> np.uint64(32)) * np.uint64(len(labels))) >> np.uint64(32)
+            cuts = np.searchsorted(bucket, np.arange(len(labels) + 1, dtype=np.uint64))
             node, size = np.array(nodes, np.int64), np.array(sizes, np.int64)
             rows = []
-            for b in range(parts):
+            for b in range(len(labels)):
                 x, y = int(cuts[b]), int(cuts[b + 1])
                 if x < y:
                     used, place = np.unique(tag[x:y] >> 1, return_inverse=True)
                     code = (place * 2 + (tag[x:y] & 1)).astype(np.uint32)
-                    rows.append((b, sig[x:y].tobytes(), code.tobytes(), node[used].tobytes(), size[used].tobytes()))
+                    rows.append((labels[b], sig[x:y].tobytes(), code.tobytes(), node[used].tobytes(), size[used].tobytes()))
             for x in (sigs, owner, own, nodes, sizes):
                 x.clear()
             return pa.RecordBatch.from_arrays(
@@ -204,43 +215,56 @@ def shared_signatures(docs: DataFrame, levels: dict[int, int]) -> DataFrame:
         import pyarrow as pa
 
         def shared(blocks):
-            sig = np.concatenate([np.frombuffer(b[0], np.uint64) for b in blocks])
-            code = [np.frombuffer(b[1], np.uint32) for b in blocks]
-            node = np.concatenate([np.frombuffer(b[2], np.int64)[c >> 1] for b, c in zip(blocks, code)])
-            size = np.concatenate([np.frombuffer(b[3], np.int64)[c >> 1] for b, c in zip(blocks, code)])
-            own = np.concatenate(code) & 1
+            sig = np.concatenate([b[0] for b in blocks])
+            node = np.concatenate([b[2][b[1] >> 1] for b in blocks])
+            size = np.concatenate([b[3][b[1] >> 1] for b in blocks])
+            own = np.concatenate([b[1] for b in blocks]) & 1
             order = np.lexsort((node, sig))
             sig, node, size, own = sig[order], node[order], size[order], own[order]
             # a node seen by several tasks comes once
             new = np.concatenate(([True], (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])))
             sig, node, size, own = sig[new], node[new], size[new], own[new]
-            first = np.concatenate(([True], sig[1:] != sig[:-1]))
-            starts = np.flatnonzero(first)
+            starts = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
             length = np.diff(np.append(starts, len(sig)))
             keep = np.repeat(length > 1, length)
-            low = np.repeat(node[starts], length)
-            cols = [sig.view(np.int64), node, size, own.astype(bool), low]
-            cols = [pa.array(c[keep]) for c in cols]
-            table = pa.RecordBatch.from_arrays(cols, ["sig", "node", "n", "own", "low"])
-            for k in range(0, table.num_rows, 100_000):
-                yield table.slice(k, 100_000)
+            own = own.astype(bool)
+            cols = [sig.view(np.int64), node, size, own, np.repeat(length, length)]
+            cols += [np.repeat(c[starts], length) for c in (node, size, own)]
+            names = ["sig", "node", "n", "own", "members", "hub", "hub_n", "hub_own"]
+            return pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in cols], names)
+
+        def by_range(blocks):
+            """The bucket in ranges of signatures: each holds all members of its groups."""
+            total = sum(len(b[0]) for b in blocks)
+            top = max(int(b[0][-1]) for b in blocks)
+            low = min(int(b[0][0]) for b in blocks)
+            pieces = total // RANGE + 1
+            edges = [low + (top - low) * k // pieces for k in range(1, pieces)]
+            cuts = [[0, *np.searchsorted(b[0], np.array(edges, np.uint64)).tolist(), len(b[0])] for b in blocks]
+            for k in range(pieces):
+                part = [(b[0][c[k] : c[k + 1]], b[1][c[k] : c[k + 1]], b[2], b[3]) for b, c in zip(blocks, cuts)]
+                part = [b for b in part if len(b[0])]
+                if part:
+                    yield shared(part)
 
         bucket, blocks = None, []
+        types = (np.uint64, np.uint32, np.int64, np.int64)
         for batch in batches:
-            for row in zip(*(batch.column(k).to_pylist() for k in range(5))):
-                if row[0] != bucket and blocks:
-                    yield from shared(blocks)
+            for k in range(batch.num_rows):
+                label, *raw = (batch.column(c)[k] for c in range(5))
+                if label.as_py() != bucket and blocks:
+                    yield from by_range(blocks)
                     blocks = []
-                bucket = row[0]
-                blocks.append(row[1:])
+                bucket = label.as_py()
+                blocks.append(tuple(np.frombuffer(x.as_buffer(), t) for x, t in zip(raw, types)))
         if blocks:
-            yield from shared(blocks)
+            yield from by_range(blocks)
 
     blocks = docs.select("text").mapInArrow(sign, "bucket int, sigs binary, codes binary, nodes binary, sizes binary")
     return (
         blocks.repartition(parts, "bucket")
         .sortWithinPartitions("bucket")
-        .mapInArrow(group, "sig long, node long, n long, own boolean, low long")
+        .mapInArrow(group, "sig long, node long, n long, own boolean, members long, hub long, hub_n long, hub_own boolean")
     )
 
 
@@ -310,19 +334,101 @@ def linked(docs: DataFrame, pairs: DataFrame, where: DataFrame) -> DataFrame:
     )
 
 
-def near_groups(docs: DataFrame, cold: int = COLD) -> DataFrame:
+def _best_hub(shared: DataFrame, sigs: DataFrame, tried: DataFrame | None = None) -> DataFrame:
+    """hub, node: for every node the hub it shares most with, if they may be linked.
+
+    Of the larger set's own signatures a linked pair shares all but (n + hub_n) / 7.
+    """
+    node_larger = F.struct("n", "node") > F.struct("hub_n", "hub")
+    counted = (
+        shared.filter((WHOLE * F.least("n", "hub_n") >= PART * F.greatest("n", "hub_n")))
+        .groupBy("node", "hub", "n", "hub_n")
+        .agg(F.sum(F.when(node_larger, F.col("own")).otherwise(F.col("hub_own")).cast("long")).alias("shared"))
+        .withColumn("larger", F.when(node_larger, F.col("node")).otherwise(F.col("hub")))
+        .join(sigs.withColumnRenamed("node", "larger"), "larger")
+        .filter(F.col("shared") >= F.col("sigs") - F.floor((F.col("n") + F.col("hub_n")) / 7))
+    )
+    if tried is not None:
+        counted = counted.join(tried, ["node", "hub"], "left_anti")
+    return counted.groupBy("node").agg(F.max(F.struct("shared", "hub")).alias("best")).select(
+        F.col("best.hub").alias("hub"), "node"
+    )
+
+
+def _across(rows: DataFrame, comp: DataFrame) -> DataFrame:
+    """The rows of groups with members of several components, with ``component``."""
+    labelled = rows.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    spread = labelled.groupBy("sig").agg(F.min("component").alias("c0"), F.max("component").alias("c1"))
+    return staged(labelled.join(spread.filter("c0 <> c1").select("sig"), "sig", "left_semi"), "op1-rest")
+
+
+def _other_hubs(rest: DataFrame, central: DataFrame) -> DataFrame:
+    """Every row with its group's most central member of another component as ``hub``."""
+    scored = rest.join(central, "node")
+    member = F.struct("score", "node", "component", "n", "own")
+    first = scored.groupBy("sig").agg(F.max(member).alias("a"))
+    placed = scored.join(first, "sig")
+    apart = placed.filter(F.col("component") != F.col("a.component"))
+    second = apart.groupBy("sig").agg(F.max(member).alias("b"))
+    hub = F.when(F.col("component") != F.col("a.component"), F.col("a")).otherwise(F.col("b"))
+    named = placed.join(second, "sig").withColumn("hub", hub)
+    return named.select(
+        "node", "n", "own", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.own").alias("hub_own")
+    )
+
+
+def _pairs_across(rest: DataFrame, sigs: DataFrame) -> DataFrame:
+    """hub, node: the pairs of different components that may still be linked.
+
+    For the larger set (``hub``) any ``looked`` >= d + 1 of its own signatures
+    will do, so the most frequent ones are left out: its signatures that no
+    other component has come first, then those of the smallest groups.  A
+    linked pair shares at least ``looked`` - (n + hub_n) / 7 of them.
+    """
+    least = F.floor(2 * F.col("n") / 7) + 1
+    own = rest.filter("own").join(sigs, "node")
+    by_size = Window.partitionBy("node").orderBy("members", "sig")
+    per_node = Window.partitionBy("node")
+    larger = (
+        own.withColumn("rank", F.row_number().over(by_size))
+        .withColumn("alone", F.col("sigs") - F.count(F.lit(1)).over(per_node))
+        .withColumn("looked", least + F.floor((F.greatest(F.col("sigs"), least) - least) / 2))
+        .filter(F.col("rank") + F.col("alone") <= F.col("looked"))
+        .select(
+            "sig",
+            F.col("node").alias("hub"),
+            F.col("n").alias("hub_n"),
+            F.col("component").alias("hub_component"),
+            "looked",
+        )
+    )
+    return (
+        larger.join(rest.select("sig", "node", "n", "component"), "sig")
+        .filter(
+            (F.struct("n", "node") < F.struct("hub_n", "hub"))
+            & (F.col("component") != F.col("hub_component"))
+            & (WHOLE * F.col("n") >= PART * F.col("hub_n"))
+        )
+        .groupBy("hub", "node", "hub_n", "n", "looked")
+        .count()
+        .filter(F.col("count") >= F.col("looked") - F.floor((F.col("n") + F.col("hub_n")) / 7))
+        .select("hub", "node")
+    )
+
+
+def near_groups(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
-    return labelled_rows(docs, cold).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    return labelled_rows(docs, rounds).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
-def keep_one(docs: DataFrame, cold: int = COLD) -> DataFrame:
+def keep_one(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """``docs`` with one document of each group: the one of smallest id, then of smallest text hash.
 
     Documents without words are in no group and all stay.
     """
     words = F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")).alias("best")
-    winners = staged(labelled_rows(docs, cold).filter("n > 0").groupBy("component").agg(best), "op1-winners")
+    winners = staged(labelled_rows(docs, rounds).filter("n > 0").groupBy("component").agg(best), "op1-winners")
     winners = winners.select(F.col("best.doc_id").alias("_id"), F.col("best.text_hash").alias("_key"))
     rows = docs.filter(words).select(
         F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("long").alias("_doc"), _text_hash().alias("_hash")
@@ -333,7 +439,7 @@ def keep_one(docs: DataFrame, cold: int = COLD) -> DataFrame:
     return kept.select("_row.*").unionByName(docs.filter(~words))
 
 
-def labelled_rows(docs: DataFrame, cold: int = COLD) -> DataFrame:
+def labelled_rows(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, text_hash, n, component (NULL without shingles) and component_id of every document."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = staged(describe(docs), "op1-rows")
@@ -344,59 +450,28 @@ def labelled_rows(docs: DataFrame, cold: int = COLD) -> DataFrame:
     groups = staged(shared_signatures(docs, {r["band"]: r["level"] for r in raised}), "op1-groups")
     where = full.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
 
-    # each node against the hub it shares most signatures with
-    stars = (
-        groups.filter("node <> low")
-        .groupBy("node", "low")
-        .count()
-        .groupBy("node")
-        .agg(F.max(F.struct("count", "low")).alias("best"))
-        .select(F.col("best.low").alias("hub"), "node")
-    )
-    first_links = staged(linked(docs, staged(stars, "op1-stars"), where), "op1-links")
-    comp = staged(components(first_links, "op1-cc"), "op1-comp")
-
-    # pairs across components, counted by shared signatures
-    labelled = groups.join(comp, "node", "left").select(
-        "sig", "node", "n", "own", F.coalesce("component", "node").alias("component")
-    )
-    sizes = labelled.groupBy("sig").agg(
-        F.count(F.lit(1)).alias("members"), F.min("component").alias("c0"), F.max("component").alias("c1")
-    )
-    mixed = staged(
-        labelled.join(sizes.select("sig", "members", (F.col("c0") != F.col("c1")).alias("mixed")), "sig"), "op1-mixed"
-    )
-    hot = mixed.filter(F.col("own") & (F.col("members") > cold)).groupBy("node").agg(F.count(F.lit(1)).alias("hot"))
-    rest = mixed.filter("mixed")
-    larger = (
-        rest.filter("own")
-        .join(hot, "node", "left")
-        .join(full.select("node", "sigs").distinct(), "node")
-        .withColumn("cold_sigs", F.col("sigs") - F.coalesce("hot", F.lit(0)))
-        .withColumn("covered", F.col("cold_sigs") > F.floor(2 * F.col("n") / 7))
-        .filter((F.col("members") <= cold) | ~F.col("covered"))
-        .select(
-            "sig",
-            F.col("node").alias("hub"),
-            F.col("n").alias("hub_n"),
-            F.col("component").alias("hub_component"),
-            F.when(F.col("covered"), F.col("cold_sigs")).otherwise(F.col("sigs")).alias("looked"),
-        )
-    )
-    pairs = (
-        larger.join(rest.select("sig", "node", "n", "component"), "sig")
-        .filter(
-            (F.struct("n", "node") < F.struct("hub_n", "hub"))
-            & (F.col("component") != F.col("hub_component"))
-            & (WHOLE * F.col("n") >= PART * F.col("hub_n"))
-        )
-        .groupBy("hub", "node", "hub_n", "n", "looked")
-        .count()
-        .filter(F.col("count") >= F.col("looked") - F.floor((F.col("n") + F.col("hub_n")) / 7))
-        .select("hub", "node")
-    )
+    # each node against the smallest node it shares most signatures with
+    sigs = staged(full.select("node", "sigs").distinct(), "op1-sigs")
+    stars = staged(_best_hub(groups.filter("node <> hub"), sigs), "op1-stars")
+    links = staged(linked(docs, stars, where), "op1-links")
+    comp = staged(components(links, "op1-cc"), "op1-comp")
+    rest = _across(groups.select("sig", "node", "n", "own", "members"), comp)
+
+    # then against the most central node of another component, while that finds links
+    central = staged(groups.groupBy("node").agg(F.sum("members").alias("score")), "op1-central")
+    tried = stars
+    for _ in range(rounds):
+        stars = staged(_best_hub(_other_hubs(rest, central), sigs, tried), "op1-stars")
+        found = staged(linked(docs, stars, where), "op1-links")
+        if found.isEmpty():
+            break
+        tried, links = tried.unionByName(stars), links.unionByName(found)
+        comp = staged(components(links, "op1-cc"), "op1-comp")
+        rest = _across(rest.drop("component"), comp)
+
+    pairs = _pairs_across(rest, sigs)
     more_links = linked(docs, staged(pairs, "op1-pairs"), where)
-    comp = components(first_links.unionByName(more_links), "op1-cc")
+    comp = components(links.unionByName(more_links), "op1-cc")
 
     named = full.groupBy("node").agg(F.min("doc_id").alias("least")).join(comp, "node", "left")
     named = named.select("node", "least", F.coalesce("component", "node").alias("component"))

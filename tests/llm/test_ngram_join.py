@@ -120,7 +120,8 @@ def test_groups_on_planted_copies_and_hot_passages(spark):
     rows = planted()
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     want = brute(rows)
-    assert result(J.near_groups(docs, cold=4)) == want
+    assert result(J.near_groups(docs)) == want
+    assert result(J.near_groups(docs, rounds=0)) == want  # what the rounds leave, the pairs find
 
 
 def test_odd_rows_and_empty_table(odd_documents):
