@@ -355,11 +355,29 @@ def _best_hub(shared: DataFrame, sigs: DataFrame, tried: DataFrame | None = None
     )
 
 
-def _across(rows: DataFrame, comp: DataFrame) -> DataFrame:
-    """The rows of groups with members of several components, with ``component``."""
+def _across(rows: DataFrame, comp: DataFrame, sigs: DataFrame) -> DataFrame:
+    """What links between components can still come from, with ``component`` and ``able``.
+
+    Groups within one component go.  A node is ``able`` to be the larger set of
+    a link only if enough of its own signatures are left: a linked pair shares
+    all of them but 2n/7 at most.  Groups without an own signature of an able
+    node go too.
+    """
     labelled = rows.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
     spread = labelled.groupBy("sig").agg(F.min("component").alias("c0"), F.max("component").alias("c1"))
-    return staged(labelled.join(spread.filter("c0 <> c1").select("sig"), "sig", "left_semi"), "op1-rest")
+    mixed = staged(labelled.join(spread.filter("c0 <> c1").select("sig"), "sig", "left_semi"), "op1-mixed")
+    own = mixed.filter("own")
+    able = (
+        own.groupBy("node", "n")
+        .count()
+        .join(sigs, "node")
+        .filter(F.col("count") >= F.col("sigs") - F.floor(2 * F.col("n") / 7))
+        .select("node", F.lit(True).alias("able"))
+    )
+    able = staged(able, "op1-able")
+    live = own.join(able, "node", "left_semi").select("sig").distinct()
+    rest = mixed.join(live, "sig", "left_semi").join(able, "node", "left")
+    return staged(rest.withColumn("able", F.coalesce("able", F.lit(False))), "op1-rest")
 
 
 def _other_hubs(rest: DataFrame, central: DataFrame) -> DataFrame:
@@ -386,7 +404,7 @@ def _pairs_across(rest: DataFrame, sigs: DataFrame) -> DataFrame:
     linked pair shares at least ``looked`` - (n + hub_n) / 7 of them.
     """
     least = F.floor(2 * F.col("n") / 7) + 1
-    own = rest.filter("own").join(sigs, "node")
+    own = rest.filter(F.col("own") & F.col("able")).join(sigs, "node")
     by_size = Window.partitionBy("node").orderBy("members", "sig")
     per_node = Window.partitionBy("node")
     larger = (
@@ -455,7 +473,7 @@ def labelled_rows(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     stars = staged(_best_hub(groups.filter("node <> hub"), sigs), "op1-stars")
     links = staged(linked(docs, stars, where), "op1-links")
     comp = staged(components(links, "op1-cc"), "op1-comp")
-    rest = _across(groups.select("sig", "node", "n", "own", "members"), comp)
+    rest = _across(groups.select("sig", "node", "n", "own", "members"), comp, sigs)
 
     # then against the most central node of another component, while that finds links
     central = staged(groups.groupBy("node").agg(F.sum("members").alias("score")), "op1-central")
@@ -467,7 +485,7 @@ def labelled_rows(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
             break
         tried, links = tried.unionByName(stars), links.unionByName(found)
         comp = staged(components(links, "op1-cc"), "op1-comp")
-        rest = _across(rest.drop("component"), comp)
+        rest = _across(rest.drop("component", "able"), comp, sigs)
 
     pairs = _pairs_across(rest, sigs)
     more_links = linked(docs, staged(pairs, "op1-pairs"), where)
