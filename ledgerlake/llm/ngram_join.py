@@ -49,7 +49,7 @@ from .shingles import _STEP, mix, shingle_sets
 PART, WHOLE = 3, 4
 SMALL_BAND = 5
 #: Most rounds of checks against central nodes before the remaining pairs are counted.
-ROUNDS = 4
+ROUNDS = 2
 #: Nodes whose ids may be broadcast; beyond, the same join is shuffled.
 BROADCAST_NODES = 1_000_000
 #: Bytes of text hashed at a time, and signatures sent at a time: they bound a task's memory.
