@@ -1,13 +1,15 @@
 """Operator 8: repeated passages across documents, by pairwise line alignment.
 
-Documents that share lines are found through line hashes: every document is
-compared with the earliest holder of each of its shared lines, and for rare
-lines (at most ``rare`` holders) with every earlier holder.  So the number of
-pairs grows with the shared lines, not with the square of a line's holders.
-Pairs that share fewer than ``min_words`` words are dropped.  The other pairs
-are aligned by patience diff over the line hashes; common blocks (runs of lines
-aligned side by side in both) of at least ``min_words`` words are deleted from
-the later document.  The earliest holder of a block always keeps it.
+Documents that share a passage are found through run hashes: of the runs of
+adjacent lines with at least ``min_words`` words, the shortest from each line on
+and the shortest up to each line.  Every line of a common block lies in such a
+run inside the block, so a document is compared with the earliest holder of
+each of its runs and nothing is lost by leaving out the other holders, however
+many there are; the number of pairs grows with the lines, not with the square
+of a passage's holders.  The pairs are aligned by patience diff over the line
+hashes; common blocks (runs of lines aligned side by side in both) of at least
+``min_words`` words are deleted from the later document.  The earliest holder of
+a block always keeps it.
 
 Only line hashes are shuffled for the alignment, and only those of lines that
 two documents share; texts meet the list of lines to delete once.
@@ -21,9 +23,11 @@ compared nor deleted; an empty table gives no rows.  Lines count as equal by a
 
 from __future__ import annotations
 
+from array import array
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +35,7 @@ from pyspark.sql import functions as F
 from .common import SPACE_PATTERN, byte_slices, staged
 
 MIN_WORDS = 40
+#: Limits nothing any more; the tests still compare with the pairs of lines so rare.
 RARE = 8
 
 
@@ -92,6 +97,25 @@ def blocks_to_delete(early: list[tuple], late: list[tuple], min_words: int) -> l
     return out
 
 
+def shortest_runs(seq: list[tuple], min_words: int) -> list[tuple[int, int]]:
+    """From and to (exclusive): runs of adjacent lines that reach ``min_words``, the shortest from and up to each line."""
+    out: set[tuple[int, int]] = set()
+    a = begun = total = 0
+    for b, x in enumerate(seq):
+        if b and seq[b - 1][0] + 1 != x[0]:
+            a = begun = b
+            total = 0
+        total += x[3]
+        while total - seq[a][3] >= min_words:
+            total -= seq[a][3]
+            a += 1
+        if total >= min_words:
+            out.update((k, b + 1) for k in range(begun, a + 1))
+            out.add((a, b + 1))
+            begun = max(begun, a + 1)
+    return sorted(out)
+
+
 def _key(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
@@ -122,34 +146,42 @@ def shared_lines(docs: DataFrame) -> DataFrame:
     return staged(lines.join(holders, ["h", "w"]).dropDuplicates(["doc", "place"]), "op8-shared")
 
 
-def candidate_pairs(shared: DataFrame, min_words: int, rare: int) -> DataFrame:
-    """early, late: distinct pairs that share enough words."""
-    held = shared.select("h", "w", "doc", "first").distinct()
-    rare_lines = (
-        held.groupBy("h", "w").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") <= rare).select("h", "w")
-    )
-    few = held.join(rare_lines, ["h", "w"])
-    with_first = held.filter("first < doc").select("h", "w", F.col("first").alias("early"), F.col("doc").alias("late"))
-    with_each = (
-        few.select("h", "w", F.col("doc").alias("early"))
-        .join(few.select("h", "w", F.col("doc").alias("late")), ["h", "w"])
-        .filter("early < late")
-    )
+def sequences(shared: DataFrame) -> DataFrame:
+    """doc, seq: the shared lines of every document in order."""
+    return shared.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("place", "line", "h", "w"))).alias("seq"))
+
+
+def candidate_pairs(seqs: DataFrame, min_words: int) -> DataFrame:
+    """early, late: every document with the earliest holder of each of its shortest runs."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            docs, hashes = [], []
+            for k, row in enumerate(batch.column("seq").to_pylist()):
+                seq = [(x["place"], x["line"], x["h"], x["w"]) for x in row]
+                raw = array("q", [v for x in seq for v in x[2:]]).tobytes()
+                mine = {blake2b(raw[16 * a : 16 * b], digest_size=8).digest() for a, b in shortest_runs(seq, min_words)}
+                docs += [k] * len(mine)
+                hashes += [int.from_bytes(h, "little", signed=True) for h in mine]
+            yield pa.RecordBatch.from_arrays([batch.column("doc").take(pa.array(docs, pa.int64())), pa.array(hashes, pa.int64())], ["doc", "run"])
+
+    doc_type = seqs.schema["doc"].dataType.simpleString()
+    runs = staged(seqs.mapInArrow(run, f"doc {doc_type}, run long"), "op8-runs")
+    first = runs.groupBy("run").agg(F.min("doc").alias("early"), F.max("doc").alias("final")).filter("early <> final")
     return (
-        with_first.unionByName(with_each)
+        runs.join(first.select("run", "early"), "run")
+        .filter("early < doc")
+        .select("early", F.col("doc").alias("late"))
         .distinct()
-        .groupBy("early", "late")
-        .agg(F.sum("w").alias("words"))
-        .filter(F.col("words") >= min_words)
-        .select("early", "late")
     )
 
 
-def deletions(docs: DataFrame, min_words: int = MIN_WORDS, rare: int = RARE) -> DataFrame:
+def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """doc, lines: the line numbers to delete from each document that loses any."""
-    shared = shared_lines(docs)
-    pairs = staged(candidate_pairs(shared, min_words, rare), "op8-pairs")
-    seqs = shared.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("place", "line", "h", "w"))).alias("seq"))
+    seqs = sequences(shared_lines(docs))
+    pairs = staged(candidate_pairs(seqs, min_words), "op8-pairs")
     both = pairs.join(seqs.select(F.col("doc").alias("early"), F.col("seq").alias("a")), "early").join(
         seqs.select(F.col("doc").alias("late"), F.col("seq").alias("b")), "late"
     )
@@ -172,9 +204,9 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS, rare: int = RARE) ->
     return staged(found.groupBy("doc").agg(F.sort_array(F.collect_set("line")).alias("lines")), "op8-deletions")
 
 
-def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, rare: int = RARE) -> DataFrame:
+def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` without the repeated blocks, plus ``deleted_lines`` (array of line numbers)."""
-    gone = deletions(docs, min_words, rare).select(
+    gone = deletions(docs, min_words).select(
         F.col("doc.id").alias("_id"), F.col("doc.key").alias("_key"), F.col("lines").alias("deleted_lines")
     )
     row = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("long").alias("_doc"), _key(F.col("text")).alias("_text"))

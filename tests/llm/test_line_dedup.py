@@ -1,5 +1,6 @@
 """Line dedup: patience alignment, planted passages, brute force over the documents, odd rows."""
 
+import random
 import re
 
 from ledgerlake.llm import line_dedup as L
@@ -70,3 +71,58 @@ def test_odd_rows(odd_documents):
     assert kept.columns == odd_documents.columns
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(str(i) for i in (1, 2, 3, 4, 5, 7, None))
     assert L.remove_repeats(odd_documents.limit(0)).count() == 0
+
+
+def all_pairs(docs, min_words=L.MIN_WORDS):
+    """Whole table in memory: every document against every earlier one."""
+    seqs = []
+    for i, t in docs:
+        rows = [(k, s) for k, s in enumerate((t or "").split("\n")) if re.search(r"[^\x20\x09-\x0D]", s)]
+        seqs.append((i, [(p, k, s, len(s.split())) for p, (k, s) in enumerate(rows)]))
+    gone = {}
+    for n, (i, late) in enumerate(seqs):
+        for _, early in seqs[:n]:
+            if {x[2] for x in early} & {x[2] for x in late}:
+                gone.setdefault(i, set()).update(L.blocks_to_delete(early, late, min_words))
+    return {i: sorted(g) for i, g in gone.items() if g}
+
+
+def deleted(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    return {r["doc_id"]: r["deleted_lines"] for r in L.remove_repeats(docs).collect() if r["deleted_lines"]}
+
+
+def test_shortest_runs_cover_every_block():
+    words = [5, 20, 20, 3, 41, 1, 39, 2]
+    seq = [(p + (p > 5), p, str(p), w) for p, w in enumerate(words)]
+    ok = lambda a, b: sum(words[a:b]) >= 40 and not (a <= 5 < b - 1)
+    every = {(a, b) for a in range(8) for b in range(a + 1, 9) if ok(a, b)}
+    want = {(a, b) for a, b in every if (a, b - 1) not in every or (a + 1, b) not in every}
+    want = {(a, b) for a, b in want if not any((a, c) in every for c in range(b)) or not any((c, b) in every for c in range(a + 1, b))}
+    assert set(L.shortest_runs(seq, 40)) == want
+
+
+def test_lines_with_different_first_holders(spark):
+    """B's block a x c y: later documents meet A for a and c only, B for x and y, under 40 words."""
+    line = {k: " ".join(f"{k}{i}" for i in range(15)) for k in "abcdxy"}
+    rows = [(0, "\n".join(line[k] for k in "abcd"))]
+    rows += [(i, "\n".join([f"own {i}", *(line[k] for k in "axcy"), f"end {i}"])) for i in range(1, 31)]
+    want = {i: [1, 2, 3, 4] for i in range(2, 31)}
+    assert all_pairs(rows) == want and deleted(spark, rows) == want
+
+
+def test_variants_of_boilerplate_equal_all_pairs(spark):
+    rnd = random.Random(5)
+    line = [" ".join(f"w{k}x{i}" for i in range(rnd.randint(5, 25))) for k in range(14)]
+    rows = []
+    for i in range(150):
+        a = rnd.randint(0, 8)
+        picked = [k for k in range(a, a + rnd.randint(2, 6)) if rnd.random() < 0.85]
+        rows.append((i, "\n".join([f"own {i}", *(line[k] for k in picked), f"end {i}"])))
+    want = all_pairs(rows)
+    assert want and deleted(spark, rows) == want
+
+
+def test_documents_equal_all_pairs(spark, documents):
+    rows = sorted((r["doc_id"], r["text"]) for r in documents.collect())
+    assert deleted(spark, rows) == all_pairs(rows)
