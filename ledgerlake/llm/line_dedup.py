@@ -8,8 +8,11 @@ each of its runs and nothing is lost by leaving out the other holders, however
 many there are; the number of pairs grows with the lines, not with the square
 of a passage's holders.  The pairs are aligned by patience diff over the line
 hashes; common blocks (runs of lines aligned side by side in both) of at least
-``min_words`` words are deleted from the later document.  The earliest holder of
-a block always keeps it.
+``min_words`` words are deleted from the later document.  Blocks the alignment
+cannot follow, as one document holds them twice or both in another order, are
+found in the pair by their runs and deleted as well, so a line goes exactly if
+an earlier document holds a run of ``min_words`` words around it.  The earliest
+holder of a block always keeps it, repeated inside or not.
 
 Only line hashes are shuffled for the alignment, and only those of lines that
 two documents share; texts meet the list of lines to delete once.
@@ -79,24 +82,6 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
     return sorted(out)
 
 
-def blocks_to_delete(early: list[tuple], late: list[tuple], min_words: int) -> list[int]:
-    """Line numbers of ``late`` inside common blocks; items are (place, line, hash, words)."""
-    aligned = patience([x[2:] for x in late], [x[2:] for x in early])
-    out: list[int] = []
-    run: list[int] = []
-    last = None
-    for i, j in [*aligned, (None, None)]:
-        here = None if i is None else (late[i][0], early[j][0])
-        if run and (here is None or (here[0] - 1, here[1] - 1) != last):
-            if sum(late[k][3] for k in run) >= min_words:
-                out.extend(late[k][1] for k in run)
-            run = []
-        if i is not None:
-            run.append(i)
-        last = here
-    return out
-
-
 def shortest_runs(seq: list[tuple], min_words: int) -> list[tuple[int, int]]:
     """From and to (exclusive): runs of adjacent lines that reach ``min_words``, the shortest from and up to each line."""
     out: set[tuple[int, int]] = set()
@@ -116,6 +101,35 @@ def shortest_runs(seq: list[tuple], min_words: int) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def blocks_to_delete(early: list[tuple], late: list[tuple], min_words: int) -> list[int]:
+    """Line numbers of ``late`` inside common blocks; items are (place, line, hash, words).
+
+    What the alignment leaves (passages repeated in one of the two or in another
+    order) is looked up by runs, whose shortest ones cover every common block.
+    """
+    mine, theirs = [x[2:] for x in late], [x[2:] for x in early]
+    aligned = patience(mine, theirs)
+    out: list[int] = []
+    run: list[int] = []
+    last = None
+    for i, j in [*aligned, (None, None)]:
+        here = None if i is None else (late[i][0], early[j][0])
+        if run and (here is None or (here[0] - 1, here[1] - 1) != last):
+            if sum(late[k][3] for k in run) >= min_words:
+                out.extend(late[k][1] for k in run)
+            run = []
+        if i is not None:
+            run.append(i)
+        last = here
+    if len(out) < len(late):
+        gone = set(out)
+        left = [(a, b) for a, b in shortest_runs(late, min_words) if any(late[k][1] not in gone for k in range(a, b))]
+        held = {tuple(theirs[a:b]) for a, b in shortest_runs(early, min_words)} if left else set()
+        gone.update(late[k][1] for a, b in left if tuple(mine[a:b]) in held for k in range(a, b))
+        out = sorted(gone)
+    return out
+
+
 def _key(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 

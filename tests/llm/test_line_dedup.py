@@ -123,6 +123,42 @@ def test_variants_of_boilerplate_equal_all_pairs(spark):
     assert want and deleted(spark, rows) == want
 
 
+def common_runs(early, late, min_words=L.MIN_WORDS):
+    """Lines of ``late`` in any run of lines that ``early`` holds too; no alignment."""
+    return {
+        k
+        for i in range(len(late))
+        for n in range(1, len(late) - i + 1)
+        if sum(len(s.split()) for s in late[i : i + n]) >= min_words
+        and any(early[j : j + n] == late[i : i + n] for j in range(len(early) - n + 1))
+        for k in range(i, i + n)
+    }
+
+
+def test_passages_repeated_or_in_another_order(spark):
+    p, q = (["%s%d %s" % (c, k, " ".join(f"{c}{k}w{i}" for i in range(20))) for k in range(3)] for c in "pq")
+    rows = [
+        (0, ["x", *p, "y", *p, "z"]),  # the first holder has it twice
+        *((i, p) for i in range(1, 13)),
+        (20, ["x", *q, "own", *p, "z"]),
+        (21, ["a", *p, "b", *p, "c", *q]),  # twice in the later one
+        (22, [*q, p[0], p[1], "d", *p, *q]),
+        (23, ["z", "y", "x", p[0], q[1], p[2]]),
+    ]
+    want = {i: sorted({k for _, early in rows[:n] for k in common_runs(early, late)}) for n, (i, late) in enumerate(rows)}
+    want = {i: g for i, g in want.items() if g}
+    assert all(want[i] == [0, 1, 2] for i in range(1, 13)) and 0 not in want and 23 not in want
+    assert deleted(spark, [(i, "\n".join(x)) for i, x in rows]) == want
+
+
+def test_blocks_equal_all_common_runs():
+    rnd = random.Random(9)
+    for _ in range(400):
+        early, late = ([" ".join([rnd.choice("abcd")] * 15) for _ in range(rnd.randint(0, 12))] for _ in range(2))
+        seqs = ([(k, k, s, 15) for k, s in enumerate(x)] for x in (early, late))
+        assert sorted(L.blocks_to_delete(*seqs, 40)) == sorted(common_runs(early, late, 40))
+
+
 def test_documents_equal_all_pairs(spark, documents):
     rows = sorted((r["doc_id"], r["text"]) for r in documents.collect())
     assert deleted(spark, rows) == all_pairs(rows)
