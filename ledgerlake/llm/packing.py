@@ -15,7 +15,9 @@ they equal those of the ``tokenizers`` file of the same vocabulary (tested),
 which takes four times as long.  Its pre-tokenisation never joins text across a single blank between two non-blank characters, so a
 text is the concatenation of its blank-separated parts and every distinct part
 is encoded once per task (cache bounded by ``CACHE_PARTS`` entries, then
-refilled).  Texts with any other use of white space are encoded whole.
+refilled).  Texts with any other use of white space are encoded whole.  Added
+tokens (``<|endoftext|>``) are read from the ``tokenizers`` file beside the rank
+file, if there is one; texts that hold one are cut at it and it gets its id.
 
 Defined cases: NULL and empty texts are one id, the end id; repeated rows are
 documents of their own; a NULL doc_id is carried through; an empty table gives
@@ -44,11 +46,28 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """String and id of the added tokens in the ``tokenizers`` file beside a rank file."""
+    import json
+    import os
+
+    path = os.path.splitext(path)[0] + ".json"
+    if not os.path.exists(path):
+        return {}
+    with open(path, encoding="utf-8") as f:
+        added = json.load(f)["added_tokens"]
+    for t in added:
+        if t["single_word"] or t["lstrip"] or t["rstrip"]:
+            raise ValueError(f"added token {t['content']!r} does not stand for its plain string")
+    return {t["content"]: t["id"] for t in added}
+
+
 class PartEncoder:
     """Token ids of whole texts, as little-endian unsigned 32-bit bytes."""
 
     def __init__(self, path: str):
         import base64
+        import re
 
         import numpy as np
         import public_tokenizers
@@ -63,10 +82,17 @@ class PartEncoder:
         for token, rank in ranks.items():
             self.n_bytes[rank] = len(token)
         self.cache: dict[bytes, bytes] = {}
+        self.added = {t: i.to_bytes(4, "little") for t, i in added_tokens(path).items()}
+        # of several at one place the longest
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
 
     def _encode(self, text: str) -> bytes:
         return self.bpe.encode_to_numpy(text).astype("<u4").tobytes()
 
+    def _encode_cut(self, text: str) -> bytes:
+        """A text that holds added tokens: they and the stretches between them, each apart."""
+        return b"".join(self.added[s] if k % 2 else self._encode(s) for k, s in enumerate(self.cut.split(text)))
+
     def _learn(self, parts: list[bytes]) -> None:
         """Encode parts, each after a blank, in one call; cut where they end."""
         import numpy as np
@@ -109,9 +135,14 @@ class PartEncoder:
         ends = (np.concatenate(([0], ends)) * 4).tolist()
 
         is_odd = np.concatenate(([0], np.cumsum(odd[codes]))).tolist()
+        holds = np.zeros(len(texts), bool)
+        for token in self.added:
+            holds |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
         out: list[bytes] = []
-        for k, (a, b) in enumerate(zip(at[:-1], at[1:])):
-            if is_odd[b] > is_odd[a]:
+        for k, (a, b, cut) in enumerate(zip(at[:-1], at[1:], holds.tolist())):
+            if cut:
+                out.append(self._encode_cut(texts[k].as_py()))
+            elif is_odd[b] > is_odd[a]:
                 out.append(self._encode(texts[k].as_py()))
             else:
                 # the first part has no blank before it: encoded apart

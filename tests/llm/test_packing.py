@@ -67,6 +67,19 @@ def test_odd_rows(odd_documents, tokenizer):
     check_pieces(pieces, [(r["doc_id"], r["text"]) for r in odd_documents.collect()], tokenizer)
 
 
+def test_added_tokens_have_their_ids(spark, tokenizer):
+    end = "<|endoftext|>"
+    texts = [
+        end, f"a {end} b", f"x{end}y", f"{end}{end} z", f"two  blanks  {end}\n\n{end} ", f"{end[:-1]} {end[1:]}", f"<{end}>",
+        f" {end}", "<|endof text|>", "plain", f"été {end}日本", f"plain words first {end}",
+    ]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [64, 220, 50256, 275] in want
+    rows = list(enumerate(texts))
+    pieces = packing.pack(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    check_pieces(pieces, rows, tokenizer)
+
+
 def test_empty_table(odd_documents):
     assert packing.pack(odd_documents.limit(0)).count() == 0
 
