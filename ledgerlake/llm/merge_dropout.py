@@ -3,14 +3,15 @@
 A merge-type model joins, among all neighbouring pieces whose concatenation is
 a piece, the pair of best score (leftmost of equals) until none is left.  With
 dropout a candidate merge is skipped for good with probability ``dropout``; the
-draw is a hash keyed by the seed, the word, the variant of its occurrence and
-the candidate's place, so the same run gives the same pieces on any cluster and
-another seed gives others.  Each occurrence of a word takes one of
-``variants`` draws, keyed by seed, document and position.
+draw is a hash keyed by the seed, the document, the word's position in it, the
+word and the candidate's place, so every occurrence has draws of its own, the
+same run gives the same pieces on any cluster and another seed gives others.
 
 Pieces never join across a blank, so texts are cut into words with the blanks
-before them and every distinct (word, blanks, variant) of a slice is segmented
-once, all of them in step: a round merges the best candidate of each word.
+before them.  Every distinct (word, blanks) of a slice is segmented once without
+dropout; occurrences none of whose candidates on that way is dropped take these
+pieces, which are then theirs exactly.  All others are segmented each for
+itself, many in step: a round merges the best candidate of each word.
 
 Decoding is exact for every text: characters without a piece are byte pieces,
 and so is the blank mark itself where a text contains it.
@@ -34,6 +35,8 @@ from .shingles import mix
 MARK = "▁"
 #: Bytes of text segmented at a time; bounds a task's memory.
 SLICE = 2 << 20
+#: Symbols (or candidates) worked on in step; bounds the memory of a slice's occurrences.
+STEP = 1 << 17
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -115,13 +118,34 @@ class Model:
         return found, exists
 
 
-def segment(model: Model, syms: np.ndarray, sizes: np.ndarray, keys: np.ndarray, dropout: float):
+def _limit(dropout: float) -> np.uint64:
+    return np.uint64(min(int(dropout * 2.0**64), (1 << 64) - 1))
+
+
+def _place_key(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return (left.astype(np.uint64) * _K[1]) ^ (right.astype(np.uint64) * _K[2])
+
+
+def _drawn(key: np.ndarray, place: np.ndarray, joined: np.ndarray) -> np.ndarray:
+    return mix(mix(key ^ place) ^ (joined.astype(np.uint64) * _K[3]))
+
+
+def steps(sizes: np.ndarray):
+    """Ranges of about ``STEP`` in total size."""
+    if len(sizes):
+        cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // STEP)) + 1
+        yield from zip([0, *cuts.tolist()], [*cuts.tolist(), len(sizes)])
+
+
+def segment(model: Model, syms: np.ndarray, sizes: np.ndarray, keys: np.ndarray, dropout: float, log=None, begin=None):
     """Pieces of many words: flat ids and their number per word.
 
-    ``syms`` are the words' first pieces one after the other, ``sizes`` their
-    numbers, ``keys`` the words' hash keys.
+    ``syms`` are the words' first pieces one after the other (overwritten),
+    ``sizes`` their numbers, ``keys`` the words' hash keys.  ``log`` takes the
+    candidates met: word, places of both pieces, join.  ``begin`` is what
+    ``model.join`` says of each first piece and the next one of its word.
     """
-    limit = np.uint64(min(int(dropout * 2.0**64), (1 << 64) - 1))
+    limit = _limit(dropout)
     none = np.int64(1) << np.int64(62)
     done_ids, done_word, done_place = [], [], []
 
@@ -132,13 +156,18 @@ def segment(model: Model, syms: np.ndarray, sizes: np.ndarray, keys: np.ndarray,
     dirty = np.ones(len(syms), bool)
     while len(syms):
         # candidates that are new: look up, then draw
-        at = np.flatnonzero(dirty[:-1] & (word[:-1] == word[1:]))
         order[dirty] = none
-        found, exists = model.join(syms[at], syms[at + 1])
-        at, found = at[exists], found[exists]
+        if begin is None:
+            at = np.flatnonzero(dirty[:-1] & (word[:-1] == word[1:]))
+            found, exists = model.join(syms[at], syms[at + 1])
+            at, found = at[exists], found[exists]
+        else:
+            at = np.flatnonzero(begin[1])
+            found, begin = begin[0][at], None
+        if log is not None:
+            log.append((word[at], start[at], start[at + 1], found))
         if dropout > 0 and len(at):
-            h = keys[word[at]] ^ (start[at].astype(np.uint64) * _K[1]) ^ (start[at + 1].astype(np.uint64) * _K[2])
-            kept = mix(mix(h) ^ (model.joined[found].astype(np.uint64) * _K[3])) >= limit
+            kept = _drawn(keys[word[at]], _place_key(start[at], start[at + 1]), model.joined[found]) >= limit
             at, found = at[kept], found[kept]
         order[at] = (model.join_rank[found] << 32) | start[at]
         join[at] = found
@@ -166,9 +195,9 @@ def segment(model: Model, syms: np.ndarray, sizes: np.ndarray, keys: np.ndarray,
 
 
 class Encoder:
-    def __init__(self, model: Model, seed: int, dropout: float, variants: int):
+    #: ``variants`` limits nothing any more; it stays for those who pass it.
+    def __init__(self, model: Model, seed: int, dropout: float, variants: int = 0):
         self.model, self.dropout = model, dropout
-        self.variants = variants if dropout > 0 else 1
         self.seed = mix(np.array([seed & (1 << 63) - 1], np.uint64) + _K[0])[0]
 
     def __call__(self, doc_ids: list, texts) -> tuple[np.ndarray, np.ndarray]:
@@ -200,16 +229,56 @@ class Encoder:
 
         ids = np.array([(i or 0) & (1 << 63) - 1 for i in doc_ids], np.uint64)
         draw = mix(mix(ids[text] * _K[1] + self.seed) + place.astype(np.uint64))
-        variant = (draw % np.uint64(self.variants)).astype(np.int64)
         wide = int(blanks.max()) + 1 if len(blanks) else 1
-        key, which = np.unique((code * wide + blanks) * self.variants + variant, return_inverse=True)
-        flat, count = self._words(parts, key // self.variants // wide, key // self.variants % wide, key % self.variants)
-        first = np.cumsum(count) - count
-        out = ragged(flat, first[which], count[which])
-        return out, np.bincount(text, count[which], len(n)).astype(np.int64)
-
-    def _words(self, parts, code, blanks, variant):
-        """Pieces of distinct words, given by part, number of blanks and variant."""
+        key, which = np.unique(code * wide + blanks, return_inverse=True)
+        flat, first, count = self._pieces(*self._words(parts, key // wide, key % wide), which, draw)
+        out = ragged(flat, first, count)
+        return out, np.bincount(text, count, len(n)).astype(np.int64)
+
+    def _pieces(self, syms, sizes, keys, which, draw):
+        """Of every occurrence (its distinct word and its draw): where its pieces are, and their number."""
+        model = self.model
+        log: list = []
+        plain, n_plain = segment(model, syms.copy(), sizes, keys, 0.0, log)
+        first, count = (np.cumsum(n_plain) - n_plain)[which], n_plain[which]
+        if self.dropout <= 0 or not len(which):
+            return plain, first, count
+        own_key = mix(keys[which] ^ draw)
+
+        # occurrences that lose a candidate of the plain way
+        word, left, right, found = (np.concatenate(x) for x in zip(*log))
+        by = np.argsort(word, kind="stable")
+        place, joined = _place_key(left[by], right[by]), model.joined[found[by]]
+        n_met = np.bincount(word, minlength=len(sizes))
+        from_met = np.cumsum(n_met) - n_met
+        loses = np.zeros(len(which), bool)
+        limit, all_met = _limit(self.dropout), np.arange(len(by))
+        for a, b in steps(n_met[which]):
+            w = which[a:b]
+            at = ragged(all_met, from_met[w], n_met[w])
+            owner = np.repeat(np.arange(a, b), n_met[w])
+            loses[owner[_drawn(own_key[owner], place[at], joined[at]) < limit]] = True
+
+        # these one by one, words of like length in step
+        begin = np.flatnonzero(np.arange(len(syms)) + 1 < np.repeat(np.cumsum(sizes), sizes))
+        found, exists = np.zeros(len(syms), np.int64), np.zeros(len(syms), bool)
+        found[begin], exists[begin] = model.join(syms[begin], syms[begin + 1])
+        from_sym, all_syms = np.cumsum(sizes) - sizes, np.arange(len(syms))
+        todo = np.flatnonzero(loses)
+        todo = todo[np.argsort(sizes[which[todo]], kind="stable")]
+        out, done = [plain], len(plain)
+        for a, b in steps(sizes[which[todo]]):
+            mine = todo[a:b]
+            w = which[mine]
+            at = ragged(all_syms, from_sym[w], sizes[w])
+            ids, n = segment(model, syms[at], sizes[w], own_key[mine], self.dropout, begin=(found[at], exists[at]))
+            first[mine], count[mine] = done + np.cumsum(n) - n, n
+            out.append(ids)
+            done += len(ids)
+        return np.concatenate(out), first, count
+
+    def _words(self, parts, code, blanks):
+        """First pieces, their number and keys of distinct words, given by part and number of blanks."""
         model = self.model
         joined = "".join(parts)
         cps = np.frombuffer(joined.encode("utf-32-le"), np.uint32).astype(np.int64)
@@ -231,7 +300,7 @@ class Encoder:
 
         total = np.concatenate(([np.uint64(0)], np.cumsum(mix(cps.astype(np.uint64) + _K[2] * (np.arange(len(cps)) - np.repeat(ends - size, size)).astype(np.uint64)))))
         name = total[ends] - total[ends - size]
-        keys = mix(mix(name[code] + self.seed) ^ (blanks.astype(np.uint64) * _K[3]) ^ variant.astype(np.uint64))
+        keys = mix(mix(name[code] + self.seed) ^ (blanks.astype(np.uint64) * _K[3]))
 
         lengths = blanks + (last - first)[code]
         out = np.full(int(lengths.sum()), model.mark)
@@ -239,7 +308,7 @@ class Encoder:
         inner = (last - first)[code]
         spot = np.repeat(starts + blanks - (np.cumsum(inner) - inner), inner) + np.arange(int(inner.sum()))
         out[spot] = ragged(syms, first[code], inner)
-        return segment(model, out, lengths, keys, self.dropout)
+        return out, lengths, keys
 
 
 def decode_ids(model: Model, ids: np.ndarray, counts: np.ndarray) -> list[str]:
@@ -251,9 +320,7 @@ def decode_ids(model: Model, ids: np.ndarray, counts: np.ndarray) -> list[str]:
     return [raw[a + 1 : b].decode() for a, b in zip(ends, ends[1:])]
 
 
-def encode(
-    docs: DataFrame, model: str | None = None, seed: int = 1, dropout: float = 0.1, variants: int = 4
-) -> DataFrame:
+def encode(docs: DataFrame, model: str | None = None, seed: int = 1, dropout: float = 0.1) -> DataFrame:
     """doc_id, ids: the pieces of every text."""
     path = model or default_model()
 
@@ -261,7 +328,7 @@ def encode(
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        encoder = Encoder(Model(path), seed, dropout, variants)
+        encoder = Encoder(Model(path), seed, dropout)
         for part in byte_slices(batches, limit=SLICE):
             ids = part.column("doc_id").cast(pa.int64())
             flat, counts = encoder(ids.to_pylist(), pc.fill_null(part.column("text"), ""))

@@ -79,6 +79,44 @@ def test_round_trips_and_variety(model):
     assert tuple(one.tolist()) in seen
 
 
+def test_every_occurrence_has_its_own_draws(model):
+    """One word thousands of times: as many segmentations as the agenda with each occurrence's key gives."""
+    n, texts = 4000, ["international " * 4000, "international " * 3]
+    flat, counts = M.Encoder(model, 1, 0.3, 4)([7, 8], pa.array(texts))
+    assert M.decode_ids(model, flat, counts) == texts
+    pieces, seen, ids = [], {}, flat[: counts[0]].tolist()
+    for k in ids:  # a word starts with a blank mark
+        if pieces and model.raw[model.raw_first[k]] == 32:
+            seen[tuple(pieces)] = seen.get(tuple(pieces), 0) + 1
+            pieces = []
+        pieces.append(k)
+    syms = [model.char[ord(c)] for c in "▁international"]
+    keys = mix(np.arange(n, dtype=np.uint64))
+    flat, counts = M.segment(model, np.tile(syms, n), np.full(n, len(syms)), keys, 0.3)
+    want = {}
+    for x in split(flat, counts):
+        want[tuple(x)] = want.get(tuple(x), 0) + 1
+    assert sum(seen.values()) >= n and len(seen) > 50
+    assert abs(len(seen) - len(want)) < 0.2 * len(want)
+    most = max(want, key=want.get)
+    assert abs(seen[most] - want[most]) < 0.1 * n
+
+
+def test_shared_occurrences_equal_the_agenda(model):
+    """Pieces of each occurrence are those of its own key, whether shared or not."""
+    words = ["international", "the", "reconsidered", "banana", "xyzzyxyzzy"]
+    sym = [[int(model.char[ord(c)]) for c in "▁" + w] for w in words]
+    sizes = np.array([len(x) for x in sym])
+    which = np.arange(300) % len(words)
+    keys = mix(np.arange(len(words), dtype=np.uint64))
+    draw = mix(np.arange(300, dtype=np.uint64) + np.uint64(10**6))
+    for dropout in (0.05, 0.3):
+        flat, first, count = M.Encoder(model, 1, dropout, 4)._pieces(np.concatenate(sym), sizes, keys, which, draw)
+        for k, w in enumerate(which.tolist()):
+            key = int(mix(keys[w : w + 1] ^ draw[k : k + 1])[0])
+            assert flat[first[k] : first[k] + count[k]].tolist() == agenda(model, sym[w], key, dropout)
+
+
 def test_query_decodes_every_document(spark, documents):
     got = {r["doc_id"]: r["decoded_sha256"] for r in QUERIES["op9_merge_dropout"](spark, SF_SMALL).collect()}
     assert got == {r["doc_id"]: hashlib.sha256((r["text"] or "").encode()).hexdigest() for r in documents.collect()}
