@@ -58,7 +58,8 @@ ASIDE_WORDS = set(
     "signup skip social sponsor sponsored subscribe teaser toolbar topbar widget".split()
 )
 
-#: Elements nested deeper are taken as markup without content of their own.
+#: The content of elements nested deeper stays with the element around them, that
+#: of those beside the text apart; their tags are opened and closed all the same.
 MAX_DEPTH = 100
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/<>]*)((?:[^<>"']++|"[^"<]*+"|'[^'<]*+')*+)>""")
@@ -97,6 +98,19 @@ def parse(page: str) -> Node:
     """The page as a balanced tree; texts are strings among the kids."""
     root = Node("", "", False)
     stack, pos, n = [root], 0, len(page)
+    open_at: dict[str, list[int]] = {}  # where in the stack each name is open
+
+    def last(names) -> int:
+        return max((open_at[x][-1] for x in names if open_at.get(x)), default=0)
+
+    def shut_from(k: int) -> None:
+        while len(stack) > k:
+            deep = len(stack) > MAX_DEPTH + 1
+            gone = stack.pop()
+            open_at[gone.name].pop()
+            if deep and gone.name in BLOCK:  # the break at its end
+                stack[-1].kids.append(Node(gone.name, gone.label, False))
+
     while pos < n:
         at = page.find("<", pos)
         if at < 0:
@@ -120,34 +134,32 @@ def parse(page: str) -> Node:
             continue
         pos, name = m.end(), m[2].lower()
         if m[1]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].name == name:
-                    del stack[k:]
-                    break
-                if stack[k].name in BLOCK and name not in BLOCK or stack[k].name in HOLDERS and name not in HOLDERS | {"html"}:
-                    break
+            k = last((name,))
+            if k and (name in BLOCK or k > last(BLOCK)) and (name in HOLDERS or name == "html" or k >= last(HOLDERS)):
+                shut_from(k)
             continue
         if name in BLOCK and name != "br":
             shut = CLOSES.get(name, set()) | {"p"}
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].name in shut:
-                    del stack[k:]
-                    if name not in ("tr", "tbody"):
-                        break
-                elif stack[k].name in HOLDERS - shut:
+            fence = last(HOLDERS - shut)
+            while (k := last(shut)) > fence:
+                shut_from(k)
+                if name not in ("tr", "tbody"):
                     break
         label, aside = label_of(name, m[3])
         node = Node(name, label, aside)
         stack[-1].kids.append(node)
         if name in VOID or m[3].endswith("/"):
             continue
-        if len(stack) > MAX_DEPTH and name not in RAW:
-            continue  # its content stays with the element around it
+        if len(stack) > MAX_DEPTH and name not in RAW and (stack[-1].aside or not aside):
+            # its content stays with the element around it
+            node = Node(name, label, stack[-1].aside)
+            node.kids = stack[-1].kids
         if name in RAW:
             end = re.compile(f"</{re.escape(name)}(?=[\\s/>])", re.I).search(page, pos)
             close = page.find(">", end.end()) if end else -1
             pos = n if close < 0 else close + 1
             continue
+        open_at.setdefault(name, []).append(len(stack))
         stack.append(node)
     return root
 

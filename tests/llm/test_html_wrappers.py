@@ -77,6 +77,20 @@ def test_odd_markup():
         H.page_text(hard, None)
 
 
+def test_text_after_deep_nests_stays():
+    for n in (50, 95, 98, 99, 100, 150, 3000):
+        nest = "<div>" * n + "deep<div>one</div>two<form>no<div>no</div></form><p>three" + "</div>" * n
+        page = SHELL.format(f"<article><p>before</p>{nest}<p>after</p></article>")
+        assert H.page_text(page, None) == "before deep one two three after", n
+        # the nest's closing tags do not close the div around the article
+        around = SHELL.format(f"<div id=page><article><p>before</p>{nest}<p>after</p></article></div>")
+        assert H.page_text(around, None) == "before deep one two three after", n
+        inline = SHELL.format(f"<article>{'<b>' * n}a<p>b</p><nav>no<nav>no</nav>no</nav>c<p>d</p></article>")
+        assert H.page_text(inline, None) == "a b c d", n
+    for hard in ("<u><div>" + "<b>" * 50_000 + "</u>" * 50_000, "<h1>x" * 50_000, "<form>x" * 50_000):
+        H.page_text(hard, None)
+
+
 def brute(page):
     """These pages keep their text in one article element."""
     art = re.search(r"<article>(.*?)</article>", page or "", re.S)
