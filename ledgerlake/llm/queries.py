@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import digests, html_wrappers, license_scan, line_dedup, merge_dropout, ngram_join, packing, pii_crf, quality_rules, toxicity
-from .common import read
+from . import digests, html_wrappers, license_scan, line_dedup, merge_dropout, ngram_join, packing, periodic_runs, pii_crf
+from . import prefix_trie, quality_rules, simhash, toxicity
+from .common import SPACE_PATTERN, read
 
 
 def op3_wrapper_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +67,47 @@ def op10_patience_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(read(spark, sf_dir, "documents"))
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``docs`` in which every tenth id's words repeat from some place on (the contract of op11)."""
+    words = F.array_remove(F.split(F.coalesce("text", F.lit("")), SPACE_PATTERN), "")
+    n = F.size(words).cast("long")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    a = g % F.greatest(n, F.lit(1))
+    p = F.lit(1) + F.floor((n - a) / (3 + g % 8))
+    again = F.flatten(F.array_repeat(F.slice(words, (a + 1).cast("int"), p.cast("int")), F.ceil((n - a) / p).cast("int")))
+    planted = F.concat(F.slice(words, F.lit(1), a.cast("int")), F.slice(again, F.lit(1), (n - a).cast("int")))
+    text = F.when((h % 10 == 0) & (n > 0), F.array_join(planted, " ")).otherwise(F.col("text"))
+    return docs.select("doc_id", text.alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(with_planted_runs(read(spark, sf_dir, "documents")))
+    best = F.array_max(
+        F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period")))
+    )
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.floor(1000 * F.col("best.length") / -F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes = prefix_trie.trie(prefix_trie.branched(read(spark, sf_dir, "conversations")))
+    return nodes.drop("node", "parent")
+
+
+def op13_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_partenum_join": op1_partenum_join,
     "op2_cost_packing": op2_cost_packing,
@@ -77,6 +119,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_patience_line_dedup": op8_patience_line_dedup,
     "op9_merge_dropout": op9_merge_dropout,
     "op10_patience_licenses": op10_patience_licenses,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_simhash_tiles": op13_simhash_tiles,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -132,5 +177,46 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
                             OR (verdict = 'suspect' AND NOT any_failed)) AS kept,
        coalesce(verdict, 'none') AS host_verdict
 FROM f LEFT JOIN v USING (source)
+""",
+    "op12_prefix_trie": r"""
+WITH own AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id
+           ORDER BY turn NULLS FIRST, role, sha256(length(role) || ':' || role || text)) AS pos, role, text
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations)
+  WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT conv_id, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+           list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+           lambda a, b: list_reduce(list_prepend(xor(a, b), list_transform(range(8), lambda i: CAST(i AS BIGINT))),
+             lambda u, i: CASE WHEN u & 1 = 1 THEN xor(u >> 1, CAST(3988292384 AS BIGINT)) ELSE u >> 1 END)),
+           CAST(4294967295 AS BIGINT)) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM own)
+), r AS (
+  SELECT c.conv_id, 0 AS part, o.pos, o.role, o.text
+  FROM c JOIN own o ON o.conv_id = c.conv_id - c.conv_id % 20 AND o.pos <= c.h
+  UNION ALL
+  SELECT c.conv_id, 1, o.pos, o.role, o.text FROM c JOIN own o ON o.conv_id = c.conv_id AND o.pos > c.h
+), prefix AS (
+  SELECT conv_id, row_number() OVER w AS depth, string_agg(md5(length(role) || ':' || role || text), '') OVER w AS path,
+         len(list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS words,
+         lead(conv_id) OVER w IS NULL AS ended
+  FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY part, pos)
+  UNION ALL
+  SELECT conv_id, 0, '', 0, conv_id NOT IN (SELECT conv_id FROM r) FROM c
+), n AS (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+         sha256(coalesce(string_agg(CASE WHEN ended THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '')) AS ends_sha256
+  FROM prefix GROUP BY path, depth
+), k AS (
+  SELECT p.path, count(q.path) AS n_children FROM n p LEFT JOIN n q ON q.depth = p.depth + 1 AND starts_with(q.path, p.path)
+  GROUP BY p.path
+), sub AS (
+  SELECT p.path, count(*) FILTER (k.n_children = 0) AS n_leaves, sum((q.n_convs - 1) * q.words) AS saved_tokens
+  FROM n p JOIN n q ON starts_with(q.path, p.path) JOIN k ON k.path = q.path GROUP BY p.path
+)
+SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n_convs, k.n_children, sub.n_leaves,
+       CAST(sub.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM n JOIN k USING (path) JOIN sub USING (path)
+LEFT JOIN n u ON u.depth = n.depth - 1 AND u.path = left(n.path, 32 * (CAST(n.depth AS INTEGER) - 1))
 """,
 }
