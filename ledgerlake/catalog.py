@@ -490,6 +490,30 @@ def q_stream_settlement(spark, sf_dir):
     )
 
 
+@register("stream_cross_border_join")
+def q_stream_cross_border_join(spark, sf_dir):
+    """Every event arrives up to four minutes late, within the watermark's ten; the hits, each once."""
+    from .streaming import joins
+
+    e = _e(spark, sf_dir).select("transaction_id", "ts_event", "card_hash", "location")
+    late = F.make_dt_interval(mins=F.pmod(F.xxhash64("transaction_id"), F.lit(5)).cast("int"))
+    rows = e.withColumn("arrived", F.col("ts_event") + late)
+    out = _in_order(
+        spark, rows, "stream-cross-border", lambda s: joins.cross_border_events(s, salts=2), arrival="arrived"
+    )
+    return out.select("transaction_id", "card_hash", C.utc_iso_text("ts_event").alias("ts_event"))
+
+
+@register("stream_card_state")
+def q_stream_card_state(spark, sf_dir):
+    """The last ten events of every card, kept in the state store over five restarts."""
+    from .streaming import card_state
+
+    e = _e(spark, sf_dir).select("transaction_id", "ts_event", "card_hash", "auth_result", "location")
+    out = _in_order(spark, e, "stream-card-state", card_state.card_state_versions)
+    return S.explode_state(card_state.current(out))
+
+
 # --- the hot-key split forced on every key (same results as the plain form) --
 
 BUCKETED = R.RuleParams(high_threshold=E_HIGH_THRESHOLD, bucket_seconds=3_600)

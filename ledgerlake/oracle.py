@@ -500,3 +500,12 @@ _q(
 
 # Snapshots applied in order give the history of all rows.
 ORACLE["merchant_scd2_incremental"] = ORACLE["merchant_scd2"]
+
+# Fed late and in restarts, the stream-stream join finds the events of the literal self-join.
+ORACLE["stream_cross_border_join"] = ORACLE["cross_border_selfjoin"].replace(
+    "SELECT a.transaction_id, a.card_hash, a.ts_event FROM",
+    """SELECT a.transaction_id, a.card_hash,
+       strftime(a.ts_event, '%Y-%m-%dT%H:%M:%S.') || left(strftime(a.ts_event, '%f'), 3) || 'Z' AS ts_event FROM""",
+)
+# The state store's lists are those of the whole table.
+ORACLE["stream_card_state"] = ORACLE["card_state_last10"]
