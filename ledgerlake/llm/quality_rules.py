@@ -85,16 +85,12 @@ def document_stats(docs: DataFrame, keep: list[str]) -> DataFrame:
         F.array_remove(F.split(text, SPACE_PATTERN), "").alias("_w"),
         F.filter(F.split(text, "\n"), lambda s: s.rlike(r"[^\x20\x09-\x0D]")).alias("_l"),
     )
-    df = df.select(
-        *keep,
-        "_t",
-        "_w",
-        "_l",
-        F.transform(
-            F.slice(F.col("_w"), F.lit(1), F.greatest(F.size("_w") - 2, F.lit(0))),
-            lambda w, i: F.xxhash64(w, F.get(F.col("_w"), i + 1), F.get(F.col("_w"), i + 2)),
-        ).alias("_h"),
-    )
+    # the words and their two shifted copies side by side: a lambda that named the word
+    # array itself would have it split again for every word, should a plan inline it
+    n = F.greatest(F.size("_w") - 2, F.lit(0))
+    pairs = F.zip_with(F.slice("_w", 1, n), F.slice("_w", 2, n), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    grams = F.zip_with(pairs, F.slice("_w", 3, n), lambda p, c: F.xxhash64(p["a"], p["b"], c))
+    df = df.select(*keep, "_t", "_w", "_l", grams.alias("_h"))
     return df.select(
         *keep,
         F.size("_w").cast("long").alias("n_words"),
@@ -174,10 +170,10 @@ def assess(docs: DataFrame, rules: HostRules = HostRules()) -> DataFrame:
 def keep_good(docs: DataFrame, rules: HostRules = HostRules()) -> DataFrame:
     """The rows of ``docs`` that are kept, all their columns unchanged.
 
-    Texts are not shuffled for it: the counts are taken twice in the row, once
-    for the hosts and once for the filter.
+    Rows and flags are written once: the hosts' counts and the filter read them
+    there, and no filter on a flag can be pushed below the counting of words.
     """
-    verdicts = host_verdicts(rule_flags(document_stats(docs, ["source"]), rules), rules)
     row = docs.select(F.struct(*docs.columns).alias("_row"), "text", "source")
-    judged = judge(rule_flags(document_stats(row, ["_row", "source"]), rules), verdicts)
+    flags = staged(rule_flags(document_stats(row, ["_row", "source"]), rules), "op4-rows")
+    judged = judge(flags, host_verdicts(flags.select("source", "any_failed"), rules))
     return judged.filter("kept").select("_row.*")

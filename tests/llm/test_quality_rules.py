@@ -61,3 +61,20 @@ def test_keep_good_returns_the_columns_unchanged(spark, documents):
     kept = Q.keep_good(documents.withColumn("kept", F.lit("x")))
     assert kept.columns == documents.columns + ["kept"]
     assert kept.count() == QUERIES["op4_host_quality"](spark, SF_SMALL).filter("kept").count()
+
+
+def test_long_texts_pass_the_filter_in_linear_time(spark, documents):
+    import time
+
+    text = " ".join(f"word{i}" for i in range(20_000))
+    docs = spark.createDataFrame([(i, text, "en", "host", len(text)) for i in range(4)], documents.schema)
+    t0 = time.time()
+    assert Q.keep_good(docs).count() == 4
+    # also where the filter is pushed down to the counting of words
+    assert Q.rule_flags(Q.document_stats(docs, ["doc_id"]), Q.HostRules()).filter("NOT base_failed").count() == 4
+    assert time.time() - t0 < 30
+
+
+def test_the_filter_reads_written_flags(documents):
+    plan = Q.keep_good(documents)._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" not in plan and "transform(" not in plan
