@@ -580,6 +580,42 @@ def q_gold_load_facts(spark, sf_dir):
     return facts.select("transaction_id", "date_id", "card_hash", "merchant_id", "amount", "currency", "auth_result")
 
 
+# The ranged load: everything shipped before LOAD_TO, then Silver's days of a summer in
+# which line 3 of every order has moved forty days on (partly past the range).
+RANGE = ("1996-06-01", "1996-08-31")
+
+
+def _ranged_gold(spark, sf_dir):
+    from .session import scratch_path
+
+    base = scratch_path(spark, "gold-ranged")
+    tx = _s(spark, sf_dir, columns=FACT_COLS)
+    lo, hi, to = (F.lit(d).cast("timestamp_ntz") for d in (RANGE[0], "1996-09-01", LOAD_TO))
+    moved = F.when(F.substring_index("transaction_id", "-", -1) == "3", F.col("ts_event") + F.expr("INTERVAL 40 DAYS"))
+    later = tx.filter((F.col("ts_event") >= lo) & (F.col("ts_event") < hi)).withColumn(
+        "ts_event", F.coalesce(moved, "ts_event")
+    )
+    for load in (tx.filter(F.col("ts_event") < to), later):
+        gold.add_rows(spark, base, "fact_transactions", gold.fact_transactions_rows(gold.stage(load)))
+        gold.refresh_settlement(spark, base)
+    gold.create_tables(spark, base, "q_gold_ranged_")
+
+
+@register("gold_load_ranged")
+def q_gold_load_ranged(spark, sf_dir):
+    """Facts after a ranged load with moved days: one day's partition per row, read by name."""
+    _ranged_gold(spark, sf_dir)
+    facts = spark.table("q_gold_ranged_fact_transactions")
+    return facts.select("transaction_id", "date_id", "card_hash", "merchant_id", "amount", "currency", "auth_result")
+
+
+@register("gold_settlement_incremental")
+def q_gold_settlement_incremental(spark, sf_dir):
+    """U4/A1 kept up from the days that the loads touched: equal to A1 over all facts."""
+    _ranged_gold(spark, sf_dir)
+    return spark.table("q_gold_ranged_fact_settlement_daily")
+
+
 @register("gold_load_signals")
 def q_gold_load_signals(spark, sf_dir):
     """The stream's signals in Gold, re-sent on another day and without an id: the first stays."""

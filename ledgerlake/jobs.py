@@ -4,7 +4,8 @@
                                        [--deadletter-servers H:P] [--blacklist CSV] [--card-scope]
     python -m ledgerlake.jobs signals  --base DIR --gold DIR
     python -m ledgerlake.jobs silver   --bronze DIR --silver DIR [--from D --to D]
-    python -m ledgerlake.jobs gold     --silver DIR --gold DIR
+    python -m ledgerlake.jobs gold     --silver DIR --gold DIR [--from D --to D]
+    python -m ledgerlake.jobs compact  --gold DIR
     python -m ledgerlake.jobs quality  --gold DIR
     python -m ledgerlake.jobs reports  --gold DIR --out DIR [--run-date D]
 
@@ -18,7 +19,9 @@ import argparse
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .functions import columns as C
 from .operators import quality as Q
 from .plans import gold, reports, silver
 from .session import build_session
@@ -44,16 +47,36 @@ def stream_job(spark: SparkSession, base: str, input_dir: str | None = None, ser
     return query
 
 
-def signals_job(spark: SparkSession, base: str, gold_path: str) -> int:
-    """The stream's fraud signals into Gold; ids that Gold holds stay as they are."""
-    signals = screening_job.read_outputs(spark, screening_job.StreamLayout(base))["signals"]
-    return gold.load_signals(spark, signals, gold_path)
-
-
-def gold_job(spark: SparkSession, silver_path: str, gold_path: str) -> list[str]:
-    """Daily Silver -> Gold load."""
-    staged = gold.stage(silver.read_silver(spark, silver_path))
-    return gold.load_gold(spark, staged, gold_path)
+def signals_job(spark: SparkSession, base: str, gold_path: str) -> int | None:
+    """The fraud signals of the stream's epochs since the last run into Gold; ids that Gold
+    holds stay as they are.  None if there is no new epoch."""
+    layout = screening_job.StreamLayout(base)
+    since = gold.signals_upto(spark, gold_path)
+    epochs = screening_job.signal_epochs(spark, layout, since + 1)
+    if not epochs:
+        return None
+    signals = screening_job.read_signals(spark, layout, epochs)
+    return gold.load_signals(spark, signals, gold_path, upto=epochs[-1])
+
+
+def gold_job(
+    spark: SparkSession, silver_path: str, gold_path: str, date_from: str | None = None, date_to: str | None = None
+) -> list[str]:
+    """Daily Silver -> Gold load: all of Silver, or the days of a range (its partitions)."""
+    rows = silver.read_silver(spark, silver_path)
+    day = F.col("date") if "date" in rows.columns else C.event_date("ts_event")
+    if date_from:
+        rows = rows.filter(day >= F.lit(date_from).cast("date"))
+    if date_to:
+        rows = rows.filter(day <= F.lit(date_to).cast("date"))
+    return gold.load_gold(spark, gold.stage(rows), gold_path)
+
+
+def compact_job(spark: SparkSession, gold_path: str) -> None:
+    """One load per table again; loads that the newest two manifests do not need are removed."""
+    for name in gold.GOLD_KEYS:
+        gold.compact(spark, gold_path, name)
+        gold.vacuum(spark, gold_path, name)
 
 
 def gold_tables(spark: SparkSession, gold_path: str) -> dict[str, DataFrame]:
@@ -103,7 +126,7 @@ def reports_job(spark: SparkSession, gold_path: str, out_dir: str, run_date: str
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="ledgerlake.jobs")
-    ap.add_argument("job", choices=["stream", "signals", "silver", "gold", "quality", "reports"])
+    ap.add_argument("job", choices=["stream", "signals", "silver", "gold", "compact", "quality", "reports"])
     ap.add_argument("--input"), ap.add_argument("--base"), ap.add_argument("--servers"), ap.add_argument("--topic", default="payments.raw")
     ap.add_argument("--once", action="store_true"), ap.add_argument("--card-scope", action="store_true")
     ap.add_argument("--deadletter-servers"), ap.add_argument("--blacklist")
@@ -120,7 +143,9 @@ def main(argv: list[str] | None = None) -> None:
     elif a.job == "silver":
         silver.bronze_silver_job(spark, a.bronze, a.silver, a.date_from, a.date_to)
     elif a.job == "gold":
-        gold_job(spark, a.silver, a.gold)
+        gold_job(spark, a.silver, a.gold, a.date_from, a.date_to)
+    elif a.job == "compact":
+        compact_job(spark, a.gold)
     elif a.job == "quality":
         quality_job(spark, a.gold).orderBy("check_name").show(truncate=False)
     else:

@@ -491,6 +491,21 @@ FROM (
   )
 ) WHERE rn = 1""",
 )
+# A ranged load of days in which some rows have moved on: facts, and A1 over all of them.
+_cte(
+    "rng",
+    ["s"],
+    """SELECT * FROM s WHERE ts_event < TIMESTAMP '1996-07-01 00:00:00' AND NOT (ts_event >= TIMESTAMP '1996-06-01 00:00:00')
+UNION ALL
+SELECT * REPLACE (CASE WHEN string_split(transaction_id, '-')[-1] = '3' THEN ts_event + INTERVAL 40 DAY ELSE ts_event END AS ts_event)
+FROM s WHERE ts_event >= TIMESTAMP '1996-06-01 00:00:00' AND ts_event < TIMESTAMP '1996-09-01 00:00:00'""",
+)
+_q(
+    "gold_load_ranged",
+    ["rng"],
+    """SELECT transaction_id, CAST(ts_event AS DATE) AS date_id, card_hash, merchant_id, amount, currency, auth_result FROM rng""",
+)
+_q("gold_settlement_incremental", ["rng"], SETTLEMENT_BODY.replace("FROM s GROUP", "FROM rng GROUP"))
 _q(
     "gold_load_signals",
     ["efvr"],

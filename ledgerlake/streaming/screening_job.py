@@ -332,6 +332,16 @@ def read_outputs(spark: SparkSession, layout: StreamLayout) -> dict[str, DataFra
     }
 
 
+def signal_epochs(spark: SparkSession, layout: StreamLayout, since: int = 0) -> list[int]:
+    """Epochs with signals written, from ``since`` on."""
+    return _epochs(spark, layout.signals, 1 << 62, since)
+
+
+def read_signals(spark: SparkSession, layout: StreamLayout, epochs: list[int]) -> DataFrame:
+    """The signals of the given epochs (their folders only)."""
+    return _read_epochs(spark, layout.signals, epochs).drop(EPOCH)
+
+
 def routes(spark: SparkSession, layout: StreamLayout) -> DataFrame:
     """transaction_id, route, reason of every processed message."""
     out = read_outputs(spark, layout)
