@@ -20,7 +20,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Remove the folders of staged DataFrames that nothing unwritten reads any more."""
+    for df in frames:
+        sc = df.sparkSession.sparkContext
+        p = sc._jvm.org.apache.hadoop.fs.Path(df.staged_path)
+        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import discard, staged
 
 
 def _lowest(neighbours: DataFrame) -> DataFrame:
@@ -31,6 +32,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         )
         low = _lowest(large)
         small = large.join(low, "u").select("u", "v", "low")
+        before = stars
         stars = staged(
             small.filter("v <> low")
             .select(F.col("v").alias("u"), F.col("low").alias("v"))
@@ -39,6 +41,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
             .distinct(),
             name,
         )
+        discard(before)
         now = stars.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(now) == mark:
             break
@@ -47,3 +50,19 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     return stars.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         roots.select(F.col("v").alias("node"), F.col("v").alias("component"))
     )
+
+
+def merge_classes(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
+    """Join the classes of the places i and j, pair by pair; labels stay places of their own class."""
+    while len(i):
+        a, b = label[i], label[j]
+        apart = a != b
+        if not apart.any():
+            return
+        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        while True:  # every label a root
+            root = label[label]
+            if np.array_equal(root, label):
+                break
+            label[:] = root

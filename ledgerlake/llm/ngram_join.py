@@ -18,10 +18,13 @@ What is done with signatures that several sets share:
    smallest one it shares most signatures with, then, while that finds links,
    the most central one of another component.  The links found give components,
    so a large group of near copies collapses before pairs are looked at;
-3. pairs across the components that are left: of the larger set's signatures the
-   d + 1 rarest suffice (half of the others are kept too), a linked pair must
-   share all of them but d, so pairs are counted and the few that remain are
-   checked.
+3. pairs across the components that are left: signatures are ranked by how many
+   nodes still share them.  Of a linked pair either set lacks d signatures of the
+   other at most, so their first t shared signatures lie among the first d + t of
+   both, and frequent ones come last in the ranking.  Pairs that share signatures
+   of few nodes are joined and counted, and those that share enough are checked;
+   nodes of a signature that many look at are compared in tiles, by exact
+   intersections as products of 0/1 matrices, which return links, never pairs.
 
 Checks are exact intersections of the whole shingle sets.  Shingles, sets and
 signatures are 64-bit hashes.
@@ -29,8 +32,8 @@ signatures are 64-bit hashes.
 Defined cases: NULL and empty texts, and those without words, have no shingles
 and are linked with nothing (their component is their own id); fewer than five
 words are one shingle; repeated rows are one node and all returned; a component
-is named by its smallest non-NULL id; NULL ids are carried through; an empty
-table gives no rows.  Only doc_id and text are read.
+is named by its smallest non-NULL id; rows with a NULL id are compared and linked
+like others, they only name nothing; an empty table gives no rows.  Only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -41,8 +44,8 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import byte_slices, staged
-from .components import components
+from .common import byte_slices, discard, staged
+from .components import components, merge_classes
 from .shingles import _STEP, mix, shingle_sets
 
 #: Similarity 3/4, as whole numbers: 4 * intersection >= 3 * union.
@@ -50,15 +53,21 @@ PART, WHOLE = 3, 4
 SMALL_BAND = 5
 #: Most rounds of checks against central nodes before the remaining pairs are counted.
 ROUNDS = 2
-#: Nodes whose ids may be broadcast; beyond, the same join is shuffled.
-BROADCAST_NODES = 1_000_000
 #: Bytes of text hashed at a time, and signatures sent at a time: they bound a task's memory.
 SLICE = 2 << 20
 BLOCK = 1 << 20
 #: Signatures grouped at a time.
 RANGE = 1 << 18
-#: Members checked against one node in one task.
+#: Members checked against one node in one task, and checks a set is sent to at a time.
 STAR = 4096
+#: Nodes that look at a signature, up to which their pairs are joined; beyond, they are
+#: compared in tiles of at most so many sets and bytes, so many shingles at a time.
+GROUP = 64
+TILE = 256
+TILE_BYTES = 1 << 20
+COLUMNS = 4096
+#: Of n shingles, n / SPARE more signatures are looked at than must be shared in part.
+SPARE = 16
 
 
 def most_differing(n: int) -> int:
@@ -98,6 +107,15 @@ def own_count(u: np.ndarray) -> tuple[int, int]:
     return counts[0], level - 1
 
 
+def next_count(u: np.ndarray) -> int:
+    """Signatures in the next band (before any doubling of its partitions)."""
+    m = partitions(band(len(u)) + 1)
+    if m == 0:
+        return len(u)
+    part = ((u >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)
+    return 1 + int((part[1:] != part[:-1]).sum())
+
+
 def set_key(u: np.ndarray) -> int:
     """Signed 64-bit hash of a whole set."""
     key = mix(np.array([mix(u ^ _STEP).sum() + np.uint64(len(u))], np.uint64))
@@ -113,10 +131,10 @@ def _text_hash():
 
 
 def describe(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, n, node, sigs, level: one narrow row per document.
+    """doc_id, text_hash, n, node, sigs, next_sigs, level: one narrow row per document.
 
-    Where a band is raised, ``sigs`` stays the count before: a lower count only
-    makes the later steps look at more.
+    Where a band is raised, the counts (of the own and of the next band) stay those
+    before: a lower count only makes the later steps look at more.
     """
 
     def run(batches: Iterator) -> Iterator:
@@ -132,12 +150,13 @@ def describe(docs: DataFrame) -> DataFrame:
                     pa.array([len(u) for u in sets], pa.int64()),
                     pa.array([set_key(u) if len(u) else 0 for u in sets], pa.int64()),
                     pa.array([n for n, _ in own], pa.int64()),
+                    pa.array([next_count(u) if len(u) else 0 for u in sets], pa.int64()),
                     pa.array([level for _, level in own], pa.int32()),
                 ],
-                ["doc_id", "text_hash", "n", "node", "sigs", "level"],
+                ["doc_id", "text_hash", "n", "node", "sigs", "next_sigs", "level"],
             )
 
-    schema = "doc_id long, text_hash long, n long, node long, sigs long, level int"
+    schema = "doc_id long, text_hash long, n long, node long, sigs long, next_sigs long, level int"
     return docs.select("doc_id", "text", _text_hash().alias("text_hash")).mapInArrow(run, schema)
 
 
@@ -271,9 +290,9 @@ def shared_signatures(docs: DataFrame, levels: dict[int, int]) -> DataFrame:
 def linked(docs: DataFrame, pairs: DataFrame, where: DataFrame) -> DataFrame:
     """u, v: the pairs (``hub``, ``node``) whose sets reach the similarity.
 
-    ``where``: node -> doc_id of one document with that set.  Each set is sent
-    once per pair to its hub's task, the hub's set first; a hub with very many
-    nodes is dealt out to several tasks.
+    ``where``: node -> doc_id and text_hash of one document with that set.  Each set is
+    sent once per pair to its hub's task, the hub's set first; a hub with very many
+    nodes is dealt out to several tasks, a node with very many hubs to several rows.
     """
     spark = docs.sparkSession
     load = pairs.groupBy("hub").agg((F.floor(F.count(F.lit(1)) / STAR) + 1).cast("int").alias("salts"))
@@ -281,15 +300,17 @@ def linked(docs: DataFrame, pairs: DataFrame, where: DataFrame) -> DataFrame:
     roles = dealt.select("node", "hub", "salt", F.lit(1).alias("kind")).unionByName(
         load.select(F.col("hub").alias("node"), "hub", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("kind"))
     )
+    slots = roles.groupBy("node").agg((F.floor(F.count(F.lit(1)) / STAR) + 1).alias("slots"))
     tasks = (
-        roles.groupBy("node")
+        roles.join(slots, "node")
+        .groupBy("node", F.pmod(F.xxhash64("hub", "salt"), "slots").alias("slot"))
         .agg(F.collect_list(F.struct("hub", "salt", "kind")).alias("roles"))
         .join(where, "node")
-        .select("doc_id", "node", "roles")
+        .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "node", "roles")
     )
     tasks = staged(tasks, "op1-roles")
-    small = tasks.count() <= BROADCAST_NODES
-    texts = docs.select("doc_id", "text").join(F.broadcast(tasks) if small else tasks, "doc_id")
+    mine = F.col("doc_id").eqNullSafe(F.col("_id")) & (_text_hash() == F.col("_hash"))
+    texts = docs.select("doc_id", "text").join(tasks, mine).select("text", "node", "roles")
 
     def send(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -298,7 +319,7 @@ def linked(docs: DataFrame, pairs: DataFrame, where: DataFrame) -> DataFrame:
             nodes, roles = part.column("node").to_pylist(), part.column("roles").to_pylist()
             rows = []
             for u, node, jobs in zip(shingle_sets(_texts(part)), nodes, roles):
-                if len(u) and set_key(u) == node:  # rows may share an id but not the text
+                if len(u) and set_key(u) == node:  # equal hashes of unequal texts
                     raw = u.tobytes()
                     rows += [(j["hub"], j["salt"], j["kind"], node, raw) for j in jobs]
             for k in range(0, len(rows), 500):
@@ -345,7 +366,7 @@ def _best_hub(shared: DataFrame, sigs: DataFrame, tried: DataFrame | None = None
         .groupBy("node", "hub", "n", "hub_n")
         .agg(F.sum(F.when(node_larger, F.col("own")).otherwise(F.col("hub_own")).cast("long")).alias("shared"))
         .withColumn("larger", F.when(node_larger, F.col("node")).otherwise(F.col("hub")))
-        .join(sigs.withColumnRenamed("node", "larger"), "larger")
+        .join(sigs.select(F.col("node").alias("larger"), "sigs"), "larger")
         .filter(F.col("shared") >= F.col("sigs") - F.floor((F.col("n") + F.col("hub_n")) / 7))
     )
     if tried is not None:
@@ -377,7 +398,9 @@ def _across(rows: DataFrame, comp: DataFrame, sigs: DataFrame) -> DataFrame:
     able = staged(able, "op1-able")
     live = own.join(able, "node", "left_semi").select("sig").distinct()
     rest = mixed.join(live, "sig", "left_semi").join(able, "node", "left")
-    return staged(rest.withColumn("able", F.coalesce("able", F.lit(False))), "op1-rest")
+    rest = staged(rest.withColumn("able", F.coalesce("able", F.lit(False))), "op1-rest")
+    discard(mixed, able)
+    return rest
 
 
 def _other_hubs(rest: DataFrame, central: DataFrame) -> DataFrame:
@@ -395,48 +418,190 @@ def _other_hubs(rest: DataFrame, central: DataFrame) -> DataFrame:
     )
 
 
-def _pairs_across(rest: DataFrame, sigs: DataFrame) -> DataFrame:
-    """hub, node: the pairs of different components that may still be linked.
+def _prefixes(rest: DataFrame, sigs: DataFrame) -> DataFrame:
+    """sig, node, n, component, looked, hub_looked, as_hub, as_node, members: the signatures to look at.
 
-    For the larger set (``hub``) any ``looked`` >= d + 1 of its own signatures
-    will do, so the most frequent ones are left out: its signatures that no
-    other component has come first, then those of the smallest groups.  A
-    linked pair shares at least ``looked`` - (n + hub_n) / 7 of them.
+    Of the larger set (the hub) and the other one, a linked pair shares all
+    signatures but (n + hub_n) / 7 in the hub's band, counted from either set.  The
+    signatures of a set in a band are ranked: first those that no other component
+    has, then by the number of nodes that have them.  The first x shared ones are
+    among the first (n + hub_n) / 7 + x of both, so ``looked`` of each suffice.
+    ``members``: how many nodes look at the signature.
     """
-    least = F.floor(2 * F.col("n") / 7) + 1
-    own = rest.filter(F.col("own") & F.col("able")).join(sigs, "node")
-    by_size = Window.partitionBy("node").orderBy("members", "sig")
-    per_node = Window.partitionBy("node")
-    larger = (
-        own.withColumn("rank", F.row_number().over(by_size))
-        .withColumn("alone", F.col("sigs") - F.count(F.lit(1)).over(per_node))
-        .withColumn("looked", least + F.floor((F.greatest(F.col("sigs"), least) - least) / 2))
-        .filter(F.col("rank") + F.col("alone") <= F.col("looked"))
-        .select(
-            "sig",
-            F.col("node").alias("hub"),
-            F.col("n").alias("hub_n"),
-            F.col("component").alias("hub_component"),
-            "looked",
-        )
+    frequent = rest.groupBy("sig").agg(F.count(F.lit(1)).alias("nodes"))
+    rank = Window.partitionBy("node", "own").orderBy("nodes", "sig")
+    all_of = Window.partitionBy("node", "own")
+    ranked = (
+        rest.join(frequent, "sig")
+        .join(sigs, "node")
+        .withColumn("alone", F.when(F.col("own"), F.col("sigs")).otherwise(F.col("next_sigs")) - F.count(F.lit(1)).over(all_of))
+        .withColumn("place", F.row_number().over(rank) + F.greatest(F.col("alone"), F.lit(0)))
+        .withColumn("hub_looked", F.floor(2 * F.col("n") / 7) + 1 + F.floor(F.col("n") / SPARE))
+        # a hub is larger by a third at most
+        .withColumn("looked", F.floor(F.col("n") / 3) + 1 + F.floor(4 * F.col("n") / (3 * SPARE)))
+        .withColumn("as_hub", F.col("own") & F.col("able") & (F.col("place") <= F.col("hub_looked")))
+        .withColumn("as_node", F.col("place") <= F.col("looked"))
+        .filter("as_hub OR as_node")
+        .select("sig", "node", "n", "component", "looked", "hub_looked", "as_hub", "as_node")
+    )
+    ranked = staged(ranked, "op1-ranked")
+    members = ranked.groupBy("sig").agg(
+        F.count(F.lit(1)).alias("members"), F.min("component").alias("c0"), F.max("component").alias("c1"), F.max("as_hub").alias("hubs")
+    )
+    out = staged(ranked.join(members.filter("c0 <> c1 AND hubs").select("sig", "members"), "sig"), "op1-prefix")
+    discard(ranked)
+    return out
+
+
+def _pairs_across(prefix: DataFrame, group: int) -> DataFrame:
+    """hub, node: the pairs of different components that may be linked and share no signature
+    that more than ``group`` nodes look at (those are compared in tiles).
+
+    A signature is joined ``group`` times at most.
+    """
+    few = prefix.filter(F.col("members") <= group)
+    larger = few.filter("as_hub").select(
+        "sig", F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("component").alias("hub_component"), "hub_looked"
     )
+    smaller = few.filter("as_node").select("sig", "node", "n", "component", "looked")
     return (
-        larger.join(rest.select("sig", "node", "n", "component"), "sig")
+        larger.join(smaller, "sig")
         .filter(
             (F.struct("n", "node") < F.struct("hub_n", "hub"))
             & (F.col("component") != F.col("hub_component"))
             & (WHOLE * F.col("n") >= PART * F.col("hub_n"))
         )
-        .groupBy("hub", "node", "hub_n", "n", "looked")
+        .groupBy("hub", "node", "hub_n", "n", "hub_looked", "looked")
         .count()
-        .filter(F.col("count") >= F.col("looked") - F.floor((F.col("n") + F.col("hub_n")) / 7))
+        .filter(F.col("count") >= F.least("looked", "hub_looked") - F.floor((F.col("n") + F.col("hub_n")) / 7))
         .select("hub", "node")
     )
 
 
-def near_groups(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def _set_tiles(docs: DataFrame, nodes: DataFrame, where: DataFrame) -> DataFrame:
+    """tile, nodes, sizes, raw: the sets of ``nodes`` (node, home), those of a home side by side."""
+    spark = docs.sparkSession
+    tasks = nodes.join(where, "node").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "node", "home")
+    mine = F.col("doc_id").eqNullSafe(F.col("_id")) & (_text_hash() == F.col("_hash"))
+    texts = docs.select("doc_id", "text").join(tasks, mine).select("text", "home", "node")
+
+    def sets(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for part in byte_slices(batches, limit=SLICE):
+            found = shingle_sets(_texts(part))
+            node = part.column("node").to_pylist()
+            same = pa.array([len(u) > 0 and set_key(u) == k for u, k in zip(found, node)])
+            raw = pa.array([u.tobytes() for u in found], pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column("home"), part.column("node"), raw], ["home", "node", "raw"]).filter(same)
+
+    def cut(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        def tile(held):
+            nodes, raw = zip(*held)
+            kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
+            row = (nodes[0], list(nodes), [len(r) // 8 for r in raw], b"".join(raw))
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds)], ["tile", "nodes", "sizes", "raw"])
+
+        held, size, last = [], 0, None
+        for batch in batches:
+            for node, raw in zip(batch.column("node").to_pylist(), batch.column("raw").to_pylist()):
+                if node == last:  # a row that stands twice in the documents
+                    continue
+                last = node
+                if held and (len(held) == TILE or size + len(raw) > TILE_BYTES):
+                    yield tile(held)
+                    held, size = [], 0
+                held.append((node, raw))
+                size += len(raw)
+        if held:
+            yield tile(held)
+
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return (
+        texts.mapInArrow(sets, "home long, node long, raw binary")
+        .repartitionByRange(parts, "home", "node")
+        .sortWithinPartitions("home", "node")
+        .mapInArrow(cut, "tile long, nodes array<long>, sizes array<long>, raw binary")
+    )
+
+
+def set_links(x: list[np.ndarray], y: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Places (in x, in y) of the pairs of sorted sets that reach the similarity, by exact intersections."""
+    ax, ay = np.concatenate(x), np.concatenate(y)
+    nx, ny = np.array([len(u) for u in x]), np.array([len(u) for u in y])
+    # only shingles that both sides have can be shared: they are the columns of two 0/1 matrices
+    both = np.intersect1d(ax, ay)
+    rx, ry = np.repeat(np.arange(len(x)), nx), np.repeat(np.arange(len(y)), ny)
+    common = np.zeros((len(x), len(y)), np.float32)
+    for k in range(0, len(both), COLUMNS):
+        some = both[k : k + COLUMNS]
+        sides = []
+        for flat, row, count in ((ax, rx, len(x)), (ay, ry, len(y))):
+            place = np.searchsorted(some, flat)
+            inside = (place < len(some)) & (some[np.minimum(place, len(some) - 1)] == flat)
+            side = np.zeros((count, len(some)), np.float32)
+            side[row[inside], place[inside]] = 1
+            sides.append(side)
+        common += sides[0] @ sides[1].T
+    shared = common.astype(np.int64)
+    return np.nonzero((WHOLE + PART) * shared >= PART * (nx[:, None] + ny[None, :]))
+
+
+def tile_links(docs: DataFrame, prefix: DataFrame, where: DataFrame, group: int) -> DataFrame:
+    """u, v: links that connect the linked nodes of the groups of more than ``group`` nodes.
+
+    Their sets are cut into tiles, nodes of one frequent signature side by side; tiles
+    that share such a signature are compared, each pair of tiles once however many
+    they share.  A comparison returns one link per node at most, never its pairs.
+    """
+    many = prefix.filter(F.col("members") > group)
+    homes = many.groupBy("node").agg(F.max(F.struct("members", "sig")).alias("most")).select("node", F.col("most.sig").alias("home"))
+    tiles = staged(_set_tiles(docs, homes, where), "op1-tiles")
+    placed = tiles.select("tile", F.explode("nodes").alias("node"))
+    held = many.join(placed, "node").groupBy("sig", "tile").agg(F.max("as_hub").alias("hubs"), F.max("as_node").alias("others"))
+    held = staged(held, "op1-held")
+    other = held.select("sig", F.col("tile").alias("b"), F.col("hubs").alias("b_hubs"), F.col("others").alias("b_others"))
+    pairs = (
+        held.withColumnRenamed("tile", "a")
+        .join(other, "sig")
+        .filter("a <= b AND ((hubs AND b_others) OR (others AND b_hubs))")
+        .select("a", "b")
+        .distinct()
+    )
+    x = tiles.select(F.col("tile").alias("a"), F.struct("nodes", "sizes", "raw").alias("x"))
+    y = tiles.select(F.col("tile").alias("b"), F.struct("nodes", "sizes", "raw").alias("y"))
+
+    def compare(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        def sets(side):
+            flat = np.frombuffer(side["raw"], np.uint64)
+            return side["nodes"], np.split(flat, np.cumsum(side["sizes"])[:-1])
+
+        for batch in batches:
+            for k in range(batch.num_rows):
+                (nodes, u), (others, v) = (sets(batch.column(c)[k].as_py()) for c in ("x", "y"))
+                i, j = set_links(u, v)
+                names = np.array([*nodes, *others], np.int64)
+                # equal names are one place, so links within a tile connect
+                _, place = np.unique(names, return_inverse=True)
+                first = np.full(place.max() + 1, -1)
+                first[place[::-1]] = np.arange(len(names))[::-1]
+                label = first[place]
+                merge_classes(label, i, j + len(nodes))
+                merge_classes(label, np.arange(len(names)), first[place])
+                moved = np.flatnonzero(names != names[label])
+                if len(moved):
+                    yield pa.RecordBatch.from_arrays([pa.array(names[moved]), pa.array(names[label[moved]])], ["u", "v"])
+
+    return pairs.join(x, "a").join(y, "b").select("x", "y").mapInArrow(compare, "u long, v long")
+
+
+def near_groups(docs: DataFrame, rounds: int = ROUNDS, group: int = GROUP) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
-    return labelled_rows(docs, rounds).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    return labelled_rows(docs, rounds, group).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def keep_one(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -457,7 +622,7 @@ def keep_one(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     return kept.select("_row.*").unionByName(docs.filter(~words))
 
 
-def labelled_rows(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def labelled_rows(docs: DataFrame, rounds: int = ROUNDS, group: int = GROUP) -> DataFrame:
     """doc_id, text_hash, n, component (NULL without shingles) and component_id of every document."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = staged(describe(docs), "op1-rows")
@@ -466,10 +631,11 @@ def labelled_rows(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     size_band = F.floor(F.log2(F.col("n").cast("double"))).cast("int")
     raised = full.filter("level > 0").groupBy(size_band.alias("band")).agg(F.max("level").alias("level")).collect()
     groups = staged(shared_signatures(docs, {r["band"]: r["level"] for r in raised}), "op1-groups")
-    where = full.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    named_text = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("one")
+    where = full.groupBy("node").agg(named_text).select("node", "one.doc_id", "one.text_hash")
 
     # each node against the smallest node it shares most signatures with
-    sigs = staged(full.select("node", "sigs").distinct(), "op1-sigs")
+    sigs = staged(full.select("node", "sigs", "next_sigs").distinct(), "op1-sigs")
     stars = staged(_best_hub(groups.filter("node <> hub"), sigs), "op1-stars")
     links = staged(linked(docs, stars, where), "op1-links")
     comp = staged(components(links, "op1-cc"), "op1-comp")
@@ -485,11 +651,15 @@ def labelled_rows(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
             break
         tried, links = tried.unionByName(stars), links.unionByName(found)
         comp = staged(components(links, "op1-cc"), "op1-comp")
-        rest = _across(rest.drop("component", "able"), comp, sigs)
-
-    pairs = _pairs_across(rest, sigs)
-    more_links = linked(docs, staged(pairs, "op1-pairs"), where)
-    comp = components(links.unionByName(more_links), "op1-cc")
+        old, rest = rest, _across(rest.drop("component", "able"), comp, sigs)
+        discard(old)
+
+    prefix = _prefixes(rest, sigs)
+    discard(groups, rest, central)
+    in_tiles = staged(tile_links(docs, prefix, where, group), "op1-links")
+    pairs = staged(_pairs_across(prefix, group), "op1-pairs")
+    discard(prefix)
+    comp = components(links.unionByName(in_tiles).unionByName(linked(docs, pairs, where)), "op1-cc")
 
     named = full.groupBy("node").agg(F.min("doc_id").alias("least")).join(comp, "node", "left")
     named = named.select("node", "least", F.coalesce("component", "node").alias("component"))

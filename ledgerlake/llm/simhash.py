@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import byte_slices, staged
-from .components import components
+from .components import components, merge_classes
 
 SIZE = 4
 RADIUS = 4
@@ -193,26 +193,10 @@ def connected(x: np.ndarray, y: np.ndarray, radius: int = RADIUS, strip: int = S
             differ = np.bitwise_count(x[at : at + strip, None] ^ y[places])
             if len(places) and differ.min() <= radius:
                 i, j = np.nonzero(differ <= radius)
-                _merge(label, i + at, places[j] + len(x))
+                merge_classes(label, i + at, places[j] + len(x))
     return label
 
 
-def _merge(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
-    """Join the classes of the places i and j, pair by pair; labels stay places of their own class."""
-    while len(i):
-        a, b = label[i], label[j]
-        apart = a != b
-        if not apart.any():
-            return
-        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
-        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
-        while True:  # every label a root
-            root = label[label]
-            if np.array_equal(root, label):
-                break
-            label[:] = root
-
-
 def tile_links(tiled: DataFrame, pairs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """u, v: links that connect the fingerprints within the radius, at most one per fingerprint and tile pair."""
     raw = tiled.select("tile", "raw")

@@ -121,7 +121,38 @@ def test_groups_on_planted_copies_and_hot_passages(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     want = brute(rows)
     assert result(J.near_groups(docs)) == want
-    assert result(J.near_groups(docs, rounds=0)) == want  # what the rounds leave, the pairs find
+    for group in (0, 5, 10**9):  # what the rounds leave is found in tiles, in both ways, and by joined pairs
+        assert result(J.near_groups(docs, rounds=0, group=group)) == want
+
+
+def test_near_copies_with_null_ids_are_linked(spark):
+    rnd = random.Random(2)
+    base = ["".join(rnd.choice("abcdefgh") for _ in range(4)) for _ in range(60)]
+    copies = [base[:k] + ["other"] + base[k + 1 :] for k in (0, 1, 59)]
+    rows = [(None, copies[0]), (None, copies[1]), (7, copies[2]), (None, ["quite", "alone"]), (None, ["quite", "alone"])]
+    rows = [(i, " ".join(t)) for i, t in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for group in (0, 64):
+        got = sorted((r["doc_id"] or -1, r["n_shingles"], r["component_id"] or -1) for r in J.near_groups(docs, group=group).collect())
+        assert got == [(-1, 1, -1), (-1, 1, -1), (-1, 56, 7), (-1, 56, 7), (7, 56, 7)]
+    kept = J.keep_one(docs).collect()
+    assert sorted(str(r["doc_id"]) for r in kept) == ["7", "None"]
+
+
+def test_set_links_equal_plain_intersections():
+    rng = np.random.default_rng(1)
+    pool = rng.integers(0, 1 << 63, 9000, dtype=np.uint64)
+    base = rng.choice(pool, 5000, replace=False)
+    sets = [np.unique(rng.choice(base, int(rng.integers(1, 5000)), replace=False)) for _ in range(40)]
+    sets += [np.unique(rng.choice(pool, 30)) for _ in range(20)] + [np.unique(base), np.unique(base[:4000])]
+    i, j = J.set_links(sets[:33], sets[20:])
+    plain = set()
+    for a, u in enumerate(sets[:33]):
+        for b, v in enumerate(sets[20:]):
+            both = len(np.intersect1d(u, v))
+            if 4 * both >= 3 * (len(u) + len(v) - both):
+                plain.add((a, b))
+    assert set(zip(i.tolist(), j.tolist())) == plain and plain
 
 
 def test_odd_rows_and_empty_table(odd_documents):
