@@ -25,6 +25,7 @@ doc_id and text are read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -95,12 +96,13 @@ class Model:
         self.keys = np.array(sorted(joins), np.int64)
         self.joined = np.array([joins[k] for k in self.keys.tolist()], np.int64)
         self.join_rank = rank[self.joined]
-        # a first table by the low bits of a hash saves most binary searches
+        # the place of a key by some bits of a hash; only where keys share a slot it is searched
         bits = 21
         self.shift = np.uint64(64 - bits)
         slot = self._slot(self.keys)
-        self.may = np.zeros(1 << bits, bool)
-        self.may[slot] = True
+        self.place = np.full(1 << bits, -1, np.int32)
+        self.place[slot] = np.arange(len(self.keys), dtype=np.int32)
+        self.crowded = np.bincount(slot, minlength=1 << bits) > 1
 
     def _slot(self, keys):
         return ((keys.astype(np.uint64) * _K[0]) >> self.shift).astype(np.int64)
@@ -108,16 +110,27 @@ class Model:
     def join(self, left: np.ndarray, right: np.ndarray):
         """(index into the joins, exists) of neighbouring pieces."""
         keys = left * self.n + right
-        found = np.zeros(len(keys), np.int64)
-        maybe = np.flatnonzero(self.may[self._slot(keys)])
-        at = np.minimum(np.searchsorted(self.keys, keys[maybe]), len(self.keys) - 1)
-        hit = self.keys[at] == keys[maybe]
+        slot = self._slot(keys)
+        found = self.place[slot].astype(np.int64)
+        maybe = np.flatnonzero(found >= 0)
+        hit = self.keys[found[maybe]] == keys[maybe]
+        other = maybe[~hit]
+        other = other[self.crowded[slot[other]]]
+        if len(other):
+            at = np.minimum(np.searchsorted(self.keys, keys[other]), len(self.keys) - 1)
+            found[other] = at
         exists = np.zeros(len(keys), bool)
         exists[maybe[hit]] = True
-        found[maybe[hit]] = at[hit]
+        exists[other] = self.keys[found[other]] == keys[other]
         return found, exists
 
 
+@lru_cache(maxsize=1)
+def loaded(path: str) -> Model:
+    """The model of a worker process: loaded once for all of its tasks."""
+    return Model(path)
+
+
 def _limit(dropout: float) -> np.uint64:
     return np.uint64(min(int(dropout * 2.0**64), (1 << 64) - 1))
 
@@ -149,10 +162,10 @@ def segment(model: Model, syms: np.ndarray, sizes: np.ndarray, keys: np.ndarray,
     none = np.int64(1) << np.int64(62)
     done_ids, done_word, done_place = [], [], []
 
-    word = np.repeat(np.arange(len(sizes)), sizes)
-    start = np.arange(len(syms)) - np.repeat(np.cumsum(sizes) - sizes, sizes)  # place in the word
+    word = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    start = (np.arange(len(syms)) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.int32)  # place in the word
     order = np.full(len(syms), none)  # rank and place of the merge with the next piece
-    join = np.zeros(len(syms), np.int64)
+    join = np.zeros(len(syms), np.int32)
     dirty = np.ones(len(syms), bool)
     while len(syms):
         # candidates that are new: look up, then draw
@@ -195,8 +208,7 @@ def segment(model: Model, syms: np.ndarray, sizes: np.ndarray, keys: np.ndarray,
 
 
 class Encoder:
-    #: ``variants`` limits nothing any more; it stays for those who pass it.
-    def __init__(self, model: Model, seed: int, dropout: float, variants: int = 0):
+    def __init__(self, model: Model, seed: int, dropout: float):
         self.model, self.dropout = model, dropout
         self.seed = mix(np.array([seed & (1 << 63) - 1], np.uint64) + _K[0])[0]
 
@@ -328,7 +340,7 @@ def encode(docs: DataFrame, model: str | None = None, seed: int = 1, dropout: fl
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        encoder = Encoder(Model(path), seed, dropout)
+        encoder = Encoder(loaded(path), seed, dropout)
         for part in byte_slices(batches, limit=SLICE):
             ids = part.column("doc_id").cast(pa.int64())
             flat, counts = encoder(ids.to_pylist(), pc.fill_null(part.column("text"), ""))
@@ -346,7 +358,7 @@ def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        known = Model(path)
+        known = loaded(path)
         for batch in batches:
             for k in range(0, batch.num_rows, 1000):
                 part = batch.slice(k, 1000)
