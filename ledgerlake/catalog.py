@@ -430,6 +430,57 @@ def q_stream_screening(spark, sf_dir):
     return screening_job.routes(spark, layout)
 
 
+STREAM_DAY = R.RuleParams(high_threshold=E_HIGH_THRESHOLD, velocity_window_s=86_400)
+
+
+@register("stream_contents")
+def q_stream_contents(spark, sf_dir):
+    """K1-K4 after a replay of messages with faults: what Bronze, the dead letters, the signals
+    and the card state hold, one row per record, its fields joined."""
+    from .session import scratch_path
+    from .streaming import runner, screening_job as J
+
+    layout = J.StreamLayout(scratch_path(spark, "stream-contents"))
+    runner.replay(spark, M.faulty_messages(spark, sf_dir), layout, chunks=3, params=STREAM_DAY)
+    out = J.read_outputs(spark, layout)
+    text = lambda *cols: F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in cols])
+    time = C.utc_iso_text("ts_event").alias("ts_event")
+    fields = ["transaction_id", "card_hash", "merchant_id", "amount", "currency", "auth_result", "location"]
+    accepted = out["bronze"].select(time, *fields, "date", "route").select(
+        F.lit("accepted").alias("kind"), text("ts_event", *fields, "date").alias("fields")
+    )
+    letters = J.dead_letters(spark, layout).select(
+        F.col("route").alias("kind"), text("ts_event", *fields, "reason", "raw_value").alias("fields")
+    )
+    signals = out["signals"].select(time, *fields, "reason").select(
+        F.lit("signal").alias("kind"), text("ts_event", *fields, "reason").alias("fields")
+    )
+    state = S.explode_state(J.card_state(spark, layout)).withColumn("ts", C.utc_iso_text("ts"))
+    cards = state.select(F.lit("card").alias("kind"), text("card_hash", "pos", "ts", "auth_result", "country").alias("fields"))
+    return accepted.unionByName(letters).unionByName(signals).unionByName(cards)
+
+
+@register("signals_bucketed")
+def q_signals_bucketed(spark, sf_dir):
+    """The signals into a bucketed table, then again on another day and without an id."""
+    from .operators import bucketed as B
+    from .session import scratch_path
+
+    typed = M.typed(M.decode(M.event_messages(spark, sf_dir)))
+    routed = SCR.screen(typed, E_PARAMS, hot_source=_cards(spark, sf_dir)).filter(F.col("route") == SCR.ROUTE_FLAGGED)
+    path = scratch_path(spark, "signals-bucketed")
+    types = {"ts_event": "TIMESTAMP", "amount": "DECIMAL(18,2)"}
+    columns = [c for c in SCH.GOLD_COLUMNS["fact_fraud_signals"] if c != "created_at"]
+    ddl = ", ".join(f"{c} {types.get(c, 'STRING')}" for c in columns)
+    name = B.create_bucketed(spark, "q_signals_" + path.rsplit("-", 1)[1], f"{path}/table", ddl, "transaction_id", 16)
+    routed.select(*columns).write.parquet(f"{path}/first")
+    first = spark.read.parquet(f"{path}/first")
+    again = first.withColumn("ts_event", F.col("ts_event") + F.expr("INTERVAL 3 DAYS")).withColumn("reason", F.lit("resent"))
+    B.insert_absent(spark, name, first, "transaction_id", ["ts_event"])
+    B.insert_absent(spark, name, again.unionByName(again.withColumn("transaction_id", F.lit(None).cast("string"))), "transaction_id")
+    return spark.table(name).withColumn("ts_event", C.utc_iso_text("ts_event"))
+
+
 def _in_order(spark, df, name, transform, **options):
     """Feed a derived table to a streaming operator in five restarts; all windows are closed."""
     from .session import scratch_path

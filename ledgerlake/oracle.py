@@ -524,3 +524,60 @@ ORACLE["stream_cross_border_join"] = ORACLE["cross_border_selfjoin"].replace(
 )
 # The state store's lists are those of the whole table.
 ORACLE["stream_card_state"] = ORACLE["card_state_last10"]
+
+# The bucketed table holds what the Gold log holds.
+ORACLE["signals_bucketed"] = ORACLE["gold_load_signals"]
+
+# Messages with faults (event id % 40), screened with velocity over a day.
+_ISO = "strftime({c}, '%Y-%m-%dT%H:%M:%S.') || left(strftime({c}, '%f'), 3) || 'Z'"
+_cte(
+    "fm",
+    ["ec"],
+    """SELECT CAST(substr(transaction_id, 2) AS BIGINT) % 40 AS fault,
+       CASE WHEN fault = 2 THEN '' WHEN fault <> 1 THEN transaction_id END AS transaction_id,
+       CASE WHEN fault <> 4 THEN ts_event END AS ts_event,
+       CASE WHEN fault = 4 THEN 'soon' ELSE strftime(ts_event, '%Y-%m-%dT%H:%M:%S.%fZ') END AS ts_text,
+       CASE WHEN fault <> 3 THEN card_hash END AS card_hash, merchant_id,
+       CASE WHEN fault <> 6 THEN amount END AS amount, currency,
+       CASE WHEN fault <> 5 THEN auth_result END AS auth_result, location, country, mcc, channel,
+       transaction_id AS event
+FROM ec""",
+)
+_cte("fv", ["fm"], "SELECT * FROM fm WHERE fault NOT IN (0, 1, 2, 6) AND amount IS NOT NULL")
+_cte(
+    "fvr",
+    ["fv"],
+    f"""SELECT *, {_REASON} AS reason FROM (
+  {_flags_cte(velocity_s=86400, high="200").replace("FROM ec", "FROM fv")}
+  UNION ALL
+  SELECT *, FALSE, FALSE, FALSE, FALSE, COALESCE(amount > 200, FALSE) FROM fv WHERE card_hash IS NULL)""",
+)
+
+
+def _joined(*columns: str) -> str:
+    return "concat_ws('|', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in columns) + ")"
+
+
+_PAY = ["transaction_id", "card_hash", "merchant_id", "amount", "currency", "auth_result", "location"]
+_JSON = """'{"transaction_id": ' || event"""
+_q(
+    "stream_contents",
+    ["fm", "fvr"],
+    f"""SELECT 'accepted' AS kind, {_joined(_ISO.format(c="ts_event"), *_PAY, "CAST(ts_event AS DATE)")} AS fields
+FROM fvr WHERE reason = ''
+UNION ALL SELECT 'signal', {_joined(_ISO.format(c="ts_event"), *_PAY, "reason")} FROM fvr WHERE reason <> ''
+UNION ALL SELECT 'flagged', {_joined("ts_text", *_PAY, "reason", "raw")} FROM (SELECT *, {{raw}} AS raw FROM fvr) WHERE reason <> ''
+UNION ALL SELECT 'dead', {_joined("ts_text", *_PAY, "'missing_tx_or_amount'", "raw")}
+  FROM (SELECT *, {{raw}} AS raw FROM fm) WHERE fault IN (1, 2, 6) OR (fault <> 0 AND amount IS NULL)
+UNION ALL SELECT 'dead', {_joined(*["NULL"] * 8, "'malformed_json'", _JSON)} FROM fm WHERE fault = 0
+UNION ALL SELECT 'card', {_joined("card_hash", "pos", _ISO.format(c="ts"), "auth_result", "country")} FROM (
+  {_LAST10.format(src="0", country="country").replace("FROM e WHERE", "FROM fvr WHERE").replace("*, 0 AS src, country AS country", "*, 0 AS src")})""".replace(
+        "{raw}",
+        """'{' || concat_ws(',',
+    '"transaction_id":"' || transaction_id || '"', '"ts_event":"' || ts_text || '"', '"card_hash":"' || card_hash || '"',
+    '"merchant_id":"' || merchant_id || '"',
+    '"amount":"' || CASE WHEN fault = 6 THEN 'much' ELSE CAST(amount AS VARCHAR) END || '"',
+    '"currency":"' || currency || '"', '"mcc":"' || mcc || '"', '"channel":"' || channel || '"',
+    '"auth_result":"' || auth_result || '"', '"location":"' || location || '"') || '}'""",
+    ),
+)

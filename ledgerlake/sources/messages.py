@@ -47,6 +47,36 @@ def event_messages_with_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(F.to_json(payload).alias("value"), "ts_event")
 
 
+# Faults of ``faulty_messages``, by event id % 40: what every producer sends now and then.
+FAULTS = {0: "malformed", 1: "no id", 2: "empty id", 3: "no card", 4: "bad time", 5: "no result", 6: "bad amount"}
+
+
+def faulty_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed E as wire messages with malformed text and missing or unusable fields.
+
+    ``ts_event``: the time to replay by, NULL where the message has none.
+    """
+    ev = feeds.event_payments(spark, sf_dir)
+    fault = F.substring("transaction_id", 2, 30).cast("long") % 40
+    is_ = lambda name: fault == next(k for k, v in FAULTS.items() if v == name)
+    payload = F.to_json(
+        F.struct(
+            F.when(is_("empty id"), F.lit("")).when(~is_("no id"), F.col("transaction_id")).alias("transaction_id"),
+            F.when(is_("bad time"), F.lit("soon")).otherwise(F.date_format("ts_event", ISO_MICROS)).alias("ts_event"),
+            F.when(~is_("no card"), F.col("card_hash")).alias("card_hash"),
+            "merchant_id",
+            F.when(is_("bad amount"), F.lit("much")).otherwise(F.col("amount").cast("string")).alias("amount"),
+            "currency",
+            "mcc",
+            "channel",
+            F.when(~is_("no result"), F.col("auth_result")).alias("auth_result"),
+            "location",
+        )
+    )
+    cut = F.when(is_("malformed"), F.concat(F.lit('{"transaction_id": '), "transaction_id")).otherwise(payload)
+    return ev.select(cut.alias("value"), F.when(~is_("bad time"), F.col("ts_event")).alias("ts_event"))
+
+
 def decode(messages: DataFrame, value: str = "value") -> DataFrame:
     """bytes/text -> raw string fields; unparsable text is kept whole in
     ``_corrupt_record`` (PERMISSIVE mode) instead of failing the batch."""
@@ -78,7 +108,8 @@ def typed(decoded: DataFrame) -> DataFrame:
         "malformed",
         # the whole original text: a dead letter must hold all that was sent
         "raw_value",
-        (~F.col("malformed") & C.is_valid_event("transaction_id", "amount")).alias("valid"),
+        # an amount that cannot be read is no amount
+        (~F.col("malformed") & C.is_valid_event("transaction_id", C.to_amount("amount"))).alias("valid"),
     )
 
 

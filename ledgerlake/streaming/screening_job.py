@@ -256,8 +256,8 @@ class ScreeningBatch:
             letters.write.format("kafka").option("kafka.bootstrap.servers", self.deadletter_servers).option(
                 "topic", self.deadletter_topic
             ).save()
-        # K3 fraud signals: the first signal of a transaction id stays, whatever
-        # day a later copy carries.
+        # K3 fraud signals: every epoch writes its own; the first signal of a transaction id
+        # stays, whatever day a later copy carries (read_outputs), so no epoch reads those before.
         flagged = routed.filter(F.col("route") == SCR.ROUTE_FLAGGED).select(
             "transaction_id",
             F.col("ts_event"),
@@ -271,9 +271,6 @@ class ScreeningBatch:
             F.col("processing_ts").alias("created_at"),
         )
         flagged = keep_earliest(flagged, ["transaction_id"], ["ts_event"])
-        seen = _read_epochs(spark, lay.signals, _epochs(spark, lay.signals, epoch))
-        if seen is not None:
-            flagged = flagged.join(seen.select("transaction_id"), "transaction_id", "left_anti")
         flagged.write.mode("overwrite").parquet(f"{lay.signals}/{ep}")
         # K4 card state: last 10 {ts, auth_result, country} per touched card.
         prev_state = _read_keyed(spark, lay.state, epoch)
@@ -327,7 +324,7 @@ def read_outputs(spark: SparkSession, layout: StreamLayout) -> dict[str, DataFra
     return {
         "bronze": spark.read.schema(bronze_schema(spark)).parquet(layout.bronze),
         "deadletter": spark.read.text(layout.deadletter).select(F.from_json("value", dead_schema).alias("d")).select("d.*"),
-        "signals": spark.read.parquet(layout.signals),
+        "signals": keep_earliest(spark.read.parquet(layout.signals), ["transaction_id"], [EPOCH]),
         "card_state": spark.read.parquet(layout.state),
     }
 
@@ -342,6 +339,18 @@ def read_signals(spark: SparkSession, layout: StreamLayout, epochs: list[int]) -
     return _read_epochs(spark, layout.signals, epochs).drop(EPOCH)
 
 
+def card_state(spark: SparkSession, layout: StreamLayout) -> DataFrame:
+    """K4: the state of every card, one row each (its newest version)."""
+    return _latest_per_card(spark.read.parquet(layout.state), None)
+
+
+def dead_letters(spark: SparkSession, layout: StreamLayout) -> DataFrame:
+    """K2: the dead-lettered and flagged messages with the fields they were sent with, all as text."""
+    fields = [*M.RAW_FIELDS, "reason", "route", "raw_value"]
+    letters = spark.read.text(layout.deadletter)
+    return letters.select(F.from_json("value", ", ".join(f"{f} string" for f in fields)).alias("d")).select("d.*")
+
+
 def routes(spark: SparkSession, layout: StreamLayout) -> DataFrame:
     """transaction_id, route, reason of every processed message."""
     out = read_outputs(spark, layout)
