@@ -236,13 +236,25 @@ def q_merchant_scd2(spark, sf_dir):
 
 @register("merchant_scd2_incremental")
 def q_merchant_scd2_incremental(spark, sf_dir):
-    """History up to a day, then two later snapshots applied to it one after the other."""
+    """History up to a day, then two later snapshots: each closes and appends versions."""
+    from .session import scratch_path
+
+    path = scratch_path(spark, "scd2-input")
     tx = _s(spark, sf_dir, columns=MERCHANT_COLS)
-    cuts = [F.lit(d).cast("timestamp_ntz") for d in ("1995-01-01", "1997-01-01")]
-    history = H.versions(tx.filter(F.col("ts_event") < cuts[0]), "merchant_id", ["mcc"])
-    between = tx.filter((F.col("ts_event") >= cuts[0]) & (F.col("ts_event") < cuts[1]))
-    history = H.apply_snapshot(history, between, "merchant_id", ["mcc"])
-    return H.apply_snapshot(history, tx.filter(F.col("ts_event") >= cuts[1]), "merchant_id", ["mcc"])
+    part = sum((F.coalesce(F.col("ts_event") >= F.lit(d).cast("timestamp_ntz"), F.lit(False)).cast("int")
+                for d in ("1995-01-01", "1997-01-01")), F.lit(0))
+    tx.withColumn("part", part).write.partitionBy("part").parquet(path)  # as three loads
+    parts = spark.read.parquet(path)
+    loads = [parts.filter(F.col("part") == k).drop("part") for k in range(3)]
+    history = H._staged(H.versions(loads[0], "merchant_id", ["mcc"]))
+    current, closed = history.filter("is_current"), [history.filter("NOT is_current")]
+    for load in loads[1:]:
+        current, more = H.close_and_append(current, load, "merchant_id", ["mcc"])
+        closed.append(more)
+    out = current
+    for rows in closed:
+        out = out.unionByName(rows)
+    return out
 
 
 # --- upserts ----------------------------------------------------------------

@@ -80,6 +80,67 @@ def versions(
     )
 
 
+def is_newer(ts: str, since: str = "_lk_since", known: str = "_lk_known"):
+    """Does a row count for a key whose current version began at ``since``?
+
+    Rows of unknown keys do; of known ones those after the version's start.  A row without
+    time is before every other: it can only begin the history of an unknown key.
+    """
+    return F.col(known).isNull() | F.coalesce(F.col(ts) > F.col(since), F.col(since).isNull() & F.col(ts).isNotNull())
+
+
+def _beside_current(snapshot: DataFrame, current: DataFrame, key: str) -> DataFrame:
+    begun = current.select(key, F.col("valid_from").alias("_lk_since"), F.lit(True).alias("_lk_known"))
+    return snapshot.filter(F.col(key).isNotNull()).join(begun, key, "left")
+
+
+def ignored_rows(current: DataFrame, snapshot: DataFrame, key: str, ts: str = "ts_event") -> DataFrame:
+    """Rows of a snapshot that change nothing as they are not newer than their key's current
+    version (rows without time of known keys among them), or have no key: to be counted."""
+    beside = _beside_current(snapshot, current, key)
+    return beside.filter(~is_newer(ts)).select(*snapshot.columns).unionByName(snapshot.filter(F.col(key).isNull()))
+
+
+def changes(
+    current: DataFrame, snapshot: DataFrame, key: str, tracked: Sequence[str], ts: str = "ts_event", tie: str = "transaction_id"
+) -> DataFrame:
+    """What a snapshot makes of the keys it touches: their current version (closed or not) and those after it.
+
+    Only newer rows and the current versions of their keys take part, so the cost is that
+    of the snapshot and of one look at the current versions, never of the closed ones.
+    """
+    tracked = list(tracked)
+    newer = _beside_current(snapshot, current, key).filter(is_newer(ts)).select(key, *tracked, ts, tie)
+    begun = current.select(key, *tracked, F.col("valid_from").alias(ts), F.lit(None).cast("string").alias(tie))
+    touched = begun.join(newer.select(key).distinct(), key, "left_semi")
+    return versions(touched.unionByName(newer), key, tracked, ts, tie)
+
+
+def close_and_append(
+    current: DataFrame,
+    snapshot: DataFrame,
+    key: str,
+    tracked: Sequence[str],
+    ts: str = "ts_event",
+    tie: str = "transaction_id",
+) -> tuple[DataFrame, DataFrame]:
+    """(current versions after the snapshot, versions closed by it): the closed ones are appended to
+    those before and never read again.  The changes are written once, below the checkpoint folder."""
+    new = _staged(changes(current, snapshot, key, tracked, ts, tie))
+    after = current.join(new.select(key).distinct(), key, "left_anti").unionByName(
+        new.filter("is_current").select(*current.columns)
+    )
+    return after, new.filter("NOT is_current").select(*current.columns)
+
+
+def _staged(df: DataFrame) -> DataFrame:
+    from ..session import scratch_path
+
+    path = scratch_path(df.sparkSession, "scd2")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def apply_snapshot(
     history: DataFrame,
     snapshot: DataFrame,
@@ -88,22 +149,6 @@ def apply_snapshot(
     ts: str = "ts_event",
     tie: str = "transaction_id",
 ) -> DataFrame:
-    """Incremental form: close current versions whose tracked values changed
-    in ``snapshot`` (rows newer than the version) and append the new versions.
-
-    ``snapshot`` rows older than a key's current ``valid_from`` are ignored
-    ("newer timestamp" strategy).
-    """
-    tracked = list(tracked)
-    current = history.filter(F.col("is_current")).select(key, *tracked, F.col("valid_from").alias(ts))
-    cur_rows = current.withColumn(tie, F.lit(None).cast("string"))
-    latest_cur = history.filter(F.col("is_current")).select(key, F.col("valid_from").alias("_lk_cur_from"))
-    newer = snapshot.filter(F.col(key).isNotNull()).join(latest_cur, key, "left").filter(
-        F.col("_lk_cur_from").isNull() | (F.col(ts) > F.col("_lk_cur_from"))
-    ).select(key, *tracked, ts, tie)
-    redo = versions(cur_rows.unionByName(newer), key, tracked, ts, tie)
-    closed_keys = newer.select(key).distinct()
-    kept = history.join(closed_keys, key, "left_anti").unionByName(
-        history.filter(~F.col("is_current")).join(closed_keys, key, "left_semi")
-    )
-    return kept.unionByName(redo.select(*history.columns))
+    """``close_and_append`` on a history in one table: the whole history after the snapshot."""
+    current, closed = close_and_append(history.filter("is_current"), snapshot, key, tracked, ts, tie)
+    return history.filter("NOT is_current").unionByName(current).unionByName(closed)

@@ -57,6 +57,32 @@ def test_scd2_incremental(spark):
     assert [(r.mcc, r.is_current) for r in new] == [("1", False), ("2", False), ("3", True)]
 
 
+def test_scd2_close_and_append(spark):
+    """Snapshots one after the other equal the history of all rows; rows that change nothing are counted."""
+    rows = [(f"M{k % 7}", str((k * k) % 5), at(3 * k), f"T{k:03d}") for k in range(120)]
+    rows += [("N", "1", None, "N0"), ("N", "2", at(50), "N1"), ("O", "7", None, "O0")]
+    ddl = "merchant_id string, mcc string, ts_event string, transaction_id string"
+    frame = lambda rows: spark.createDataFrame(rows, ddl).withColumn("ts_event", F.col("ts_event").cast("timestamp"))
+    loads = [rows[:40] + rows[120:121], rows[40:90] + rows[121:], rows[90:120]]
+    current, closed = None, []
+    for load in loads:
+        snapshot = frame(load)
+        if current is None:
+            history = H.versions(snapshot, "merchant_id", ["mcc"])
+            current, closed = history.filter("is_current"), [history.filter("NOT is_current")]
+        else:
+            current, more = H.close_and_append(current, snapshot, "merchant_id", ["mcc"])
+            closed.append(more)
+    got = current
+    for part in closed:
+        got = got.unionByName(part)
+    whole = H.versions(frame(rows), "merchant_id", ["mcc"])
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, whole.collect()))
+    late = [("M1", "9", at(-9), "L1"), ("M1", "9", None, "L2"), (None, "9", at(999), "L3"), ("P", "1", None, "L4"), ("M1", "0", at(999), "L5")]
+    ignored = H.ignored_rows(current, frame(late), "merchant_id")
+    assert sorted(r.transaction_id for r in ignored.collect()) == ["L1", "L2", "L3"]
+
+
 def test_backfill_columns(spark, seed):
     out = silver.backfill_columns(seed.drop("mcc", "channel"), PAYMENT)
     assert out.columns[:10] == [f.name for f in PAYMENT.fields]
