@@ -472,6 +472,32 @@ def q_stream_contents(spark, sf_dir):
     return accepted.unionByName(letters).unionByName(signals).unionByName(cards)
 
 
+MESSAGE_CHECKS = [
+    Q.Check("transaction_id_not_null", "messages", "transaction_id", "not_null"),
+    Q.Check("ts_event_not_null", "messages", "ts_event", "not_null"),
+    Q.Check("card_hash_not_null", "messages", "card_hash", "not_null"),
+    Q.Check("amount_not_null", "messages", "amount", "not_null"),
+    Q.Check("amount_non_negative", "messages", "amount", "expression", condition="amount >= 0"),
+    Q.Check("well_formed", "messages", "malformed", "expression", condition="NOT malformed"),
+    Q.Check("required_fields", "messages", "valid", "expression", condition="valid"),
+]
+
+
+@register("stream_quality")
+def q_stream_quality(spark, sf_dir):
+    """Q1/Q4/Q6 counted on the stream's way over restarts, read from its progress."""
+    from .session import scratch_path
+    from .streaming import runner
+
+    def transform(stream):
+        sent = stream.filter(F.col("value").isNotNull())  # the closing marker has no text
+        return Q.observed_stream(M.typed(M.decode(sent)), MESSAGE_CHECKS)
+
+    metrics: dict[str, int] = {}
+    runner.run_in_order(spark, M.faulty_messages(spark, sf_dir), transform, scratch_path(spark, "stream-quality"), metrics=metrics)
+    return spark.createDataFrame(sorted(metrics.items()), "check_name string, violations long")
+
+
 @register("signals_bucketed")
 def q_signals_bucketed(spark, sf_dir):
     """The signals into a bucketed table, then again on another day and without an id."""

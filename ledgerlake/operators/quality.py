@@ -7,11 +7,12 @@ per table (``count_if`` per check) and one row per check.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..schemas import REQUIRED_EVENT_FIELDS
@@ -70,6 +71,45 @@ class Check:
     condition: str | None = None
 
 
+def violated(check: Check) -> Column:
+    """Does a row violate a not_null or expression check?"""
+    if check.kind == "not_null":
+        return F.col(check.column).isNull()
+    if check.kind == "expression":
+        return ~F.coalesce(F.expr(check.condition), F.lit(True))
+    raise ValueError(f"{check.kind} is not decided row by row")
+
+
+def row_metrics(checks: Sequence[Check]) -> list[Column]:
+    """One count per row-wise check, and of all rows, for ``DataFrame.observe``."""
+    return [F.count(F.lit(1)).alias("rows"), *[F.count_if(violated(c)).alias(c.name) for c in checks]]
+
+
+def observed(df: DataFrame, checks: Sequence[Check], name: str = "quality") -> tuple[DataFrame, Observation]:
+    """``df`` that counts violations on its way: ``get`` of the observation after the first whole action on it.
+
+    The table is not read again; a task that is run twice counts once.
+    """
+    seen = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
+    return df.observe(seen, *row_metrics(checks)), seen
+
+
+def observed_stream(df: DataFrame, checks: Sequence[Check], name: str = "quality") -> DataFrame:
+    """A stream that counts violations on its way; its progress carries them per micro-batch."""
+    return df.observe(name, *row_metrics(checks))
+
+
+def progress_metrics(progress: Sequence, name: str = "quality") -> dict[str, int]:
+    """The sums of a stream's counts over micro-batches, and the rows its watermarks dropped as late."""
+    total: dict[str, int] = {"late_rows": 0}
+    for p in progress:
+        total["late_rows"] += sum(op.numRowsDroppedByWatermark for op in p.stateOperators)
+        if name in (p.observedMetrics or {}):
+            for metric, count in p.observedMetrics[name].asDict().items():
+                total[metric] = total.get(metric, 0) + count
+    return total
+
+
 def suite(tables: dict[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """Q7: one row per check with its violation count.
 
@@ -84,8 +124,7 @@ def suite(tables: dict[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     for table, cs in by_table.items():
         aggs = []
         for c in cs:
-            bad = F.col(c.column).isNull() if c.kind == "not_null" else ~F.coalesce(F.expr(c.condition), F.lit(True))
-            aggs.append(F.count_if(bad).alias(c.name))
+            aggs.append(F.count_if(violated(c)).alias(c.name))
         counts = tables[table].agg(*aggs)
         stack = ", ".join(f"'{c.name}', '{c.table}', '{c.column}', `{c.name}`" for c in cs)
         parts.append(counts.select(F.expr(f"stack({len(cs)}, {stack}) AS (check_name, table_name, column_name, violations)")))

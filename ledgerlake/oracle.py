@@ -581,3 +581,16 @@ UNION ALL SELECT 'card', {_joined("card_hash", "pos", _ISO.format(c="ts"), "auth
     '"auth_result":"' || auth_result || '"', '"location":"' || location || '"') || '}'""",
     ),
 )
+
+# The same messages' violations, counted from the table.
+_q(
+    "stream_quality",
+    ["fm"],
+    """SELECT unnest(['rows', 'late_rows', 'transaction_id_not_null', 'ts_event_not_null', 'card_hash_not_null', 'amount_not_null',
+              'amount_non_negative', 'well_formed', 'required_fields']) AS check_name,
+       unnest([count(*), 0, count(*) FILTER (fault IN (0, 1) OR event IS NULL), count(*) FILTER (fault = 0 OR ts_event IS NULL),
+               count(*) FILTER (fault = 0 OR card_hash IS NULL), count(*) FILTER (fault IN (0, 6) OR amount IS NULL),
+               count(*) FILTER (fault NOT IN (0, 6) AND amount < 0), count(*) FILTER (fault = 0),
+               count(*) FILTER (fault IN (0, 1, 2, 6) OR amount IS NULL)]) AS violations
+FROM fm""",
+)

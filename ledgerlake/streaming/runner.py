@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
+from ..operators import quality as Q
 from ..plans import screening as SCR
 from ..sources import messages as M
 from . import screening_job as J
@@ -69,7 +70,7 @@ def stage_table(df: DataFrame, path: str, files: int = 8) -> str:
 
 def run_in_order(
     spark: SparkSession, df: DataFrame, transform, base: str, ts: str = "ts_event", arrival: str | None = None,
-    chunks: int = 5, close_after: str = "3 days",
+    chunks: int = 5, close_after: str = "3 days", metrics: dict[str, int] | None = None,
 ) -> tuple[DataFrame, int]:
     """Feed ``df`` to a streaming ``transform`` in order of arrival (default: event time).
 
@@ -78,7 +79,7 @@ def run_in_order(
     ``close_after`` past the newest event and with no other column, that moves
     the watermark past all open windows; its own window stays open, so it is
     never returned.  Returns the output and the number of rows the watermark
-    dropped as late.
+    dropped as late.  ``metrics`` takes the sums of what the stream observes.
     """
     by = arrival or ts
     bounds = chunk_bounds(df, by, chunks)
@@ -98,12 +99,14 @@ def run_in_order(
             rows = newest.select(*[F.col(c) if c == ts else F.lit(None).cast(schema[c].dataType).alias(c) for c in columns])
         rows.write.mode("append").parquet(f"{base}/input")
         stream = spark.readStream.schema(schema).parquet(f"{base}/input")
-        late += _run(transform(stream), f"{base}/output", f"{base}/_checkpoint")
+        late += _run(transform(stream), f"{base}/output", f"{base}/_checkpoint", metrics=metrics)
     out = transform(spark.createDataFrame([], schema)).schema
     return spark.read.schema(out).parquet(f"{base}/output"), late
 
 
-def _run(stream: DataFrame, path: str, checkpoint: str, output_mode: str = "append") -> int:
+def _run(
+    stream: DataFrame, path: str, checkpoint: str, output_mode: str = "append", metrics: dict[str, int] | None = None
+) -> int:
     """Run over everything available; the rows dropped as late."""
     q = (
         stream.writeStream.format("parquet")
@@ -114,7 +117,10 @@ def _run(stream: DataFrame, path: str, checkpoint: str, output_mode: str = "appe
         .start()
     )
     q.awaitTermination()
-    return sum(op.numRowsDroppedByWatermark for p in q.recentProgress for op in p.stateOperators)
+    counts = Q.progress_metrics(q.recentProgress)
+    for name, n in counts.items() if metrics is not None else ():
+        metrics[name] = metrics.get(name, 0) + n
+    return counts["late_rows"]
 
 
 def run_to_parquet(stream: DataFrame, path: str, checkpoint: str, output_mode: str = "append") -> str:

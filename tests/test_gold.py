@@ -182,6 +182,20 @@ def test_signals_are_loaded_from_the_last_epoch_on(spark):
     assert sorted(r.reason for r in gold.read_gold(spark, f"{base}/gold", "fact_fraud_signals").collect()) == ["r0", "r1", "r4"]
 
 
+def test_a_load_counts_its_violations_on_the_way(spark):
+    from ledgerlake.operators import quality as Q
+
+    base = scratch_path(spark, "observed")
+    loads = [[("a", day(1), "m", 1), ("b", None, None, -2), (None, None, "m", 3)], [("c", day(2), "m", 0)]]
+    want = []
+    for load in loads:
+        staged = gold.stage(rows_of(spark, load))
+        want.append({r.check_name: r.violations for r in Q.suite({"staged": staged}, gold.LOAD_CHECKS).collect()} | {"rows": len(load)})
+        gold.load_gold(spark, staged, base, with_clock=False)
+    assert gold.load_quality(spark, base) == want
+    assert want[0]["amount_non_negative"] == want[0]["merchant_id_not_null"] == want[0]["transaction_id_not_null"] == 1
+
+
 def test_an_unreadable_manifest_raises(spark):
     base = scratch_path(spark, "broken")
     gold.add_rows(spark, base, "dim_card", spark.createDataFrame([("a",)], "card_hash string"))
