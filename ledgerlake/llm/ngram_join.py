@@ -52,7 +52,7 @@ from .shingles import _STEP, mix, shingle_sets
 PART, WHOLE = 3, 4
 SMALL_BAND = 5
 #: Most rounds of checks against central nodes before the remaining pairs are counted.
-ROUNDS = 2
+ROUNDS = 1
 #: Bytes of text hashed at a time, and signatures sent at a time: they bound a task's memory.
 SLICE = 2 << 20
 BLOCK = 1 << 20
@@ -61,10 +61,10 @@ RANGE = 1 << 18
 #: Members checked against one node in one task, and checks a set is sent to at a time.
 STAR = 4096
 #: Nodes that look at a signature, up to which their pairs are joined; beyond, they are
-#: compared in tiles of at most so many sets and bytes, so many shingles at a time.
+#: compared in tiles of about so many bytes, so many sets and shingles at a time.
 GROUP = 64
+TILE_BYTES = 8 << 20
 TILE = 256
-TILE_BYTES = 1 << 20
 COLUMNS = 4096
 #: Of n shingles, n / SPARE more signatures are looked at than must be shared in part.
 SPARE = 16
@@ -478,12 +478,13 @@ def _pairs_across(prefix: DataFrame, group: int) -> DataFrame:
     )
 
 
-def _set_tiles(docs: DataFrame, nodes: DataFrame, where: DataFrame) -> DataFrame:
-    """tile, nodes, sizes, raw: the sets of ``nodes`` (node, home), those of a home side by side."""
-    spark = docs.sparkSession
-    tasks = nodes.join(where, "node").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "node", "home")
+def _placed_sets(docs: DataFrame, nodes: DataFrame, where: DataFrame) -> DataFrame:
+    """home, salt, node, raw: the sets of ``nodes`` (node, home, salt)."""
+    tasks = nodes.join(where, "node").select(
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "node", "home", "salt"
+    )
     mine = F.col("doc_id").eqNullSafe(F.col("_id")) & (_text_hash() == F.col("_hash"))
-    texts = docs.select("doc_id", "text").join(tasks, mine).select("text", "home", "node")
+    texts = docs.select("doc_id", "text").join(tasks, mine).select("text", "home", "salt", "node")
 
     def sets(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -493,38 +494,11 @@ def _set_tiles(docs: DataFrame, nodes: DataFrame, where: DataFrame) -> DataFrame
             node = part.column("node").to_pylist()
             same = pa.array([len(u) > 0 and set_key(u) == k for u, k in zip(found, node)])
             raw = pa.array([u.tobytes() for u in found], pa.binary())
-            yield pa.RecordBatch.from_arrays([part.column("home"), part.column("node"), raw], ["home", "node", "raw"]).filter(same)
-
-    def cut(batches: Iterator) -> Iterator:
-        import pyarrow as pa
+            columns = [part.column(c) for c in ("home", "salt", "node")] + [raw]
+            yield pa.RecordBatch.from_arrays(columns, ["home", "salt", "node", "raw"]).filter(same)
 
-        def tile(held):
-            nodes, raw = zip(*held)
-            kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
-            row = (nodes[0], list(nodes), [len(r) // 8 for r in raw], b"".join(raw))
-            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds)], ["tile", "nodes", "sizes", "raw"])
-
-        held, size, last = [], 0, None
-        for batch in batches:
-            for node, raw in zip(batch.column("node").to_pylist(), batch.column("raw").to_pylist()):
-                if node == last:  # a row that stands twice in the documents
-                    continue
-                last = node
-                if held and (len(held) == TILE or size + len(raw) > TILE_BYTES):
-                    yield tile(held)
-                    held, size = [], 0
-                held.append((node, raw))
-                size += len(raw)
-        if held:
-            yield tile(held)
-
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return (
-        texts.mapInArrow(sets, "home long, node long, raw binary")
-        .repartitionByRange(parts, "home", "node")
-        .sortWithinPartitions("home", "node")
-        .mapInArrow(cut, "tile long, nodes array<long>, sizes array<long>, raw binary")
-    )
+    # a row that stands twice in the documents comes twice
+    return texts.mapInArrow(sets, "home long, salt int, node long, raw binary").dropDuplicates(["node"])
 
 
 def set_links(x: list[np.ndarray], y: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -552,51 +526,78 @@ def set_links(x: list[np.ndarray], y: list[np.ndarray]) -> tuple[np.ndarray, np.
 def tile_links(docs: DataFrame, prefix: DataFrame, where: DataFrame, group: int) -> DataFrame:
     """u, v: links that connect the linked nodes of the groups of more than ``group`` nodes.
 
-    Their sets are cut into tiles, nodes of one frequent signature side by side; tiles
-    that share such a signature are compared, each pair of tiles once however many
-    they share.  A comparison returns one link per node at most, never its pairs.
+    A node's home is its most frequent signature; a home's nodes are dealt out to tiles
+    of about ``TILE_BYTES``.  Homes with nodes that share a frequent signature have their
+    tiles compared, each pair of tiles once however many they share.  A comparison
+    returns one link per node at most, never its pairs.
     """
+    spark = docs.sparkSession
     many = prefix.filter(F.col("members") > group)
-    homes = many.groupBy("node").agg(F.max(F.struct("members", "sig")).alias("most")).select("node", F.col("most.sig").alias("home"))
-    tiles = staged(_set_tiles(docs, homes, where), "op1-tiles")
-    placed = tiles.select("tile", F.explode("nodes").alias("node"))
-    held = many.join(placed, "node").groupBy("sig", "tile").agg(F.max("as_hub").alias("hubs"), F.max("as_node").alias("others"))
-    held = staged(held, "op1-held")
-    other = held.select("sig", F.col("tile").alias("b"), F.col("hubs").alias("b_hubs"), F.col("others").alias("b_others"))
-    pairs = (
-        held.withColumnRenamed("tile", "a")
+    homes = many.groupBy("node").agg(F.max(F.struct("members", "sig")).alias("most"), F.max("n").alias("n"))
+    homes = staged(homes.select("node", "n", F.col("most.sig").alias("home")), "op1-homes")
+    load = homes.groupBy("home").agg((F.floor(F.sum(8 * F.col("n")) / TILE_BYTES) + 1).cast("int").alias("salts"))
+    placed = homes.join(load, "home").select("node", "home", F.pmod(F.xxhash64("node"), "salts").cast("int").alias("salt"))
+    sets = staged(_placed_sets(docs, placed, where), "op1-sets")
+
+    held = many.join(homes.select("node", "home"), "node").groupBy("sig", "home")
+    held = held.agg(F.max("as_hub").alias("hubs"), F.max("as_node").alias("others"))
+    other = held.select("sig", F.col("home").alias("b"), F.col("hubs").alias("b_hubs"), F.col("others").alias("b_others"))
+    met = (
+        held.withColumnRenamed("home", "a")
         .join(other, "sig")
         .filter("a <= b AND ((hubs AND b_others) OR (others AND b_hubs))")
         .select("a", "b")
         .distinct()
     )
-    x = tiles.select(F.col("tile").alias("a"), F.struct("nodes", "sizes", "raw").alias("x"))
-    y = tiles.select(F.col("tile").alias("b"), F.struct("nodes", "sizes", "raw").alias("y"))
+    pairs = (
+        met.join(load.select(F.col("home").alias("a"), F.explode(F.expr("sequence(0, salts - 1)")).alias("i")), "a")
+        .join(load.select(F.col("home").alias("b"), F.explode(F.expr("sequence(0, salts - 1)")).alias("j")), "b")
+        .filter("a < b OR i <= j")
+    )
+    pairs = staged(pairs.select("a", "i", "b", "j"), "op1-tiles")
+    # a tile goes to the task of each of its pairs, one that is compared with itself once
+    sides = pairs.select("a", "i", "b", "j", F.lit(0).alias("side"), F.col("a").alias("home"), F.col("i").alias("salt")).unionByName(
+        pairs.filter("a < b OR i < j").select(
+            "a", "i", "b", "j", F.lit(1).alias("side"), F.col("b").alias("home"), F.col("j").alias("salt")
+        )
+    )
 
     def compare(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        def sets(side):
-            flat = np.frombuffer(side["raw"], np.uint64)
-            return side["nodes"], np.split(flat, np.cumsum(side["sizes"])[:-1])
-
+        def links(held):
+            x, y = ([(n, np.frombuffer(raw, np.uint64)) for side, n, raw in held if side == k] for k in (0, 1))
+            names = np.array([n for n, _ in x + y], np.int64)
+            label = np.arange(len(names))
+            for p in range(0, len(x), TILE):
+                # a tile with itself: every pair of its parts once
+                for q in range(0, len(y), TILE) if y else range(p, len(x), TILE):
+                    u, v = x[p : p + TILE], (y or x)[q : q + TILE]
+                    i, j = set_links([s for _, s in u], [s for _, s in v])
+                    merge_classes(label, i + p, j + q + (len(x) if y else 0))
+            moved = np.flatnonzero(label != np.arange(len(label)))
+            return pa.RecordBatch.from_arrays([pa.array(names[moved]), pa.array(names[label[moved]])], ["u", "v"])
+
+        pair, held = None, []
         for batch in batches:
-            for k in range(batch.num_rows):
-                (nodes, u), (others, v) = (sets(batch.column(c)[k].as_py()) for c in ("x", "y"))
-                i, j = set_links(u, v)
-                names = np.array([*nodes, *others], np.int64)
-                # equal names are one place, so links within a tile connect
-                _, place = np.unique(names, return_inverse=True)
-                first = np.full(place.max() + 1, -1)
-                first[place[::-1]] = np.arange(len(names))[::-1]
-                label = first[place]
-                merge_classes(label, i, j + len(nodes))
-                merge_classes(label, np.arange(len(names)), first[place])
-                moved = np.flatnonzero(names != names[label])
-                if len(moved):
-                    yield pa.RecordBatch.from_arrays([pa.array(names[moved]), pa.array(names[label[moved]])], ["u", "v"])
-
-    return pairs.join(x, "a").join(y, "b").select("x", "y").mapInArrow(compare, "u long, v long")
+            columns = [batch.column(k).to_pylist() for k in range(7)]
+            for a, i, b, j, side, node, raw in zip(*columns):
+                if (a, i, b, j) != pair:
+                    if held:
+                        yield links(held)
+                    pair, held = (a, i, b, j), []
+                held.append((side, node, raw))
+        if held:
+            yield links(held)
+
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return (
+        sets.join(sides, ["home", "salt"])
+        .select("a", "i", "b", "j", "side", "node", "raw")
+        .repartition(parts, "a", "i", "b", "j")
+        .sortWithinPartitions("a", "i", "b", "j", "side")
+        .mapInArrow(compare, "u long, v long")
+    )
 
 
 def near_groups(docs: DataFrame, rounds: int = ROUNDS, group: int = GROUP) -> DataFrame:
