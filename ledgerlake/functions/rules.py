@@ -273,8 +273,8 @@ def reasons(flags: DataFrame, rules: tuple[str, ...] = ("high_amount", "velocity
 def blacklisted(df: DataFrame, blacklist: DataFrame, eligible: Column | None = None) -> DataFrame:
     """D6/J1 on the stream side: add ``blacklisted`` (merchant on the list).
 
-    The list is deduplicated first so the left join cannot multiply rows; it
-    is broadcast only when its size is proven small (``lookup_join``)."""
+    The list is deduplicated first so the left join cannot multiply rows; AQE
+    chooses the join from its measured size (``lookup_join``)."""
     from ..operators.joins import lookup_join
 
     listed = blacklist.select("merchant_id").filter(F.col("merchant_id").isNotNull()).distinct()
