@@ -27,7 +27,7 @@ def split(flat, counts):
 def test_without_dropout_equals_the_plain_encoder(model, documents):
     texts = [r["text"] or "" for r in documents.limit(80).collect()] + TEXTS
     sp = sentencepiece.SentencePieceProcessor(model_file=M.default_model())
-    got = split(*M.Encoder(model, 1, 0.0, 4)(list(range(len(texts))), pa.array(texts)))
+    got = split(*M.Encoder(model, 1, 0.0)(list(range(len(texts))), pa.array(texts)))
     assert all(g == sp.encode(t) for g, t in zip(got, texts) if M.MARK not in t)
 
 
@@ -69,20 +69,20 @@ def test_round_trips_and_variety(model):
     ids = list(range(len(texts)))
     seen = set()
     for seed in range(3):
-        flat, counts = M.Encoder(model, seed, 0.3, 4)(ids, pa.array(texts))
-        again, _ = M.Encoder(model, seed, 0.3, 4)(ids, pa.array(texts))
+        flat, counts = M.Encoder(model, seed, 0.3)(ids, pa.array(texts))
+        again, _ = M.Encoder(model, seed, 0.3)(ids, pa.array(texts))
         assert (flat == again).all() and M.decode_ids(model, flat, counts) == texts
         seen.add(tuple(split(flat, counts)[-1]))
     assert len(seen) == 3
     # the slices a text comes in do not matter
-    one = M.Encoder(model, 1, 0.3, 4)([ids[-1]], pa.array(texts[-1:]))[0]
+    one = M.Encoder(model, 1, 0.3)([ids[-1]], pa.array(texts[-1:]))[0]
     assert tuple(one.tolist()) in seen
 
 
 def test_every_occurrence_has_its_own_draws(model):
     """One word thousands of times: as many segmentations as the agenda with each occurrence's key gives."""
     n, texts = 4000, ["international " * 4000, "international " * 3]
-    flat, counts = M.Encoder(model, 1, 0.3, 4)([7, 8], pa.array(texts))
+    flat, counts = M.Encoder(model, 1, 0.3)([7, 8], pa.array(texts))
     assert M.decode_ids(model, flat, counts) == texts
     pieces, seen, ids = [], {}, flat[: counts[0]].tolist()
     for k in ids:  # a word starts with a blank mark
@@ -111,7 +111,7 @@ def test_shared_occurrences_equal_the_agenda(model):
     keys = mix(np.arange(len(words), dtype=np.uint64))
     draw = mix(np.arange(300, dtype=np.uint64) + np.uint64(10**6))
     for dropout in (0.05, 0.3):
-        flat, first, count = M.Encoder(model, 1, dropout, 4)._pieces(np.concatenate(sym), sizes, keys, which, draw)
+        flat, first, count = M.Encoder(model, 1, dropout)._pieces(np.concatenate(sym), sizes, keys, which, draw)
         for k, w in enumerate(which.tolist()):
             key = int(mix(keys[w : w + 1] ^ draw[k : k + 1])[0])
             assert flat[first[k] : first[k] + count[k]].tolist() == agenda(model, sym[w], key, dropout)
