@@ -526,19 +526,17 @@ def set_links(x: list[np.ndarray], y: list[np.ndarray]) -> tuple[np.ndarray, np.
 def tile_links(docs: DataFrame, prefix: DataFrame, where: DataFrame, group: int) -> DataFrame:
     """u, v: links that connect the linked nodes of the groups of more than ``group`` nodes.
 
-    A node's home is its most frequent signature; a home's nodes are dealt out to tiles
-    of about ``TILE_BYTES``.  Homes with nodes that share a frequent signature have their
-    tiles compared, each pair of tiles once however many they share.  A comparison
-    returns one link per node at most, never its pairs.
+    A node's home is its most frequent signature.  Homes meet if nodes of theirs share a
+    frequent signature; tiles of about ``TILE_BYTES`` hold homes that meet the same large
+    one, or a part of a home.  Tiles of homes that meet are compared, each pair once however
+    many signatures they share.  A comparison returns one link per node at most, never its
+    pairs.
     """
     spark = docs.sparkSession
     many = prefix.filter(F.col("members") > group)
     homes = many.groupBy("node").agg(F.max(F.struct("members", "sig")).alias("most"), F.max("n").alias("n"))
     homes = staged(homes.select("node", "n", F.col("most.sig").alias("home")), "op1-homes")
-    load = homes.groupBy("home").agg((F.floor(F.sum(8 * F.col("n")) / TILE_BYTES) + 1).cast("int").alias("salts"))
-    placed = homes.join(load, "home").select("node", "home", F.pmod(F.xxhash64("node"), "salts").cast("int").alias("salt"))
-    sets = staged(_placed_sets(docs, placed, where), "op1-sets")
-
+    load = staged(homes.groupBy("home").agg(F.sum(8 * F.col("n")).alias("bytes")), "op1-load")
     held = many.join(homes.select("node", "home"), "node").groupBy("sig", "home")
     held = held.agg(F.max("as_hub").alias("hubs"), F.max("as_node").alias("others"))
     other = held.select("sig", F.col("home").alias("b"), F.col("hubs").alias("b_hubs"), F.col("others").alias("b_others"))
@@ -549,15 +547,38 @@ def tile_links(docs: DataFrame, prefix: DataFrame, where: DataFrame, group: int)
         .select("a", "b")
         .distinct()
     )
-    pairs = (
-        met.join(load.select(F.col("home").alias("a"), F.explode(F.expr("sequence(0, salts - 1)")).alias("i")), "a")
-        .join(load.select(F.col("home").alias("b"), F.explode(F.expr("sequence(0, salts - 1)")).alias("j")), "b")
-        .filter("a < b OR i <= j")
+    met = staged(met, "op1-met")
+    # small homes go to the largest one they meet, so that homes that meet lie in the same few tiles
+    size = load.select(F.col("home").alias("b"), "bytes")
+    both = met.unionByName(met.select(F.col("b").alias("a"), F.col("a").alias("b"))).join(size, "b")
+    lead = both.groupBy(F.col("a").alias("home")).agg(F.max(F.struct("bytes", F.col("b").alias("lead"))).alias("best"))
+    upto = Window.partitionBy("lead").orderBy("home").rowsBetween(Window.unboundedPreceding, -1)
+    tiles = (
+        load.join(lead.select("home", "best.lead"), "home", "left")
+        .withColumn("lead", F.coalesce("lead", "home"))
+        .withColumn("place", F.floor(F.coalesce(F.sum("bytes").over(upto), F.lit(0)) / TILE_BYTES))
+        .withColumn("salts", (F.floor(F.col("bytes") / TILE_BYTES) + 1).cast("int"))
+        .select("home", "salts", F.xxhash64("lead", "place").alias("tile"))
+    )
+    tiles = staged(tiles, "op1-tiles")
+    # (tile, salt): homes of one tile with as many salts share them
+    placed = homes.join(tiles, "home").select(
+        "node", F.col("tile").alias("home"), F.pmod(F.xxhash64("node"), "salts").cast("int").alias("salt")
+    )
+    sets = staged(_placed_sets(docs, placed, where), "op1-sets")
+    side = lambda k, i: tiles.select(F.col("home").alias(k), F.col("tile").alias(f"t{k}"), F.explode(F.expr("sequence(0, salts - 1)")).alias(i))
+    pairs = met.join(side("a", "i"), "a").join(side("b", "j"), "b")
+    turned = F.struct("tb", "j") < F.struct("ta", "i")
+    pairs = pairs.select(
+        F.when(turned, F.col("tb")).otherwise(F.col("ta")).alias("a"),
+        F.when(turned, F.col("j")).otherwise(F.col("i")).alias("i"),
+        F.when(turned, F.col("ta")).otherwise(F.col("tb")).alias("b"),
+        F.when(turned, F.col("i")).otherwise(F.col("j")).alias("j"),
     )
-    pairs = staged(pairs.select("a", "i", "b", "j"), "op1-tiles")
+    pairs = staged(pairs.distinct(), "op1-tile-pairs")
     # a tile goes to the task of each of its pairs, one that is compared with itself once
     sides = pairs.select("a", "i", "b", "j", F.lit(0).alias("side"), F.col("a").alias("home"), F.col("i").alias("salt")).unionByName(
-        pairs.filter("a < b OR i < j").select(
+        pairs.filter("a <> b OR i <> j").select(
             "a", "i", "b", "j", F.lit(1).alias("side"), F.col("b").alias("home"), F.col("j").alias("salt")
         )
     )
