@@ -1,10 +1,14 @@
 """T3 as a stateful operator: the last events of every card in Spark's state store.
 
 ``applyInPandasWithState`` keeps, per card, its last ``n`` events and the number of
-events taken in.  A micro-batch reads and writes the state of its own cards only,
-so there are no epoch folders, snapshots or merges of tables: only changes go to the
-checkpoint, and a lost executor's state is rebuilt from there.  A card that sends
-nothing for ``idle_days`` is forgotten by an event-time timeout.
+events taken in.  Cards are dealt to ``shards`` groups by hash, and a group's state holds
+its cards: a call of Python costs milliseconds whatever it does, so a call takes a batch of
+cards, not one.  A micro-batch reads and writes the state of the shards of its own cards
+only, so there are no epoch folders, snapshots or merges of tables: only changed shards go
+to the checkpoint, and a lost executor's state is rebuilt from there.  A shard is read and
+written whole: with more cards or smaller micro-batches, take more shards (their number
+stays with the checkpoint).  A card that sends nothing for ``idle_days`` is forgotten by
+an event-time timeout, that of its shard being the earliest of its cards'.
 
 Every touched card's state is emitted with a version (the events taken in), so the
 output is an append-only table of versions; ``current`` reads the newest of each card.
@@ -17,7 +21,6 @@ after its timeout starts anew.
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -29,63 +32,95 @@ from ..operators.dedup import keep_latest
 from ..operators.state import HISTORY
 from .windows import DEFAULT_DELAY
 
+_SHARD = "_lk_shard"
 _LISTS = "micros array<long>, auth_results array<string>, countries array<string>"
-STATE = f"newest long, version long, {_LISTS}"
+#: A shard: per card its newest time, events taken in, timeout and number of events; the events, card by card.
+STATE = f"cards array<string>, newest array<long>, versions array<long>, due array<long>, sizes array<int>, {_LISTS}"
 VERSIONS = f"card_hash string, newest long, version long, {_LISTS}"
 IDLE_DAYS = 90
+SHARDS = 4096
 
 
 def _place(event: tuple):
-    """Order of a batch's events: time (NULL first), id, result, country, NULL before text."""
+    """Order of a card's events in a batch: time (NULL first), id, result, country, NULL before text."""
     micros, tie, auth, country = event
-    return (micros is not None, micros or 0, *((v is not None, v or "") for v in (tie, auth, country)))
+    return (micros is not None, micros or 0, tie is not None, tie or "", auth is not None, auth or "", country is not None, country or "")
 
 
-def _events(part) -> list[tuple]:
-    part = part.astype(object).where(part.notna(), None)
-    return [
-        (None if m is None else int(m), t, a, c)
-        for m, t, a, c in zip(part["micros"], part["tie"], part["auth_result"], part["country"])
-    ]
+def _events(part) -> dict[str, list[tuple]]:
+    """A part's events by card."""
+    texts = [[v if isinstance(v, str) else None for v in part[c].tolist()] for c in ("tie", "auth_result", "country")]
+    micros = [None if m is None or m != m else int(m) for m in part["micros"].tolist()]
+    out: dict[str, list[tuple]] = {}
+    for card, *event in zip(part["card_hash"].tolist(), micros, *texts):
+        out.setdefault(card, []).append(tuple(event))
+    return out
+
+
+def _unpack(state: tuple) -> dict[str, tuple]:
+    """card -> newest, version, due, events."""
+    cards, newest, versions, due, sizes, *lists = state
+    events = zip(*lists)
+    return {c: (m, v, d, [next(events) for _ in range(k)]) for c, m, v, d, k in zip(cards, newest, versions, due, sizes)}
+
+
+def _pack(known: dict[str, tuple]) -> tuple:
+    newest, versions, due, events = (list(x) for x in zip(*known.values()))
+    lists = [list(x) for x in zip(*(e for es in events for e in es))]
+    return (list(known), newest, versions, due, [len(es) for es in events], *lists)
 
 
 def take_in(n: int, idle_ms: int):
-    """The function applied to a card's new events and its state."""
+    """The function applied to a shard's new events and its state."""
 
     def run(key: tuple, parts: Iterator, state: GroupState) -> Iterator:
         import pandas as pd
 
-        if state.hasTimedOut:
+        watermark = state.getCurrentWatermarkMs()
+        known = _unpack(state.get) if state.exists else {}
+        fresh: dict[str, tuple] = {}  # card -> newest, number, last n events
+        for part in parts if not state.hasTimedOut else ():
+            for card, batch in _events(part).items():
+                newest, taken, last = fresh.get(card, (None, 0, []))
+                newest = max([e[0] for e in batch if e[0] is not None] + ([newest] if newest is not None else []), default=None)
+                # never more than n events of a card are held, however many come
+                fresh[card] = (newest, taken + len(batch), sorted(last + batch, key=_place)[-n:])
+        touched = {}
+        for card, (latest, taken, last) in fresh.items():
+            newest, version, _, stored = known.get(card, (None, 0, None, []))
+            newest = max((m for m in (newest, latest) if m is not None), default=None)
+            # a timeout has to lie ahead of the watermark
+            due = None if newest is None else max(newest // 1000 + idle_ms, watermark + 1)
+            touched[card] = (newest, version + taken, due, (stored + [(m, a, c) for m, _, a, c in last])[-n:])
+        # cards without news whose timeout has passed are forgotten
+        known = {c: x for c, x in known.items() if x[2] is None or x[2] >= watermark} | touched
+        if not known:
             state.remove()
             return
-        newest, version, *stored = state.get if state.exists else (None, 0, [], [], [])
-        fresh: list[tuple] = []
-        for part in parts:
-            batch = _events(part)
-            version += len(batch)
-            newest = max([e[0] for e in batch if e[0] is not None] + ([newest] if newest is not None else []), default=None)
-            # never more than n events of a card are held, however many come
-            fresh = heapq.nlargest(n, fresh + batch, key=_place)
-        last = list(zip(*stored)) + [(m, a, c) for m, _, a, c in sorted(fresh, key=_place)]
-        lists = [list(x) for x in zip(*last[-n:])]
-        state.update((newest, version, *lists))
-        if newest is not None:
-            # a timeout has to lie ahead of the watermark
-            state.setTimeoutTimestamp(max(newest // 1000 + idle_ms, state.getCurrentWatermarkMs() + 1))
-        row = {"card_hash": [key[0]], "newest": pd.array([newest], dtype="Int64"), "version": [version]}
-        yield pd.DataFrame(row | {c: [x] for c, x in zip(("micros", "auth_results", "countries"), lists)})
+        state.update(_pack(known))
+        due = min((x[2] for x in known.values() if x[2] is not None), default=None)
+        if due is not None:
+            state.setTimeoutTimestamp(max(due, watermark + 1))
+        if touched:
+            newest, versions, _, events = zip(*touched.values())
+            row = {"card_hash": list(touched), "newest": pd.array(newest, dtype="Int64"), "version": versions}
+            for k, c in enumerate(("micros", "auth_results", "countries")):
+                row[c] = [[e[k] for e in es] for es in events]
+            yield pd.DataFrame(row)
 
     return run
 
 
 def card_state_versions(
-    df: DataFrame, n: int = HISTORY, idle_days: float = IDLE_DAYS, delay: str = DEFAULT_DELAY, ts: str = "ts_event"
+    df: DataFrame, n: int = HISTORY, idle_days: float = IDLE_DAYS, delay: str = DEFAULT_DELAY, ts: str = "ts_event",
+    shards: int = SHARDS,
 ) -> DataFrame:
     """Streaming: one row per touched card and micro-batch (``VERSIONS``).
 
     ``df``: transaction_id, the event time ``ts`` (TIMESTAMP), card_hash, auth_result, location.
     """
     events = df.withWatermark(ts, delay).select(
+        F.pmod(F.xxhash64("card_hash"), F.lit(shards)).cast("int").alias(_SHARD),
         "card_hash",
         ts,
         F.unix_micros(ts).alias("micros"),
@@ -95,7 +130,7 @@ def card_state_versions(
     )
     return (
         events.filter(F.col("card_hash").isNotNull())
-        .groupBy("card_hash")
+        .groupBy(_SHARD)
         .applyInPandasWithState(
             take_in(n, int(idle_days * 86_400_000)), VERSIONS, STATE, "append", GroupStateTimeout.EventTimeTimeout
         )

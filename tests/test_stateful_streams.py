@@ -99,3 +99,28 @@ def test_an_idle_card_is_forgotten(spark):
     )
     got = {r.card_hash: [e.country for e in r.last_events] for r in card_state.current(out).collect()}
     assert got == {"x": ["DE"], "y": ["IT", "IT", "IT"], "z": [None]}
+
+
+@pytest.mark.parametrize("shards", [1, 3])
+def test_cards_share_the_state_of_a_shard(spark, shards):
+    """A call takes the cards of a shard, not one; each is still forgotten at its own time."""
+    base = scratch_path(spark, "t-shards")
+    rows = [[(f"c{k}-{day}", at(60 * 24 * day + k), f"card{k}", "APPROVED", "Rome, IT") for k in range(40) if k % 8 == 0 or day != 2]
+            for day in range(4)]
+    rows += [[("late", at(60 * 24 * 20), "card1", None, None)], [("last", at(60 * 24 * 21), "card2", "DECLINED", "Bonn, DE")]]
+    kept = []
+    for part in rows:
+        spark.createDataFrame(part, DDL).write.mode("append").parquet(f"{base}/in")
+        stream = card_state.card_state_versions(spark.readStream.schema(DDL).parquet(f"{base}/in"), n=2, idle_days=7, shards=shards)
+        q = stream.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/cp")
+        q = q.trigger(availableNow=True).start()
+        q.awaitTermination()
+        kept.append(q.lastProgress.stateOperators[0].numRowsTotal)
+    assert max(kept) <= shards
+    out = spark.read.schema(card_state.VERSIONS).parquet(f"{base}/out")
+    versions = {r.card_hash: r.version for r in out.filter("newest < unix_micros(timestamp'2026-03-20')").groupBy("card_hash")
+                .agg(F.max("version").alias("version")).collect()}
+    assert versions == {f"card{k}": 4 if k % 8 == 0 else 3 for k in range(40)}
+    got = {r.card_hash: [(e.auth_result, e.country) for e in r.last_events] for r in card_state.current(out).collect()}
+    assert got["card2"] == [("DECLINED", "DE")]  # forgotten when the time had passed its timeout
+    assert got["card8"] == [("APPROVED", "IT")] * 2 and len(got) == 40
