@@ -9,6 +9,8 @@ exercises checkpoint recovery (T2).
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,35 @@ from ..sources import messages as M
 from . import screening_job as J
 
 
+#: Input bytes (as stored) that a partition of a stream takes before there are more than two per core.
+PARTITION_BYTES = 32 << 20
+
+
+def stream_partitions(spark: SparkSession, path: str) -> int:
+    """Partitions of a stream's shuffles and state over the files below ``path``.
+
+    Every partition opens and commits its state stores (four for a join) in every batch,
+    or writes its own files, whether it has rows or not, and a stream's partitions are not
+    coalesced.  So there are two per core, more with the input, never more than the session has.
+    """
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    size = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(most, max(2 * spark.sparkContext.defaultParallelism, -(-size // PARTITION_BYTES)))
+
+
+@contextmanager
+def _partitioned(spark: SparkSession, path: str):
+    """Streams started inside have ``stream_partitions`` (a restart keeps those of its checkpoint)."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(stream_partitions(spark, path)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def chunk_bounds(messages: DataFrame, ts: str, chunks: int):
     """Cut points splitting [min ts, max ts] into ``chunks`` equal spans
     (one small aggregate; only two timestamps reach the driver)."""
@@ -56,10 +87,11 @@ def replay(
             cond = cond | micros.isNull()  # messages without a usable time go first
         part = messages.filter(cond).select("value")
         part.write.mode("overwrite").text(f"{inbox}/chunk={i:05d}")
-        query = J.start(
-            M.read_stream(spark, path=inbox), layout, params, rules, available_now=True, snapshot_every=snapshot_every
-        )
-        query.awaitTermination()
+        with _partitioned(spark, f"{inbox}/chunk={i:05d}"):
+            query = J.start(
+                M.read_stream(spark, path=inbox), layout, params, rules, available_now=True, snapshot_every=snapshot_every
+            )
+            query.awaitTermination()
 
 
 def stage_table(df: DataFrame, path: str, files: int = 8) -> str:
@@ -99,7 +131,8 @@ def run_in_order(
             rows = newest.select(*[F.col(c) if c == ts else F.lit(None).cast(schema[c].dataType).alias(c) for c in columns])
         rows.write.mode("append").parquet(f"{base}/input")
         stream = spark.readStream.schema(schema).parquet(f"{base}/input")
-        late += _run(transform(stream), f"{base}/output", f"{base}/_checkpoint", metrics=metrics)
+        with _partitioned(spark, f"{base}/staged"):
+            late += _run(transform(stream), f"{base}/output", f"{base}/_checkpoint", metrics=metrics)
     out = transform(spark.createDataFrame([], schema)).schema
     return spark.read.schema(out).parquet(f"{base}/output"), late
 

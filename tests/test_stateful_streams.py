@@ -124,3 +124,21 @@ def test_cards_share_the_state_of_a_shard(spark, shards):
     got = {r.card_hash: [(e.auth_result, e.country) for e in r.last_events] for r in card_state.current(out).collect()}
     assert got["card2"] == [("DECLINED", "DE")]  # forgotten when the time had passed its timeout
     assert got["card8"] == [("APPROVED", "IT")] * 2 and len(got) == 40
+
+
+def test_a_stream_has_partitions_by_its_cores_and_input(spark):
+    """A join opens four state stores per partition in every batch: their number is not that of batch shuffles."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    df = spark.createDataFrame(events(), DDL)
+    base = scratch_path(spark, "t-partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        out, _ = runner.run_in_order(spark, df, joins.cross_border_events, base, chunks=2)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+        assert runner.stream_partitions(spark, f"{base}/staged") == 2 * spark.sparkContext.defaultParallelism < 40
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base}/_checkpoint/state/0")
+    stores = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)
+    assert len([s for s in stores if s.getPath().getName().isdigit()]) == 2 * spark.sparkContext.defaultParallelism
+    assert sorted((r.transaction_id, r.ts_event) for r in out.collect()) == hits(events())
