@@ -203,3 +203,12 @@ def test_an_unreadable_manifest_raises(spark):
     fs.create(p).close()
     with pytest.raises(ValueError):
         gold.read_gold(spark, base, "dim_card")
+
+
+def test_two_loads_deduplicate_silver_once(spark):
+    """Both loads read the staged Silver rows, not the source tables again."""
+    from ledgerlake import catalog
+
+    for load in catalog._two_loads(spark, "/root/testdata/sf0.001"):
+        files = load.inputFiles()
+        assert files and all("gold-silver" in f for f in files)
