@@ -66,6 +66,9 @@ GROUP = 64
 TILE_BYTES = 8 << 20
 TILE = 256
 COLUMNS = 4096
+#: Bits that tell the documents a step may need from the others before their texts are shuffled (4 MB).
+BITS = 1 << 25
+BITMAP = 1 << 15
 #: Of n shingles, n / SPARE more signatures are looked at than must be shared in part.
 SPARE = 16
 
@@ -287,6 +290,25 @@ def shared_signatures(docs: DataFrame, levels: dict[int, int]) -> DataFrame:
     )
 
 
+def needed(docs: DataFrame, tasks: DataFrame) -> DataFrame:
+    """``docs`` without most rows that no task names (``_id``, ``_hash``): a join with the rest shuffles few texts.
+
+    A document's place in a fixed number of bits tells: rows that are named always stay,
+    others stay where the place is taken too.  The bits are broadcast, so their number is
+    not that of the tasks.
+    """
+    place = lambda i, h: F.pmod(F.xxhash64(i, h), F.lit(BITS))
+    taken = tasks.select(place(F.col("_id"), F.col("_hash")).alias("place"))
+    taken = taken.groupBy(F.floor(F.col("place") / BITMAP).alias("_map")).agg(
+        F.bitmap_construct_agg(F.col("place") % BITMAP).alias("_bits")
+    )
+    mine = place(F.col("doc_id"), _text_hash())
+    byte = F.floor(mine % BITMAP / 8).cast("int") + 1
+    byte = F.conv(F.hex(F.col("_bits").substr(byte, F.lit(1))), 16, 10).cast("int")
+    is_taken = F.getbit(byte, (mine % 8).cast("int")) == 1
+    return docs.join(F.broadcast(taken), (F.floor(mine / BITMAP) == F.col("_map")) & is_taken, "left_semi")
+
+
 def linked(docs: DataFrame, pairs: DataFrame, where: DataFrame) -> DataFrame:
     """u, v: the pairs (``hub``, ``node``) whose sets reach the similarity.
 
@@ -310,7 +332,7 @@ def linked(docs: DataFrame, pairs: DataFrame, where: DataFrame) -> DataFrame:
     )
     tasks = staged(tasks, "op1-roles")
     mine = F.col("doc_id").eqNullSafe(F.col("_id")) & (_text_hash() == F.col("_hash"))
-    texts = docs.select("doc_id", "text").join(tasks, mine).select("text", "node", "roles")
+    texts = needed(docs.select("doc_id", "text"), tasks).join(tasks, mine).select("text", "node", "roles")
 
     def send(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -483,8 +505,9 @@ def _placed_sets(docs: DataFrame, nodes: DataFrame, where: DataFrame) -> DataFra
     tasks = nodes.join(where, "node").select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "node", "home", "salt"
     )
+    tasks = staged(tasks, "op1-placed")
     mine = F.col("doc_id").eqNullSafe(F.col("_id")) & (_text_hash() == F.col("_hash"))
-    texts = docs.select("doc_id", "text").join(tasks, mine).select("text", "home", "salt", "node")
+    texts = needed(docs.select("doc_id", "text"), tasks).join(tasks, mine).select("text", "home", "salt", "node")
 
     def sets(batches: Iterator) -> Iterator:
         import pyarrow as pa

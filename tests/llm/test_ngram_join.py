@@ -159,3 +159,27 @@ def test_odd_rows_and_empty_table(odd_documents):
     rows = [(r["doc_id"], r["text"]) for r in odd_documents.collect()]
     assert result(J.near_groups(odd_documents)) == brute(rows)
     assert J.near_groups(odd_documents.limit(0)).count() == 0
+
+
+def test_texts_no_step_needs_are_not_shuffled(spark, monkeypatch):
+    """Of the documents, those that tasks name stay (a NULL id and text too) and most others go before the join."""
+    text = J.F.when(J.F.col("id") != 7, J.F.concat(J.F.lit("word "), "id"))
+    docs = spark.range(5000).select(J.F.when(J.F.col("id") != 3, J.F.col("id")).alias("doc_id"), text.alias("text"))
+    named = docs.filter("doc_id is null or doc_id % 50 = 7")
+    tasks = named.select(J.F.col("doc_id").alias("_id"), J._text_hash().alias("_hash"))
+    kept = {tuple(r) for r in J.needed(docs, tasks).collect()}
+    assert {tuple(r) for r in named.collect()} <= kept and len(kept) < 150
+    assert J.needed(docs, tasks.limit(0)).count() == 0
+    # places that many share only keep more
+    monkeypatch.setattr(J, "BITS", 64)
+    monkeypatch.setattr(J, "BITMAP", 8)
+    assert {tuple(r) for r in named.collect()} <= {tuple(r) for r in J.needed(docs, tasks).collect()}
+
+
+def test_documents_left_out_before_the_joins_change_no_group(spark, monkeypatch):
+    rng = random.Random(11)
+    base = [[rng.choice("abcdefgh") + str(rng.randrange(900)) for _ in range(60)] for _ in range(12)]
+    rows = [(k, " ".join(base[k % 12][:58] + [f"x{k}"])) for k in range(60)] + [(60 + k, f"alone {k}") for k in range(20)]
+    monkeypatch.setattr(J, "BITS", 1 << 16)
+    got = J.near_groups(spark.createDataFrame(rows, "doc_id long, text string"), group=2).collect()
+    assert sorted(map(tuple, got)) == [(k, 55, k % 12) for k in range(60)] + [(60 + k, 1, 60 + k) for k in range(20)]
