@@ -74,26 +74,34 @@ def replay(
 ) -> None:
     """Write ``messages`` (``value`` + ``ts``) chunk by chunk and run the job."""
     cuts = chunk_bounds(messages, ts, chunks)
-    edges = [None, *cuts, None]
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    inbox = f"{layout.base.rstrip('/')}/inbox"
-    for i in range(len(edges) - 1):
-        cond = F.lit(True)
-        if edges[i] is not None:
-            cond = cond & (micros >= F.lit(edges[i]))
-        if edges[i + 1] is not None:
-            cond = cond & (micros < F.lit(edges[i + 1]))
-        if i == 0:
-            cond = cond | micros.isNull()  # messages without a usable time go first
-        part = messages.filter(cond).select("value")
-        part.write.mode("overwrite").text(f"{inbox}/chunk={i:05d}")
-        with _partitioned(spark, f"{inbox}/chunk={i:05d}"):
+    # messages without a usable time go first
+    chunk = sum((F.coalesce(micros >= F.lit(c), F.lit(False)).cast("int") for c in cuts), F.lit(0))
+    base = layout.base.rstrip("/")
+    # all chunks are written in one pass, whose tasks are all busy however the table is ordered
+    staged = messages.select("value", chunk.alias("chunk")).write.mode("overwrite").partitionBy("chunk")
+    # static: nothing of a replay that was cut short stays
+    staged.option("partitionOverwriteMode", "static").text(f"{base}/staged")
+    for i in range(len(cuts) + 1):
+        path = _arrive(spark, f"{base}/staged/chunk={i}", f"{base}/inbox/chunk={i:05d}")
+        with _partitioned(spark, path):
             query = J.start(
-                M.read_stream(spark, path=inbox), layout, params, rules, available_now=True, snapshot_every=snapshot_every
+                M.read_stream(spark, path=f"{base}/inbox"), layout, params, rules, available_now=True, snapshot_every=snapshot_every
             )
             query.awaitTermination()
 
 
+def _arrive(spark: SparkSession, staged: str, path: str) -> str:
+    """Move a staged folder into the inbox in place of what an earlier run left there; one without rows arrives empty."""
+    source, target = (spark.sparkContext._jvm.org.apache.hadoop.fs.Path(x) for x in (staged, path))
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(target, True)
+    fs.mkdirs(target.getParent())
+    if not (fs.rename(source, target) if fs.exists(source) else fs.mkdirs(target)):
+        raise OSError(f"{staged} cannot be moved to {path}")
+    return path
+
+
 def stage_table(df: DataFrame, path: str, files: int = 8) -> str:
     """Write a derived table as Parquet so a file stream can read it."""
     df.repartition(files).write.mode("overwrite").parquet(path)

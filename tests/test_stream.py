@@ -176,3 +176,24 @@ def test_blacklist_on_the_stream(spark, blacklist):
     reasons = {r.transaction_id: r.reason for r in J.read_outputs(spark, layout)["signals"].collect()}
     assert reasons["P-05"] == "blacklisted"
     assert reasons["P-03"] == "cross_border"
+
+
+def test_replay_stages_every_chunk_in_one_pass(spark):
+    """Chunks by time: no time first, equal times together, a chunk without rows too; a second replay takes their place."""
+    rows = [("a", 0), ("b", 1), ("c", 90), ("d", None), ("e", 100), ("f", 100)]
+    msgs = spark.createDataFrame(rows, "transaction_id string, s long").select(
+        F.to_json(F.struct("transaction_id", F.lit("1.5").alias("amount"))).alias("value"),
+        F.timestamp_seconds("s").alias("ts_event"),
+    )
+    layout = J.StreamLayout(scratch_path(spark, "t-chunks"))
+    seen = []
+    write, runner._arrive = runner._arrive, lambda s, staged, path: seen.append(staged) or write(s, staged, path)
+    try:
+        runner.replay(spark, msgs, layout, chunks=4)
+        runner.replay(spark, msgs.limit(0), J.StreamLayout(scratch_path(spark, "t-none")), chunks=4)
+    finally:
+        runner._arrive = write
+    assert len(seen) == 5  # without a time there are no cuts
+    by = spark.read.text(f"{layout.base}/inbox").select(F.get_json_object("value", "$.transaction_id").alias("t"), "chunk")
+    assert sorted(map(tuple, by.collect())) == [("a", 0), ("b", 0), ("c", 3), ("d", 0), ("e", 3), ("f", 3)]
+    assert sorted(r[0] for r in _routes(J.routes(spark, layout))) == ["a", "b", "c", "d", "e", "f"]
