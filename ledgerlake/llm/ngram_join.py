@@ -66,8 +66,8 @@ GROUP = 64
 TILE_BYTES = 8 << 20
 TILE = 256
 COLUMNS = 4096
-#: Bits that tell the documents a step may need from the others before their texts are shuffled (4 MB).
-BITS = 1 << 25
+#: Bits that tell the documents a step may need from the others before their texts are shuffled (1 MB).
+BITS = 1 << 23
 BITMAP = 1 << 15
 #: Of n shingles, n / SPARE more signatures are looked at than must be shared in part.
 SPARE = 16
